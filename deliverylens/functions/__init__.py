@@ -1,4 +1,4 @@
 from deliverylens.functions.exprs import (  # noqa: F401
-    bucket, clip, clip_lower, daypart, days_between, iso_weekday, month_start,
-    pct, pct_div_first, rnd, weekday_name, yyyymm,
+    avg_days, bucket, clip, clip_lower, daypart, days_between, iso_weekday, month_start,
+    pct, pct_div_first, rnd, seconds_of, weekday_name, yyyymm,
 )

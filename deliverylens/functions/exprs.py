@@ -24,6 +24,23 @@ def days_between(start: str | Column, end: str | Column) -> Column:
     return secs.cast("double") / F.lit(SECONDS_PER_DAY)
 
 
+def seconds_of(days: str | Column) -> Column:
+    """Fractional days back to whole seconds (exact: durations come from
+    timestamps with one-second resolution)."""
+    return F.round(col(days) * F.lit(SECONDS_PER_DAY)).cast("long")
+
+
+def avg_days(days: str | Column) -> Column:
+    """Mean of a duration column from the exact sum of its seconds.
+
+    A double sum depends on the order rows are added, i.e. on partitioning, so
+    a mean that is exactly halfway between two rounded values could round
+    either way from run to run. An integer sum is exact and the one final
+    division is correctly rounded, so the result is reproducible anywhere.
+    """
+    return F.try_divide(F.sum(seconds_of(days)), F.count(col(days)) * F.lit(SECONDS_PER_DAY))
+
+
 def clip_lower(c: str | Column, lo: float = 0.0) -> Column:
     """pandas ``clip(lower=lo)``: keeps NULL (``greatest`` would not)."""
     c = col(c)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deliverylens.functions.exprs import (
-    bucket, daypart, iso_weekday, month_start, pct, pct_div_first, rnd, weekday_name, yyyymm,
+    avg_days, bucket, seconds_of, daypart, iso_weekday, month_start, pct, pct_div_first, rnd, weekday_name, yyyymm,
 )
 from deliverylens.functions.translate import CATEGORY_LABELS_EN, translate_column
 from deliverylens.operators.fact import fact_with_seller_customer
@@ -33,8 +33,17 @@ def _n() -> Column:
     return F.count(F.lit(1))
 
 
+DURATIONS = {"approval_time_days", "seller_processing_days", "carrier_transit_days",
+             "actual_delivery_days", "delay_days"}
+
+
+def _avg(c: str) -> Column:
+    """Mean; durations use the exact integer-seconds mean (``avg_days``)."""
+    return avg_days(c) if c in DURATIONS else F.avg(c)
+
+
 def _avg2(c: str) -> Column:
-    return rnd(F.avg(c), 2)
+    return rnd(_avg(c), 2)
 
 
 # ---- Q01 - Q12 ----------------------------------------------------------------
@@ -190,7 +199,7 @@ def stage_breakdown(fact: DataFrame) -> DataFrame:
     """Q14: avg / min / max / count per stage; one aggregation, then three rows."""
     aggs = []
     for i, (_, c) in enumerate(STAGES):
-        aggs += [rnd(F.avg(c)).alias(f"a{i}"), rnd(F.min(c)).alias(f"mn{i}"),
+        aggs += [rnd(_avg(c)).alias(f"a{i}"), rnd(F.min(c)).alias(f"mn{i}"),
                  rnd(F.max(c)).alias(f"mx{i}")]
     one = fact.agg(*aggs, _n().alias("n"))
     rows = F.array(*[F.struct(F.lit(name).alias("stage_name"), F.col(f"a{i}").alias("avg_days"),
@@ -235,7 +244,7 @@ def processing_bucket_delay(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     """Q17: sellers bucketed by mean processing time; mean of their unrounded
     delay rates and seller count per bucket (two-level aggregation)."""
     sellers = (fact.groupBy("seller_id").agg(
-        F.avg("seller_processing_days").alias("avg_processing_days"),
+        _avg("seller_processing_days").alias("avg_processing_days"),
         pct_div_first(_late()).alias("delay_rate_pct"),
         _n().alias("n"))
         .filter(F.col("n") >= min_orders))
@@ -264,7 +273,7 @@ def category_delay(fact: DataFrame, items: DataFrame, products: DataFrame, n: in
     mapping = CATEGORY_LABELS_EN if mapping is None else mapping
     per_order = fact.groupBy("order_id").agg(
         _n().alias("n_rows"), F.count_if(_late()).alias("n_late"),
-        F.sum("actual_delivery_days").alias("s_days"),
+        F.sum(seconds_of("actual_delivery_days")).alias("s_secs"),
         F.count("actual_delivery_days").alias("n_days"),
         F.sum("review_score").alias("s_score"), F.count("review_score").alias("n_score"))
     cats = (items.select("order_id", F.col("product_id").alias("i_product_id"))
@@ -275,12 +284,13 @@ def category_delay(fact: DataFrame, items: DataFrame, products: DataFrame, n: in
     label = translate_column("product_category_name", mapping, fallback="humanize")
     g = joined.groupBy(label.alias("product_category_en")).agg(
         F.sum("n_rows").alias("total_orders"), F.sum("n_late").alias("n_late"),
-        F.sum("s_days").alias("s_days"), F.sum("n_days").alias("n_days"),
+        F.sum("s_secs").alias("s_secs"), F.sum("n_days").alias("n_days"),
         F.sum("s_score").alias("s_score"), F.sum("n_score").alias("n_score"))
     return (g.filter(F.col("total_orders") >= min_orders)
             .select("product_category_en", "total_orders",
                     rnd(F.col("n_late") * F.lit(100.0) / F.col("total_orders")).alias("delay_rate_pct"),
-                    rnd(F.try_divide(F.col("s_days"), F.col("n_days"))).alias("avg_delivery_days"),
+                    rnd(F.try_divide(F.col("s_secs"), F.col("n_days") * F.lit(86400.0)))
+                    .alias("avg_delivery_days"),
                     rnd(F.try_divide(F.col("s_score").cast("double"), F.col("n_score")))
                     .alias("avg_review_score"))
             .orderBy(F.desc("delay_rate_pct"), F.asc_nulls_last("product_category_en"))
@@ -363,7 +373,7 @@ def customer_frequency_segments(fact: DataFrame, key: str = "customer_id") -> Da
     per = fact.groupBy(key).agg(
         _n().alias("n"), F.count_if(_late()).alias("late"),
         F.sum("review_score").alias("s_score"), F.count("review_score").alias("n_score"),
-        F.sum("actual_delivery_days").alias("s_days"),
+        F.sum(seconds_of("actual_delivery_days")).alias("s_secs"),
         F.count("actual_delivery_days").alias("n_days"))
     seg = (F.when(F.col("n") >= 5, F.lit(SEGMENT_HIGH))
            .when(F.col("n").between(2, 4), F.lit(SEGMENT_MEDIUM))
@@ -371,13 +381,14 @@ def customer_frequency_segments(fact: DataFrame, key: str = "customer_id") -> Da
     g = per.groupBy(seg.alias("customer_segment")).agg(
         F.count(key).alias("total_customers"), F.sum("n").alias("total_orders"),
         F.sum("s_score").alias("s_score"), F.sum("n_score").alias("n_score"),
-        F.sum("late").alias("late"), F.sum("s_days").alias("s_days"),
+        F.sum("late").alias("late"), F.sum("s_secs").alias("s_secs"),
         F.sum("n_days").alias("n_days"))
     return (g.select(
         "customer_segment", "total_customers", "total_orders",
         rnd(F.try_divide(F.col("s_score").cast("double"), F.col("n_score"))).alias("avg_review_score"),
         rnd(F.col("late") * F.lit(100.0) / F.col("total_orders")).alias("delay_rate_pct"),
-        rnd(F.try_divide(F.col("s_days"), F.col("n_days"))).alias("avg_delivery_days"))
+        rnd(F.try_divide(F.col("s_secs"), F.col("n_days") * F.lit(86400.0)))
+        .alias("avg_delivery_days"))
         .orderBy("customer_segment"))
 
 
@@ -470,7 +481,7 @@ def top_states_by_delay(fact: DataFrame, n: int = 10, min_orders: int = 500) ->
 
 def stage_averages(fact: DataFrame) -> DataFrame:
     """R2: three rows (stage, avg_days) from one aggregation."""
-    one = fact.agg(*[rnd(F.avg(c)).alias(f"a{i}") for i, (_, c) in enumerate(STAGES)])
+    one = fact.agg(*[rnd(_avg(c)).alias(f"a{i}") for i, (_, c) in enumerate(STAGES)])
     rows = F.array(*[F.struct(F.lit(name).alias("stage"), F.col(f"a{i}").alias("avg_days"))
                      for i, (name, _) in enumerate(STAGES)])
     return one.select(F.inline(rows))
