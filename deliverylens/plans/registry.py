@@ -30,9 +30,9 @@ CITY_MIN_ORDERS = 10
 ROUTE_MIN_ORDERS = 20
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, extra_ctes: str = ""):
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = (fn, with_base(sql) if sql is not None else None)
+        REGISTRY[name] = (fn, with_base(sql, extra_ctes) if sql is not None else None)
         return fn
     return deco
 
@@ -45,8 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return warehouse_for(spark, sf_dir).table(name)
 
 
-def _fact_query(name: str, fn, sql: str, **kw) -> None:
-    register(name, sql)(lambda spark, d: fn(fact(spark, d), **kw))
+def _fact_query(name: str, fn, sql: str | None, extra_ctes: str = "", **kw) -> None:
+    register(name, sql, extra_ctes)(lambda spark, d: fn(fact(spark, d), **kw))
 
 
 # ---- J8 / D1-D5 --------------------------------------------------------------
@@ -345,9 +345,16 @@ SELECT {r2(rate_div('is_delayed = 0'))} AS on_time_rate_pct,
 FROM fact""")
 
 
+def _load_all() -> None:
+    # the other query families register themselves on import
+    from deliverylens.plans import analysis_queries, profile_queries  # noqa: F401
+
+
 def queries() -> dict[str, Query]:
+    _load_all()
     return {name: fn for name, (fn, _) in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _load_all()
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql is not None}
