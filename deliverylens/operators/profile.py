@@ -82,14 +82,16 @@ def profile_dataset(df: DataFrame, name: str) -> DataFrame:
     dup = duplicate_rows(df, name).select("duplicate_rows")
     j = one.crossJoin(dup)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [F.struct(F.lit(None).cast("string").alias("column_name"), F.lit("rows").alias("metric"),
-                     F.col("_rows").cast("string").alias("value")),
-            F.struct(F.lit(None).cast("string"), F.lit("columns"), F.lit(str(len(cols)))),
-            F.struct(F.lit(None).cast("string"), F.lit("duplicate_rows"),
-                     F.col("duplicate_rows").cast("string"))]
+
+    def row(column, metric, value):
+        col = F.lit(column).cast("string")
+        return F.struct(col.alias("column_name"), F.lit(metric).alias("metric"),
+                        value.cast("string").alias("value"))
+
+    rows = [row(None, "rows", F.col("_rows")), row(None, "columns", F.lit(len(cols))),
+            row(None, "duplicate_rows", F.col("duplicate_rows"))]
     for c in cols:
-        rows += [F.struct(F.lit(c), F.lit("dtype"), F.lit(types[c])),
-                 F.struct(F.lit(c), F.lit("missing_count"), F.col(c).cast("string"))]
+        rows += [row(c, "dtype", F.lit(types[c])), row(c, "missing_count", F.col(f"`{c}`"))]
     return j.select(F.inline(F.array(*rows))).select(F.lit(name).alias("table_name"), "*")
 
 
