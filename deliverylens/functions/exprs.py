@@ -41,6 +41,21 @@ def avg_days(days: str | Column) -> Column:
     return F.try_divide(F.sum(seconds_of(days)), F.count(col(days)) * F.lit(SECONDS_PER_DAY))
 
 
+def avg_fixed(c: str | Column, digits: int = 2) -> Column:
+    """Exact mean of values that carry ``digits`` decimals (e.g. rates already
+    rounded to 2 places): summed as integers in units of 10^-digits."""
+    scale = float(10 ** digits)
+    units = F.round(col(c) * F.lit(scale)).cast("long")
+    return F.try_divide(F.sum(units), F.count(col(c)) * F.lit(scale))
+
+
+def weighted_avg_fixed(c: str | Column, w: str | Column, digits: int = 2) -> Column:
+    """Exact ``sum(c * w) / sum(w)`` for ``digits``-decimal values and integer weights."""
+    scale = float(10 ** digits)
+    units = F.round(col(c) * F.lit(scale)).cast("long") * col(w)
+    return F.try_divide(F.sum(units), F.sum(col(w)) * F.lit(scale))
+
+
 def clip_lower(c: str | Column, lo: float = 0.0) -> Column:
     """pandas ``clip(lower=lo)``: keeps NULL (``greatest`` would not)."""
     c = col(c)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.functions.exprs import avg_days, clip, interval_bucket
+from deliverylens.functions.exprs import avg_days, avg_fixed, clip, interval_bucket
 from deliverylens.operators.distribution import box_stats, describe, histogram
 
 STAGES = ["approval_time_days", "seller_processing_days", "carrier_transit_days"]
@@ -103,7 +103,7 @@ def seller_profile(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 
 
 def _with_seller_mean(profile: DataFrame) -> DataFrame:
-    stats = profile.agg(F.avg("delay_rate_pct").alias("mean_rate"),
+    stats = profile.agg(avg_fixed("delay_rate_pct").alias("mean_rate"),
                         F.stddev_samp("delay_rate_pct").alias("std_rate"))
     return profile.crossJoin(F.broadcast(stats))
 
@@ -128,7 +128,7 @@ def seller_rate_stats(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     """N10 (b): mean and median of the sellers' delay rates, seller count."""
     p = seller_profile(fact, min_orders)
     return p.agg(F.count(F.lit(1)).alias("sellers"),
-                 F.round(F.avg("delay_rate_pct"), 2).alias("mean_rate"),
+                 F.round(avg_fixed("delay_rate_pct"), 2).alias("mean_rate"),
                  F.round(F.median("delay_rate_pct"), 2).alias("median_rate"))
 
 
@@ -167,8 +167,8 @@ def state_vs_national(fact: DataFrame) -> DataFrame:
     geographic domain, so the rank window sees one small partition."""
     from pyspark.sql import Window
     s = state_profile(fact)
-    nat = s.agg(F.avg("delay_rate_pct").alias("national_avg_delay_rate"),
-                F.avg("avg_delivery_days").alias("national_avg_delivery_days"))
+    nat = s.agg(avg_fixed("delay_rate_pct").alias("national_avg_delay_rate"),
+                avg_fixed("avg_delivery_days").alias("national_avg_delivery_days"))
     w = Window.orderBy("avg_delivery_days", "customer_state")
     return (s.crossJoin(F.broadcast(nat))
             .select("customer_state", "delay_rate_pct", "avg_delivery_days",
@@ -252,7 +252,7 @@ def executive_summary(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     bottleneck = bottleneck_stage(fact).select("bottleneck_stage")
     sellers = seller_profile(fact, min_orders).agg(
         F.count(F.lit(1)).alias("active_sellers"),
-        F.round(F.avg("delay_rate_pct"), 2).alias("mean_seller_delay_rate"),
+        F.round(avg_fixed("delay_rate_pct"), 2).alias("mean_seller_delay_rate"),
         F.count_if(F.col("delay_rate_pct") > 50).alias("sellers_over_50_pct"))
     states = state_profile(fact).agg(
         F.max(F.struct(F.col("delay_rate_pct"), F.col("customer_state"))).alias("w"),

@@ -225,8 +225,7 @@ def clean_geolocation(raw: DataFrame, strategy: str = "mean_rounded",
     if strategy == "mean":
         return _conform(aggregate_geolocation(raw, None, strip_leading_zeros), "stg_geolocation")
     if strategy == "first":
-        d = dedupe_geolocation_first(raw)
-        d = coerce_doubles(d, ["geolocation_lat", "geolocation_lng"])
+        d = dedupe_geolocation_first(coerce_doubles(raw, ["geolocation_lat", "geolocation_lng"]))
         return _conform(d.select("geolocation_zip_code_prefix",
                                  F.col("geolocation_lat").alias("lat"),
                                  F.col("geolocation_lng").alias("lng"),

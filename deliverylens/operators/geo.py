@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.functions.exprs import avg_days
+from deliverylens.functions.exprs import avg_days, weighted_avg_fixed
 
 
 def _rate_div() -> Column:
@@ -108,10 +108,8 @@ def national_averages(fact: DataFrame, states: DataFrame | None = None) -> DataF
         avg_days("actual_delivery_days").alias("national_delivery_days"))
     states = state_layer(fact) if states is None else states
     w = states.agg(
-        (F.sum(F.col("delay_rate_pct") * F.col("total_orders")) / F.sum("total_orders"))
-        .alias("weighted_delay_rate"),
-        (F.sum(F.col("avg_delivery_days") * F.col("total_orders")) / F.sum("total_orders"))
-        .alias("weighted_delivery_days"))
+        weighted_avg_fixed("delay_rate_pct", "total_orders").alias("weighted_delay_rate"),
+        weighted_avg_fixed("avg_delivery_days", "total_orders").alias("weighted_delivery_days"))
     return overall.crossJoin(w).select(*[F.round(c, 4).alias(c) for c in
                                          ["national_delay_rate", "national_delivery_days",
                                           "weighted_delay_rate", "weighted_delivery_days"]])

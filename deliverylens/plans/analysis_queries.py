@@ -5,7 +5,7 @@ from __future__ import annotations
 from deliverylens.operators import analysis as A
 from deliverylens.operators import geo as G
 from deliverylens.plans.oracle import (
-    avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div,
+    avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
 )
 from deliverylens.plans.registry import _fact_query
 
@@ -63,7 +63,7 @@ sp AS (
     seller_state, seller_city,
     round(delayed_orders / total_orders * CAST(100 AS DOUBLE), 2) AS delay_rate_pct
   FROM sp0),
-sps AS (SELECT avg(delay_rate_pct) AS mean_rate, stddev_samp(delay_rate_pct) AS std_rate FROM sp)
+sps AS (SELECT {avgc('delay_rate_pct')} AS mean_rate, stddev_samp(delay_rate_pct) AS std_rate FROM sp)
 """
 
 _fact_query("n08_seller_profile", A.seller_profile,
@@ -79,8 +79,8 @@ _c, _s = histogram_sql("delay_rate_pct", "sp", 30)
 _fact_query("n10_seller_rate_histogram", A.seller_rate_histogram, _s,
             SELLER_PROFILE_CTE.strip() + "," + _c)
 
-_fact_query("n10_seller_rate_stats", A.seller_rate_stats, """
-SELECT count(*) AS sellers, round(avg(delay_rate_pct), 2) AS mean_rate,
+_fact_query("n10_seller_rate_stats", A.seller_rate_stats, f"""
+SELECT count(*) AS sellers, round({avgc('delay_rate_pct')}, 2) AS mean_rate,
   round(quantile_cont(delay_rate_pct, 0.5), 2) AS median_rate FROM sp""", SELLER_PROFILE_CTE)
 
 _fact_query("n11_problem_sellers", A.problem_sellers, """
@@ -108,12 +108,13 @@ st AS (
 _fact_query("n12_state_profile", A.state_profile,
             "SELECT * FROM st ORDER BY delay_rate_pct DESC, customer_state", STATE_PROFILE_CTE)
 
-_fact_query("n13_state_vs_national", A.state_vs_national, """
+_fact_query("n13_state_vs_national", A.state_vs_national, f"""
 SELECT customer_state, delay_rate_pct, avg_delivery_days,
   round(nd, 2) AS national_avg_delay_rate, delay_rate_pct > nd AS above_national,
   round(nt, 2) AS national_avg_delivery_days,
   CAST(row_number() OVER (ORDER BY avg_delivery_days, customer_state) AS INTEGER) AS delivery_rank
-FROM st CROSS JOIN (SELECT avg(delay_rate_pct) AS nd, avg(avg_delivery_days) AS nt FROM st)""",
+FROM st CROSS JOIN (SELECT {avgc('delay_rate_pct')} AS nd, {avgc('avg_delivery_days')} AS nt
+                    FROM st)""",
             STATE_PROFILE_CTE)
 
 _fact_query("n13_top_states", A.top_states, """
@@ -163,7 +164,8 @@ FROM (SELECT count(*) AS total_orders, {r2(rate_div('is_delayed = 0'))} AS on_ti
         round({avgd('carrier_transit_days')}, 2) AS avg_carrier_transit_days FROM fact) o
 CROSS JOIN (SELECT stage AS bottleneck_stage FROM ({_means})
             ORDER BY mean_days DESC, stage_order LIMIT 1) b
-CROSS JOIN (SELECT count(*) AS active_sellers, round(avg(delay_rate_pct), 2) AS mean_seller_delay_rate,
+CROSS JOIN (SELECT count(*) AS active_sellers,
+              round({avgc('delay_rate_pct')}, 2) AS mean_seller_delay_rate,
               count_if(delay_rate_pct > 50) AS sellers_over_50_pct FROM sp) s
 CROSS JOIN (SELECT customer_state AS worst_state, delay_rate_pct AS worst_state_delay_rate FROM st
             ORDER BY delay_rate_pct DESC, customer_state DESC LIMIT 1) w
@@ -245,8 +247,8 @@ SELECT round(avg(is_delayed) * CAST(100 AS DOUBLE), 4) AS national_delay_rate,
   round({avgd('actual_delivery_days')}, 4) AS national_delivery_days,
   round(any_value(w.wr), 4) AS weighted_delay_rate, round(any_value(w.wd), 4) AS weighted_delivery_days
 FROM fact CROSS JOIN (
-  SELECT sum(delay_rate_pct * total_orders) / sum(total_orders) AS wr,
-         sum(avg_delivery_days * total_orders) / sum(total_orders) AS wd
+  SELECT {wavgc('delay_rate_pct', 'total_orders')} AS wr,
+         {wavgc('avg_delivery_days', 'total_orders')} AS wd
   FROM ({STATE_LAYER_SQL})) w""")
 
 _fact_query("g09_title_stats", G.title_stats, f"""
