@@ -44,6 +44,8 @@ def main() -> None:
     only = [s for s in os.environ.get("BENCH_ONLY", "").split(",") if s]
     spark = get_spark("deliverylens-bench", cores=cpus, shuffle_partitions=int(cpus) * 2)
     out_root = os.path.join(shared_dir(spark), f"bench-{os.getpid()}-{int(time.time())}")
+    # warm the JVM (class loading, codegen) so the first timing is not start-up
+    spark.range(200000).selectExpr("id % 97 AS k").groupBy("k").count().collect()
 
     t = time.perf_counter()
     wh = build_warehouse(spark, sf_dir, out_root)

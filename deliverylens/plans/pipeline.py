@@ -17,6 +17,7 @@ from deliverylens.operators.clean import clean_all
 from deliverylens.operators.fact import build_fact
 from deliverylens.operators.quality import assert_quality, quality_report
 from deliverylens.sources.raw import read_raw_tables
+from deliverylens.sources.schemas import RAW_TABLES
 from deliverylens.sources.sinks import load_fact, write_fact, write_staging
 
 STAGING_TABLES = ("stg_orders", "stg_order_items", "stg_customers", "stg_sellers",
@@ -46,6 +47,11 @@ class Warehouse:
     def staging(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in STAGING_TABLES}
 
+    def raw(self) -> dict[str, DataFrame]:
+        """The raw zone (bound inputs as written), if the warehouse has one."""
+        return {n: self.spark.read.parquet(os.path.join(self.root, "raw", n))
+                for n in RAW_TABLES}
+
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame] | str, out_dir: str,
                  enforce_quality: bool = True, unmatched: str = "null") -> Warehouse:

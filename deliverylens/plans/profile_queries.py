@@ -12,7 +12,7 @@ from deliverylens.operators import fact as J
 from deliverylens.operators import profile as P
 from deliverylens.plans.oracle import clip_sql, describe_sql, histogram_sql
 from deliverylens.plans.registry import fact, register, warehouse_for
-from deliverylens.sources.binding import raw_tables, translation_table
+from deliverylens.sources.binding import translation_table
 from deliverylens.sources.schemas import RAW_COLUMNS
 
 RAW_NAMES = ["orders", "order_items", "customers", "sellers", "geolocation", "products",
@@ -29,7 +29,8 @@ STAGING_OF = {"orders": "stg_orders", "order_items": "stg_order_items",
 
 
 def raw(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return raw_tables(spark, d)
+    """The bound raw inputs as written in the warehouse's raw zone."""
+    return warehouse_for(spark, d).raw()
 
 
 def stg(spark: SparkSession, d: str, name: str) -> DataFrame:

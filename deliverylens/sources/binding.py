@@ -18,6 +18,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from deliverylens.operators.sequence import number_within_groups
+
 SOURCE_TABLES = ("orders", "lineitem", "customer", "supplier", "part", "nation")
 
 
@@ -75,16 +77,25 @@ def raw_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> D
     )
 
 
-def raw_order_items(lineitem: DataFrame) -> DataFrame:
-    """One item per line; ``order_item_id`` numbers the lines of an order.
+def raw_order_items(lineitem: DataFrame, stage_path: str | None = None) -> DataFrame:
+    """One item per line; ``order_item_id`` numbers the lines of an order by
+    (l_linenumber, l_partkey, l_suppkey).
 
-    This numbering is the only per-key window in the library and exists only
-    to synthesise the source's item ordinal: real inputs carry it already.
+    With ``stage_path`` (a folder in the shared checkpoint area) the numbering
+    is the skew-safe ``number_within_groups``; without it, a plain window
+    (used only for small in-memory checks).
     """
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return lineitem.select(
+    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    if stage_path is not None:
+        base = lineitem.select("l_orderkey", *order, "l_extendedprice", "l_tax", "l_shipdate")
+        numbered = number_within_groups(base, "l_orderkey", order, "_rn", stage_path)
+        rn = F.col("_rn")
+    else:
+        numbered = lineitem
+        rn = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
+    return numbered.select(
         _str("l_orderkey").alias("order_id"),
-        F.row_number().over(w).cast("int").alias("order_item_id"),
+        rn.cast("int").alias("order_item_id"),
         _str("l_partkey").alias("product_id"),
         _str("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
@@ -180,11 +191,15 @@ def raw_order_reviews(orders: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str,
+               stage_dir: str | None = None) -> dict[str, DataFrame]:
+    """The seven raw inputs; ``stage_dir`` (shared folder) enables the
+    skew-safe item numbering, which stages one intermediate table there."""
     src = {name: read_source(spark, sf_dir, name) for name in SOURCE_TABLES}
+    items_stage = os.path.join(stage_dir, "_items_ranged") if stage_dir else None
     return {
         "orders": raw_orders(src["orders"], src["lineitem"], src["customer"]),
-        "order_items": raw_order_items(src["lineitem"]),
+        "order_items": raw_order_items(src["lineitem"], items_stage),
         "customers": raw_customers(src["customer"], src["nation"]),
         "sellers": raw_sellers(src["supplier"], src["nation"]),
         "geolocation": raw_geolocation(src["customer"], src["nation"]),
