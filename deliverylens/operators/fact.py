@@ -57,8 +57,9 @@ _DEFAULTS = {
 
 
 def _fill_unmatched(fact: DataFrame, nullable: set[str]) -> DataFrame:
-    """ClickHouse-style LEFT JOIN (``join_use_nulls=0``): unmatched columns of
-    non-nullable type take the type default ('' or 0) instead of NULL."""
+    """Engine-default LEFT JOIN: unmatched columns of non-nullable type take
+    the type default ('' or 0) instead of NULL; only the columns declared
+    nullable in the fact schema stay NULL."""
     fill = {}
     for f in FACT.fields:
         if f.name in nullable:
@@ -74,7 +75,7 @@ def build_fact(stg: dict[str, DataFrame], unmatched: str = "null",
     """The 29-column delivery fact, one row per order and review.
 
     ``unmatched``: "null" (SQL standard, as the pandas path) or "default"
-    ('' / 0 for non-nullable columns, as the reference's ClickHouse insert).
+    ('' / 0 for non-nullable columns, as the original warehouse insert did).
     ``first_item``: "sql" (lowest order_item_id) or "semijoin" (literal form).
     """
     orders = stg["stg_orders"]

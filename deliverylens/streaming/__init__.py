@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analytics this library rebuilds are batch only: a full refresh of the
+staging tables and the fact, then aggregate queries over them. There is no
+event stream, watermark, windowed aggregation or stateful operator to
+reproduce, so nothing is implemented here (adding one would be a feature the
+original does not have). A periodic refresh is ``plans.pipeline.run_pipeline``
+run by whatever scheduler the cluster uses.
+"""
