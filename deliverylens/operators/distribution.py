@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.functions.exprs import avg_days, clip
+from deliverylens.operators.quantiles import exact_quantiles
 
 DURATION_COLUMNS = {"approval_time_days", "seller_processing_days", "carrier_transit_days",
                     "actual_delivery_days", "delay_days"}
@@ -61,9 +62,10 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> Data
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"n{i}"), _mean(c).alias(f"m{i}"),
                  F.stddev_samp(c).alias(f"s{i}"), F.min(c).cast("double").alias(f"lo{i}"),
-                 F.percentile(c, [0.25, 0.5, 0.75]).alias(f"q{i}"),
                  F.max(c).cast("double").alias(f"hi{i}")]
-    one = df.agg(*aggs)
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], prefix="_q_")
+    one = df.agg(*aggs).crossJoin(
+        q.select(*[F.col(f"_q_{c}").alias(f"q{i}") for i, c in enumerate(cols)]))
 
     def r(x: Column) -> Column:
         return F.round(x, digits) if digits is not None else x
@@ -84,8 +86,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], lo: float | None = None,
     number of points beyond them. Two aggregation passes; the quartiles are a
     one-row broadcast between them."""
     clipped = df.select(*[clip(c, lo, hi).alias(c) for c in cols])
-    q = clipped.agg(*[F.percentile(c, [0.25, 0.5, 0.75]).alias(f"q{i}")
-                      for i, c in enumerate(cols)])
+    q = exact_quantiles(clipped, cols, [0.25, 0.5, 0.75], prefix="_q_").select(
+        *[F.col(f"_q_{c}").alias(f"q{i}") for i, c in enumerate(cols)])
     joined = clipped.crossJoin(F.broadcast(q))
     aggs = []
     for i, c in enumerate(cols):

@@ -18,6 +18,7 @@ from deliverylens.functions.exprs import (
 )
 from deliverylens.functions.translate import CATEGORY_LABELS_EN, translate_column
 from deliverylens.operators.fact import fact_with_seller_customer
+from deliverylens.operators.quantiles import exact_median
 
 
 
@@ -90,17 +91,20 @@ def seller_ranking(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 def stage_bottleneck(fact: DataFrame, approx: bool = False) -> DataFrame:
     """Q04: mean and median of the three stages.
 
-    Exact median by default; its aggregation buffer holds one entry per
-    distinct value, bounded by the timestamps' one-second resolution times the
-    duration range. ``approx=True`` uses a fixed-size sketch instead.
+    Exact medians by default, from ``exact_quantiles`` (bounded memory);
+    ``approx=True`` uses a fixed-size sketch instead (one pass).
     """
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
     stages = ["approval_time_days", "seller_processing_days", "carrier_transit_days"]
     names = ["approval_days", "seller_processing_days", "carrier_transit_days"]
-    return fact.agg(
-        *[_avg2(c).alias(f"avg_{n}") for c, n in zip(stages, names)],
-        *[rnd(med(c), 2).alias(f"median_{n}") for c, n in zip(stages, names)],
-    )
+    means = fact.agg(*[_avg2(c).alias(f"avg_{n}") for c, n in zip(stages, names)])
+    if approx:
+        med = fact.agg(*[rnd(F.percentile_approx(c, 0.5, 10000), 2).alias(f"median_{n}")
+                         for c, n in zip(stages, names)])
+    else:
+        m = exact_median(fact, stages, prefix="_m_")
+        med = m.select(*[rnd(F.col(f"_m_{c}"), 2).alias(f"median_{n}")
+                         for c, n in zip(stages, names)])
+    return means.crossJoin(med)
 
 
 def delay_vs_review(fact: DataFrame) -> DataFrame:

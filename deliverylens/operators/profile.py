@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from deliverylens.functions.translate import translate_codes
 from deliverylens.operators.distribution import box_stats, describe, histogram, value_counts
+from deliverylens.operators.quantiles import exact_quantiles
 
 
 def shape(df: DataFrame, name: str) -> DataFrame:
@@ -189,7 +190,8 @@ def delivery_outliers(fact: DataFrame, col: str = "actual_delivery_days",
                       whisker: float = 1.5) -> DataFrame:
     """Rows beyond the IQR fences of ``col`` (fences from one-row
     quartiles joined as a broadcast; output is distributed, not collected)."""
-    q = fact.agg(F.percentile(col, [0.25, 0.75]).alias("q"))
+    q = exact_quantiles(fact, [col], [0.25, 0.75], prefix="_q_").select(
+        F.col(f"_q_{col}").alias("q"))
     fences = q.select((F.col("q")[0] - whisker * (F.col("q")[1] - F.col("q")[0])).alias("lo"),
                       (F.col("q")[1] + whisker * (F.col("q")[1] - F.col("q")[0])).alias("hi"))
     j = fact.crossJoin(F.broadcast(fences))
