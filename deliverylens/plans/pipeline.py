@@ -9,6 +9,8 @@ in the shared folder rather than from the raw inputs.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,21 @@ STAGING_TABLES = ("stg_orders", "stg_order_items", "stg_customers", "stg_sellers
                   "stg_geolocation", "stg_products", "stg_order_reviews")
 
 
+def run_concurrently(tasks: dict[str, Callable[[], object]], max_workers: int = 8) -> dict:
+    """Submit independent Spark jobs from a small thread pool.
+
+    Each task is one or a few jobs over its own inputs (e.g. one staging
+    table). Submitted together, the scheduler interleaves their tasks, so
+    small jobs stop queueing behind each other and a cluster is not left idle
+    between jobs. The first failure is re-raised.
+    """
+    if not tasks:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class Warehouse:
     """Paths of the written tables; ``table(name)`` reads one back."""
@@ -61,8 +78,9 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame] | str, out_dir:
     if isinstance(raw, str):
         raw = read_raw_tables(spark, raw)
     wh = Warehouse(spark, out_dir)
-    for table, df in clean_all(raw).items():
-        write_staging(df, wh.path(table), table)
+    staged = clean_all(raw)
+    run_concurrently({t: (lambda t=t, df=df: write_staging(df, wh.path(t), t))
+                      for t, df in staged.items()})
     fact = build_fact(wh.staging(), unmatched=unmatched)
     write_fact(fact, wh.path("fact_operational_delivery"))
     report = quality_report(wh.fact)

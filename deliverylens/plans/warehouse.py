@@ -14,9 +14,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.plans.pipeline import Warehouse, run_pipeline
+from deliverylens.plans.pipeline import Warehouse, run_concurrently, run_pipeline
 from deliverylens.session import shared_dir
-from deliverylens.sources.binding import raw_tables
+from deliverylens.sources.binding import raw_table_builders
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], Warehouse] = {}
@@ -44,9 +44,12 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
 def write_raw_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
     """Bind the given tables to the seven raw inputs once and write them under
     ``root/raw`` (the reference's raw files); returns them read back."""
-    raw = raw_tables(spark, sf_dir, stage_dir=root)
-    for name, df in raw.items():
-        df.write.mode("overwrite").parquet(os.path.join(root, "raw", name))
+    builders = raw_table_builders(spark, sf_dir, stage_dir=root)
+
+    def write(name: str) -> None:
+        builders[name]().write.mode("overwrite").parquet(os.path.join(root, "raw", name))
+
+    run_concurrently({name: (lambda n=name: write(n)) for name in builders})
     return Warehouse(spark, root).raw()
 
 

@@ -14,6 +14,7 @@ order has no line); n = nation key of the order's customer; h(x) = x hours.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -191,23 +192,31 @@ def raw_order_reviews(orders: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str,
-               stage_dir: str | None = None) -> dict[str, DataFrame]:
-    """The seven raw inputs; ``stage_dir`` (shared folder) enables the
-    skew-safe item numbering, which stages one intermediate table there."""
+def raw_table_builders(spark: SparkSession, sf_dir: str, stage_dir: str | None = None
+                       ) -> dict[str, Callable[[], DataFrame]]:
+    """One zero-argument builder per raw input, so independent tables can be
+    built (and written) concurrently. ``stage_dir`` (shared folder) enables
+    the skew-safe item numbering, which stages one intermediate table there."""
     src = {name: read_source(spark, sf_dir, name) for name in SOURCE_TABLES}
     items_stage = os.path.join(stage_dir, "_items_ranged") if stage_dir else None
     return {
-        "orders": raw_orders(src["orders"], src["lineitem"], src["customer"]),
-        "order_items": raw_order_items(src["lineitem"], items_stage),
-        "customers": raw_customers(src["customer"], src["nation"]),
-        "sellers": raw_sellers(src["supplier"], src["nation"]),
-        "geolocation": raw_geolocation(src["customer"], src["nation"]),
-        "products": raw_products(src["part"]),
-        "order_reviews": raw_order_reviews(src["orders"]),
+        "orders": lambda: raw_orders(src["orders"], src["lineitem"], src["customer"]),
+        "order_items": lambda: raw_order_items(src["lineitem"], items_stage),
+        "customers": lambda: raw_customers(src["customer"], src["nation"]),
+        "sellers": lambda: raw_sellers(src["supplier"], src["nation"]),
+        "geolocation": lambda: raw_geolocation(src["customer"], src["nation"]),
+        "products": lambda: raw_products(src["part"]),
+        "order_reviews": lambda: raw_order_reviews(src["orders"]),
     }
 
 
+def raw_tables(spark: SparkSession, sf_dir: str,
+               stage_dir: str | None = None) -> dict[str, DataFrame]:
+    """The seven raw inputs (see ``raw_table_builders``)."""
+    return {name: build() for name, build in
+            raw_table_builders(spark, sf_dir, stage_dir).items()}
+
+
 def translation_table(products: DataFrame) -> DataFrame:
     """A translation table (code -> English code) derived from the catalogue.
 
