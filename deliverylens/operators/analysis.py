@@ -42,7 +42,7 @@ def late_delay_stats(fact: DataFrame) -> DataFrame:
     """Median and maximum delay among late rows."""
     late = fact.filter(F.col("is_delayed") == 1)
     med = exact_median(late, ["delay_days"], prefix="_m_")
-    return med.crossJoin(late.agg(F.max("delay_days").alias("_mx"))).select(
+    return med.crossJoin(F.broadcast(late.agg(F.max("delay_days").alias("_mx")))).select(
         F.round("_m_delay_days", 2).alias("median_delay_days"),
         F.round("_mx", 2).alias("max_delay_days"))
 
@@ -57,7 +57,7 @@ def stage_mean_median(fact: DataFrame) -> DataFrame:
     means = fact.agg(*[avg_days(c).alias(f"m{i}") for i, c in enumerate(STAGES)])
     meds = exact_median(fact, STAGES, prefix="_d_").select(
         *[F.col(f"_d_{c}").alias(f"d{i}") for i, c in enumerate(STAGES)])
-    one = means.crossJoin(meds)
+    one = means.crossJoin(F.broadcast(meds))
     rows = F.array(*[F.struct(F.lit(i + 1).alias("stage_order"), F.lit(name).alias("stage"),
                               F.round(F.col(f"m{i}"), 2).alias("mean_days"),
                               F.round(F.col(f"d{i}"), 2).alias("median_days"))
@@ -132,7 +132,7 @@ def seller_rate_stats(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     p = seller_profile(fact, min_orders)
     med = exact_median(p, ["delay_rate_pct"], prefix="_m_")
     return p.agg(F.count(F.lit(1)).alias("sellers"),
-                 F.round(avg_fixed("delay_rate_pct"), 2).alias("mean_rate")).crossJoin(med) \
+                 F.round(avg_fixed("delay_rate_pct"), 2).alias("mean_rate")).crossJoin(F.broadcast(med)) \
         .select("sellers", "mean_rate", F.round("_m_delay_rate_pct", 2).alias("median_rate"))
 
 
@@ -276,4 +276,7 @@ def executive_summary(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     scores = fact.filter(F.col("review_score").isNotNull()).agg(
         F.round(on, 2).alias("score_on_time"), F.round(lt, 2).alias("score_late"),
         F.round(on - lt, 2).alias("score_drop"))
-    return overall.crossJoin(bottleneck).crossJoin(sellers).crossJoin(states).crossJoin(scores)
+    out = overall
+    for one_row in (bottleneck, sellers, states, scores):
+        out = out.crossJoin(F.broadcast(one_row))
+    return out

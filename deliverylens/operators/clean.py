@@ -287,7 +287,7 @@ def reduction_report(before: DataFrame, after: DataFrame, table: str) -> DataFra
     """Rows before, after, dropped and % removed (two counts, one row)."""
     b = before.agg(F.count(F.lit(1)).alias("rows_before"))
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return (b.crossJoin(a)
+    return (b.crossJoin(F.broadcast(a))
             .select(F.lit(table).alias("table_name"), "rows_before", "rows_after",
                     (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
                     F.round(F.try_divide(F.col("rows_before") - F.col("rows_after"),

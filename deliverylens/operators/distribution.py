@@ -57,15 +57,15 @@ def histogram(df: DataFrame, value: str, bins: int, lo: float | None = None,
 def describe(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
     """pandas ``describe`` for numeric columns, one row per column:
     count (non-null), mean, sample std, min, exact 25/50/75 % (linear
-    interpolation) and max. One aggregation pass for all columns."""
+    interpolation) and max. One aggregation pass for the moments, two for the exact quartiles."""
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"n{i}"), _mean(c).alias(f"m{i}"),
                  F.stddev_samp(c).alias(f"s{i}"), F.min(c).cast("double").alias(f"lo{i}"),
                  F.max(c).cast("double").alias(f"hi{i}")]
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], prefix="_q_")
-    one = df.agg(*aggs).crossJoin(
-        q.select(*[F.col(f"_q_{c}").alias(f"q{i}") for i, c in enumerate(cols)]))
+    one = df.agg(*aggs).crossJoin(F.broadcast(
+        q.select(*[F.col(f"_q_{c}").alias(f"q{i}") for i, c in enumerate(cols)])))
 
     def r(x: Column) -> Column:
         return F.round(x, digits) if digits is not None else x

@@ -110,7 +110,7 @@ def national_averages(fact: DataFrame, states: DataFrame | None = None) -> DataF
     w = states.agg(
         weighted_avg_fixed("delay_rate_pct", "total_orders").alias("weighted_delay_rate"),
         weighted_avg_fixed("avg_delivery_days", "total_orders").alias("weighted_delivery_days"))
-    return overall.crossJoin(w).select(*[F.round(c, 4).alias(c) for c in
+    return overall.crossJoin(F.broadcast(w)).select(*[F.round(c, 4).alias(c) for c in
                                          ["national_delay_rate", "national_delivery_days",
                                           "weighted_delay_rate", "weighted_delivery_days"]])
 
@@ -139,7 +139,7 @@ def title_stats(fact: DataFrame, critical_pct: float = 40.0) -> DataFrame:
         F.min(F.struct(F.col("delay_rate_pct"), F.col("customer_state"))).alias("b"),
         F.count_if(F.col("delay_rate_pct") > critical_pct).alias("critical_states"))
     nat = fact.agg((F.avg("is_delayed") * F.lit(100.0)).alias("nat"))
-    return agg.crossJoin(nat).select(
+    return agg.crossJoin(F.broadcast(nat)).select(
         F.col("w.customer_state").alias("worst_state"),
         F.col("w.delay_rate_pct").alias("worst_delay_rate"),
         F.col("b.customer_state").alias("best_state"),

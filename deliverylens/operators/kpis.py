@@ -104,7 +104,7 @@ def stage_bottleneck(fact: DataFrame, approx: bool = False) -> DataFrame:
         m = exact_median(fact, stages, prefix="_m_")
         med = m.select(*[rnd(F.col(f"_m_{c}"), 2).alias(f"median_{n}")
                          for c, n in zip(stages, names)])
-    return means.crossJoin(med)
+    return means.crossJoin(F.broadcast(med))
 
 
 def delay_vs_review(fact: DataFrame) -> DataFrame:

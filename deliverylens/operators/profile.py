@@ -81,7 +81,7 @@ def profile_dataset(df: DataFrame, name: str) -> DataFrame:
     one = df.agg(F.count(F.lit(1)).alias("_rows"),
                  *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     dup = duplicate_rows(df, name).select("duplicate_rows")
-    j = one.crossJoin(dup)
+    j = one.crossJoin(F.broadcast(dup))
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def row(column, metric, value):
