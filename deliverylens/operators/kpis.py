@@ -10,7 +10,7 @@ Each function is ``(fact, ...) -> DataFrame``. Shared rules:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.functions.exprs import (
@@ -181,16 +181,18 @@ DELIVERY_LABELS = ["0-5 hari", "6-10 hari", "11-15 hari", "16-20 hari", "21-30 h
 def delivery_days_distribution(fact: DataFrame) -> DataFrame:
     """Q13: six buckets, count and share of all rows, in bucket order.
 
-    The share's denominator is the sum of the (at most six) bucket counts, a
-    window over the already-aggregated rows: no second scan of the fact.
+    The share's denominator is the sum of the (at most six) bucket counts,
+    appended as a one-row broadcast: no second scan of the fact.
     """
     b = bucket("actual_delivery_days", DELIVERY_EDGES, DELIVERY_LABELS)
     order = F.lit(len(DELIVERY_LABELS))
     for i, label in reversed(list(enumerate(DELIVERY_LABELS[:-1], start=1))):
         order = F.when(F.col("delivery_bucket") == label, F.lit(i)).otherwise(order)
     counts = fact.groupBy(b.alias("delivery_bucket")).agg(_n().alias("total_orders"))
-    total = F.sum("total_orders").over(Window.partitionBy())
-    return (counts.withColumn("percentage", rnd(F.col("total_orders") * F.lit(100.0) / total))
+    total = counts.agg(F.sum("total_orders").alias("_total"))
+    return (counts.crossJoin(F.broadcast(total))
+            .select("delivery_bucket", "total_orders",
+                    rnd(F.col("total_orders") * F.lit(100.0) / F.col("_total")).alias("percentage"))
             .orderBy(order))
 
 

@@ -7,44 +7,44 @@ from deliverylens.operators import geo as G
 from deliverylens.plans.oracle import (
     avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
 )
-from deliverylens.plans.registry import _fact_query
+from deliverylens.plans.registry import fact_query
 
 STAGES = ["approval_time_days", "seller_processing_days", "carrier_transit_days"]
 STAGE_NAMES = ["Approval", "Seller Processing", "Carrier Transit"]
 
 # ---- N1 - N7 -------------------------------------------------------------------
 
-_fact_query("n01_on_time_counts", A.on_time_counts, f"""
+fact_query("n01_on_time_counts", A.on_time_counts, f"""
 SELECT count(*) AS total_orders, count_if(is_delayed = 0) AS on_time_orders,
   count_if(is_delayed = 1) AS delayed_orders,
   {r2(rate_div('is_delayed = 0'))} AS on_time_rate_pct,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct
 FROM fact""")
 
-_fact_query("n02_late_delay_stats", A.late_delay_stats, """
+fact_query("n02_late_delay_stats", A.late_delay_stats, """
 SELECT round(quantile_cont(delay_days, 0.5), 2) AS median_delay_days,
   round(max(delay_days), 2) AS max_delay_days
 FROM fact WHERE is_delayed = 1""")
 
 _c, _s = histogram_sql(clip_sql("delay_days", 0, 30), "fact WHERE is_delayed = 1", 30)
-_fact_query("n03_late_delay_histogram", A.late_delay_histogram, _s, _c)
+fact_query("n03_late_delay_histogram", A.late_delay_histogram, _s, _c)
 
-_fact_query("n04_stage_mean_median", A.stage_mean_median, "\nUNION ALL\n".join(
+fact_query("n04_stage_mean_median", A.stage_mean_median, "\nUNION ALL\n".join(
     f"SELECT {i + 1} AS stage_order, '{n}' AS stage, round({avgd(c)}, 2) AS mean_days, "
     f"round(quantile_cont({c}, 0.5), 2) AS median_days FROM fact"
     for i, (c, n) in enumerate(zip(STAGES, STAGE_NAMES))))
 
-_fact_query("n05_stage_describe", A.stage_describe, describe_sql(STAGES, "fact"))
+fact_query("n05_stage_describe", A.stage_describe, describe_sql(STAGES, "fact"))
 
 _means = "\nUNION ALL\n".join(
     f"SELECT {i + 1} AS stage_order, '{n}' AS stage, round({avgd(c)}, 2) AS mean_days FROM fact"
     for i, (c, n) in enumerate(zip(STAGES, STAGE_NAMES)))
-_fact_query("n06_bottleneck_stage", A.bottleneck_stage, f"""
+fact_query("n06_bottleneck_stage", A.bottleneck_stage, f"""
 SELECT stage AS bottleneck_stage, mean_days FROM ({_means})
 ORDER BY mean_days DESC, stage_order LIMIT 1""")
 
 _c, _s = box_sql(STAGES, "fact", 0, 20)
-_fact_query("n07_stage_box_stats", A.stage_box_stats, _s, _c)
+fact_query("n07_stage_box_stats", A.stage_box_stats, _s, _c)
 
 # ---- N8 - N13 ------------------------------------------------------------------
 
@@ -66,24 +66,24 @@ sp AS (
 sps AS (SELECT {avgc('delay_rate_pct')} AS mean_rate, stddev_samp(delay_rate_pct) AS std_rate FROM sp)
 """
 
-_fact_query("n08_seller_profile", A.seller_profile,
+fact_query("n08_seller_profile", A.seller_profile,
             "SELECT * FROM sp ORDER BY delay_rate_pct DESC, seller_id", SELLER_PROFILE_CTE)
 
-_fact_query("n09_top_sellers", A.top_sellers, """
+fact_query("n09_top_sellers", A.top_sellers, """
 SELECT left(seller_id, 10) AS label, seller_id, seller_city, seller_state, total_orders,
   delayed_orders, delay_rate_pct, avg_processing_days, avg_review_score,
   delay_rate_pct > mean_rate AS above_mean
 FROM sp CROSS JOIN sps ORDER BY delay_rate_pct DESC, seller_id LIMIT 15""", SELLER_PROFILE_CTE)
 
 _c, _s = histogram_sql("delay_rate_pct", "sp", 30)
-_fact_query("n10_seller_rate_histogram", A.seller_rate_histogram, _s,
+fact_query("n10_seller_rate_histogram", A.seller_rate_histogram, _s,
             SELLER_PROFILE_CTE.strip() + "," + _c)
 
-_fact_query("n10_seller_rate_stats", A.seller_rate_stats, f"""
+fact_query("n10_seller_rate_stats", A.seller_rate_stats, f"""
 SELECT count(*) AS sellers, round({avgc('delay_rate_pct')}, 2) AS mean_rate,
   round(quantile_cont(delay_rate_pct, 0.5), 2) AS median_rate FROM sp""", SELLER_PROFILE_CTE)
 
-_fact_query("n11_problem_sellers", A.problem_sellers, """
+fact_query("n11_problem_sellers", A.problem_sellers, """
 SELECT seller_id, seller_city, seller_state, total_orders, delay_rate_pct,
   round(mean_rate + std_rate, 2) AS threshold_pct
 FROM sp CROSS JOIN sps WHERE delay_rate_pct >= mean_rate + std_rate""", SELLER_PROFILE_CTE)
@@ -105,10 +105,10 @@ st AS (
   FROM st0)
 """
 
-_fact_query("n12_state_profile", A.state_profile,
+fact_query("n12_state_profile", A.state_profile,
             "SELECT * FROM st ORDER BY delay_rate_pct DESC, customer_state", STATE_PROFILE_CTE)
 
-_fact_query("n13_state_vs_national", A.state_vs_national, f"""
+fact_query("n13_state_vs_national", A.state_vs_national, f"""
 SELECT customer_state, delay_rate_pct, avg_delivery_days,
   round(nd, 2) AS national_avg_delay_rate, delay_rate_pct > nd AS above_national,
   round(nt, 2) AS national_avg_delivery_days,
@@ -117,27 +117,27 @@ FROM st CROSS JOIN (SELECT {avgc('delay_rate_pct')} AS nd, {avgc('avg_delivery_d
                     FROM st)""",
             STATE_PROFILE_CTE)
 
-_fact_query("n13_top_states", A.top_states, """
+fact_query("n13_top_states", A.top_states, """
 SELECT customer_state, total_orders, delay_rate_pct, avg_delivery_days, avg_carrier_transit,
   avg_review_score
 FROM st ORDER BY delay_rate_pct DESC, customer_state LIMIT 5""", STATE_PROFILE_CTE)
 
 # ---- N14 - N17 -----------------------------------------------------------------
 
-_fact_query("n14_score_by_late_flag", A.score_by_late_flag, """
+fact_query("n14_score_by_late_flag", A.score_by_late_flag, """
 SELECT is_delayed, round(avg(CAST(review_score AS DOUBLE)), 3) AS mean,
   round(quantile_cont(CAST(review_score AS DOUBLE), 0.5), 3) AS median, count(*) AS count,
   round(stddev_samp(CAST(review_score AS DOUBLE)), 3) AS std
 FROM fact WHERE review_score IS NOT NULL GROUP BY is_delayed ORDER BY is_delayed""")
 
-_fact_query("n14_score_drop", A.score_drop, """
+fact_query("n14_score_drop", A.score_drop, """
 SELECT round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS DOUBLE) END), 3) AS mean_on_time,
   round(avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 3) AS mean_late,
   round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS DOUBLE) END)
         - avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 3) AS score_drop
 FROM fact WHERE review_score IS NOT NULL""")
 
-_fact_query("n15_score_by_delay_interval", A.score_by_delay_interval, """
+fact_query("n15_score_by_delay_interval", A.score_by_delay_interval, """
 SELECT delay_bucket, round(avg(review_score), 2) AS mean, count(*) AS count,
   CAST(CASE delay_bucket WHEN 'Tepat Waktu' THEN 1 WHEN 'Terlambat 1-3 hari' THEN 2
        WHEN 'Terlambat 4-7 hari' THEN 3 WHEN 'Terlambat 8-14 hari' THEN 4 ELSE 5 END AS INTEGER)
@@ -152,9 +152,9 @@ FROM (SELECT review_score, CASE
 WHERE delay_bucket IS NOT NULL GROUP BY delay_bucket ORDER BY bucket_order""")
 
 # N16 is a seeded hash sample: Spark's xxhash64 has no DuckDB twin (rows-only check).
-_fact_query("n16_delay_score_sample", A.delay_score_sample, None)
+fact_query("n16_delay_score_sample", A.delay_score_sample, None)
 
-_fact_query("n17_executive_summary", A.executive_summary, f"""
+fact_query("n17_executive_summary", A.executive_summary, f"""
 SELECT o.*, b.bottleneck_stage, s.*, w.worst_state, w.worst_state_delay_rate,
   sl.slowest_state, sl.slowest_state_days, sc.*
 FROM (SELECT count(*) AS total_orders, {r2(rate_div('is_delayed = 0'))} AS on_time_rate_pct,
@@ -183,7 +183,7 @@ CROSS JOIN (SELECT round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS
 
 # ---- G1 - G9 -------------------------------------------------------------------
 
-_fact_query("g01_state_layer", G.state_layer, f"""
+fact_query("g01_state_layer", G.state_layer, f"""
 SELECT customer_state, count(*) AS total_orders, {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct,
   round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
   round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
@@ -192,7 +192,7 @@ SELECT customer_state, count(*) AS total_orders, {r2(rate_div('is_delayed = 1'))
 FROM fact WHERE customer_lat IS NOT NULL AND customer_lng IS NOT NULL
 GROUP BY customer_state ORDER BY delay_rate_pct DESC, customer_state""")
 
-_fact_query("g02_state_layer_after", G.state_layer, f"""
+fact_query("g02_state_layer_after", G.state_layer, f"""
 SELECT * FROM (
   SELECT customer_state, count(order_id) AS total_orders,
     round(avg(is_delayed) * CAST(100 AS DOUBLE), 2) AS delay_rate_pct,
@@ -210,9 +210,9 @@ SELECT customer_state, customer_lat AS lat, customer_lng AS lng, count(*) AS tot
 FROM fact WHERE customer_lat IS NOT NULL
 GROUP BY customer_state, customer_lat, customer_lng HAVING count(*) >= 5"""
 
-_fact_query("g03_coordinate_layer", G.coordinate_layer, COORD_SQL)
+fact_query("g03_coordinate_layer", G.coordinate_layer, COORD_SQL)
 
-_fact_query("g04_heat_points", G.heat_points, f"""
+fact_query("g04_heat_points", G.heat_points, f"""
 SELECT lat, lng, delay_rate_pct / CAST(100 AS DOUBLE) AS weight FROM ({COORD_SQL})
 WHERE lat IS NOT NULL AND lng IS NOT NULL""")
 
@@ -233,7 +233,7 @@ def _tier(col: str, pick: int) -> str:
     return f"CASE {whens} ELSE '{top[pick]}' END"
 
 
-_fact_query("g05_state_markers", G.state_markers, f"""
+fact_query("g05_state_markers", G.state_markers, f"""
 SELECT customer_state, total_orders, delay_rate_pct, avg_delivery_days, avg_carrier_days,
   avg_review_score, lat, lng, {_tier('delay_rate_pct', 0)} AS color,
   {_tier('delay_rate_pct', 1)} AS label,
@@ -242,7 +242,7 @@ SELECT customer_state, total_orders, delay_rate_pct, avg_delivery_days, avg_carr
 FROM ({STATE_LAYER_SQL}) CROSS JOIN
   (SELECT avg(is_delayed) * CAST(100 AS DOUBLE) AS nat FROM fact)""")
 
-_fact_query("g07_national_averages", G.national_averages, f"""
+fact_query("g07_national_averages", G.national_averages, f"""
 SELECT round(avg(is_delayed) * CAST(100 AS DOUBLE), 4) AS national_delay_rate,
   round({avgd('actual_delivery_days')}, 4) AS national_delivery_days,
   round(any_value(w.wr), 4) AS weighted_delay_rate, round(any_value(w.wd), 4) AS weighted_delivery_days
@@ -251,7 +251,7 @@ FROM fact CROSS JOIN (
          {wavgc('avg_delivery_days', 'total_orders')} AS wd
   FROM ({STATE_LAYER_SQL})) w""")
 
-_fact_query("g09_title_stats", G.title_stats, f"""
+fact_query("g09_title_stats", G.title_stats, f"""
 SELECT w.customer_state AS worst_state, w.delay_rate_pct AS worst_delay_rate,
   b.customer_state AS best_state, b.delay_rate_pct AS best_delay_rate, c.critical_states,
   round(CAST(100 AS DOUBLE) - n.nat, 2) AS on_time_rate_pct

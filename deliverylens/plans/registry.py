@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.operators import kpis, quality
+from deliverylens.operators.fact import build_fact
 from deliverylens.plans.oracle import (
     PCT, WEEKDAY_CASE, avgd, r2, rate_div, rate_mul, with_base,
 )
@@ -45,7 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return warehouse_for(spark, sf_dir).table(name)
 
 
-def _fact_query(name: str, fn, sql: str | None, extra_ctes: str = "", **kw) -> None:
+def fact_query(name: str, fn, sql: str | None, extra_ctes: str = "", **kw) -> None:
     register(name, sql, extra_ctes)(lambda spark, d: fn(fact(spark, d), **kw))
 
 
@@ -54,6 +55,23 @@ def _fact_query(name: str, fn, sql: str | None, extra_ctes: str = "", **kw) -> N
 register("j08_fact", "SELECT * FROM fact")(
     lambda spark, d: fact(spark, d).select(*FACT_COLUMNS))
 
+def _fact_defaults_sql() -> str:
+    from deliverylens.sources.schemas import FACT
+    keep_null = {"customer_lat", "customer_lng", "review_score"}
+    cols = []
+    for f in FACT.fields:
+        t = f.dataType.simpleString()
+        if f.name in keep_null or t not in ("string", "double", "int"):
+            cols.append(f.name)
+        else:
+            default = {"string": "''", "double": "CAST(0 AS DOUBLE)", "int": "0"}[t]
+            cols.append(f"coalesce({f.name}, {default}) AS {f.name}")
+    return "SELECT " + ", ".join(cols) + " FROM fact"
+
+
+register("j08_fact_engine_defaults", _fact_defaults_sql())(
+    lambda spark, d: build_fact(warehouse_for(spark, d).staging(), unmatched="default"))
+
 register("d_quality_report", f"""
 SELECT 1 AS check_id, 'fact row count > 0' AS check_name, count(*) AS value,
        count(*) > 0 AS passed FROM fact
@@ -70,7 +88,7 @@ UNION ALL SELECT 5, 'is_delayed only 0 or 1', count_if(is_delayed NOT IN (0,1)),
 
 # ---- Q01 - Q12 ----------------------------------------------------------------
 
-_fact_query("q01_delivery_summary", kpis.delivery_summary, f"""
+fact_query("q01_delivery_summary", kpis.delivery_summary, f"""
 SELECT count(*) AS total_orders,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
   {r2(avgd('approval_time_days'))} AS avg_approval_days,
@@ -81,7 +99,7 @@ SELECT count(*) AS total_orders,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct
 FROM fact""")
 
-_fact_query("q02_state_performance", kpis.state_performance, f"""
+fact_query("q02_state_performance", kpis.state_performance, f"""
 SELECT customer_state, count(*) AS total_orders, count_if(is_delayed = 1) AS delayed_orders,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
@@ -89,7 +107,7 @@ SELECT customer_state, count(*) AS total_orders, count_if(is_delayed = 1) AS del
   {r2('avg(review_score)')} AS avg_review_score
 FROM fact GROUP BY customer_state ORDER BY delay_rate_pct DESC, customer_state""")
 
-_fact_query("q03_seller_ranking", kpis.seller_ranking, f"""
+fact_query("q03_seller_ranking", kpis.seller_ranking, f"""
 SELECT seller_id, seller_city, seller_state, count(*) AS total_orders,
   count_if(is_delayed = 1) AS delayed_orders,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct,
@@ -98,7 +116,7 @@ SELECT seller_id, seller_city, seller_state, count(*) AS total_orders,
 FROM fact GROUP BY seller_id, seller_city, seller_state HAVING count(*) >= 10
 ORDER BY delay_rate_pct DESC, seller_id""")
 
-_fact_query("q04_stage_bottleneck", kpis.stage_bottleneck, f"""
+fact_query("q04_stage_bottleneck", kpis.stage_bottleneck, f"""
 SELECT {r2(avgd('approval_time_days'))} AS avg_approval_days,
   {r2(avgd('seller_processing_days'))} AS avg_seller_processing_days,
   {r2(avgd('carrier_transit_days'))} AS avg_carrier_transit_days,
@@ -107,37 +125,37 @@ SELECT {r2(avgd('approval_time_days'))} AS avg_approval_days,
   {r2('quantile_cont(carrier_transit_days, 0.5)')} AS median_carrier_transit_days
 FROM fact""")
 
-_fact_query("q05_delay_vs_review", kpis.delay_vs_review, f"""
+fact_query("q05_delay_vs_review", kpis.delay_vs_review, f"""
 SELECT is_delayed, {r2('avg(review_score)', 3)} AS avg_review_score, count(*) AS total_orders,
   {r2(avgd('delay_days'))} AS avg_delay_days
 FROM fact WHERE review_score IS NOT NULL GROUP BY is_delayed ORDER BY is_delayed""")
 
-_fact_query("q06_monthly_trend", kpis.monthly_trend, f"""
+fact_query("q06_monthly_trend", kpis.monthly_trend, f"""
 SELECT CAST(year(order_purchase_timestamp) * 100 + month(order_purchase_timestamp) AS INTEGER)
     AS year_month,
   count(*) AS total_orders, {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct, {r2('avg(review_score)')} AS avg_review_score
 FROM fact GROUP BY 1 ORDER BY 1""")
 
-_fact_query("q07_on_time_rate", kpis.on_time_rate,
+fact_query("q07_on_time_rate", kpis.on_time_rate,
             f"SELECT {r2(rate_div('is_delayed = 0'))} AS on_time_rate_pct FROM fact")
-_fact_query("q08_delay_rate", kpis.delay_rate,
+fact_query("q08_delay_rate", kpis.delay_rate,
             f"SELECT {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct FROM fact")
-_fact_query("q09_total_orders", kpis.total_orders, "SELECT count(*) AS total_orders FROM fact")
-_fact_query("q10_avg_delivery_days", kpis.avg_delivery_days,
+fact_query("q09_total_orders", kpis.total_orders, "SELECT count(*) AS total_orders FROM fact")
+fact_query("q10_avg_delivery_days", kpis.avg_delivery_days,
             f"SELECT {r2(avgd('actual_delivery_days'))} AS avg_delivery_days FROM fact")
-_fact_query("q11_avg_review_score", kpis.avg_review_score,
+fact_query("q11_avg_review_score", kpis.avg_review_score,
             f"SELECT {r2('avg(review_score)')} AS avg_review_score FROM fact "
             "WHERE review_score IS NOT NULL")
 
-_fact_query("q12_monthly_delay", kpis.monthly_delay, f"""
+fact_query("q12_monthly_delay", kpis.monthly_delay, f"""
 SELECT CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS bulan,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct, count(*) AS total_orders
 FROM fact GROUP BY 1 ORDER BY 1""")
 
 # ---- Q13 - Q17 ----------------------------------------------------------------
 
-_fact_query("q13_delivery_days_distribution", kpis.delivery_days_distribution, f"""
+fact_query("q13_delivery_days_distribution", kpis.delivery_days_distribution, f"""
 SELECT CASE WHEN actual_delivery_days <= 5 THEN '0-5 hari'
             WHEN actual_delivery_days <= 10 THEN '6-10 hari'
             WHEN actual_delivery_days <= 15 THEN '11-15 hari'
@@ -148,7 +166,7 @@ SELECT CASE WHEN actual_delivery_days <= 5 THEN '0-5 hari'
   round(count(*) * {PCT} / (SELECT count(*) FROM fact), 2) AS percentage
 FROM fact GROUP BY 1""")
 
-_fact_query("q14_stage_breakdown", kpis.stage_breakdown, f"""
+fact_query("q14_stage_breakdown", kpis.stage_breakdown, f"""
 SELECT 'Approval Time' AS stage_name, round({avgd('approval_time_days')}, 2) AS avg_days,
   round(min(approval_time_days), 2) AS min_days, round(max(approval_time_days), 2) AS max_days,
   count(*) AS total_orders FROM fact
@@ -160,7 +178,7 @@ SELECT 'Carrier Transit', round({avgd('carrier_transit_days')}, 2),
   round(min(carrier_transit_days), 2), round(max(carrier_transit_days), 2), count(*) FROM fact
 ORDER BY avg_days DESC""")
 
-_fact_query("q15_top_sellers_by_delay", kpis.top_sellers_by_delay, f"""
+fact_query("q15_top_sellers_by_delay", kpis.top_sellers_by_delay, f"""
 SELECT 'Seller ' || left(seller_id, 6) AS seller_label, seller_city, seller_state,
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct, count(*) AS total_orders
 FROM fact GROUP BY seller_id, seller_city, seller_state HAVING count(*) >= 20
@@ -168,7 +186,7 @@ ORDER BY delay_rate_pct DESC, seller_id NULLS LAST, seller_city NULLS LAST,
   seller_state NULLS LAST
 LIMIT 15""")
 
-_fact_query("q16_stage_by_state", kpis.stage_by_state, f"""
+fact_query("q16_stage_by_state", kpis.stage_by_state, f"""
 SELECT customer_state, {r2(avgd('approval_time_days'))} AS approval_days,
   {r2(avgd('seller_processing_days'))} AS seller_processing_days,
   {r2(avgd('carrier_transit_days'))} AS carrier_transit_days,
@@ -177,7 +195,7 @@ FROM fact GROUP BY customer_state HAVING count(*) >= {STATE_MIN_ORDERS}
 ORDER BY total_delivery_days DESC, customer_state NULLS LAST LIMIT 10""",
             min_orders=STATE_MIN_ORDERS)
 
-_fact_query("q17_processing_bucket_delay", kpis.processing_bucket_delay, f"""
+fact_query("q17_processing_bucket_delay", kpis.processing_bucket_delay, f"""
 SELECT CASE WHEN avg_processing_days <= 3 THEN '1. 0-3 Hari'
             WHEN avg_processing_days <= 6 THEN '2. 4-6 Hari'
             WHEN avg_processing_days <= 9 THEN '3. 7-9 Hari'
@@ -214,7 +232,7 @@ ORDER BY delay_rate_pct DESC, product_category_en LIMIT 10""")(
     lambda spark, d: kpis.category_delay(fact(spark, d), table(spark, d, "stg_order_items"),
                                          table(spark, d, "stg_products")))
 
-_fact_query("q19_seller_risk", kpis.seller_risk, f"""
+fact_query("q19_seller_risk", kpis.seller_risk, f"""
 SELECT seller_id, seller_city, seller_state, count(*) AS total_orders,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct,
   {r2(avgd('seller_processing_days'))} AS avg_processing_days,
@@ -227,7 +245,7 @@ SELECT seller_id, seller_city, seller_state, count(*) AS total_orders,
 FROM fact GROUP BY seller_id, seller_city, seller_state HAVING count(*) >= 10
 ORDER BY delay_rate_pct DESC, seller_id""")
 
-_fact_query("q20_city_map", kpis.city_map, f"""
+fact_query("q20_city_map", kpis.city_map, f"""
 SELECT customer_city, customer_state, count(*) AS total_orders,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct,
@@ -252,7 +270,7 @@ LIMIT 10""")(
                                             table(spark, d, "stg_customers"),
                                             min_orders=ROUTE_MIN_ORDERS))
 
-_fact_query("q22_customer_frequency_segments", kpis.customer_frequency_segments, f"""
+fact_query("q22_customer_frequency_segments", kpis.customer_frequency_segments, f"""
 SELECT CASE
     WHEN customer_id IN (SELECT customer_id FROM fact GROUP BY customer_id
                          HAVING count(*) >= 5) THEN '1. High Frequency (≥5 orders)'
@@ -267,13 +285,13 @@ FROM fact GROUP BY 1 ORDER BY 1""")
 
 # ---- Q23 - Q29, R1 - R3 -----------------------------------------------------
 
-_fact_query("q23_review_by_status", kpis.review_by_status, """
+fact_query("q23_review_by_status", kpis.review_by_status, """
 SELECT CASE WHEN is_delayed = 0 THEN 'Tepat Waktu' ELSE 'Terlambat' END AS status_pengiriman,
   round(avg(review_score), 2) AS avg_review_score, count(*) AS total_orders,
   CAST(min(review_score) AS INTEGER) AS min_score, CAST(max(review_score) AS INTEGER) AS max_score
 FROM fact WHERE review_score IS NOT NULL GROUP BY is_delayed ORDER BY is_delayed""")
 
-_fact_query("q24_review_by_delay_bucket", kpis.review_by_delay_bucket, """
+fact_query("q24_review_by_delay_bucket", kpis.review_by_delay_bucket, """
 SELECT CASE WHEN delay_days <= 0 THEN '1 - Tepat Waktu'
             WHEN delay_days > 0 AND delay_days <= 3 THEN '2 - Terlambat 1-3 Hari'
             WHEN delay_days > 3 AND delay_days <= 7 THEN '3 - Terlambat 4-7 Hari'
@@ -285,25 +303,25 @@ FROM fact WHERE review_score IS NOT NULL GROUP BY 1 ORDER BY 1""")
 
 _DOW = "CAST(isodow(order_purchase_timestamp) AS INTEGER)"
 
-_fact_query("q25_weekday_volume", kpis.weekday_volume, f"""
+fact_query("q25_weekday_volume", kpis.weekday_volume, f"""
 SELECT {_DOW} AS day_of_week, {WEEKDAY_CASE} AS nama_hari, count(*) AS total_orders,
   {r2('avg(review_score)')} AS avg_review_score
 FROM fact GROUP BY 1, 2 ORDER BY 1""")
 
-_fact_query("q26_weekday_delay", kpis.weekday_delay, f"""
+fact_query("q26_weekday_delay", kpis.weekday_delay, f"""
 SELECT {_DOW} AS day_of_week, {WEEKDAY_CASE} AS nama_hari,
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct, count(*) AS total_orders,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days
 FROM fact GROUP BY 1, 2 ORDER BY 1""")
 
-_fact_query("q27_weekday_delivery_time", kpis.weekday_delivery_time, f"""
+fact_query("q27_weekday_delivery_time", kpis.weekday_delivery_time, f"""
 SELECT {_DOW} AS day_of_week, {WEEKDAY_CASE} AS nama_hari,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
   round(min(actual_delivery_days), 0) AS min_days, round(max(actual_delivery_days), 0) AS max_days,
   count(*) AS total_orders
 FROM fact GROUP BY 1, 2 ORDER BY 1""")
 
-_fact_query("q28_daypart_delay", kpis.daypart_delay, f"""
+fact_query("q28_daypart_delay", kpis.daypart_delay, f"""
 SELECT CASE WHEN hour(order_purchase_timestamp) BETWEEN 0 AND 5 THEN '1. 00:00 - 05:59 (Dini Hari)'
             WHEN hour(order_purchase_timestamp) BETWEEN 6 AND 11 THEN '2. 06:00 - 11:59 (Pagi)'
             WHEN hour(order_purchase_timestamp) BETWEEN 12 AND 17 THEN '3. 12:00 - 17:59 (Siang)'
@@ -312,14 +330,14 @@ SELECT CASE WHEN hour(order_purchase_timestamp) BETWEEN 0 AND 5 THEN '1. 00:00 -
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct
 FROM fact GROUP BY 1 ORDER BY 1""")
 
-_fact_query("q29_late_share_by_state", kpis.late_share_by_state, f"""
+fact_query("q29_late_share_by_state", kpis.late_share_by_state, f"""
 SELECT customer_state, count(*) AS total_orders,
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
   {r2('avg(review_score)')} AS avg_review_score
 FROM fact GROUP BY customer_state ORDER BY delay_rate_pct DESC, customer_state""")
 
-_fact_query("r1_top_states_by_delay", kpis.top_states_by_delay, f"""
+fact_query("r1_top_states_by_delay", kpis.top_states_by_delay, f"""
 SELECT customer_state, count(*) AS total_orders,
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days
@@ -327,17 +345,17 @@ FROM fact GROUP BY customer_state HAVING count(*) >= {STATE_MIN_ORDERS}
 ORDER BY delay_rate_pct DESC, customer_state NULLS LAST LIMIT 10""",
             min_orders=STATE_MIN_ORDERS)
 
-_fact_query("r2_stage_averages", kpis.stage_averages, f"""
+fact_query("r2_stage_averages", kpis.stage_averages, f"""
 SELECT 'Approval Time' AS stage, round({avgd('approval_time_days')}, 2) AS avg_days FROM fact
 UNION ALL SELECT 'Seller Processing', round({avgd('seller_processing_days')}, 2) FROM fact
 UNION ALL SELECT 'Carrier Transit', round({avgd('carrier_transit_days')}, 2) FROM fact""")
 
-_fact_query("r3_review_by_status_simple", kpis.review_by_status_simple, """
+fact_query("r3_review_by_status_simple", kpis.review_by_status_simple, """
 SELECT CASE WHEN is_delayed = 0 THEN 'Tepat Waktu' ELSE 'Terlambat' END AS status,
   round(avg(review_score), 2) AS avg_review_score, count(*) AS total_orders
 FROM fact WHERE review_score IS NOT NULL GROUP BY is_delayed""")
 
-_fact_query("q07_11_scorecards", kpis.scorecards, f"""
+fact_query("q07_11_scorecards", kpis.scorecards, f"""
 SELECT {r2(rate_div('is_delayed = 0'))} AS on_time_rate_pct,
   {r2(rate_div('is_delayed = 1'))} AS delay_rate_pct, count(*) AS total_orders,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
