@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.functions.exprs import avg_days, weighted_avg_fixed
+from deliverylens.functions.exprs import avg_days, avg_fixed, weighted_avg_fixed
 
 
 def _rate_div() -> Column:
@@ -27,12 +27,13 @@ def state_layer(fact: DataFrame, variant: str = "before") -> DataFrame:
     """
     if variant == "before":
         src = fact.filter(F.col("customer_lat").isNotNull() & F.col("customer_lng").isNotNull())
-        lat, lng = F.round(F.avg("customer_lat"), 4), F.round(F.avg("customer_lng"), 4)
+        lat = F.round(avg_fixed("customer_lat", 6), 4)
+        lng = F.round(avg_fixed("customer_lng", 6), 4)
         total = F.count(F.lit(1))
         rate = F.round(_rate_div(), 2)
     elif variant == "after":
         src = fact.filter(F.col("customer_state").isNotNull())
-        lat, lng = F.avg("customer_lat"), F.avg("customer_lng")
+        lat, lng = avg_fixed("customer_lat", 6), avg_fixed("customer_lng", 6)
         total = F.count("order_id")
         rate = F.round(F.avg("is_delayed") * F.lit(100.0), 2)
     else:

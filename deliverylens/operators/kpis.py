@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.functions.exprs import (
-    avg_days, bucket, seconds_of, daypart, iso_weekday, month_start, pct, pct_div_first, rnd, weekday_name, yyyymm,
+    avg_days, avg_fixed, bucket, seconds_of, daypart, iso_weekday, month_start, pct, pct_div_first, rnd, weekday_name, yyyymm,
 )
 from deliverylens.functions.translate import CATEGORY_LABELS_EN, translate_column
 from deliverylens.operators.fact import fact_with_seller_customer
@@ -328,13 +328,14 @@ def seller_risk(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 
 
 def city_map(fact: DataFrame, n: int = 100, min_orders: int = 100) -> DataFrame:
-    """Q20: busiest cities with unrounded mean coordinates."""
+    """Q20: busiest cities with unrounded mean coordinates (exact means of the
+    6-decimal zip coordinates, so the value does not depend on row order)."""
     return (fact.groupBy("customer_city", "customer_state").agg(
         _n().alias("total_orders"),
         _avg2("actual_delivery_days").alias("avg_delivery_days"),
         rnd(pct(_late())).alias("delay_rate_pct"),
-        F.avg("customer_lat").alias("lat"),
-        F.avg("customer_lng").alias("lng"))
+        avg_fixed("customer_lat", 6).alias("lat"),
+        avg_fixed("customer_lng", 6).alias("lng"))
         .filter(F.col("total_orders") >= min_orders)
         .orderBy(F.desc("total_orders"), F.asc_nulls_last("customer_city"),
                  F.asc_nulls_last("customer_state"))

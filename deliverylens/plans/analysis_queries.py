@@ -5,7 +5,7 @@ from __future__ import annotations
 from deliverylens.operators import analysis as A
 from deliverylens.operators import geo as G
 from deliverylens.plans.oracle import (
-    avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
+    avg6, avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
 )
 from deliverylens.plans.registry import fact_query
 
@@ -188,7 +188,7 @@ SELECT customer_state, count(*) AS total_orders, {r2(rate_div('is_delayed = 1'))
   round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
   round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
   round(avg(review_score), 2) AS avg_review_score,
-  round(avg(customer_lat), 4) AS lat, round(avg(customer_lng), 4) AS lng
+  round({avg6('customer_lat')}, 4) AS lat, round({avg6('customer_lng')}, 4) AS lng
 FROM fact WHERE customer_lat IS NOT NULL AND customer_lng IS NOT NULL
 GROUP BY customer_state ORDER BY delay_rate_pct DESC, customer_state""")
 
@@ -199,7 +199,7 @@ SELECT * FROM (
     round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
     round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
     round(avg(review_score), 2) AS avg_review_score,
-    avg(customer_lat) AS lat, avg(customer_lng) AS lng
+    {avg6('customer_lat')} AS lat, {avg6('customer_lng')} AS lng
   FROM fact WHERE customer_state IS NOT NULL GROUP BY customer_state)
 WHERE lat IS NOT NULL AND lng IS NOT NULL ORDER BY delay_rate_pct DESC, customer_state""",
             variant="after")
@@ -221,7 +221,7 @@ SELECT customer_state, count(*) AS total_orders, {r2(rate_div('is_delayed = 1'))
   round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
   round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
   round(avg(review_score), 2) AS avg_review_score,
-  round(avg(customer_lat), 4) AS lat, round(avg(customer_lng), 4) AS lng
+  round({avg6('customer_lat')}, 4) AS lat, round({avg6('customer_lng')}, 4) AS lng
 FROM fact WHERE customer_lat IS NOT NULL AND customer_lng IS NOT NULL GROUP BY customer_state"""
 
 

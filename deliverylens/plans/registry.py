@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from deliverylens.operators import kpis, quality
 from deliverylens.operators.fact import build_fact
 from deliverylens.plans.oracle import (
-    PCT, WEEKDAY_CASE, avgd, r2, rate_div, rate_mul, with_base,
+    PCT, WEEKDAY_CASE, avg6, avgd, r2, rate_div, rate_mul, with_base,
 )
 from deliverylens.plans.warehouse import warehouse_for
 from deliverylens.functions.translate import CATEGORY_LABELS_EN
@@ -249,7 +249,7 @@ fact_query("q20_city_map", kpis.city_map, f"""
 SELECT customer_city, customer_state, count(*) AS total_orders,
   {r2(avgd('actual_delivery_days'))} AS avg_delivery_days,
   {r2(rate_mul('is_delayed = 1'))} AS delay_rate_pct,
-  avg(customer_lat) AS lat, avg(customer_lng) AS lng
+  {avg6('customer_lat')} AS lat, {avg6('customer_lng')} AS lng
 FROM fact GROUP BY customer_city, customer_state HAVING count(*) >= {CITY_MIN_ORDERS}
 ORDER BY total_orders DESC, customer_city NULLS LAST, customer_state NULLS LAST LIMIT 100""",
             min_orders=CITY_MIN_ORDERS)
