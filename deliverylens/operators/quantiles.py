@@ -84,31 +84,51 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      .alias(f"_in{i}_{j}")]
     parts = joined.groupBy(*group).agg(*aggs) if group else joined.agg(*aggs)
 
+    # Three small projections instead of one large expression: positions,
+    # then the two order statistics, then interpolation and the range check.
+    # Each intermediate is referenced several times, so Spark keeps the steps
+    # apart and generated code stays small.
+    keys = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+    pos_cols = []
+    for i, j in keys:
+        n = F.coalesce(F.col(f"_n{i}"), F.lit(0))
+        pos = F.lit(probs[j]) * (n - 1).cast("double")
+        pos_cols += [pos.alias(f"_pos{i}_{j}"), F.floor(pos).alias(f"_k{i}_{j}")]
+    staged = parts.select("*", *pos_cols)
+
+    pick_cols = []
+    for i, j in keys:
+        args = [F.col(f"_lt{i}_{j}"), F.col(f"_ea{i}_{j}"), F.col(f"_in{i}_{j}"),
+                F.col(f"_eb{i}_{j}"), F.col(f"_a{i}_{j}"), F.col(f"_b{i}_{j}"),
+                F.col(f"_pa{i}_{j}"), F.col(f"_nb{i}_{j}")]
+        k = F.col(f"_k{i}_{j}")
+        pick_cols += [_pick(k, *args).alias(f"_lo{i}_{j}"),
+                      _pick(k + 1, *args).alias(f"_hi{i}_{j}")]
+    staged = staged.select(*group, *[f"_n{i}" for i in range(len(cols))],
+                           *[f"_{x}{i}_{j}" for i, j in keys
+                             for x in ("pos", "k", "lt", "ea", "in", "eb")], *pick_cols)
+
     outs = []
     for i, c in enumerate(cols):
         n = F.coalesce(F.col(f"_n{i}"), F.lit(0))
         qs = []
-        for j, p in enumerate(probs):
-            a, b = F.col(f"_a{i}_{j}"), F.col(f"_b{i}_{j}")
-            below, eq_a, inside = F.col(f"_lt{i}_{j}"), F.col(f"_ea{i}_{j}"), F.col(f"_in{i}_{j}")
-            eq_b = F.col(f"_eb{i}_{j}")
-            nb = (F.col(f"_pa{i}_{j}"), F.col(f"_nb{i}_{j}"))
-            pos = F.lit(p) * (n - 1).cast("double")
-            k = F.floor(pos)
+        for j in range(len(probs)):
+            pos, k = F.col(f"_pos{i}_{j}"), F.col(f"_k{i}_{j}")
+            lower, higher = F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}")
             frac = pos - k
-            lower = _pick(k, below, eq_a, inside, eq_b, a, b, *nb)
-            higher = _pick(k + 1, below, eq_a, inside, eq_b, a, b, *nb)
             q = (F.when(frac == 0, lower).when(higher == lower, lower)
                  .otherwise((k + 1 - pos) * lower + (pos - k) * higher))
             # the target ranks must lie in the bracket or on its two neighbours
             last = F.when(frac == 0, k).otherwise(k + 1)
-            ok = (k >= below - 1) & (last <= below + eq_a + F.size(inside) + eq_b)
+            span = (F.col(f"_lt{i}_{j}") + F.col(f"_ea{i}_{j}") + F.size(F.col(f"_in{i}_{j}"))
+                    + F.col(f"_eb{i}_{j}"))
+            ok = (k >= F.col(f"_lt{i}_{j}") - 1) & (last <= span)
             q = F.when(n == 0, F.lit(None).cast("double")).when(
                 ok, q).otherwise(F.raise_error(F.lit(f"quantile bracket missed for {c}"))
                                  .cast("double"))
             qs.append(q)
         outs.append(F.array(*qs).alias(f"{prefix}{c}"))
-    return parts.select(*group, *outs)
+    return staged.select(*group, *outs)
 
 
 def exact_median(df: DataFrame, cols: Sequence[str], group: Sequence[str] = (),
