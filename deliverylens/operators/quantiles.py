@@ -24,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 1_000_000
+# sketch ~ accuracy entries per column; values collected per target ~ 4 n / accuracy
+DEFAULT_ACCURACY = 100_000
 
 
 def _pick(idx: Column, below: Column, eq_a: Column, inside: Column, eq_b: Column,
@@ -55,9 +56,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     stat_aggs = []
     for i in range(len(cols)):
         v = F.col(f"_v{i}")
+        # one sketch per column, evaluated at both bracket ends of every target
         stat_aggs += [F.count(v).alias(f"_n{i}"),
-                      F.percentile_approx(v, lo_p, accuracy).alias(f"_a{i}"),
-                      F.percentile_approx(v, hi_p, accuracy).alias(f"_b{i}")]
+                      F.percentile_approx(v, lo_p + hi_p, accuracy).alias(f"_ab{i}")]
     if group:
         stats = base.groupBy(*group).agg(*stat_aggs)
         keyed = stats.select(*[F.col(g).alias(f"_g{j}") for j, g in enumerate(group)],
@@ -73,7 +74,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         v = F.col(f"_v{i}")
         aggs += [F.first(f"_n{i}").alias(f"_n{i}")]
         for j in range(len(probs)):
-            a, b = F.col(f"_a{i}")[j], F.col(f"_b{i}")[j]
+            a, b = F.col(f"_ab{i}")[j], F.col(f"_ab{i}")[len(probs) + j]
             aggs += [F.first(a).alias(f"_a{i}_{j}"), F.first(b).alias(f"_b{i}_{j}"),
                      F.count_if(v < a).alias(f"_lt{i}_{j}"),
                      F.count_if(v == a).alias(f"_ea{i}_{j}"),
