@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,7 +48,3 @@ def shared_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="deliverylens-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith(os.sep)
