@@ -56,10 +56,19 @@ _DEFAULTS = {
 }
 
 
+NULLABLE_FACT_COLUMNS = {"customer_lat", "customer_lng", "review_score", "order_approved_at"}
+
+
+def apply_engine_defaults(fact: DataFrame) -> DataFrame:
+    """Engine-default LEFT JOIN semantics on a built fact: unmatched columns of
+    non-nullable type take the type default ('' or 0) instead of NULL; only
+    the columns declared nullable in the fact schema stay NULL. A projection:
+    applying it to the stored fact needs no rebuild."""
+    return _fill_unmatched(fact, NULLABLE_FACT_COLUMNS)
+
+
 def _fill_unmatched(fact: DataFrame, nullable: set[str]) -> DataFrame:
-    """Engine-default LEFT JOIN: unmatched columns of non-nullable type take
-    the type default ('' or 0) instead of NULL; only the columns declared
-    nullable in the fact schema stay NULL."""
+    """Fill NULL with the type default for every fact column not in ``nullable``."""
     fill = {}
     for f in FACT.fields:
         if f.name in nullable:
@@ -106,8 +115,7 @@ def build_fact(stg: dict[str, DataFrame], unmatched: str = "null",
                        "seller_id": F.col("s_seller_id")})
     out = f.select(*[F.col(c).cast(FACT[c].dataType).alias(c) for c in FACT_COLUMNS])
     if unmatched == "default":
-        out = _fill_unmatched(out, nullable={"customer_lat", "customer_lng", "review_score",
-                                             "order_approved_at"})
+        out = apply_engine_defaults(out)
     elif unmatched != "null":
         raise ValueError("unmatched must be 'null' or 'default'")
     return out

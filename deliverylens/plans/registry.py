@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.operators import kpis, quality
-from deliverylens.operators.fact import build_fact
+from deliverylens.operators.fact import apply_engine_defaults
 from deliverylens.plans.oracle import (
     PCT, WEEKDAY_CASE, avg6, avgd, r2, rate_div, rate_mul, with_base,
 )
@@ -70,7 +70,7 @@ def _fact_defaults_sql() -> str:
 
 
 register("j08_fact_engine_defaults", _fact_defaults_sql())(
-    lambda spark, d: build_fact(warehouse_for(spark, d).staging(), unmatched="default"))
+    lambda spark, d: apply_engine_defaults(fact(spark, d).select(*FACT_COLUMNS)))
 
 register("d_quality_report", f"""
 SELECT 1 AS check_id, 'fact row count > 0' AS check_name, count(*) AS value,

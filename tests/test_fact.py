@@ -43,3 +43,10 @@ def test_orphans_and_inner_joins(spark):
     f = J.build_fact(stg)
     assert J.items_with_products(f, stg["stg_order_items"], stg["stg_products"]).count() == 6
     assert J.fact_with_seller_customer(f, stg["stg_sellers"], stg["stg_customers"]).count() == 3
+
+
+def test_engine_defaults_on_stored_fact_equal_rebuild(spark):
+    stg = staging(spark)
+    a = sorted(rows(J.build_fact(stg, unmatched="default")), key=str)
+    b = sorted(rows(J.apply_engine_defaults(J.build_fact(stg))), key=str)
+    assert a == b
