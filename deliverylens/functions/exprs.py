@@ -18,10 +18,26 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _second_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def seconds_between(start: str | Column, end: str | Column) -> Column:
+    """Whole seconds from ``start`` to ``end`` (wall-clock, time-zone free).
+
+    Built from calendar parts (day difference and second of day) because
+    ``timestamp_diff`` on ``timestamp_ntz`` values resolves wall-clock times
+    that fall into a daylight-saving gap of the *session* time zone, which
+    shifts such durations by an hour depending on a session setting.
+    """
+    s, e = col(start), col(end)
+    days = F.datediff(F.to_date(e), F.to_date(s)).cast("long")
+    return days * 86400 + (_second_of_day(e) - _second_of_day(s))
+
+
 def days_between(start: str | Column, end: str | Column) -> Column:
     """(end - start) in fractional days; NULL if either side is NULL."""
-    secs = F.timestamp_diff("SECOND", col(start), col(end))
-    return secs.cast("double") / F.lit(SECONDS_PER_DAY)
+    return seconds_between(start, end).cast("double") / F.lit(SECONDS_PER_DAY)
 
 
 def seconds_of(days: str | Column) -> Column:

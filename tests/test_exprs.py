@@ -60,3 +60,15 @@ def test_rates(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (1,)], "d int")
     got = rows(df.agg(X.pct(F.col("d") == 1), X.pct_div_first(F.col("d") == 0)))
     assert got == [(50.0, 50.0)]
+
+
+def test_days_between_ignores_session_time_zone(spark):
+    # 1998-10-11 00:00 does not exist in Sao Paulo local time (DST start)
+    df = spark.createDataFrame([(dt.datetime(1998, 10, 10, 20), dt.datetime(1998, 10, 11, 0))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert rows(df.select(X.days_between("a", "b"))) == [(4 / 24,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
