@@ -371,3 +371,18 @@ register("j15_orphan_keys", "\nUNION ALL\n".join(
     for name, ct, ck, pt, pk in ORPHANS))(
     lambda spark, d: _union([J.orphan_keys(stg(spark, d, ct), stg(spark, d, pt), ck, pk, name)
                              for name, ct, ck, pt, pk in ORPHANS]))
+
+# ---- C12 / C13: geolocation per zip ---------------------------------------------
+
+register("c12_geolocation_mean", """
+SELECT geolocation_zip_code_prefix, lat, lng, city, state FROM stg_geolocation""")(
+    lambda spark, d: C.clean_geolocation(raw(spark, d)["geolocation"], strategy="mean_rounded"))
+
+register("c13_geolocation_first", """
+SELECT geolocation_zip_code_prefix, geolocation_lat AS lat, geolocation_lng AS lng,
+  geolocation_city AS city, geolocation_state AS state
+FROM (SELECT *, row_number() OVER (PARTITION BY geolocation_zip_code_prefix
+        ORDER BY geolocation_lat, geolocation_lng, geolocation_city, geolocation_state) AS rn
+      FROM raw_geolocation)
+WHERE rn = 1""")(
+    lambda spark, d: C.clean_geolocation(raw(spark, d)["geolocation"], strategy="first"))
