@@ -71,11 +71,15 @@ def stage_describe(fact: DataFrame) -> DataFrame:
 
 
 def bottleneck_stage(fact: DataFrame) -> DataFrame:
-    """The stage with the largest mean (ties: the earlier stage)."""
-    s = stage_mean_median(fact)
-    best = F.max(F.struct(F.col("mean_days"), -F.col("stage_order"), F.col("stage")))
-    return s.agg(best.alias("b")).select(F.col("b.stage").alias("bottleneck_stage"),
-                                         F.col("b.mean_days").alias("mean_days"))
+    """The stage with the largest mean (ties: the earlier stage); one
+    aggregation of the three means, then a pick over three values."""
+    means = fact.agg(*[F.round(avg_days(c), 2).alias(f"m{i}") for i, c in enumerate(STAGES)])
+    cands = F.array(*[F.struct(F.col(f"m{i}").alias("mean_days"), F.lit(-(i + 1)).alias("neg_order"),
+                               F.lit(name).alias("stage"))
+                      for i, name in enumerate(STAGE_NAMES)])
+    best = F.array_max(cands)
+    return means.select(best["stage"].alias("bottleneck_stage"),
+                        best["mean_days"].alias("mean_days"))
 
 
 def stage_box_stats(fact: DataFrame) -> DataFrame:
