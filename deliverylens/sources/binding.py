@@ -14,12 +14,14 @@ order has no line); n = nation key of the order's customer; h(x) = x hours.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.operators.sequence import number_within_groups
+from deliverylens.session import shared_dir
 
 SOURCE_TABLES = ("orders", "lineitem", "customer", "supplier", "part", "nation")
 
@@ -78,25 +80,17 @@ def raw_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> D
     )
 
 
-def raw_order_items(lineitem: DataFrame, stage_path: str | None = None) -> DataFrame:
+def raw_order_items(lineitem: DataFrame, stage_path: str) -> DataFrame:
     """One item per line; ``order_item_id`` numbers the lines of an order by
-    (l_linenumber, l_partkey, l_suppkey).
-
-    With ``stage_path`` (a folder in the shared checkpoint area) the numbering
-    is the skew-safe ``number_within_groups``; without it, a plain window
-    (used only for small in-memory checks).
-    """
+    (l_linenumber, l_partkey, l_suppkey), with the skew-safe
+    ``number_within_groups`` (it stages one table at ``stage_path``, a folder
+    in the shared checkpoint area)."""
     order = ["l_linenumber", "l_partkey", "l_suppkey"]
-    if stage_path is not None:
-        base = lineitem.select("l_orderkey", *order, "l_extendedprice", "l_tax", "l_shipdate")
-        numbered = number_within_groups(base, "l_orderkey", order, "_rn", stage_path)
-        rn = F.col("_rn")
-    else:
-        numbered = lineitem
-        rn = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
+    base = lineitem.select("l_orderkey", *order, "l_extendedprice", "l_tax", "l_shipdate")
+    numbered = number_within_groups(base, "l_orderkey", order, "_rn", stage_path)
     return numbered.select(
         _str("l_orderkey").alias("order_id"),
-        rn.cast("int").alias("order_item_id"),
+        F.col("_rn").cast("int").alias("order_item_id"),
         _str("l_partkey").alias("product_id"),
         _str("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
@@ -195,10 +189,13 @@ def raw_order_reviews(orders: DataFrame) -> DataFrame:
 def raw_table_builders(spark: SparkSession, sf_dir: str, stage_dir: str | None = None
                        ) -> dict[str, Callable[[], DataFrame]]:
     """One zero-argument builder per raw input, so independent tables can be
-    built (and written) concurrently. ``stage_dir`` (shared folder) enables
-    the skew-safe item numbering, which stages one intermediate table there."""
+    built (and written) concurrently. The item numbering stages one table
+    under ``stage_dir`` (default: a new folder in the session's shared
+    checkpoint area)."""
     src = {name: read_source(spark, sf_dir, name) for name in SOURCE_TABLES}
-    items_stage = os.path.join(stage_dir, "_items_ranged") if stage_dir else None
+    if stage_dir is None:
+        stage_dir = os.path.join(shared_dir(spark), f"binding-{uuid.uuid4().hex[:12]}")
+    items_stage = os.path.join(stage_dir, "_items_ranged")
     return {
         "orders": lambda: raw_orders(src["orders"], src["lineitem"], src["customer"]),
         "order_items": lambda: raw_order_items(src["lineitem"], items_stage),
