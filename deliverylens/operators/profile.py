@@ -76,12 +76,17 @@ def head(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> DataF
 def profile_dataset(df: DataFrame, name: str) -> DataFrame:
     """Long format (table_name, column_name, metric, value) with rows,
     columns and duplicate rows per table and dtype and missing count per
-    column. Two passes: one aggregation for counts, one for duplicates."""
+    column. One grouping by the full row feeds every metric: identical rows
+    share their NULL pattern, so NULL counts are sums of group sizes."""
     cols = df.columns
-    one = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    dup = duplicate_rows(df, name).select("duplicate_rows")
-    j = one.crossJoin(F.broadcast(dup))
+    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    j = per_row.agg(
+        F.sum("_n").alias("_rows"), F.sum(F.col("_n") - 1).alias("duplicate_rows"),
+        *[F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_n")).otherwise(F.lit(0))).alias(c)
+          for c in cols])
+    j = j.select(F.coalesce("_rows", F.lit(0)).alias("_rows"),
+                 F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"),
+                 *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in cols])
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def row(column, metric, value):
