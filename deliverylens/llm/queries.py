@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.llm import packing, quality_rules
+from deliverylens.llm import packing, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op6_packing": packing.query,
+        "op8_toxicity": toxicity.query,
         "op10_quality_rules": quality_rules.query,
     }
 
