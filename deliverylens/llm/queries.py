@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.llm import packing, quality_rules, toxicity
+from deliverylens.llm import html_extract, packing, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
     return {
         "op6_packing": packing.query,
         "op8_toxicity": toxicity.query,
+        "op9_html_extract": html_extract.query,
         "op10_quality_rules": quality_rules.query,
     }
 
