@@ -10,14 +10,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deliverylens.llm import html_extract, packing, quality_rules, toxicity
+from deliverylens.llm import (
+    html_extract,
+    line_dedup,
+    packing,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_url_filter": url_filter.query,
         "op6_packing": packing.query,
+        "op7_line_dedup": line_dedup.query,
         "op8_toxicity": toxicity.query,
         "op9_html_extract": html_extract.query,
         "op10_quality_rules": quality_rules.query,
@@ -25,7 +34,104 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": QUALITY_RULES}
+    return {
+        "op1_url_filter": URL_FILTER,
+        "op7_line_dedup": LINE_DEDUP,
+        "op10_quality_rules": QUALITY_RULES,
+    }
+
+
+#: Levels from the suffix down; k: the strength of the prior of each.
+URL_FILTER = r"""
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), worst AS (
+  SELECT doc_id AS page_id, max(1 - quality) AS bad FROM labels GROUP BY doc_id
+), h AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+         string_split(host, '.') AS parts,
+         CASE WHEN regexp_matches(host, '(^|[.])example[.](com|net|org)$') THEN 2 ELSE 1 END AS cut
+  FROM u LEFT JOIN worst USING (page_id) GROUP BY host
+), hosts AS (
+  SELECT host, n, bad, array_to_string(parts[-cut:], '.') AS suffix,
+         array_to_string(parts[-cut - 1:], '.') AS domain FROM h
+), d0 AS (
+  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+), s0 AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+         (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) FROM hosts) AS mean
+  FROM d0 GROUP BY suffix
+), ks AS (
+  SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
+         sum(n * mean * (1 - mean)) AS w FROM s0 WHERE n > 0
+), s1 AS (
+  SELECT suffix, (bad + k * mean) / (n + k) AS mean FROM s0, (
+    SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
+           THEN least(greatest((1 - (off - chance) / (w - chance)) / ((off - chance) / (w - chance)), 1.0), 10000.0)
+           ELSE 10000.0 END AS k FROM ks)
+), d1 AS (
+  SELECT domain, suffix, n, bad, mean FROM d0 JOIN s1 USING (suffix)
+), kd AS (
+  SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
+         sum(n * mean * (1 - mean)) AS w FROM d1 WHERE n > 0
+), d2 AS (
+  SELECT suffix, domain, (bad + k * mean) / (n + k) AS mean FROM d1, (
+    SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
+           THEN least(greatest((1 - (off - chance) / (w - chance)) / ((off - chance) / (w - chance)), 1.0), 10000.0)
+           ELSE 10000.0 END AS k FROM kd)
+), h1 AS (
+  SELECT host, n, bad, mean FROM hosts JOIN d2 USING (suffix, domain)
+), kh AS (
+  SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
+         sum(n * mean * (1 - mean)) AS w FROM h1 WHERE n > 0
+), h2 AS (
+  SELECT host, n, n + k AS size, (bad + k * mean) / (n + k) AS post FROM h1, (
+    SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
+           THEN least(greatest((1 - (off - chance) / (w - chance)) / ((off - chance) / (w - chance)), 1.0), 10000.0)
+           ELSE 10000.0 END AS k FROM kh)
+), fitted AS (
+  SELECT u.*, r.rule, r.verdict,
+         row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.rule) DESC, r.rule) AS place
+  FROM u LEFT JOIN (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+                           ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow'))
+       AS r(name, start, rule, verdict)
+    ON (u.host = r.name OR ends_with(u.host, '.' || r.name)) AND starts_with(u.path, r.start)
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN post - 2 * sqrt(post * (1 - post) / (size + 1)) > 0.5
+                              THEN 'block' ELSE 'allow' END) AS verdict,
+       n AS n_labelled
+FROM fitted JOIN h2 USING (host) WHERE place = 1
+"""
+
+#: Exact distinct sites instead of sketches.
+LINE_DEDUP = r"""
+WITH raw AS (
+  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL
+), bare AS (
+  SELECT doc_id, site, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS k FROM raw
+), placed AS (
+  SELECT k, site, lag(k) OVER w AS before, lead(k) OVER w AS after
+  FROM bare WHERE k <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), contexts AS (
+  SELECT k, before, after, min(site) AS site, count(*) AS n FROM placed GROUP BY k, before, after
+), bad AS (
+  SELECT k FROM contexts GROUP BY k HAVING count(DISTINCT site) >= 10 AND 2 * count(*) >= sum(n)
+), cleaned AS (
+  SELECT doc_id, count(*) FILTER (WHERE k <> '') AS n_lines,
+         count(*) FILTER (WHERE k IN (SELECT k FROM bad)) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE k NOT IN (SELECT k FROM bad)), '') AS text
+  FROM bare GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, c.text
+FROM documents d LEFT JOIN cleaned c USING (doc_id)
+"""
 
 
 #: n_repeat_words: a window is the text of eight words joined by one blank.
