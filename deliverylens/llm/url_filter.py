@@ -114,8 +114,9 @@ def reputations(hosts: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(*sums)
     every = suffixes.select((F.sum("bad") / F.nullif(F.sum("n"), F.lit(0))).alias("m")).select(
         F.coalesce("m", F.lit(0.0))).scalar()
-    top = _shrunk(suffixes.withColumn("mean", every)).select("suffix", F.col("post").alias("mean"))
-    mid = _shrunk(domains.join(top, "suffix")).select("suffix", "domain", F.col("post").alias("mean"))
+    # a level is read by the next one's strength and by its shrinking: written once
+    top = staged(_shrunk(suffixes.withColumn("mean", every)).select("suffix", F.col("post").alias("mean")), "suffixes")
+    mid = staged(_shrunk(domains.join(top, "suffix")).select("suffix", "domain", F.col("post").alias("mean")), "domains")
     low = _shrunk(hosts.join(mid, ["suffix", "domain"]))
     sd = F.sqrt(F.col("post") * (1 - F.col("post")) / (F.col("size") + 1))
     return low.select("host", "n", "bad", F.col("post").alias("mean"),
