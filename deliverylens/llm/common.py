@@ -46,3 +46,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def window_names(stream: np.ndarray, length: int) -> np.ndarray:
+    """64-bit names of all ``length``-element windows of an array of uint64."""
+    n = max(0, len(stream) - length + 1)
+    name = np.zeros(n, np.uint64)
+    for k in range(length):
+        name = mix64(name * np.uint64(0x9E3779B97F4A7C15) + stream[k:k + n])
+    return name
+
+
+class WordHashes:
+    """64-bit hashes of words, remembering those seen (a cache of bounded size)."""
+
+    def __init__(self, most: int = 400_000):
+        self._known: dict[bytes, int] = {}
+        self._most = most
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        import xxhash
+
+        known = self._known
+        if len(known) > self._most:
+            known.clear()
+        try:
+            return np.array([known[w] for w in words], np.uint64)
+        except KeyError:
+            for w in set(words):
+                if w not in known:
+                    known[w] = xxhash.xxh3_64_intdigest(w)
+            return np.array([known[w] for w in words], np.uint64)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.llm import (
     html_extract,
+    jaccard_join,
     line_dedup,
     packing,
     quality_rules,
@@ -25,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": url_filter.query,
+        "op5_jaccard_join": jaccard_join.query,
         "op6_packing": packing.query,
         "op7_line_dedup": line_dedup.query,
         "op8_toxicity": toxicity.query,
