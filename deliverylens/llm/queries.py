@@ -16,6 +16,7 @@ from deliverylens.llm import (
     line_dedup,
     packing,
     quality_rules,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": url_filter.query,
+        "op2_suffix_dedup": suffix_dedup.query,
         "op5_jaccard_join": jaccard_join.query,
         "op6_packing": packing.query,
         "op7_line_dedup": line_dedup.query,
