@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.llm import (
+    decontaminate,
     html_extract,
     jaccard_join,
     line_dedup,
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": url_filter.query,
         "op2_suffix_dedup": suffix_dedup.query,
+        "op4_decontaminate": decontaminate.query,
         "op5_jaccard_join": jaccard_join.query,
         "op6_packing": packing.query,
         "op7_line_dedup": line_dedup.query,
