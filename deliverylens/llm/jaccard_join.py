@@ -372,9 +372,11 @@ def links(docs: DataFrame, nodes: DataFrame, spec: Spec) -> DataFrame:
 
 
 def cluster(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of the component), key.
+    """doc_id, n_shingles, component_id (smallest doc_id of the component), key,
+    component.
 
     ``key`` is a hash of id and text; rows that differ in neither share it.
+    ``component`` names the component; it is null where there is no set.
     """
     spec = Spec(words, percent)
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("key"))
@@ -384,12 +386,23 @@ def cluster(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     least = (full.groupBy("node").agg(F.min("doc_id").alias("least")).join(root, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
     own = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    linked = full.join(own.select("node", "component_id"), "node")
+    linked = full.join(own.select("node", "component_id", F.col("root").alias("component")), "node")
     alone = nodes.where("n = 0").withColumn("component_id", F.col("doc_id"))
     return linked.unionByName(alone, allowMissingColumns=True).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "key")
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "key", "component")
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns: of each component the one with the smallest
+    id (then key), and all that have no set. A row given twice stays once."""
+    found = staged(cluster(docs, words, percent).select("doc_id", "key", "component"), "components")
+    first = found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct("doc_id", "key")).alias("first")).select("first.key")
+    kept = first.unionByName(found.where("component IS NULL").select("key")).withColumnRenamed("key", "_key")
+    return (docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text")).join(kept, "_key", "left_semi")
+            .dropDuplicates(["_key"]).drop("_key"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: components of all documents under 4-word shingles and 85 per cent."""
-    return cluster(table(spark, sf_dir, "documents"), 4, 85).drop("key")
+    return cluster(table(spark, sf_dir, "documents"), 4, 85).drop("key", "component")

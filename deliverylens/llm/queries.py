@@ -15,6 +15,7 @@ from deliverylens.llm import (
     html_extract,
     jaccard_join,
     line_dedup,
+    lm_scoring,
     packing,
     quality_rules,
     suffix_dedup,
@@ -29,6 +30,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": url_filter.query,
         "op2_suffix_dedup": suffix_dedup.query,
+        "op3_lm_scoring": lm_scoring.query,
         "op4_decontaminate": decontaminate.query,
         "op5_jaccard_join": jaccard_join.query,
         "op6_packing": packing.query,
