@@ -14,8 +14,8 @@ nothing against them.
 The suffix array is built over the pages of a host that a task holds. A token
 lies in a long repeated substring exactly if it lies in a repeated one of
 ``LEAST_TOKENS`` tokens, so each task emits one row per distinct prefix of
-that length and host, with the number of its pages; sums per (host, prefix)
-join what tasks have found, and a host of any size needs no task of its own.
+that length and host, with some of its pages; counts per (host, prefix) join
+what tasks have found, and a host of any size needs no task of its own.
 
 Edge cases: null or empty html gives the empty text; a null or odd url counts
 as the empty host; pages with equal texts count as one page for repetition, so
@@ -98,7 +98,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     if not html:
         return []
     out: list[tuple[int, int, str]] = []  # (within: 2 article, 1 main, 0 neither; chrome; text)
-    stack: list[tuple[str, bool, int]] = []  # (tag, chrome, within)
+    stack: list[tuple[str, bool, int, list[str] | None]] = []  # (tag, chrome, within, text it interrupts)
     text: list[str] = []
     at = 0
 
@@ -106,10 +106,18 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         if text:
             line = " ".join(unescape("".join(text)).split())
             if line:
-                _, chrome, within = stack[-1] if stack else ("", False, 0)
+                _, chrome, within, _ = stack[-1] if stack else ("", False, 0, None)
                 out.append((within, int(chrome), line))
             text.clear()
 
+    def unwind(depth: int) -> None:
+        while len(stack) > depth:
+            if stack[-1][0] in BLOCKS or stack[-1][3] is not None:
+                flush()
+            before = stack.pop()[3]
+            if before is not None:
+                text[:] = [*before, " "]
+
     for m in _TAG.finditer(html):
         if m.start() > at:
             text.append(html[at:m.start()])
@@ -117,7 +125,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         if not m[3]:
             continue
         tag = m[3].lower()
-        if tag in BLOCKS or tag in SILENT:
+        if tag in BLOCKS:
             flush()
         elif tag == "br":
             text.append(" ")
@@ -126,7 +134,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         if m[2]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    unwind(k)
                     break
                 if stack[k][0] in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
                     break
@@ -134,15 +142,17 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         if tag in BLOCKS:
             while stack and stack[-1][0] in LOOSE and (stack[-1][0] not in ("li", "dd", "dt") or tag == stack[-1][0]):
                 stack.pop()
-        _, chrome, within = stack[-1] if stack else ("", False, 0)
+        _, chrome, within, _ = stack[-1] if stack else ("", False, 0, None)
         hidden = chrome or _is_chrome(tag, m[4], within > 0)
         if tag in BLOCKS or tag in SILENT or hidden and not chrome:
-            if hidden and not chrome and tag not in BLOCKS:
-                text.append(" ")
-                flush()
-            stack.append((tag, hidden, max(within, {"article": 2, "main": 1}.get(tag, 0))))
+            before = None
+            if tag not in BLOCKS:  # what it interrupts goes on after it
+                before = text[:]
+                text.clear()
+            stack.append((tag, hidden, max(within, {"article": 2, "main": 1}.get(tag, 0)), before))
     if at < len(html):
         text.append(html[at:])
+    unwind(0)
     flush()
     best = max((w for w, c, _ in out if not c), default=0)
     return [(CHROME if c else MAIN if w == best > 0 else OPEN, t) for w, c, t in out]
@@ -170,9 +180,9 @@ def prefix_names(stream: np.ndarray, length: int) -> np.ndarray:
     return name
 
 
-def suffix_runs(streams: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_runs(streams: list[np.ndarray], length: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of the concatenated streams, ordered by ``length``-token
-    prefixes: each prefix's name, and the number of streams that hold it."""
+    prefixes: the prefixes' names, each with up to ``most`` streams that hold it."""
     names = [prefix_names(s, length) for s in streams]
     owner = np.repeat(np.arange(len(names)), [len(x) for x in names])
     name = np.concatenate([*names, np.zeros(0, np.uint64)])
@@ -182,7 +192,10 @@ def suffix_runs(streams: list[np.ndarray], length: int) -> tuple[np.ndarray, np.
     new[1:] = name[1:] != name[:-1]
     other = new.copy()
     other[1:] |= owner[1:] != owner[:-1]
-    return name[new], np.add.reduceat(other.astype(np.int64), np.flatnonzero(new)) if len(name) else np.zeros(0, np.int64)
+    name, owner, new = name[other], owner[other], new[other]
+    first = np.flatnonzero(new)
+    place = np.arange(len(name)) - np.repeat(first, np.diff(np.append(first, len(name))))
+    return name[place < most], owner[place < most]
 
 
 def _stream(kinds, texts, known: dict[str, int], wanted: set[int]) -> np.ndarray:
@@ -211,23 +224,26 @@ def parse(pages: DataFrame) -> DataFrame:
 
 
 def repeated(parsed: DataFrame, length: int, least_pages: int) -> DataFrame:
-    """(host, name): the prefixes on enough distinct pages of a host."""
+    """(host, name): the prefixes on enough distinct pages of a host.
+
+    A task names at most ``least_pages`` pages for a prefix: more decide nothing.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for pdf in batches:
             if len(known) > 500_000:
                 known.clear()
-            for host, part in pdf.groupby("host"):
+            for host, part in pdf.drop_duplicates(["host", "page"]).groupby("host"):
                 streams = [_stream(k, t, known, {OPEN, CHROME})
                            for k, t in zip(part["kinds"], part["texts"], strict=True)]
-                name, pages = suffix_runs(streams, length)
-                yield pd.DataFrame({"host": host, "name": name.view(np.int64), "pages": pages})
+                name, owner = suffix_runs(streams, length, least_pages)
+                yield pd.DataFrame({"host": host, "name": name.view(np.int64), "page": part["page"].to_numpy()[owner]})
 
-    # one row of each text: copies of a page are one page
-    distinct = parsed.select("host", "kinds", "texts").dropDuplicates()
-    return (distinct.mapInPandas(run, "host string, name long, pages long").groupBy("host", "name")
-            .agg(F.sum("pages").alias("pages")).where(F.col("pages") >= least_pages).select("host", "name"))
+    # copies of a page have one hash and are one page
+    pages = parsed.select("host", F.xxhash64("kinds", "texts").alias("page"), "kinds", "texts")
+    return (pages.mapInPandas(run, "host string, name long, page long").distinct().groupBy("host", "name")
+            .agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages).select("host", "name"))
 
 
 def extract(pages: DataFrame, length: int = LEAST_TOKENS, least_pages: int = LEAST_PAGES) -> DataFrame:
