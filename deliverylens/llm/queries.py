@@ -49,7 +49,7 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-#: Levels from the suffix down; k: the strength of the prior of each.
+#: Three levels, from the suffix down; k: the strength of a level's differences.
 URL_FILTER = r"""
 WITH u AS (
   SELECT page_id,
@@ -67,40 +67,49 @@ WITH u AS (
 ), hosts AS (
   SELECT host, n, bad, array_to_string(parts[-cut:], '.') AS suffix,
          array_to_string(parts[-cut - 1:], '.') AS domain FROM h
-), d0 AS (
-  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+), total AS (
+  SELECT sum(bad) + coalesce(sum(bad) / nullif(sum(n), 0), 0.0) AS num, sum(n) + 1.0 AS size FROM hosts
 ), s0 AS (
-  SELECT suffix, sum(n) AS n, sum(bad) AS bad,
-         (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) FROM hosts) AS mean
-  FROM d0 GROUP BY suffix
-), ks AS (
-  SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
-         sum(n * mean * (1 - mean)) AS w FROM s0 WHERE n > 0
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(total.num) AS num, any_value(total.size) AS size
+  FROM hosts, total GROUP BY suffix
 ), s1 AS (
-  SELECT suffix, (bad + k * mean) / (n + k) AS mean FROM s0, (
-    SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
+  SELECT suffix, n, bad, size - n AS psize, (num - bad) / (size - n) AS mean FROM s0
+), sk AS (
+  SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
            THEN least(greatest((1 - (off - chance) / (w - chance)) / ((off - chance) / (w - chance)), 1.0), 10000.0)
-           ELSE 10000.0 END AS k FROM ks)
+           ELSE 10000.0 END AS k FROM (
+    SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
+           sum(n * mean * (1 - mean)) AS w FROM s1 WHERE n > 0)
+), s2 AS (
+  SELECT suffix, n, bad + e * mean AS num, n + e AS size
+  FROM (SELECT *, 1 / (1 / k + 1 / psize) AS e FROM s1, sk)
+), d0 AS (
+  SELECT suffix, domain, sum(h.n) AS n, sum(h.bad) AS bad, any_value(s2.num) AS num, any_value(s2.size) AS size
+  FROM hosts h JOIN s2 USING (suffix) GROUP BY suffix, domain
 ), d1 AS (
-  SELECT domain, suffix, n, bad, mean FROM d0 JOIN s1 USING (suffix)
-), kd AS (
-  SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
-         sum(n * mean * (1 - mean)) AS w FROM d1 WHERE n > 0
-), d2 AS (
-  SELECT suffix, domain, (bad + k * mean) / (n + k) AS mean FROM d1, (
-    SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
+  SELECT suffix, domain, n, bad, size - n AS psize, (num - bad) / (size - n) AS mean FROM d0
+), dk AS (
+  SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
            THEN least(greatest((1 - (off - chance) / (w - chance)) / ((off - chance) / (w - chance)), 1.0), 10000.0)
-           ELSE 10000.0 END AS k FROM kd)
+           ELSE 10000.0 END AS k FROM (
+    SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
+           sum(n * mean * (1 - mean)) AS w FROM d1 WHERE n > 0)
+), d2 AS (
+  SELECT suffix, domain, n, bad + e * mean AS num, n + e AS size
+  FROM (SELECT *, 1 / (1 / k + 1 / psize) AS e FROM d1, dk)
+), h0 AS (
+  SELECT host, h.n, h.bad, d2.num, d2.size FROM hosts h JOIN d2 USING (suffix, domain)
 ), h1 AS (
-  SELECT host, n, bad, mean FROM hosts JOIN d2 USING (suffix, domain)
-), kh AS (
-  SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
-         sum(n * mean * (1 - mean)) AS w FROM h1 WHERE n > 0
-), h2 AS (
-  SELECT host, n, n + k AS size, (bad + k * mean) / (n + k) AS post FROM h1, (
-    SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
+  SELECT host, n, bad, size - n AS psize, (num - bad) / (size - n) AS mean FROM h0
+), hk AS (
+  SELECT CASE WHEN (off - chance) / nullif(w - chance, 0) > 0
            THEN least(greatest((1 - (off - chance) / (w - chance)) / ((off - chance) / (w - chance)), 1.0), 10000.0)
-           ELSE 10000.0 END AS k FROM kh)
+           ELSE 10000.0 END AS k FROM (
+    SELECT sum(n * (bad / n - mean) ** 2) AS off, sum(mean * (1 - mean)) AS chance,
+           sum(n * mean * (1 - mean)) AS w FROM h1 WHERE n > 0)
+), h2 AS (
+  SELECT host, n, bad + e * mean AS num, n + e AS size
+  FROM (SELECT *, 1 / (1 / k + 1 / psize) AS e FROM h1, hk)
 ), fitted AS (
   SELECT u.*, r.rule, r.verdict,
          row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.rule) DESC, r.rule) AS place
@@ -108,12 +117,14 @@ WITH u AS (
                            ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow'))
        AS r(name, start, rule, verdict)
     ON (u.host = r.name OR ends_with(u.host, '.' || r.name)) AND starts_with(u.path, r.start)
+), share AS (
+  SELECT host, n, size, num / size AS mean FROM h2
 )
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN post - 2 * sqrt(post * (1 - post) / (size + 1)) > 0.5
+       coalesce(verdict, CASE WHEN mean - 2 * sqrt(mean * (1 - mean) / (size + 1)) > 0.5
                               THEN 'block' ELSE 'allow' END) AS verdict,
        n AS n_labelled
-FROM fitted JOIN h2 USING (host) WHERE place = 1
+FROM fitted JOIN share USING (host) WHERE place = 1
 """
 
 #: Exact distinct sites instead of sketches.

@@ -3,8 +3,10 @@
 Labelled outcomes of pages (bad or not) are counted per host, registered
 domain and suffix. Shares are shrunk down that tree: a suffix towards all
 pages, a domain towards its suffix, a host towards its domain, each by a
-beta-binomial prior whose strength is estimated from how much the shares of
-that level differ beyond chance (method of moments). A host is blocked if even
+beta-binomial prior. The prior's mean is the parent's posterior without the
+child's own pages; its strength falls with how much the shares of that level
+differ beyond chance (method of moments) and with how little is known of the
+parent. A host is blocked if even
 the lower posterior bound of its share of bad pages is over the limit, so a
 host without enough evidence is allowed. Everything is DataFrame expressions.
 
@@ -84,7 +86,8 @@ def tree(suffixes: tuple[str, ...]) -> tuple[Column, Column]:
 
 
 def _strength(level: DataFrame) -> Column:
-    """Strength of the prior (scalar) for rows (n, bad, mean: the parent's)."""
+    """Strength (scalar) of the differences between children with rows (n, bad,
+    mean: the prior's)."""
     var = F.col("mean") * (1 - F.col("mean"))
     off = F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("mean"), F.lit(2.0))
     s = level.where("n > 0").agg(
@@ -95,12 +98,14 @@ def _strength(level: DataFrame) -> Column:
     return s.select(F.least(F.greatest(kappa, F.lit(WEAKEST)), F.lit(STRONGEST))).scalar()
 
 
-def _shrunk(child: DataFrame) -> DataFrame:
-    """Rows (..., n, bad, mean) with the posterior (mean, weight) in their place."""
-    k = _strength(child)
-    return (child.withColumn("k", k)
-            .withColumn("post", (F.col("bad") + F.col("k") * F.col("mean")) / (F.col("n") + F.col("k")))
-            .withColumn("size", F.col("n") + F.col("k")))
+def _posterior(child: DataFrame) -> DataFrame:
+    """Rows (..., n, bad, num, size), the last two the parent's posterior (bad
+    pages, all pages), with the child's posterior in their place."""
+    prior = (child.withColumn("size", F.col("size") - F.col("n"))  # without the child's own pages
+             .withColumn("mean", (F.col("num") - F.col("bad")) / F.col("size")).drop("num"))
+    return (prior.withColumn("k", 1 / (1 / _strength(prior) + 1 / F.col("size")))
+            .withColumn("num", F.col("bad") + F.col("k") * F.col("mean"))
+            .withColumn("size", F.col("n") + F.col("k")).drop("k", "mean"))
 
 
 def reputations(hosts: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
@@ -112,15 +117,17 @@ def reputations(hosts: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = hosts.groupBy("suffix", "domain").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)
-    every = suffixes.select((F.sum("bad") / F.nullif(F.sum("n"), F.lit(0))).alias("m")).select(
-        F.coalesce("m", F.lit(0.0))).scalar()
+    total = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    # all pages, and one more of their average
+    num = total.select(F.col("bad") + F.coalesce(F.col("bad") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0))).scalar()
+    size = total.select(F.col("n") + 1.0).scalar()
     # a level is read by the next one's strength and by its shrinking: written once
-    top = staged(_shrunk(suffixes.withColumn("mean", every)).select("suffix", F.col("post").alias("mean")), "suffixes")
-    mid = staged(_shrunk(domains.join(top, "suffix")).select("suffix", "domain", F.col("post").alias("mean")), "domains")
-    low = _shrunk(hosts.join(mid, ["suffix", "domain"]))
-    sd = F.sqrt(F.col("post") * (1 - F.col("post")) / (F.col("size") + 1))
-    return low.select("host", "n", "bad", F.col("post").alias("mean"),
-                      (F.col("post") - deviations * sd).alias("low"))
+    top = staged(_posterior(suffixes.withColumn("num", num).withColumn("size", size)).select("suffix", "num", "size"),
+                 "suffixes")
+    mid = staged(_posterior(domains.join(top, "suffix")).select("suffix", "domain", "num", "size"), "domains")
+    low = _posterior(hosts.join(mid, ["suffix", "domain"])).withColumn("mean", F.col("num") / F.col("size"))
+    sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("size") + 1))
+    return low.select("host", "n", "bad", "mean", (F.col("mean") - deviations * sd).alias("low"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES,
