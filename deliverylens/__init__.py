@@ -7,7 +7,6 @@ functions/  column-expression helpers (rates, buckets, calendar, translation)
 operators/  cleaning, fact build, dashboard KPIs, analysis, profiling,
             quality gate, geographic layers
 plans/      the end-to-end pipeline and the warehouse the queries read
-streaming/  incremental (file-arrival) refresh of the fact table
 """
 
 __version__ = "0.1.0"

@@ -19,11 +19,12 @@ def col(c: str | Column) -> Column:
 
 
 def _second_of_day(ts: Column) -> Column:
-    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    """With its fraction, as a decimal."""
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Whole seconds from ``start`` to ``end`` (wall-clock, time-zone free).
+    """Seconds from ``start`` to ``end``, to the microsecond (wall-clock, time-zone free).
 
     Built from calendar parts (day difference and second of day) because
     ``timestamp_diff`` on ``timestamp_ntz`` values resolves wall-clock times
@@ -41,8 +42,7 @@ def days_between(start: str | Column, end: str | Column) -> Column:
 
 
 def seconds_of(days: str | Column) -> Column:
-    """Fractional days back to whole seconds (exact: durations come from
-    timestamps with one-second resolution)."""
+    """Fractional days to the nearest whole second, for exact sums."""
     return F.round(col(days) * F.lit(SECONDS_PER_DAY)).cast("long")
 
 

@@ -73,13 +73,13 @@ def stage_describe(fact: DataFrame) -> DataFrame:
 def bottleneck_stage(fact: DataFrame) -> DataFrame:
     """The stage with the largest mean (ties: the earlier stage); one
     aggregation of the three means, then a pick over three values."""
-    means = fact.agg(*[F.round(avg_days(c), 2).alias(f"m{i}") for i, c in enumerate(STAGES)])
+    means = fact.agg(*[avg_days(c).alias(f"m{i}") for i, c in enumerate(STAGES)])
     cands = F.array(*[F.struct(F.col(f"m{i}").alias("mean_days"), F.lit(-(i + 1)).alias("neg_order"),
                                F.lit(name).alias("stage"))
                       for i, name in enumerate(STAGE_NAMES)])
     best = F.array_max(cands)
     return means.select(best["stage"].alias("bottleneck_stage"),
-                        best["mean_days"].alias("mean_days"))
+                        F.round(best["mean_days"], 2).alias("mean_days"))
 
 
 def stage_box_stats(fact: DataFrame) -> DataFrame:
@@ -91,6 +91,11 @@ def seller_profile(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     """Per seller id (NULL dropped): rows, late rows, three means, first
     state / city, late rate; sellers with ``min_orders`` rows; rate desc,
     rounded last (2 decimals)."""
+    return _seller_profile(fact, min_orders).orderBy(F.desc("_rate"), "seller_id").drop("_rate")
+
+
+def _seller_profile(fact: DataFrame, min_orders: int) -> DataFrame:
+    """N8 with the unrounded rate ``_rate``, by which sellers are ranked."""
     g = (fact.filter(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("is_delayed").cast("long").alias("delayed_orders"),
@@ -105,8 +110,7 @@ def seller_profile(fact: DataFrame, min_orders: int = 10) -> DataFrame:
                      F.round("avg_processing_days", 2).alias("avg_processing_days"),
                      F.round("avg_delay_days", 2).alias("avg_delay_days"),
                      F.round("avg_review_score", 2).alias("avg_review_score"),
-                     "seller_state", "seller_city", F.round(rate, 2).alias("delay_rate_pct"))
-            .orderBy(F.desc("delay_rate_pct"), "seller_id"))
+                     "seller_state", "seller_city", F.round(rate, 2).alias("delay_rate_pct"), rate.alias("_rate")))
 
 
 def _with_seller_mean(profile: DataFrame) -> DataFrame:
@@ -116,10 +120,10 @@ def _with_seller_mean(profile: DataFrame) -> DataFrame:
 
 
 def top_sellers(fact: DataFrame, n: int = 15, min_orders: int = 10) -> DataFrame:
-    """Top ``n`` sellers by (rounded) rate with a 10-character label and
+    """Top ``n`` sellers by (unrounded) rate with a 10-character label and
     a flag for a rate above the mean of all profiled sellers."""
-    p = _with_seller_mean(seller_profile(fact, min_orders))
-    return (p.orderBy(F.desc("delay_rate_pct"), "seller_id").limit(n)
+    p = _with_seller_mean(_seller_profile(fact, min_orders))
+    return (p.orderBy(F.desc("_rate"), "seller_id").limit(n)
             .select(F.substring("seller_id", 1, 10).alias("label"), "seller_id",
                     "seller_city", "seller_state", "total_orders", "delayed_orders",
                     "delay_rate_pct", "avg_processing_days", "avg_review_score",
@@ -142,17 +146,22 @@ def seller_rate_stats(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 
 def problem_sellers(fact: DataFrame, min_orders: int = 10) -> DataFrame:
     """Sellers whose rate >= mean + 1 sample std of all seller rates."""
-    p = _with_seller_mean(seller_profile(fact, min_orders))
+    p = _with_seller_mean(_seller_profile(fact, min_orders))
     thr = F.col("mean_rate") + F.col("std_rate")
     return (p.filter(F.col("delay_rate_pct") >= thr)
             .select("seller_id", "seller_city", "seller_state", "total_orders",
-                    "delay_rate_pct", F.round(thr, 2).alias("threshold_pct"))
-            .orderBy(F.desc("delay_rate_pct"), "seller_id"))
+                    "delay_rate_pct", F.round(thr, 2).alias("threshold_pct"), "_rate")
+            .orderBy(F.desc("_rate"), "seller_id").drop("_rate"))
 
 
 def state_profile(fact: DataFrame) -> DataFrame:
     """Per customer state (NULL dropped), six aggregates and the rate,
     sorted by rate (desc), 2 decimals."""
+    return _state_profile(fact).orderBy(F.desc("_rate"), "customer_state").drop("_rate", "_days")
+
+
+def _state_profile(fact: DataFrame) -> DataFrame:
+    """N12 with the unrounded rate and delivery time, by which states are ranked."""
     g = fact.filter(F.col("customer_state").isNotNull()).groupBy("customer_state").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("is_delayed").cast("long").alias("delayed_orders"),
@@ -164,8 +173,8 @@ def state_profile(fact: DataFrame) -> DataFrame:
     return (g.select("customer_state", "total_orders", "delayed_orders",
                      *[F.round(c, 2).alias(c) for c in ["avg_delivery_days", "avg_carrier_transit",
                                                         "avg_seller_proc", "avg_review_score"]],
-                     F.round(rate, 2).alias("delay_rate_pct"))
-            .orderBy(F.desc("delay_rate_pct"), "customer_state"))
+                     F.round(rate, 2).alias("delay_rate_pct"), rate.alias("_rate"),
+                     F.col("avg_delivery_days").alias("_days")))
 
 
 def state_vs_national(fact: DataFrame) -> DataFrame:
@@ -189,7 +198,7 @@ def state_vs_national(fact: DataFrame) -> DataFrame:
 
 def top_states(fact: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` states with the highest delay rate."""
-    return (state_profile(fact).orderBy(F.desc("delay_rate_pct"), "customer_state").limit(n)
+    return (_state_profile(fact).orderBy(F.desc("_rate"), "customer_state").limit(n)
             .select("customer_state", "total_orders", "delay_rate_pct", "avg_delivery_days",
                     "avg_carrier_transit", "avg_review_score"))
 
@@ -210,13 +219,13 @@ def score_by_late_flag(fact: DataFrame) -> DataFrame:
 
 
 def score_drop(fact: DataFrame) -> DataFrame:
-    """On-time mean minus late mean, conditional means in one pass."""
+    """On-time mean minus late mean, both rounded first; one pass."""
     rev = fact.filter(F.col("review_score").isNotNull())
     s = F.col("review_score").cast("double")
     on = F.avg(F.when(F.col("is_delayed") == 0, s))
     late = F.avg(F.when(F.col("is_delayed") == 1, s))
     return rev.agg(F.round(on, 3).alias("mean_on_time"), F.round(late, 3).alias("mean_late"),
-                   F.round(on - late, 3).alias("score_drop"))
+                   F.round(F.round(on, 3) - F.round(late, 3), 3).alias("score_drop"))
 
 
 # The notebook's delay intervals (days, right-closed) and labels.
@@ -246,9 +255,9 @@ def delay_score_sample(fact: DataFrame, n: int = 3000, seed: int = 42) -> DataFr
     A top-n by hash: each task keeps its n smallest, so the sample never
     gathers more than n rows per task."""
     rev = fact.filter(F.col("review_score").isNotNull())
-    h = F.xxhash64(F.lit(seed), "order_id", "review_score", "delay_days")
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), "order_id", F.col("review_score").cast("string")))
     return (rev.select("order_id", "review_score", "delay_days", h.alias("_h"))
-            .orderBy("_h", "order_id", "review_score").limit(n)
+            .orderBy("_h", "order_id", "review_score", "delay_days").limit(n)
             .select("order_id", clip("delay_days", -5, 30).alias("delay_days_clipped"),
                     "review_score"))
 
@@ -267,9 +276,9 @@ def executive_summary(fact: DataFrame, min_orders: int = 10) -> DataFrame:
         F.count(F.lit(1)).alias("active_sellers"),
         F.round(avg_fixed("delay_rate_pct"), 2).alias("mean_seller_delay_rate"),
         F.count_if(F.col("delay_rate_pct") > 50).alias("sellers_over_50_pct"))
-    states = state_profile(fact).agg(
-        F.max(F.struct(F.col("delay_rate_pct"), F.col("customer_state"))).alias("w"),
-        F.max(F.struct(F.col("avg_delivery_days"), F.col("customer_state"))).alias("s"))
+    states = _state_profile(fact).agg(
+        F.max(F.struct("_rate", "customer_state", "delay_rate_pct")).alias("w"),
+        F.max(F.struct("_days", "customer_state", "avg_delivery_days")).alias("s"))
     states = states.select(F.col("w.customer_state").alias("worst_state"),
                            F.col("w.delay_rate_pct").alias("worst_state_delay_rate"),
                            F.col("s.customer_state").alias("slowest_state"),

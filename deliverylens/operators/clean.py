@@ -48,7 +48,7 @@ def to_double_col(df: DataFrame, c: str) -> Column:
     """Text -> double, bad -> NULL (``pd.to_numeric(errors='coerce')``)."""
     if isinstance(_dtype(df, c), T.DoubleType):
         return F.col(c)
-    return F.expr(f"try_cast(`{c}` AS double)")
+    return F.expr(f"nanvl(try_cast(`{c}` AS double), NULL)")  # text 'NaN' is no number
 
 
 def to_int_col(df: DataFrame, c: str) -> Column:
@@ -115,8 +115,8 @@ def clip_stages(df: DataFrame, cols: Sequence[str] = tuple(STAGE_COLUMNS)) -> Da
 
 
 def add_late_flag(df: DataFrame) -> DataFrame:
-    """late = delivered strictly after the estimate."""
-    return df.withColumn("is_delayed", (F.col("delay_days") > 0).cast("int"))
+    """late = delivered strictly after the estimate; without one, not late."""
+    return df.withColumn("is_delayed", F.coalesce(F.col("delay_days") > 0, F.lit(False)).cast("int"))
 
 
 def fill_category(df: DataFrame, value: str = "unknown") -> DataFrame:
@@ -182,19 +182,23 @@ def clean_sellers(raw: DataFrame, strip_leading_zeros: bool = False) -> DataFram
 def aggregate_geolocation(raw: DataFrame, digits: int | None = 6,
                           strip_leading_zeros: bool = False) -> DataFrame:
     """One row per zip prefix: mean lat / lng (rounded to ``digits``, or
-    unrounded with None) and a deterministic 'first' city / state (the
-    smallest (city, state) pair: Spark has no file order)."""
+    unrounded with None) and a deterministic 'first' city / state (those of the
+    smallest (city, state) pair that has one: Spark has no file order, and
+    'first' skips NULL)."""
     df = to_text(raw, ["geolocation_zip_code_prefix"], strip_leading_zeros)
     df = coerce_doubles(df, ["geolocation_lat", "geolocation_lng"])
     lat, lng = F.avg("geolocation_lat"), F.avg("geolocation_lng")
     if digits is not None:
         lat, lng = F.round(lat, digits), F.round(lng, digits)
-    first = F.min(F.struct("geolocation_city", "geolocation_state"))
+    pair = F.struct("geolocation_city", "geolocation_state")
+    city = F.min(F.when(F.col("geolocation_city").isNotNull(), pair))
+    state = F.min(F.when(F.col("geolocation_state").isNotNull(), F.struct(
+        F.col("geolocation_city").isNull(), "geolocation_city", "geolocation_state")))
     return (df.groupBy("geolocation_zip_code_prefix")
-            .agg(lat.alias("lat"), lng.alias("lng"), first.alias("_f"))
+            .agg(lat.alias("lat"), lng.alias("lng"), city.alias("_c"), state.alias("_s"))
             .select("geolocation_zip_code_prefix", "lat", "lng",
-                    F.col("_f.geolocation_city").alias("city"),
-                    F.col("_f.geolocation_state").alias("state")))
+                    F.col("_c.geolocation_city").alias("city"),
+                    F.col("_s.geolocation_state").alias("state")))
 
 
 def dedupe_geolocation_first(raw: DataFrame, order_by: Sequence[str] = ("geolocation_lat",

@@ -29,7 +29,8 @@ ITEM_COLUMNS = ["product_id", "seller_id", "price", "freight_value"]
 def first_item_per_order(items: DataFrame, order_col: str | None = None) -> DataFrame:
     """The item with the lowest ``order_item_id`` of each order.
 
-    Grouped min over (order_item_id, product_id, seller_id, price, freight):
+    Grouped min over (order_item_id, product_id, seller_id, price, freight),
+    items without an id left out (a minimum skips NULL):
     ties on the item id break on the remaining fields, so the result is
     deterministic. Partial aggregation runs before the shuffle, so an order
     with a huge number of items still sends one row per map task.
@@ -39,8 +40,8 @@ def first_item_per_order(items: DataFrame, order_col: str | None = None) -> Data
     first = order_col or "order_item_id"
     fields = [first] + [c for c in ["order_item_id"] + ITEM_COLUMNS if c != first]
     return (items.groupBy("order_id")
-            .agg(F.min(F.struct(*fields)).alias("_first"))
-            .select("order_id", *[F.col(f"_first.{c}").alias(c) for c in ITEM_COLUMNS]))
+            .agg(F.min(F.when(F.col(first).isNotNull(), F.struct(*fields))).alias("_first"))
+            .where("_first IS NOT NULL").select("order_id", *[F.col(f"_first.{c}").alias(c) for c in ITEM_COLUMNS]))
 
 
 def first_item_semijoin(items: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ _DEFAULTS = {
 }
 
 
-NULLABLE_FACT_COLUMNS = {"customer_lat", "customer_lng", "review_score", "order_approved_at"}
+NULLABLE_FACT_COLUMNS = {"review_score", "order_approved_at"}
 
 
 def apply_engine_defaults(fact: DataFrame) -> DataFrame:

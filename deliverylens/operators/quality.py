@@ -23,7 +23,7 @@ def quality_report(fact: DataFrame) -> DataFrame:
         F.count_if(oid.isNull() | (oid == "")).alias("empty_order_id"),
         F.count_if(F.col("actual_delivery_days") < 0).alias("negative_delivery"),
         F.count_if(~score.isin(1, 2, 3, 4, 5) & score.isNotNull()).alias("invalid_score"),
-        F.count_if(~flag.isin(0, 1)).alias("invalid_flag"),
+        F.count_if(flag.isNull() | ~flag.isin(0, 1)).alias("invalid_flag"),
     )
     rows = F.array(*[F.struct(F.lit(i).alias("check_id"), F.lit(name).alias("check_name"),
                               F.col(c).alias("value"))

@@ -37,10 +37,10 @@ fact_query("n04_stage_mean_median", A.stage_mean_median, "\nUNION ALL\n".join(
 fact_query("n05_stage_describe", A.stage_describe, describe_sql(STAGES, "fact"))
 
 _means = "\nUNION ALL\n".join(
-    f"SELECT {i + 1} AS stage_order, '{n}' AS stage, round({avgd(c)}, 2) AS mean_days FROM fact"
+    f"SELECT {i + 1} AS stage_order, '{n}' AS stage, {avgd(c)} AS mean_days FROM fact"
     for i, (c, n) in enumerate(zip(STAGES, STAGE_NAMES)))
 fact_query("n06_bottleneck_stage", A.bottleneck_stage, f"""
-SELECT stage AS bottleneck_stage, mean_days FROM ({_means})
+SELECT stage AS bottleneck_stage, round(mean_days, 2) AS mean_days FROM ({_means})
 ORDER BY mean_days DESC, stage_order LIMIT 1""")
 
 _c, _s = box_sql(STAGES, "fact", 0, 20)
@@ -61,19 +61,20 @@ sp AS (
     round(avg_processing_days, 2) AS avg_processing_days,
     round(avg_delay_days, 2) AS avg_delay_days, round(avg_review_score, 2) AS avg_review_score,
     seller_state, seller_city,
-    round(delayed_orders / total_orders * CAST(100 AS DOUBLE), 2) AS delay_rate_pct
+    round(delayed_orders / total_orders * CAST(100 AS DOUBLE), 2) AS delay_rate_pct,
+    delayed_orders / total_orders AS share
   FROM sp0),
 sps AS (SELECT {avgc('delay_rate_pct')} AS mean_rate, stddev_samp(delay_rate_pct) AS std_rate FROM sp)
 """
 
 fact_query("n08_seller_profile", A.seller_profile,
-            "SELECT * FROM sp ORDER BY delay_rate_pct DESC, seller_id", SELLER_PROFILE_CTE)
+            "SELECT * EXCLUDE (share) FROM sp ORDER BY share DESC, seller_id", SELLER_PROFILE_CTE)
 
 fact_query("n09_top_sellers", A.top_sellers, """
 SELECT left(seller_id, 10) AS label, seller_id, seller_city, seller_state, total_orders,
   delayed_orders, delay_rate_pct, avg_processing_days, avg_review_score,
   delay_rate_pct > mean_rate AS above_mean
-FROM sp CROSS JOIN sps ORDER BY delay_rate_pct DESC, seller_id LIMIT 15""", SELLER_PROFILE_CTE)
+FROM sp CROSS JOIN sps ORDER BY share DESC, seller_id LIMIT 15""", SELLER_PROFILE_CTE)
 
 _c, _s = histogram_sql("delay_rate_pct", "sp", 30)
 fact_query("n10_seller_rate_histogram", A.seller_rate_histogram, _s,
@@ -101,12 +102,13 @@ st AS (
     round(avg_delivery_days, 2) AS avg_delivery_days,
     round(avg_carrier_transit, 2) AS avg_carrier_transit,
     round(avg_seller_proc, 2) AS avg_seller_proc, round(avg_review_score, 2) AS avg_review_score,
-    round(delayed_orders / total_orders * CAST(100 AS DOUBLE), 2) AS delay_rate_pct
+    round(delayed_orders / total_orders * CAST(100 AS DOUBLE), 2) AS delay_rate_pct,
+    delayed_orders / total_orders AS share, avg_delivery_days AS days
   FROM st0)
 """
 
 fact_query("n12_state_profile", A.state_profile,
-            "SELECT * FROM st ORDER BY delay_rate_pct DESC, customer_state", STATE_PROFILE_CTE)
+            "SELECT * EXCLUDE (share, days) FROM st ORDER BY share DESC, customer_state", STATE_PROFILE_CTE)
 
 fact_query("n13_state_vs_national", A.state_vs_national, f"""
 SELECT customer_state, delay_rate_pct, avg_delivery_days,
@@ -120,7 +122,7 @@ FROM st CROSS JOIN (SELECT {avgc('delay_rate_pct')} AS nd, {avgc('avg_delivery_d
 fact_query("n13_top_states", A.top_states, """
 SELECT customer_state, total_orders, delay_rate_pct, avg_delivery_days, avg_carrier_transit,
   avg_review_score
-FROM st ORDER BY delay_rate_pct DESC, customer_state LIMIT 5""", STATE_PROFILE_CTE)
+FROM st ORDER BY share DESC, customer_state LIMIT 5""", STATE_PROFILE_CTE)
 
 # ---- N14 - N17 -----------------------------------------------------------------
 
@@ -133,8 +135,8 @@ FROM fact WHERE review_score IS NOT NULL GROUP BY is_delayed ORDER BY is_delayed
 fact_query("n14_score_drop", A.score_drop, """
 SELECT round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS DOUBLE) END), 3) AS mean_on_time,
   round(avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 3) AS mean_late,
-  round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS DOUBLE) END)
-        - avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 3) AS score_drop
+  round(round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS DOUBLE) END), 3)
+        - round(avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 3), 3) AS score_drop
 FROM fact WHERE review_score IS NOT NULL""")
 
 fact_query("n15_score_by_delay_interval", A.score_by_delay_interval, """
@@ -151,8 +153,13 @@ FROM (SELECT review_score, CASE
       FROM fact WHERE review_score IS NOT NULL)
 WHERE delay_bucket IS NOT NULL GROUP BY delay_bucket ORDER BY bucket_order""")
 
-# N16 is a seeded hash sample: Spark's xxhash64 has no DuckDB twin (rows-only check).
-fact_query("n16_delay_score_sample", A.delay_score_sample, None)
+fact_query("n16_delay_score_sample", A.delay_score_sample, """
+SELECT order_id, CASE WHEN delay_days < -5 THEN CAST(-5 AS DOUBLE)
+                      WHEN delay_days > 30 THEN CAST(30 AS DOUBLE) ELSE delay_days END AS delay_days_clipped,
+       review_score
+FROM fact WHERE review_score IS NOT NULL
+ORDER BY md5('42|' || order_id || '|' || CAST(review_score AS VARCHAR)), order_id, review_score, delay_days
+LIMIT 3000""")
 
 fact_query("n17_executive_summary", A.executive_summary, f"""
 SELECT o.*, b.bottleneck_stage, s.*, w.worst_state, w.worst_state_delay_rate,
@@ -168,9 +175,9 @@ CROSS JOIN (SELECT count(*) AS active_sellers,
               round({avgc('delay_rate_pct')}, 2) AS mean_seller_delay_rate,
               count_if(delay_rate_pct > 50) AS sellers_over_50_pct FROM sp) s
 CROSS JOIN (SELECT customer_state AS worst_state, delay_rate_pct AS worst_state_delay_rate FROM st
-            ORDER BY delay_rate_pct DESC, customer_state DESC LIMIT 1) w
+            ORDER BY share DESC, customer_state DESC LIMIT 1) w
 CROSS JOIN (SELECT customer_state AS slowest_state, avg_delivery_days AS slowest_state_days FROM st
-            ORDER BY avg_delivery_days DESC, customer_state DESC LIMIT 1) sl
+            ORDER BY days DESC, customer_state DESC LIMIT 1) sl
 CROSS JOIN (SELECT round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS DOUBLE) END), 2)
                      AS score_on_time,
                    round(avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 2)

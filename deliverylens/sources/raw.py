@@ -14,6 +14,10 @@ FILE_NAMES = {name: f"{name}.csv" for name in RAW_TABLES}
 def read_raw(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """Read ``<directory>/<name>.csv`` with a header, every column as string.
 
+    Quoted fields may hold commas, line breaks and doubled quotes (review
+    comments do). A file with quoted line breaks cannot be split, so a large
+    table is best given as a folder ``<name>.csv`` of many files.
+
     A declared schema avoids Spark's inference pass (a full extra scan at
     scale) and keeps ids and zip prefixes as text (no lost leading zeros).
     """
@@ -21,7 +25,7 @@ def read_raw(spark: SparkSession, directory: str, name: str) -> DataFrame:
         raise KeyError(f"unknown raw table {name!r}; expected one of {sorted(FILE_NAMES)}")
     path = os.path.join(directory, FILE_NAMES[name])
     return (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-            .option("multiLine", "false").schema(raw_schema(name)).csv(path))
+            .option("multiLine", "true").option("quote", '"').option("escape", '"').schema(raw_schema(name)).csv(path))
 
 
 def read_raw_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
