@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +28,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def words_of(text: str) -> list[bytes]:
-    """The runs of non-white-space (ASCII white space only), as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").split()
-
-
-def lower_ascii(data: bytes) -> bytes:
-    """A-Z to a-z; ``bytes.lower`` leaves every other byte as it is."""
-    return data.lower()
+def words_of(text: str, lower: bool = False) -> list[bytes]:
+    """The runs of non-white-space (ASCII white space only), as UTF-8; ``lower``:
+    A-Z become a-z (``bytes.lower`` leaves every other byte as it is)."""
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.lower() if lower else data).split()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -49,31 +47,72 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def window_names(stream: np.ndarray, length: int) -> np.ndarray:
-    """64-bit names of all ``length``-element windows of an array of uint64."""
+    """64-bit names of all ``length``-element windows of an array of hashes."""
     n = max(0, len(stream) - length + 1)
     name = np.zeros(n, np.uint64)
     for k in range(length):
-        name = mix64(name * np.uint64(0x9E3779B97F4A7C15) + stream[k:k + n])
-    return name
-
-
-class WordHashes:
-    """64-bit hashes of words, remembering those seen (a cache of bounded size)."""
-
-    def __init__(self, most: int = 400_000):
-        self._known: dict[bytes, int] = {}
-        self._most = most
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
+        name *= np.uint64(0x9E3779B97F4A7C15)
+        name += stream[k:k + n]
+    return mix64(name)
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+_P = np.uint64(0x9E3779B97F4A7C15)
+_IS_SPACE = bytes(c in SPACES.encode() for c in range(256))
+#: Or anything in ASCII but letters and digits.
+NOT_ALNUM = bytes(c < 128 and not chr(c).isalnum() for c in range(256))
+#: Masks of the first 0 to 8 bytes of a little-endian word of 64 bits.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LONG_WORD = 256
+
+
+_BLOCK_BYTES = 500_000
+
+
+def blocks_of(texts: Iterable[str | None], fold: bool = False) -> Iterator[list[bytes]]:
+    """The texts as UTF-8 in lists of bounded size (or one text); A-Z as a-z,
+    or with ``fold`` all letters in lower case."""
+    held, size = [], 0
+    for t in texts:
+        t = t.lower() if t and fold else t or ""
+        held.append(t.encode("utf-8", "surrogatepass").lower())
+        size += len(held[-1])
+        if size >= _BLOCK_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def word_hashes(texts: list[bytes], between: bytes = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and where each text's
+    words begin and end: those of text i are from the i-th place to the next.
+
+    ``between`` says of each byte if it stands between words. Words are hashed
+    eight bytes at a time, all words at once.
+    """
+    data = b"\n".join([*texts, b""]) or b"\n"
+    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    space = np.frombuffer(data.translate(between), np.bool_)
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    edge = np.concatenate([[0][:not space[0]], edge]).astype(np.int64)  # the last byte is a space
+    first, size = edge[::2], edge[1::2] - edge[::2]
+    eight = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    h = mix64((eight[first] & _FIRST_BYTES[np.minimum(size, 8)]) + size.astype(np.uint64) * _P)
+    more, done = np.flatnonzero((size > 8) & (size <= _LONG_WORD)), 8
+    while len(more):
+        part = eight[first[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]
+        h[more] = mix64(h[more] * _P + part)
+        done += 8
+        more = more[size[more] > done]
+    if len(size) and size.max() > _LONG_WORD:
         import xxhash
 
-        known = self._known
-        if len(known) > self._most:
-            known.clear()
-        try:
-            return np.array([known[w] for w in words], np.uint64)
-        except KeyError:
-            for w in set(words):
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            return np.array([known[w] for w in words], np.uint64)
+        for i in np.flatnonzero(size > _LONG_WORD).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(data[first[i]:first[i] + size[i]])
+    return h, np.searchsorted(first, begin)

@@ -20,7 +20,7 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import WordHashes, lower_ascii, mix64, table, words_of
+from deliverylens.llm.common import blocks_of, mix64, table, word_hashes
 
 #: Entries of the word and of the pair table, and of a block sent at once.
 WORDS, PAIRS = 1 << 20, 1 << 22
@@ -55,16 +55,18 @@ class Model:
         return -np.log((known + ALPHA * single) / (context + ALPHA))
 
 
-def entries(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, pair with the word before, word before) of each token."""
-    words = words_of(text) if text else []
-    h = mix64(hashes([lower_ascii(w) for w in words])) if words else np.zeros(0, np.uint64)
-    word = (h & np.uint64(WORDS - 1)).astype(np.int64)
-    pair = np.zeros(len(h), np.int64)
-    pair[1:] = (mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) & np.uint64(PAIRS - 1)).astype(np.int64)
-    before = np.full(len(h), WORDS, np.int64)
-    before[1:] = word[:-1]
-    return word, pair, before
+def entries(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each text, its tokens' (word, pair with the word before, word before)."""
+    for block in blocks_of(texts):
+        h, begin = word_hashes(block)
+        words = (h & np.uint64(WORDS - 1)).astype(np.int64)
+        pairs = np.zeros(len(h), np.int64)
+        pairs[1:] = (mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) & np.uint64(PAIRS - 1)).astype(np.int64)
+        for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+            pair, before = pairs[a:b].copy(), np.full(b - a, WORDS, np.int64)
+            pair[:1] = 0
+            before[1:] = words[a:b - 1] if b > a else []
+            yield words[a:b], pair, before
 
 
 class _Counter:
@@ -90,11 +92,10 @@ class _Counter:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, at, target, every): a task's counts that aren't zero, by blocks."""
-    hashes = WordHashes()
     tables = [_Counter(WORDS + PAIRS) for _ in range(2)]  # target, all
     for b in batches:
-        for t, target in zip(b.column("text"), b.column("target").to_pylist(), strict=True):
-            word, pair, _ = entries(t.as_py(), hashes)
+        texts = (t.as_py() for t in b.column("text"))
+        for (word, pair, _), target in zip(entries(texts), b.column("target").to_pylist(), strict=True):
             at = np.concatenate([word, WORDS + pair[1:]])
             tables[1].add(at)
             if target:
@@ -151,11 +152,9 @@ def score(docs: DataFrame, models: tuple[Model, Model]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(models)  # of the parameters' size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
             n, loss = [], []
-            for t in b.column("text"):
-                found = entries(t.as_py(), hashes)
+            for found in entries(t.as_py() for t in b.column("text")):
                 n.append(len(found[0]))
                 loss.append([float(m.losses(*found).mean()) if n[-1] else 0.0 for m in shared.value])
             pair = np.array(loss, np.float64).reshape(-1, 2)
