@@ -49,6 +49,7 @@ THRESHOLD = 0.7
 #: Words whose scores a task remembers, documents it scores at a time.
 CACHE_WORDS = 400_000
 BLOCK = 128
+WORDS_AT_ONCE = 20_000
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
@@ -58,7 +59,7 @@ class Sample:
 
     toxic: int = 1500
     clean: int = 2500
-    chars: int = 12_000_000
+    chars: int = 6_000_000
 
 
 @dataclass(frozen=True)
@@ -69,18 +70,15 @@ class Model:
     bias: float
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hash buckets of the words' n-grams, with their borders, and of the
-    whole words: (word number, bucket), ordered by word number. A word without
-    letters or digits has none."""
+def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bare = [f"<{_NOT_WORD.sub('', w.lower())}>" for w in words]
     size = np.array([len(b) for b in bare], np.int64)
     code = np.frombuffer("".join(bare).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), size)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
     first = np.cumsum(size) - size
     place = np.arange(len(code)) - first[owner]
     power = np.cumprod(np.full(int(size.max(initial=1)), 1_000_003, np.uint64))
-    owners, hashes = [np.arange(len(words))], [np.add.reduceat(code * power[place], first)]
+    owners, hashes = [np.arange(len(words), dtype=np.int32)], [np.add.reduceat(code * power[place], first)]
     for n in GRAMS:
         ends = max(0, len(code) - n + 1)
         inside = owner[:ends] == owner[n - 1:][:ends]
@@ -90,13 +88,23 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(owner[:ends][inside])
         hashes.append(h[inside])
     who = np.concatenate(owners)
-    bucket = (mix64(np.concatenate(hashes)) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    bucket = (mix64(np.concatenate(hashes)) & np.uint64(BUCKETS - 1)).astype(np.int32)
     some = size[who] > 2
     who, bucket = who[some], bucket[some]
     order = np.argsort(who, kind="stable")
     return who[order], bucket[order]
 
 
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash buckets of the words' n-grams, with their borders, and of the
+    whole words: (word number, bucket), ordered by word number. A word without
+    letters or digits has none."""
+    parts = [(i, _features(words[i:i + WORDS_AT_ONCE])) for i in range(0, len(words), WORDS_AT_ONCE)]
+    none = np.zeros(0, np.int32)
+    return (np.concatenate([none, *(i + w for i, (w, _) in parts)]).astype(np.int32),
+            np.concatenate([none, *(b for _, (_, b) in parts)]))
+
+
 def _top_window(scores: np.ndarray, k: int = 1) -> list[int]:
     """Starts of the k best windows that don't overlap."""
     sums = np.cumsum(np.concatenate([[0.0], scores]))
