@@ -83,7 +83,6 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame] | str, out_dir:
                       for t, df in staged.items()})
     fact = build_fact(wh.staging(), unmatched=unmatched)
     write_fact(fact, wh.path("fact_operational_delivery"))
-    report = quality_report(wh.fact)
     if enforce_quality:
-        wh.checks = assert_quality(report)
+        wh.checks = assert_quality(quality_report(wh.fact))
     return wh

@@ -54,7 +54,7 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, Dat
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, out_dir: str,
-                    enforce_quality: bool = False) -> Warehouse:
+                    enforce_quality: bool = True) -> Warehouse:
     """Raw zone, staging tables and fact under ``out_dir``."""
     raw = write_raw_zone(spark, sf_dir, out_dir)
     return run_pipeline(spark, raw, out_dir, enforce_quality=enforce_quality)

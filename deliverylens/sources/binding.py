@@ -66,6 +66,8 @@ def raw_orders(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> D
     late_tail = F.when(k % 200 == 7, F.lit(480)).otherwise(F.lit(0))
     delivered = F.when(k % 101 == 0, F.lit(None)).otherwise(
         _plus_hours(carrier, (k * 17) % 241 + (n % 5) * 24 - 4 + late_tail))
+    # never before an hour after the purchase (a negative total fails the gate)
+    delivered = F.when(delivered.isNotNull(), F.greatest(delivered, _plus_hours(purchase, F.lit(1))))
     estimated = _plus_hours(purchase, (k % 15 + 10) * 24)
     return o.select(
         _str("o_orderkey").alias("order_id"),

@@ -21,14 +21,14 @@ def test_pipeline_from_csv_is_idempotent_and_prunes(spark, tmp_path):
         out.coalesce(1).write.mode("overwrite").option("header", True).csv(
             os.path.join(raw_dir, f"{name}.csv"))
     out_dir = str(tmp_path / "wh")
-    wh = run_pipeline(spark, raw_dir, out_dir, enforce_quality=False)
+    wh = run_pipeline(spark, raw_dir, out_dir)
     fact = wh.fact
     assert fact.count() == 1004
     assert [c for c in fact.columns if c != "purchase_ym"] == FACT_COLUMNS
     first = sorted(rows(fact.select(*FACT_COLUMNS)))
 
     # same result on a re-run into the same folder (full refresh)
-    wh2 = run_pipeline(spark, raw_dir, out_dir, enforce_quality=False)
+    wh2 = run_pipeline(spark, raw_dir, out_dir)
     assert sorted(rows(wh2.fact.select(*FACT_COLUMNS))) == first
     assert rows(quality_report(wh2.fact), "value")[0] == (1004,)
 
