@@ -6,12 +6,16 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from deliverylens.session import shared_dir
 
 #: ASCII white space; words are the maximal runs of anything else.
 SPACES = " \t\n\r\x0b\x0c"
+#: Bits of the filter that keeps most texts that a join would drop from its shuffle.
+FILTER_BITS = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +32,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mostly(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs whose key may be among ``keys``: surely those that are.
+
+    A bit array of fixed size is broadcast; what it lets through is joined
+    exactly by the caller."""
+    bit = F.pmod("key", F.lit(FILTER_BITS))
+    rows = keys.select((bit / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(key, {FILTER_BITS}) % 64 as int))").alias("b")
+                       ).groupBy("w").agg(F.bit_or("b").alias("b")).collect()  # a row a 64 bits at most
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in rows:
+        bits[r["w"]] = r["b"]
+    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool))
+
+    @F.pandas_udf("boolean")
+    def may(key: pd.Series) -> pd.Series:
+        return pd.Series(shared.value[key.to_numpy() % FILTER_BITS])
+
+    return docs.where(may("key"))
+
+
 def words_of(text: str, lower: bool = False) -> list[bytes]:
     """The runs of non-white-space (ASCII white space only), as UTF-8; ``lower``:
     A-Z become a-z (``bytes.lower`` leaves every other byte as it is)."""

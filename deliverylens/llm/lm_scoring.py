@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import blocks_of, mix64, table, word_hashes
+from deliverylens.llm.common import blocks_of, mix64, mostly, table, word_hashes
 
 #: Entries of the word and of the pair table, and of a block sent at once.
 WORDS, PAIRS = 1 << 20, 1 << 22
@@ -90,38 +90,37 @@ class _Counter:
             self.parts, self.waiting = [], 0
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, at, target, every): a task's counts that aren't zero, by blocks."""
-    tables = [_Counter(WORDS + PAIRS) for _ in range(2)]  # target, all
-    for b in batches:
-        texts = (t.as_py() for t in b.column("text"))
-        for (word, pair, _), target in zip(entries(texts), b.column("target").to_pylist(), strict=True):
-            at = np.concatenate([word, WORDS + pair[1:]])
-            tables[1].add(at)
-            if target:
-                tables[0].add(at)
-    for c in tables:
-        c.flush()
-    target, every = (c.total for c in tables)
-    for i in range(0, WORDS + PAIRS, _BLOCK):
-        at = np.flatnonzero(every[i:i + _BLOCK])
-        if len(at):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i // _BLOCK], pa.int64()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
-                 pa.array([target[i:i + _BLOCK][at].tobytes()], pa.binary()),
-                 pa.array([every[i:i + _BLOCK][at].tobytes()], pa.binary())],
-                names=["block", "at", "target", "every"])
+_PART = "block long, kind int, at binary, n binary"
+
+
+def _counts(texts: DataFrame, kind: int) -> DataFrame:
+    """(block, kind, at, n): a task's counts that aren't zero, by blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Counter(WORDS + PAIRS)
+        for b in batches:
+            for word, pair, _ in entries(t.as_py() for t in b.column(0)):
+                table.add(np.concatenate([word, WORDS + pair[1:]]))
+        table.flush()
+        for i in range(0, WORDS + PAIRS, _BLOCK):
+            at = np.flatnonzero(table.total[i:i + _BLOCK])
+            if len(at):
+                n = table.total[i:i + _BLOCK][at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i // _BLOCK], pa.int64()), pa.array([kind], pa.int32()),
+                     pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                    names=["block", "kind", "at", "n"])
+
+    return texts.select("text").mapInArrow(run, _PART)
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The blocks' sums as whole arrays, one row a block."""
     sums: dict[int, np.ndarray] = {}
     for b in batches:
-        for block, at, *counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for block, kind, at, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
             total = sums.setdefault(block, np.zeros((2, _BLOCK), np.int64))
-            where = np.frombuffer(at, np.uint16)
-            for k in range(2):
-                total[k, where] += np.frombuffer(counts[k], np.int64)
+            total[kind, np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
     for block, total in sums.items():
         yield pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), *(pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in total)],
@@ -130,10 +129,10 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, targets: DataFrame) -> tuple[Model, Model]:
     """(target model, background model); ``targets``: doc_id."""
-    wanted = targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    rows = docs.select("doc_id", "text").join(wanted, "doc_id", "left").select(
-        "text", F.coalesce("target", F.lit(False)).alias("target"))
-    parts = rows.mapInArrow(_count, "block long, at binary, target binary, every binary").repartition("block")
+    wanted = targets.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.col("doc_id").cast("long")).alias("key"))
+    own = mostly(rows, wanted.select(F.xxhash64("doc_id").alias("key"))).join(wanted, "doc_id", "left_semi")
+    parts = _counts(own, 0).unionByName(_counts(rows, 1)).repartition("block")
     counts = np.zeros((2, WORDS + PAIRS), np.float32)
     # as many rows as the table has blocks, whatever the corpus
     for r in parts.mapInArrow(_sum, "block long, target binary, every binary").toLocalIterator():
