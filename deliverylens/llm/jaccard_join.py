@@ -18,9 +18,10 @@ document's connected component, and no link between different sets is lost.
    traversal prunes pairs of tree nodes whose largest possible overlap is too
    small for a link, or which are one component already; pairs of sets that
    remain are compared exactly.
-4. Blocks of a family cut in several are joined in two more steps: the largest
-   components of the blocks with each other, and then the members outside the
-   family's largest component with all blocks.
+4. A large family is cut by size and hash. Its blocks are joined in two more
+   steps: the largest components of the blocks with each other, and then the
+   members outside the family's largest component with all blocks whose sizes
+   they could link with.
 
 Tasks hold one block; a hot signature reaches its owner once per batch of
 documents, not once per document.
@@ -33,7 +34,8 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,13 +45,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import WordHashes, lower_ascii, mix64, staged, table, window_names, words_of
+from deliverylens.llm.common import blocks_of, distinct, mix64, mostly, staged, table, window_names, word_hashes
 from deliverylens.llm.components import components
 
 #: Sets in a tree, sets in a leaf, largest components a block sends on first.
 BLOCK = 1024
 LEAF = 8
 FIRST = 8
+_GRAMS_AT_ONCE = 200_000
+#: Size bands of a family that is cut: each ends a tenth above its start.
+_STEP = 0.1
+_INFO = "<?qqqq"
 _BAND_RATIO = 0.7
 
 
@@ -76,13 +82,21 @@ class Spec:
         return 100 * common >= self.percent * (a + b - common)
 
 
-def shingles(text: str | None, spec: Spec, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's n-grams."""
-    words = words_of(text) if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    stream = hashes([lower_ascii(w) for w in words])
-    return np.unique(window_names(stream, min(spec.words, len(stream))) + np.uint64(min(spec.words, len(stream))))
+def shingles(texts: Iterable[str | None], spec: Spec) -> Iterator[np.ndarray]:
+    """Of each text, the sorted distinct 64-bit hashes of its n-grams."""
+    n = spec.words
+    for block in blocks_of(texts):
+        words, begin = word_hashes(block)
+        grams = window_names(words, n) + np.uint64(n)
+        for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+            if b - a >= n:
+                yield distinct(grams[a:b - n + 1])
+            else:  # the whole text, if it has words
+                yield window_names(words[a:b], b - a) + np.uint64(b - a) if b > a else words[:0]
+
+
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    return (t.as_py() for t in column)
 
 
 def node_of(grams: np.ndarray) -> int:
@@ -92,26 +106,37 @@ def node_of(grams: np.ndarray) -> int:
     return int(np.array([xxhash.xxh3_64_intdigest(grams.tobytes())], np.uint64).view(np.int64)[0])
 
 
-def signatures(grams: np.ndarray, spec: Spec) -> np.ndarray:
-    """Linked sets have one of these in common."""
-    n, out = len(grams), []
+def signatures(sets: list[np.ndarray], spec: Spec) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, signature): linked sets have one signature in common."""
+    size = np.array([len(s) for s in sets], np.int64)
+    grams = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    owner = np.repeat(np.arange(len(sets)), size)
     q = mix64(grams ^ np.uint64(0x5851F42D4C957F2D))
     r = mix64(q + np.uint64(0x14057B7EF767814F))
-    for hi in spec.bands(n):
-        apart = spec.most_apart(hi)
-        if apart == 0:
-            continue  # only equal sets can link
-        parts = apart + 4 + apart // 20
-        salt = mix64(np.array([hi], np.uint64))[0]
-        part = q % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        out.append(mix64(np.add.reduceat(r[order], first) + mix64(part[first] + salt)))
-        if parts - len(first) >= parts - apart:
-            prefix = grams[:n - -(-spec.percent * n // 100) + 1]
-            out.append(mix64(prefix ^ salt ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-    return np.concatenate([*out, np.zeros(0, np.uint64)])
+    q >>= np.uint64(32)
+    bands = [spec.bands(n) for n in size.tolist()]
+    owners, sigs = [], []
+    for slot in (0, 1):
+        hi = np.array([b[slot] if slot < len(b) else 0 for b in bands], np.uint64)
+        apart = np.array([spec.most_apart(int(h)) for h in hi], np.int64)
+        parts = np.where(apart > 0, apart + 4 + apart // 20, 0)  # else only equal sets can link
+        salt = mix64(hi)
+        base = np.cumsum(parts) - parts
+        here = np.flatnonzero((parts > 0)[owner])
+        who = owner[here]
+        at = base[who] + ((q[here] * parts[who].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        total = np.zeros(int(parts.sum()), np.uint64)
+        np.add.at(total, at, r[here])
+        full = np.flatnonzero(np.bincount(at, minlength=len(total)))
+        who = np.repeat(np.arange(len(sets)), parts)[full]
+        owners.append(who)
+        sigs.append(mix64(total[full] + mix64((full - base[who]).astype(np.uint64) + salt[who])))
+        filled = np.bincount(who, minlength=len(sets))
+        for i in np.flatnonzero((parts > 0) & (filled <= apart)).tolist():
+            prefix = sets[i][:size[i] - -(-spec.percent * int(size[i]) // 100) + 1]
+            owners.append(np.full(len(prefix), i))
+            sigs.append(mix64(prefix ^ salt[i] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+    return np.concatenate(owners), np.concatenate(sigs)
 
 
 class Union:
@@ -140,62 +165,86 @@ class Union:
         return up
 
 
-def _nodes(docs: DataFrame, spec: Spec) -> DataFrame:
-    """(doc_id, key, n, node): every row; key tells id and text apart from others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            sets = [shingles(t.as_py(), spec, hashes) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("key"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([node_of(s) for s in sets], pa.int64())], names=["doc_id", "key", "n", "node"])
-
-    return docs.mapInArrow(run, "doc_id long, key long, n long, node long")
+_ROWS = "sig long, member long, info binary"
 
 
 def _signed(docs: DataFrame, spec: Spec) -> DataFrame:
-    """(sig, node). Within a batch, nodes that share a signature are joined at
-    once: one of them stands for all under every signature, and a signature of
-    the batch's own holds the members together."""
+    """(sig, member, info). A member is a node as a batch of documents knows it,
+    numbered so that shuffled rows compress well. Rows with ``info`` tell of a
+    document: its id, key, number of n-grams and node. Within a batch, members
+    that share a signature are joined at once: one of them stands for all under
+    every signature, and a signature of the batch's own holds them together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, part = WordHashes(), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         for k, b in enumerate(batches):
-            sets = {}
-            for t in b.column("text"):
-                s = shingles(t.as_py(), spec, hashes)
-                if len(s):
-                    sets[node_of(s)] = s
-            if not sets:
+            sets, info, members, number = {}, [], [], {}
+            batch = part << 40 | k << 20
+            owners, sigs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            node_list: list[int] = []
+
+            def sign() -> None:
+                who, sig = signatures([s for s in sets.values() if s is not None], spec)
+                owners.append(who + len(node_list))
+                sigs.append(sig)
+                node_list.extend(n for n, s in sets.items() if s is not None)
+                sets.update(dict.fromkeys(sets))  # seen, and no longer held
+
+            held = 0
+            for doc_id, key, s in zip(b.column("doc_id").to_pylist(), b.column("key").to_pylist(),
+                                      shingles(_texts(b.column("text")), spec), strict=True):
+                node = node_of(s)
+                members.append(batch | number.setdefault(node, len(number)) if len(s) else -1)
+                info.append(struct.pack(_INFO, doc_id is not None, doc_id or 0, key, len(s), node))
+                if len(s) and node not in sets:
+                    sets[node] = s
+                    held += len(s)
+                    if held > _GRAMS_AT_ONCE:
+                        sign()
+                        held = 0
+            sign()
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(members, pa.int64()), pa.array(info, pa.binary())],
+                                             names=["sig", "member", "info"])
+            if not node_list:
                 continue
-            node = np.array(list(sets), np.int64)
-            sigs = [signatures(s, spec) for s in sets.values()]
-            sets.clear()
-            owner = np.repeat(np.arange(len(node)), [len(s) for s in sigs])
-            sig = np.concatenate(sigs)
-            order = np.lexsort((owner, sig))
+            own_id = np.array([batch | number[n] for n in node_list], np.int64)
+            owner, sig = np.concatenate(owners), np.concatenate(sigs)
+            order = np.argsort(sig, kind="stable")
             sig, owner = sig[order], owner[order]
             same = sig[1:] == sig[:-1]
-            union = Union(len(node))
-            for x, y in np.unique(np.stack([owner[:-1][same], owner[1:][same]], 1), axis=0).tolist():
+            union = Union(len(own_id))
+            for x, y in set(zip(owner[:-1][same].tolist(), owner[1:][same].tolist(), strict=True)):
                 union.join(x, y)
             root = union.roots()
             first = np.concatenate([[True], ~same]) if len(sig) else np.zeros(0, bool)
-            own = np.bincount(root, minlength=len(node))[root] > 1
-            batch = mix64(np.array([(part << 24) + k], np.uint64))[0]
-            sig = np.concatenate([sig[first], mix64(node[root[own]].view(np.uint64) ^ batch)])
-            who = np.concatenate([node[root[owner[first]]], node[own]])
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(who)], names=["sig", "node"])
+            own = np.bincount(root, minlength=len(own_id))[root] > 1
+            sig = np.concatenate([sig[first], mix64(own_id[root[own]].view(np.uint64))])
+            who = np.concatenate([own_id[root[owner[first]]], own_id[own]])
+            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(who),
+                                              pa.nulls(len(who), pa.binary())], names=["sig", "member", "info"])
 
-    return docs.mapInArrow(run, "sig long, node long")
+    return docs.mapInArrow(run, _ROWS)
 
 
 def _stars(signed: DataFrame) -> DataFrame:
-    """Edges (a, b) from the first node of every signature to its others."""
+    """Edges (a, b) from the first member of every signature to its others, and
+    the documents (b null; a is the member)."""
+    names = ["a", "b", "doc_id", "key", "n", "node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        got = []
+        for b in batches:
+            told = pa.compute.is_valid(b.column("info"))
+            docs = [struct.unpack(_INFO, x) for x in b.column("info").filter(told).to_pylist()]
+            if docs:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("member").filter(told), pa.nulls(len(docs), pa.int64()),
+                     pa.array([x[1] if x[0] else None for x in docs], pa.int64()),
+                     pa.array([x[2] for x in docs], pa.int64()), pa.array([x[3] for x in docs], pa.int64()),
+                     pa.array([x[4] for x in docs], pa.int64())], names=names)
+            rest = b.filter(pa.compute.invert(told))
+            if rest.num_rows:
+                got.append((rest.column(0).to_numpy(), rest.column(1).to_numpy()))
         if not got:
             return
         sig, node = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -205,9 +254,11 @@ def _stars(signed: DataFrame) -> DataFrame:
         low = np.repeat(node[first], np.diff(np.append(first, len(sig))))
         apart = low != node
         pairs = np.unique(np.stack([low[apart], node[apart]], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        none = pa.nulls(len(pairs), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none, none, none],
+                                         names=names)
 
-    return signed.repartition("sig").mapInArrow(run, "a long, b long")
+    return signed.repartition("sig").mapInArrow(run, "a long, b long, doc_id long, key long, n long, node long")
 
 
 class Tree:
@@ -324,51 +375,71 @@ def _joined(rows: DataFrame, keys: list[str], spec: Spec) -> DataFrame:
 
 def _grams(docs: DataFrame, spec: Spec) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
-            sets = [shingles(t.as_py(), spec, hashes) for t in b.column("text")]
+            sets = [s.tobytes() for s in shingles(_texts(b.column("text")), spec)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), b.column("family"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["node", "family", "grams"])
-
-    return docs.select("node", "family", "text").mapInArrow(run, "node long, family long, grams binary")
-
-
-def links(docs: DataFrame, nodes: DataFrame, spec: Spec) -> DataFrame:
-    """Links (a, b) between nodes that join all components."""
-    family = components(_stars(_signed(docs, spec))).withColumnRenamed("root", "family")
-    sizes = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    reps = (nodes.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
-            .join(family, "node").join(sizes, "family"))
-    texts = docs.select("key", "text").join(reps, "key")
-    sets = staged(_grams(texts, spec).join(sizes, "family").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "family-sets")
-    inside = staged(_joined(sets.withColumn("label", F.col("node")), ["family", "block"], spec), "links")
-    cut = sets.where("blocks > 1")
-    if cut.isEmpty():
+                [*(b.column(c) for c in ("node", "family", "band", "block")), pa.array(sets, pa.binary())],
+                names=["node", "family", "band", "block", "grams"])
+
+    return docs.select("node", "family", "band", "block", "text").mapInArrow(
+        run, "node long, family long, band int, block int, grams binary")
+
+
+def links(docs: DataFrame, found: DataFrame, spec: Spec) -> DataFrame:
+    """Links (a, b) between nodes that join all components; ``found``: see _stars."""
+    members = components(found.where("b IS NOT NULL").select("a", "b")).select(
+        F.col("node").alias("a"), F.col("root").alias("family"))
+    full = found.where("b IS NULL AND n > 0").select("a", "key", "node", F.col("n").alias("size"))
+    # a node's members share its signatures, so they are of one family
+    family = staged(full.join(members, "a").groupBy("node").agg(F.min("family").alias("family"), F.min("key").alias("key"),
+                                                                       F.max("size").alias("size")), "families")
+    sizes = family.groupBy("family").agg(F.count("*").alias("n"))
+    # families of one node have nothing to compare; small ones are one block
+    band = F.when(F.col("n") > BLOCK, F.floor(F.log(F.col("size").cast("double")) / _STEP)).otherwise(F.lit(0)).cast("int")
+    members = family.join(sizes.where("n > 1"), "family").withColumn("band", band)
+    bands = members.groupBy("family", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    reps = staged(members.join(bands, ["family", "band"]).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "representatives")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        texts = mostly(docs.select("key", "text"), some.select("key")).join(some, "key")
+        return _grams(texts, spec)
+
+    inside = staged(_joined(sets_of(reps).withColumn("label", F.col("node")), ["family", "band", "block"], spec), "links")
+    large = reps.where("n > %d" % BLOCK)
+    if large.isEmpty():
         return inside
+    cut = staged(sets_of(large).select("node", "grams"), "family-sets")
+    place = large.select("node", "family", "band", "block", "size")
+    targets = place.groupBy("family", "band", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
 
     def labelled(found: DataFrame) -> DataFrame:
+        """The places with each node's component so far; sets join in at the end."""
         root = components(found)
-        return cut.join(root, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+        return staged(place.join(root, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"),
+                      "places")
 
     # the largest components of the blocks meet first, one set of each
     now = labelled(inside)
-    largest = (now.groupBy("family", "block", "label").agg(F.count("*").alias("size"), F.min("node").alias("node"))
-               .groupBy("family", "block").agg(F.slice(F.sort_array(F.collect_list(
-                   F.struct("size", "node")), asc=False), 1, FIRST).alias("top"))
-               .select(F.explode("top.node").alias("node")))
-    between = staged(_joined(now.join(largest, "node", "left_semi"), ["family"], spec), "links")
+    largest = (now.groupBy("family", "band", "block", "label").agg(F.count("*").alias("size"), F.min("node").alias("node"))
+               .groupBy("family", "band", "block").agg(F.slice(F.sort_array(F.collect_list(
+                   F.struct("size", "node", "label")), asc=False), 1, FIRST).alias("top"))
+               .select("family", F.inline("top")).drop("size"))
+    between = staged(_joined(cut.join(largest, "node"), ["family"], spec), "links")
     # then what lies outside the family's largest component meets every block
-    now = staged(labelled(inside.unionByName(between)), "family-sets")
+    now = labelled(inside.unionByName(between))
     main = (now.groupBy("family", "label").agg(F.count("*").alias("size")).groupBy("family")
             .agg(F.max(F.struct("size", "label")).alias("m")).select("family", F.col("m.label").alias("main")))
-    rest = (now.join(main, "family").where("label <> main").drop("main")
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    mixed = rest.select("family", "block").distinct()  # families of one component need no more
-    again = now.join(mixed, ["family", "block"], "left_semi").unionByName(
-        rest.withColumn("block", F.col("block").cast(now.schema["block"].dataType)), allowMissingColumns=False)
-    return inside.unionByName(between).unionByName(staged(_joined(again, ["family", "block"], spec), "links"))
+    rest = now.join(main, "family").where("label <> main").select("node", "family", "label", "size")
+    # linked sets differ in size by the threshold at most
+    near = ((100 * F.col("low") <= F.col("size") * (10_000 / spec.percent)) &
+            (100 * F.col("high") >= F.col("size") * spec.percent))
+    sent = rest.join(targets, "family").where(near).select("node", "family", "band", "block", "label")
+    mixed = rest.select("family").distinct()  # families of one component need no more
+    again = (now.join(mixed, "family", "left_semi").select("node", "family", "band", "block", "label")
+             .unionByName(sent).distinct())
+    return inside.unionByName(between).unionByName(
+        staged(_joined(cut.join(again, "node"), ["family", "band", "block"], spec), "links"))
 
 
 def cluster(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -380,8 +451,9 @@ def cluster(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """
     spec = Spec(words, percent)
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("key"))
-    nodes = staged(_nodes(docs, spec), "nodes")
-    root = components(links(docs, nodes, spec))
+    found = staged(_stars(_signed(docs, spec)), "signatures")
+    root = components(links(docs, found, spec))
+    nodes = found.where("b IS NULL").select("doc_id", "key", "n", "node")
     full = nodes.where("n > 0")
     least = (full.groupBy("node").agg(F.min("doc_id").alias("least")).join(root, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
