@@ -51,7 +51,7 @@ WIDTH = 2 * SIDE + GRAM
 CHUNK_BYTES = 12_000_000
 BLOCK_BYTES = 200_000
 #: Contexts whose suffixes are sorted at a time.
-AT_ONCE = 20_000
+AT_ONCE = 8_000
 #: An anchor in more chunks than this is hot.
 MANY_CHUNKS = 512
 
