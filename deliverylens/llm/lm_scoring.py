@@ -1,16 +1,21 @@
 """LM scoring: cross-entropy difference of two matched n-gram models.
 
 The target model is counted on the target documents, the background model on
-all of them. Both are interpolated word bigrams over one shared vocabulary: a
-word is its hash among ``WORDS``, a pair of words its hash among ``PAIRS``, so
-no word is unknown to either and the models' size is a parameter. Background
+all of them. Both are interpolated word bigrams: words and pairs of words go by
+64-bit hashes, and every one of them has its own count, however many there are.
+``WORDS`` is the size of the vocabulary that smoothing assumes. Background
 counts are scaled to the target's number of tokens, so the same smoothing means
 the same in both. A document's score is the mean over its tokens of target loss
 minus background loss, in nats: below 0, it is more like the target.
 
-Counting covers every token of every document. Each task adds up its own counts
-and sends what is not zero, by blocks of the table; the sums are streamed
-together block by block. Scoring broadcasts the two finished tables.
+Counting covers every token of every document. A token's loss is the logarithm
+of its context's count less that of its pair's smoothed count. The most frequent
+words and pairs of a sample (``HEAD_WORDS``, ``HEAD_PAIRS``) are counted over
+everything first and broadcast; documents settle these tokens themselves. The
+others meet their counts in one shuffle: a document's distinct pairs are dealt
+by the word, or by the pair if the word is among the frequent ones, so that no
+frequent word or pair lands in one task. Which ones the sample finds decides
+what is shuffled, never a count.
 
 Edge cases: null or empty texts have no tokens and score 0; without target
 documents both models are uniform and every score is 0; several target rows of
@@ -20,149 +25,234 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from deliverylens.llm.common import blocks_of, mix64, mostly, table, word_hashes
 
-#: Entries of the word and of the pair table, and of a block sent at once.
-WORDS, PAIRS = 1 << 20, 1 << 22
-_BLOCK = 1 << 14
+#: The vocabulary that smoothing assumes.
+WORDS = 1 << 20
 #: Weight of the word model in the pair model, in tokens.
 ALPHA = 4.0
-_AT_ONCE = 1 << 20
+#: Words and pairs that are broadcast, and the documents and characters they are looked for in.
+HEAD_WORDS, HEAD_PAIRS = 1 << 16, 1 << 19
+SAMPLE_DOCS, SAMPLE_CHARS = 8000, 20_000
 
 
-@dataclass(frozen=True)
-class Model:
-    """Losses need: counts of words and pairs, and the number of tokens."""
-
-    words: np.ndarray
-    pairs: np.ndarray
-    tokens: float
-
-    def losses(self, word: np.ndarray, pair: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """-log P of tokens, given the word before (``WORDS``: the text's start)."""
-        single = (self.words[word] + 1.0) / (self.tokens + WORDS)
-        context = np.where(before < WORDS, self.words[np.minimum(before, WORDS - 1)], 0.0)
-        known = np.where(before < WORDS, self.pairs[pair], 0.0)
-        known = np.minimum(known, context)  # another pair may share the entry
-        return -np.log((known + ALPHA * single) / (context + ALPHA))
+class Head:
+    """Hashes, sorted, and the counts (target, every) of each."""
 
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.sort(keys)
+        self.counts = np.zeros((2, len(keys)))
 
-def entries(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each text, its tokens' (word, pair with the word before, word before)."""
-    for block in blocks_of(texts):
-        h, begin = word_hashes(block)
-        words = (h & np.uint64(WORDS - 1)).astype(np.int64)
-        pairs = np.zeros(len(h), np.int64)
-        pairs[1:] = (mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) & np.uint64(PAIRS - 1)).astype(np.int64)
-        for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-            pair, before = pairs[a:b].copy(), np.full(b - a, WORDS, np.int64)
-            pair[:1] = 0
-            before[1:] = words[a:b - 1] if b > a else []
-            yield words[a:b], pair, before
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 if it isn't here."""
+        if not len(self.keys):
+            return np.full(len(x), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, x), len(self.keys) - 1)
+        return np.where(self.keys[at] == x, at, -1)
 
 
-class _Counter:
-    """Adds up entries of one table, a large array at a time."""
+@dataclass(frozen=True)
+class Model:
+    """What is counted, all documents and the target's; the frequent words and
+    pairs; the numbers of tokens (target, every)."""
 
-    def __init__(self, size: int):
-        self.total = np.zeros(size, np.int64)
-        self.parts: list[np.ndarray] = []
-        self.waiting = 0
+    docs: DataFrame
+    own: DataFrame
+    words: Head
+    pairs: Head
+    tokens: tuple[float, float]
 
-    def add(self, at: np.ndarray) -> None:
-        self.parts.append(at)
-        self.waiting += len(at)
-        if self.waiting >= _AT_ONCE:
-            self.flush()
+    @property
+    def scale(self) -> tuple[float, float]:
+        """Of counts: matched, the same number of tokens."""
+        return 1.0, self.tokens[0] / max(1.0, self.tokens[1])
 
-    def flush(self) -> None:
-        if self.parts:
-            kind, n = np.unique(np.concatenate(self.parts), return_counts=True)
-            self.total[kind] += n
-            self.parts, self.waiting = [], 0
 
+def tokens_of(block: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word, pair with the word before, is the text's last) of all tokens; pair 0: the text's start."""
+    h, begin = word_hashes(block)
+    pair = np.zeros(len(h), np.uint64)
+    pair[1:] = np.maximum(mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]), np.uint64(1))
+    size = np.diff(begin)
+    pair[begin[:-1][size > 0]] = 0
+    last = np.zeros(len(h), bool)
+    last[begin[1:][size > 0] - 1] = True
+    return np.repeat(np.arange(len(block)), size), h.view(np.int64), pair.view(np.int64), last
 
-_PART = "block long, kind int, at binary, n binary"
 
+def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words of a sample, and the most frequent pairs that end in one of them."""
 
-def _counts(texts: DataFrame, kind: int) -> DataFrame:
-    """(block, kind, at, n): a task's counts that aren't zero, by blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block in blocks_of(t.as_py() for t in b.column(0)):
+                _, word, pair, _ = tokens_of(block)
+                kind, at, n = np.unique(pair, return_index=True, return_counts=True)
+                some = kind != 0
+                yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (word[at], kind, n)],
+                                                 names=["word", "pair", "n"])
+
+    one_in = max(1, docs.count() // SAMPLE_DOCS)
+    sample = docs.where(F.pmod(F.xxhash64("row"), F.lit(one_in)) == 0)
+    pairs = sample.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).mapInArrow(run, "word long, pair long, n long").groupBy("word", "pair").agg(
+        F.sum("n").alias("n")).persist()
+    words = pairs.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
+    top = pairs.where("n > 1").orderBy(F.desc("n"), "pair").limit(HEAD_PAIRS).select("word", "pair").toArrow()  # bounded
+    word = words.select("word").toArrow().column(0).to_numpy()
+    pairs.unpersist()
+    return word, top.column("pair").to_numpy()[np.isin(top.column("word").to_numpy(), word)]
+
+
+def _head_counts(texts: DataFrame, words: Head, pairs: Head) -> np.ndarray:
+    """Counts of the head's words, of its pairs, and of all tokens, over all texts."""
+    shared = texts.sparkSession.sparkContext.broadcast((words, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _Counter(WORDS + PAIRS)
+        words, pairs = shared.value
+        total = np.zeros(len(words.keys) + len(pairs.keys) + 1, np.int64)
         for b in batches:
-            for word, pair, _ in entries(t.as_py() for t in b.column(0)):
-                table.add(np.concatenate([word, WORDS + pair[1:]]))
-        table.flush()
-        for i in range(0, WORDS + PAIRS, _BLOCK):
-            at = np.flatnonzero(table.total[i:i + _BLOCK])
-            if len(at):
-                n = table.total[i:i + _BLOCK][at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i // _BLOCK], pa.int64()), pa.array([kind], pa.int32()),
-                     pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
-                    names=["block", "kind", "at", "n"])
-
-    return texts.select("text").mapInArrow(run, _PART)
-
-
-def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The blocks' sums as whole arrays, one row a block."""
-    sums: dict[int, np.ndarray] = {}
-    for b in batches:
-        for block, kind, at, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            total = sums.setdefault(block, np.zeros((2, _BLOCK), np.int64))
-            total[kind, np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
-    for block, total in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()), *(pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in total)],
-            names=["block", "target", "every"])
-
-
-def fit(docs: DataFrame, targets: DataFrame) -> tuple[Model, Model]:
-    """(target model, background model); ``targets``: doc_id."""
-    wanted = targets.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.col("doc_id").cast("long")).alias("key"))
-    own = mostly(rows, wanted.select(F.xxhash64("doc_id").alias("key"))).join(wanted, "doc_id", "left_semi")
-    parts = _counts(own, 0).unionByName(_counts(rows, 1)).repartition("block")
-    counts = np.zeros((2, WORDS + PAIRS), np.float32)
-    # as many rows as the table has blocks, whatever the corpus
-    for r in parts.mapInArrow(_sum, "block long, target binary, every binary").toLocalIterator():
-        for k in range(2):
-            counts[k, r["block"] * _BLOCK:(r["block"] + 1) * _BLOCK] = np.frombuffer(r[1 + k], np.float32)
-    tokens = counts[:, :WORDS].sum(1, dtype=np.float64)
-    counts[1] *= tokens[0] / max(1.0, tokens[1])  # matched: the same number of tokens
-    return tuple(Model(c[:WORDS], c[WORDS:], float(tokens[0])) for c in counts)
+            for block in blocks_of(t.as_py() for t in b.column(0)):
+                _, word, pair, _ = tokens_of(block)
+                for head, x, at in ((words, word, 0), (pairs, pair, len(words.keys))):
+                    found = head.find(x)
+                    kind, n = np.unique(found[found >= 0], return_counts=True)
+                    total[at + kind] += n
+                total[-1] += len(word)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
+    rows = texts.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(words.keys) + len(pairs.keys) + 1)
+    out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()  # bounded by the head
+    return out
 
-_SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
+def _rows(docs: DataFrame) -> DataFrame:
+    doc = F.col("doc_id").cast("long")
+    return docs.select(doc.alias("doc_id"), "text", F.xxhash64(doc, "text").alias("row"))
 
-def score(docs: DataFrame, models: tuple[Model, Model]) -> DataFrame:
-    """doc_id, n_tokens, mean losses under both models, and their difference."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # of the parameters' size
+
+def fit(docs: DataFrame, targets: DataFrame) -> Model:
+    """The two models; ``targets``: doc_id."""
+    wanted = targets.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
+    rows = _rows(docs)
+    own = mostly(rows.withColumn("key", F.xxhash64("doc_id")), wanted.select(F.xxhash64("doc_id").alias("key"))).join(
+        wanted, "doc_id", "left_semi").select(*rows.columns)
+    words, pairs = map(Head, _frequent(rows))
+    tokens = []
+    for k, texts in enumerate((own, rows)):
+        n = _head_counts(texts, words, pairs)
+        words.counts[k], pairs.counts[k] = n[:len(words.keys)], n[len(words.keys):-1]
+        tokens.append(float(n[-1]))
+    return Model(docs, own, words, pairs, (tokens[0], tokens[1]))
+
+
+_PARTS = ("row long, doc_id long, tokens long, target double, every double, key long, pair long, "
+          "in_target int, in_every int, used int, context int, word_target long, word_every long")
+_PART_TYPES = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2
+
+
+def _parts(rows: DataFrame, model: Model, count: int | None, use: bool) -> DataFrame:
+    """A row for each text, if ``use``, with the losses it can settle itself;
+    and one for each of its distinct pairs that it cannot, counted as target's
+    (``count`` 0), as everything's (1) or not at all."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.words, model.pairs, model.tokens, model.scale))
+    names = [c.split()[0] for c in _PARTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pairs, tokens, scale = shared.value
+
+        def batch(n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t)
+                                               for c, t in zip(names, _PART_TYPES, strict=True)], names=names)
+
         for b in batches:
-            n, loss = [], []
-            for found in entries(t.as_py() for t in b.column("text")):
-                n.append(len(found[0]))
-                loss.append([float(m.losses(*found).mean()) if n[-1] else 0.0 for m in shared.value])
-            pair = np.array(loss, np.float64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]),
-                 pa.array(pair[:, 0] - pair[:, 1])],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SCORES)
+            ids, row, done = b.column("doc_id"), b.column("row").to_numpy(), 0
+            for block in blocks_of(t.as_py() for t in b.column("text")):
+                text, word, pair, last = tokens_of(block)
+                mine = row[done:done + len(block)]
+                common, known = words.find(word), pairs.find(pair)
+                start = pair == 0
+                settled = (common >= 0) & ((known >= 0) | start)
+                context = ~last & (common >= 0)
+                zero = np.zeros(len(block), np.int32)
+                if use:
+                    loss = []
+                    for k in range(2):
+                        single = (words.counts[k][common[settled]] * scale[k] + 1.0) / (tokens[0] + WORDS)
+                        both = np.zeros(len(single))
+                        old = known[settled] >= 0
+                        both[old] = pairs.counts[k][known[settled][old]] * scale[k]
+                        loss.append(np.bincount(text[settled], -np.log(both + ALPHA * single), len(block))
+                                    + np.bincount(text[context], np.log(
+                                        words.counts[k][common[context]] * scale[k] + ALPHA), len(block))
+                                    + np.bincount(text[start], minlength=len(block)) * np.log(ALPHA))
+                    yield batch(len(block), row=mine, doc_id=ids.slice(done, len(block)),
+                                tokens=np.bincount(text, minlength=len(block)), target=loss[0], every=loss[1], key=mine,
+                                pair=zero, in_target=zero, in_every=zero, used=zero, context=zero)
+                done += len(block)
+                t, key, p = text[~settled], np.where(common >= 0, pair, word)[~settled], pair[~settled]
+                if not len(t):
+                    continue
+                order = np.lexsort((p, key, t))
+                t, key, p = t[order], key[order], p[order]
+                new_key = np.concatenate([[True], (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
+                new = new_key | np.concatenate([[True], p[1:] != p[:-1]])
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, len(t))).astype(np.int32)
+                contexts = np.zeros(len(t), np.int32)  # of rarer words; on the first row of each
+                rare = (~last & (common < 0))[~settled][order]
+                contexts[new_key] = np.add.reduceat(rare.astype(np.int32), np.flatnonzero(new_key))
+                at, none = common[~settled][order][first], np.zeros(len(first), np.int32)
+                of = [pa.array(np.append(words.counts[k], 0)[at].astype(np.int64), mask=at < 0) for k in range(2)]
+                yield batch(len(first), row=mine[t[first]] if use else none, key=key[first], pair=p[first],
+                            in_target=n if count == 0 else none, in_every=n if count == 1 else none,
+                            used=n if use else none, context=contexts[first] if use else none,
+                            word_target=of[0], word_every=of[1])
+
+    return rows.select("doc_id", "row", "text").mapInArrow(run, _PARTS)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, mean losses under both models, and their difference."""
+    parts = _parts(model.own, model, 0, False)
+    if docs is model.docs:
+        parts = parts.unionByName(_parts(_rows(docs), model, 1, True))
+    else:
+        parts = parts.unionByName(_parts(_rows(model.docs), model, 1, False)).unionByName(
+            _parts(_rows(docs), model, None, True))
+    by_pair, by_key = Window.partitionBy("key", "pair"), Window.partitionBy("key")
+    counted = parts.select("*", *(F.sum(f"in_{k}").over(by_pair).alias(f"pair_{k}") for k in ("target", "every"))).select(
+        "*", *(F.sum(f"in_{k}").over(by_key).alias(f"key_{k}") for k in ("target", "every")))
+
+    def loss(k: str, scale: float) -> Column:
+        of_word = F.coalesce(f"word_{k}", f"key_{k}") * F.lit(scale)
+        both = F.when(F.col("pair") == 0, F.lit(0.0)).otherwise(F.col(f"pair_{k}") * F.lit(scale))
+        single = (of_word + 1.0) / F.lit(model.tokens[0] + WORDS)
+        return (F.coalesce(k, F.lit(0.0)) - F.col("used") * F.log(both + ALPHA * single)
+                + F.col("context") * F.log(of_word + ALPHA))
+
+    sums = counted.where("tokens IS NOT NULL OR used > 0").select(
+        "row", "doc_id", "tokens", loss("target", model.scale[0]).alias("target"),
+        loss("every", model.scale[1]).alias("every")).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.count("tokens").alias("copies"), F.sum("tokens").alias("tokens"),
+        F.sum("target").alias("target"), F.sum("every").alias("every"))
+    size = F.greatest("tokens", F.lit(1))
+    each = sums.select(  # equal rows were added up; each comes back
+        "doc_id", (F.col("tokens") / F.col("copies")).cast("long").alias("n_tokens"),
+        (F.col("target") / size).alias("target_loss"), (F.col("every") / size).alias("background_loss"),
+        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"))
+    return each.select("doc_id", "n_tokens", "target_loss", "background_loss",
+                       (F.col("target_loss") - F.col("background_loss")).alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -53,3 +53,34 @@ def test_edge_cases(spark, make):
     assert len(rows) == 5 and all(abs(r["score"]) < 1e-9 for r in rows)
     assert sorted(r["n_tokens"] for r in rows) == [0, 0, 2, 2, 30000]
     assert M.score(make([]), M.fit(make([]), none)).count() == 0
+
+
+def test_many_pairs_keep_their_own_counts(spark, make, monkeypatch):
+    """Millions of distinct pairs: no loss has anything of another pair's count."""
+    monkeypatch.setattr(M, "HEAD_WORDS", 50)
+    monkeypatch.setattr(M, "HEAD_PAIRS", 50)
+    rng = random.Random(2)
+    kinds = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(["the of", *rng.choices(kinds, k=30_000), "the of"])) for i in range(150)]  # 3.6M pairs
+    rows += [(1000 + i, "the of rare words here") for i in range(3)] + [(1000, "the of rare words here")]
+    docs = make(rows).repartition(8)
+    got = {r["doc_id"]: r for r in M.score(docs, M.fit(docs, spark.createDataFrame([(0,), (1000,)], "doc_id long"))).collect()}
+    target = [0, 1000, 1000]
+    texts = dict(rows)
+    single, pair, n = [Counter(), Counter()], [Counter(), Counter()], [0, 0]
+    for k, ids in enumerate((target, [i for i, _ in rows])):
+        for i in ids:
+            w = texts[i].split()
+            single[k].update(w)
+            pair[k].update(zip(w, w[1:], strict=False))
+            n[k] += len(w)
+    scale = (1.0, n[0] / n[1])
+    for i in (0, 7, 1000, 1002):
+        w = texts[i].split()
+        loss = [0.0, 0.0]
+        for k in range(2):
+            for v, x in zip([None, *w], w, strict=False):
+                p = (single[k][x] * scale[k] + 1) / (n[0] + M.WORDS)
+                loss[k] -= math.log((pair[k][v, x] * scale[k] + M.ALPHA * p) / (single[k][v] * scale[k] + M.ALPHA))
+        assert abs(got[i]["target_loss"] - loss[0] / len(w)) < 1e-6
+        assert abs(got[i]["background_loss"] - loss[1] / len(w)) < 1e-6
