@@ -13,7 +13,9 @@ some others, and both are chosen anew in every round. The first choice follows
 the document frequencies of the n-grams in the two classes.
 
 The classifier is fitted on a bounded sample of labelled rows (``Sample``), in
-the order of a hash of the id. Because the model is linear, an n-gram enters a
+the order of a hash of the id; documents of over an eighth of the bound come
+last, the shortest first, so that none of them takes the room of the others.
+Because the model is linear, an n-gram enters a
 score only through one number, so scoring ships one float per hash bucket.
 
 Edge cases: null or empty text scores as an empty window; several label rows
@@ -268,9 +270,11 @@ def sample(docs: DataFrame, labels: DataFrame, bound: Sample = Sample()) -> list
     ids = picked[0].unionByName(picked[1])
     # at most bound.toxic + bound.clean rows of two numbers are broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    w = Window.partitionBy("toxic").orderBy(order, "doc_id", F.xxhash64("text")).rowsBetween(
+    length = F.coalesce(F.length("text"), F.lit(0))
+    long = F.when(length > bound.chars // 8, length).otherwise(0)
+    w = Window.partitionBy("toxic").orderBy(long, order, "doc_id", F.xxhash64("text")).rowsBetween(
         Window.unboundedPreceding, 0)
-    size = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(w)
+    size = F.sum(length).over(w)
     rows = rows.withColumn("size", size).where(F.col("size") <= bound.chars)
     return sorted((r["text"] or "", r["toxic"]) for r in rows.select("text", "toxic").collect())
 

@@ -65,3 +65,13 @@ def test_bounds_one_class_and_no_labels(spark, make, labelled):
     only = T.train(["a b", "c"], [1, 1])
     assert T.score_texts(["x"], only, {})[0] > 0.99
     assert T.classify(make([]), labels).count() == 0
+
+
+def test_a_very_long_document_does_not_end_the_sample(spark, make):
+    rows = [(i, f"text {i}", i % 2) for i in range(60)]
+    labels = spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, toxic int")
+    order = labels.where(~T.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()
+    first = {next(r["doc_id"] for r in order if r["toxic"] == k) for k in (0, 1)}
+    docs = make([(i, "x" * 5000 if i in first else text) for i, text, _ in rows])
+    got = T.sample(docs, labels, T.Sample(100, 100, 4000))
+    assert sorted(got) == sorted((rows[r["doc_id"]][1], r["toxic"]) for r in order if r["doc_id"] not in first)
