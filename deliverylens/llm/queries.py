@@ -11,13 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from deliverylens.llm import (
+    chat_format,
     decontaminate,
     html_extract,
+    importance,
     jaccard_join,
     line_dedup,
     lm_scoring,
     packing,
     quality_rules,
+    repair,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -38,6 +41,9 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": toxicity.query,
         "op9_html_extract": html_extract.query,
         "op10_quality_rules": quality_rules.query,
+        "op11_importance": importance.query,
+        "op12_chat_format": chat_format.query,
+        "op13_conversation_repair": repair.query,
     }
 
 
@@ -46,6 +52,8 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": URL_FILTER,
         "op7_line_dedup": LINE_DEDUP,
         "op10_quality_rules": QUALITY_RULES,
+        "op11_importance": IMPORTANCE,
+        "op12_chat_format": CHAT_FORMAT,
     }
 
 
@@ -197,3 +205,69 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        r0 + 2 * r1 + 4 * r2 + 8 * r3 + 16 * r4 AS failed
 FROM b
 """
+
+
+#: crc: the CRC32 of each distinct word, byte by byte over its table of 256 entries.
+IMPORTANCE = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), dw AS (
+  SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM w) GROUP BY doc_id, word
+), words AS (
+  SELECT word, sum(s) AS s, sum(t) AS t FROM (
+    SELECT word, sum(n) AS s, 0 AS t FROM dw GROUP BY word
+    UNION ALL SELECT unnest(ws), 0, 1 FROM b)
+  GROUP BY word
+), steps AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i)
+), coded AS (
+  SELECT word, s, t, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(hex(word)), 2),
+           lambda i: ('0x' || substr(hex(word), i, 2))::BIGINT)),
+           lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM words, steps
+), total AS (
+  SELECT sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM words
+), gain AS (
+  SELECT bucket, floor(1000 * ln((sum(c.t) + 1.0::DOUBLE) * (any_value(total.s) + 10000)
+           / ((sum(c.s) + 1.0::DOUBLE) * (any_value(total.t) + 10000))))::BIGINT AS gain
+  FROM coded c, total GROUP BY bucket
+), weight AS (
+  SELECT doc_id, sum(n * gain) AS weight FROM dw JOIN coded USING (word) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, len(ws) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN weight USING (doc_id)
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+#: A control string in a text, escaped already or not, takes one character more.
+CHAT_FORMAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+  SELECT *, md5(role || ':' || text) AS tie,
+         len(text) + len(regexp_extract_all(text, '<\\*(/s>|\|endoftext\|>)|\[\\*(/?INST\]|/?ROLE\])')) AS text_chars,
+         len(role) + len(regexp_extract_all(role, '<\\*(/s>|\|endoftext\|>)|\[\\*(/?INST\]|/?ROLE\])')) AS role_chars
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, tie)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, tie) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(text_chars + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 ELSE 17 + role_chars END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -12,7 +12,7 @@ QUERIES, ORACLE = Q.queries(), Q.oracle_sql()
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE) <= set(QUERIES)
 
