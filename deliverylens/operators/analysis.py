@@ -211,8 +211,8 @@ def score_by_late_flag(fact: DataFrame) -> DataFrame:
         F.round(F.avg(s), 3).alias("mean"), F.count(F.lit(1)).alias("count"),
         F.round(F.stddev_samp(s), 3).alias("std"))
     # one row per flag value on each side: a join of two tiny aggregates
-    med = exact_median(rev, ["review_score"], group=["is_delayed"], prefix="_m_")
-    return (stats.join(med, "is_delayed")
+    med = exact_median(rev, ["review_score"], group=["is_delayed"], prefix="_m_", few_groups=True)
+    return (stats.join(F.broadcast(med), "is_delayed")
             .select("is_delayed", "mean", F.round("_m_review_score", 3).alias("median"),
                     "count", "std")
             .orderBy("is_delayed"))

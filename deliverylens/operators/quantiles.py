@@ -1,139 +1,126 @@
-"""Exact quantiles with bounded memory (medians, quartiles, describe).
-
-Spark's exact ``percentile`` keeps one buffer entry per distinct value, so
-for a continuous column its final aggregation grows with the data. Here:
-
-pass 1  per column: row count and a quantile sketch (``percentile_approx``,
-        rank error <= n / accuracy) evaluated just below and above each target
-        probability -> a value bracket [a, b] that must contain the targets;
-pass 2  per column and probability: rows below a, rows equal to a and to b
-        (counted, never collected), the nearest value below a and above b,
-        and the values strictly inside (a, b), whose number is bounded by the
-        bracket's rank width (~4 n / accuracy).
-
-The wanted order statistics are then picked from that small sorted array and
-interpolated exactly as Spark's ``percentile`` does (linear, position
-p * (n - 1)), so results equal ``F.percentile``. A bracket that misses its
-target raises instead of returning a wrong value.
+"""Exact quantiles by distributed rank selection (medians, quartiles, describe).
+
+Spark's exact ``percentile`` keeps one buffer entry per distinct value, so for
+a continuous column its final aggregation grows with the data. Here the wanted
+ranks are narrowed down by counting, and no value is collected or shuffled that
+can't be one of them:
+
+1. rows are counted in buckets of a fixed monotone scale (a logarithm; some
+   thousandths of the value wide) with map-side combining. Running totals over
+   a column's buckets, of which there are a bounded number, say which bucket
+   holds each wanted rank;
+2. rows of these buckets alone are counted again in 65,536 equal steps between
+   the bucket's least and greatest value;
+3. rows of the steps that hold a wanted rank are counted by value, and running
+   totals give the value at the rank.
+
+A bucket or step whose least and greatest value agree is answered at once, so
+ties and a value holding a third of the rows cost nothing. Each pass reads the
+input's needed columns; what is shuffled is counts. Ranks are interpolated
+as ``F.percentile`` does (linear, position p * (n - 1)), so results equal it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# sketch ~ accuracy entries per column; values collected per target ~ 4 n / accuracy
-DEFAULT_ACCURACY = 100_000
+#: Buckets for each factor e of the value, and the size from which on the scale
+#: is logarithmic; steps that a bucket is divided into.
+PER_E = 1024
+SMALL = 1e-3
+STEPS = 65_536
+_INFINITE = 1 << 40
 
 
-def _pick(idx: Column, below: Column, eq_a: Column, inside: Column, eq_b: Column,
-          a: Column, b: Column, prev_a: Column, next_b: Column) -> Column:
-    """Value at 0-based rank ``idx``: the bracket [a, b] plus one neighbour on
-    each side (the sketch's rank convention can leave the wanted rank exactly
-    one outside the bracket when n is small)."""
-    i = idx - below
-    return (F.when(i < 0, prev_a)
-            .when(i < eq_a, a)
-            .when(i < eq_a + F.size(inside), F.element_at(inside, (i - eq_a + 1).cast("int")))
-            .when(i < eq_a + F.size(inside) + eq_b, b)
-            .otherwise(next_b))
+def _bucket(v: str) -> str:
+    """A bucket number that never falls as ``v`` rises; NaN is the greatest."""
+    return (f"CASE WHEN isnan({v}) THEN {_INFINITE + 1}L "
+            f"WHEN abs({v}) = double('infinity') THEN cast(signum({v}) AS bigint) * {_INFINITE}L "
+            f"ELSE floor(signum({v}) * log1p(abs({v}) / {SMALL}D) * {float(PER_E)}D) END")
+
+
+def _on(a: str, b: str, keys: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
+
+
+def _narrowed(counts: DataFrame, within: Sequence[str], by: str) -> DataFrame:
+    """Of counted parts (``n`` rows each, in the order of ``by``) those that hold
+    a wanted rank, with the rank of their first row and the ranks in them."""
+    before = f"sum(n) OVER (PARTITION BY {', '.join(within)} ORDER BY {by} ROWS UNBOUNDED PRECEDING)"
+    placed = counts.withColumn("start", F.expr(f"start + {before} - n"))
+    inside = F.expr("filter(wanted, w -> w.rank >= start AND w.rank < start + n)")
+    return placed.withColumn("wanted", inside).where("size(wanted) > 0")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    group: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY,
-                    prefix: str = "q_") -> DataFrame:
+                    group: Sequence[str] = (), prefix: str = "q_", few_groups: bool = False) -> DataFrame:
     """One row per group with, per column ``c``, ``{prefix}{c}``: an array of
-    the exact quantiles at ``probs`` (NULLs ignored; NULL for no values)."""
+    the exact quantiles at ``probs`` (NULLs ignored; NULL for no values).
+
+    ``few_groups``: the caller knows that the groups are a few at any size of
+    the data (a flag, say), so what is wanted of them may be broadcast."""
     cols, probs, group = list(cols), [float(p) for p in probs], list(group)
-    eps = 2.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    base = df.select(*group, *[F.col(c).cast("double").alias(f"_v{i}")
-                               for i, c in enumerate(cols)])
-
-    stat_aggs = []
-    for i in range(len(cols)):
-        v = F.col(f"_v{i}")
-        # one sketch per column, evaluated at both bracket ends of every target
-        stat_aggs += [F.count(v).alias(f"_n{i}"),
-                      F.percentile_approx(v, lo_p + hi_p, accuracy).alias(f"_ab{i}")]
-    if group:
-        stats = base.groupBy(*group).agg(*stat_aggs)
-        keyed = stats.select(*[F.col(g).alias(f"_g{j}") for j, g in enumerate(group)],
-                             *[c for c in stats.columns if c not in group])
-        cond = [base[g].eqNullSafe(keyed[f"_g{j}"]) for j, g in enumerate(group)]
-        joined = base.join(keyed, cond).drop(*[f"_g{j}" for j in range(len(group))])
-    else:
-        # one-row statistics: a broadcast cross join appends columns map-side
-        joined = base.crossJoin(F.broadcast(base.agg(*stat_aggs)))
-
-    aggs = []
-    for i in range(len(cols)):
-        v = F.col(f"_v{i}")
-        aggs += [F.first(f"_n{i}").alias(f"_n{i}")]
-        for j in range(len(probs)):
-            a, b = F.col(f"_ab{i}")[j], F.col(f"_ab{i}")[len(probs) + j]
-            aggs += [F.first(a).alias(f"_a{i}_{j}"), F.first(b).alias(f"_b{i}_{j}"),
-                     F.count_if(v < a).alias(f"_lt{i}_{j}"),
-                     F.count_if(v == a).alias(f"_ea{i}_{j}"),
-                     F.count_if((v == b) & (a != b)).alias(f"_eb{i}_{j}"),
-                     F.max(F.when(v < a, v)).alias(f"_pa{i}_{j}"),
-                     F.min(F.when(v > b, v)).alias(f"_nb{i}_{j}"),
-                     F.array_sort(F.collect_list(F.when((v > a) & (v < b), v)))
-                     .alias(f"_in{i}_{j}")]
-    parts = joined.groupBy(*group).agg(*aggs) if group else joined.agg(*aggs)
-
-    # Three small projections instead of one large expression: positions,
-    # then the two order statistics, then interpolation and the range check.
-    # Each intermediate is referenced several times, so Spark keeps the steps
-    # apart and generated code stays small.
-    keys = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
-    pos_cols = []
-    for i, j in keys:
-        n = F.coalesce(F.col(f"_n{i}"), F.lit(0))
-        pos = F.lit(probs[j]) * (n - 1).cast("double")
-        pos_cols += [pos.alias(f"_pos{i}_{j}"), F.floor(pos).alias(f"_k{i}_{j}")]
-    staged = parts.select("*", *pos_cols)
-
-    pick_cols = []
-    for i, j in keys:
-        args = [F.col(f"_lt{i}_{j}"), F.col(f"_ea{i}_{j}"), F.col(f"_in{i}_{j}"),
-                F.col(f"_eb{i}_{j}"), F.col(f"_a{i}_{j}"), F.col(f"_b{i}_{j}"),
-                F.col(f"_pa{i}_{j}"), F.col(f"_nb{i}_{j}")]
-        k = F.col(f"_k{i}_{j}")
-        pick_cols += [_pick(k, *args).alias(f"_lo{i}_{j}"),
-                      _pick(k + 1, *args).alias(f"_hi{i}_{j}")]
-    staged = staged.select(*group, *[f"_n{i}" for i in range(len(cols))],
-                           *[f"_{x}{i}_{j}" for i, j in keys
-                             for x in ("pos", "k", "lt", "ea", "in", "eb")], *pick_cols)
-
-    outs = []
-    for i, c in enumerate(cols):
-        n = F.coalesce(F.col(f"_n{i}"), F.lit(0))
-        qs = []
-        for j in range(len(probs)):
-            pos, k = F.col(f"_pos{i}_{j}"), F.col(f"_k{i}_{j}")
-            lower, higher = F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}")
-            frac = pos - k
-            q = (F.when(frac == 0, lower).when(higher == lower, lower)
-                 .otherwise((k + 1 - pos) * lower + (pos - k) * higher))
-            # the target ranks must lie in the bracket or on its two neighbours
-            last = F.when(frac == 0, k).otherwise(k + 1)
-            span = (F.col(f"_lt{i}_{j}") + F.col(f"_ea{i}_{j}") + F.size(F.col(f"_in{i}_{j}"))
-                    + F.col(f"_eb{i}_{j}"))
-            ok = (k >= F.col(f"_lt{i}_{j}") - 1) & (last <= span)
-            q = F.when(n == 0, F.lit(None).cast("double")).when(
-                ok, q).otherwise(F.raise_error(F.lit(f"quantile bracket missed for {c}"))
-                                 .cast("double"))
-            qs.append(q)
-        outs.append(F.array(*qs).alias(f"{prefix}{c}"))
-    return staged.select(*group, *outs)
+    names = [f"_g{i}" for i in range(len(group))]
+    keys = [*names, "c"]
+    # -0.0 + 0.0 is 0.0: one zero
+    values = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in cols])
+    every = df.select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.posexplode(values).alias("c", "v"))
+    base = every.selectExpr("*", f"{_bucket('v')} AS bucket").where("v IS NOT NULL")
+
+    def near(rows: DataFrame) -> DataFrame:
+        """Wanted parts: a few rows for each column and probability, and for
+        each group."""
+        return F.broadcast(rows) if few_groups or not group else rows
+
+    counted = [F.expr(e) for e in ("count(1) AS n", "min(v) AS lo", "max(v) AS hi")]
+    ranks = ", ".join(f"struct({j} AS j, {s} AS side, least(floor({p!r}D * (total - 1)) + {s}, total - 1) AS rank)"
+                      for j, p in enumerate(probs) for s in (0, 1))
+    buckets = (base.groupBy(*keys, "bucket").agg(*counted)
+               .selectExpr("*", f"sum(n) OVER (PARTITION BY {', '.join(keys)}) AS total")
+               .selectExpr("*", f"array({ranks}) AS wanted", "0L AS start"))
+    first = _narrowed(buckets, keys, "bucket")
+
+    # what is known of a part goes along as grouping keys, so no join follows the count
+    part, known = [*keys, "bucket"], ["least", "most", "total", "start", "wanted"]
+    step = f"floor((v - least) / (most - least) * {float(STEPS)}D)"
+    open1 = first.where("lo < hi").selectExpr(*part, "lo AS least", "hi AS most", "total", "start", "wanted")
+    steps = (base.alias("a").join(near(open1).alias("b"), _on("a", "b", part)).selectExpr("a.*", *known, f"{step} AS step")
+             .groupBy(*part, *known, "step").agg(*counted))
+    second = _narrowed(steps, part, "step")
+
+    open2 = second.where("lo < hi").select(*part, *known, "step")
+    single = (base.alias("a").join(near(open2).alias("b"), _on("a", "b", part) & F.expr(f"b.step = {step}"))
+              .select("a.*", *known, "step").groupBy(*part, *known, "step", "v").agg(F.expr("count(1) AS n")))
+    third = _narrowed(single, [*part, "step"], "v")
+
+    # NaN is not less than NaN, so NOT lo < hi rather than lo = hi
+    done = [d.where("NOT lo < hi").withColumnRenamed("lo", "v") for d in (first, second)]
+    found = reduce(DataFrame.unionByName, [d.selectExpr(*keys, "total", "v", "explode(wanted) AS w")
+                                           for d in (*done, third)]).selectExpr(*keys, "total", "v", "w.j", "w.side")
+    if group:  # groups without a value have a row as well
+        found = found.unionByName(every.select(*names).distinct(), allowMissingColumns=True)
+
+    picked = found.groupBy(*names).agg(*[F.expr(e) for e in (
+        *(f"max(total) FILTER (WHERE c = {i}) AS n{i}" for i in range(len(cols))),
+        *(f"max(v) FILTER (WHERE c = {i} AND j = {j} AND side = {s}) AS v{i}_{j}_{s}"
+          for i in range(len(cols)) for j in range(len(probs)) for s in (0, 1)))])
+
+    def between(i: int, j: int) -> str:
+        pos, low, high = f"{probs[j]!r}D * (n{i} - 1)", f"v{i}_{j}_0", f"v{i}_{j}_1"
+        return (f"CASE WHEN {pos} = floor({pos}) OR {high} = {low} THEN {low} "
+                f"ELSE (floor({pos}) + 1 - {pos}) * {low} + ({pos} - floor({pos})) * {high} END")
+
+    return picked.select(*[F.col(n).alias(g) for g, n in zip(group, names)],
+                         *[F.expr(f"array({', '.join(between(i, j) for j in range(len(probs)))})").alias(f"{prefix}{c}")
+                           for i, c in enumerate(cols)])
 
 
 def exact_median(df: DataFrame, cols: Sequence[str], group: Sequence[str] = (),
-                 prefix: str = "median_") -> DataFrame:
+                 prefix: str = "median_", few_groups: bool = False) -> DataFrame:
     """Exact medians, one column ``{prefix}{c}`` per column."""
-    q = exact_quantiles(df, cols, [0.5], group, prefix="_q_")
+    q = exact_quantiles(df, cols, [0.5], group, prefix="_q_", few_groups=few_groups)
     return q.select(*group, *[F.col(f"_q_{c}")[0].alias(f"{prefix}{c}") for c in cols])
