@@ -81,6 +81,9 @@ CATEGORY_LABELS_EN = {
     "seguros_e_servicos": "Security & Services",
 }
 
+#: A lookup of at most so many labels is broadcast.
+MOST_LABELS = 100_000
+
 FALLBACKS = ("humanize", "constant", "original")
 
 
@@ -117,14 +120,17 @@ def translate_codes(df: DataFrame, code_col: str, mapping: DataFrame | dict[str,
     """Lookup LEFT join with fallback.
 
     A dict becomes a literal map expression (no shuffle at all). A DataFrame
-    mapping is a lookup table: it is de-duplicated per code and joined; its
-    size is bounded by the number of category codes, so Spark's size-checked
-    auto-broadcast turns it into a broadcast join.
+    mapping is a lookup table, one label for each code. Up to ``MOST_LABELS``
+    labels, which is counted, it is broadcast, so rows are not shuffled on a few
+    codes; a longer one is joined as Spark sees fit. Where rows are only
+    counted by label, count them by code first (``profile.item_category_ranking``).
     """
     if isinstance(mapping, dict):
         return df.withColumn(out_col, translate_column(code_col, mapping, fallback, constant))
     lookup = (mapping.groupBy(key_col).agg(F.min(label_col).alias("__label"))
               .withColumnRenamed(key_col, "__code"))
+    if lookup.limit(MOST_LABELS + 1).count() <= MOST_LABELS:
+        lookup = F.broadcast(lookup)
     joined = df.join(lookup, F.col(code_col) == F.col("__code"), "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("__label"),
                                                   _fallback(F.col(code_col), fallback, constant)))

@@ -4,10 +4,11 @@ Plan shape of ``build_fact`` (left-deep, all LEFT joins):
 
   stg_orders --(order_id)-- first item per order --(order_id)-- reviews
        one hash exchange on order_id serves all three inputs
-  --(customer_id)-- customers          shuffle join (large dimension)
-  --(zip)--         geolocation        one row per zip: size-checked broadcast
-  --(product_id)--  products           size-checked broadcast or shuffle
-  --(seller_id)--   sellers            size-checked broadcast or shuffle
+  --(customer_id)-- customers with their geolocation
+       the two dimensions meet on the zip code first, so the wide fact is not
+       shuffled on it
+  --(product_id)--  products           ) size-checked broadcast, or a join that
+  --(seller_id)--   sellers            ) splits hot keys (``hot_join``)
 
 Left joins here only add columns of the joined table, so joining the
 order-keyed inputs first (sharing one partitioning) and the dimensions after
@@ -21,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deliverylens.operators.hot_join import split_join
 from deliverylens.sources.schemas import FACT, FACT_COLUMNS
 
 ITEM_COLUMNS = ["product_id", "seller_id", "price", "freight_value"]
@@ -106,12 +108,14 @@ def build_fact(stg: dict[str, DataFrame], unmatched: str = "null",
         F.col("geolocation_zip_code_prefix").alias("g_zip"),
         F.col("lat").alias("customer_lat"), F.col("lng").alias("customer_lng"))
 
+    places = customers.join(geo, F.col("customer_zip_code_prefix") == F.col("g_zip"), "left").drop("g_zip")
     f = (orders.join(oi, "order_id", "left")
          .join(reviews, "order_id", "left")
-         .join(customers, F.col("customer_id") == F.col("c_customer_id"), "left")
-         .join(geo, F.col("customer_zip_code_prefix") == F.col("g_zip"), "left")
-         .join(products, F.col("item_product_id") == F.col("p_product_id"), "left")
-         .join(sellers, F.col("item_seller_id") == F.col("s_seller_id"), "left"))
+         .join(places, F.col("customer_id") == F.col("c_customer_id"), "left"))
+    f = split_join(f, products, "item_product_id", "p_product_id", ["order_id"],
+                   keys=items.select(F.col("product_id").alias("item_product_id")))
+    f = split_join(f, sellers, "item_seller_id", "s_seller_id", ["order_id"],
+                   keys=items.select(F.col("seller_id").alias("item_seller_id")))
     f = f.withColumns({"product_id": F.col("p_product_id"),
                        "seller_id": F.col("s_seller_id")})
     out = f.select(*[F.col(c).cast(FACT[c].dataType).alias(c) for c in FACT_COLUMNS])
@@ -127,9 +131,9 @@ def build_fact_pandas_order(stg: dict[str, DataFrame], item_order_col: str) -> D
     of the items table, item ids kept from the item (not the dimension)."""
     orders = stg["stg_orders"]
     oi = first_item_per_order(stg["stg_order_items"], order_col=item_order_col)
-    products = stg["stg_products"].select("product_id", "product_category_name",
+    products = stg["stg_products"].select(F.col("product_id").alias("p_product_id"), "product_category_name",
                                           "product_weight_g")
-    sellers = stg["stg_sellers"].select("seller_id", "seller_city", "seller_state",
+    sellers = stg["stg_sellers"].select(F.col("seller_id").alias("s_seller_id"), "seller_city", "seller_state",
                                         "seller_zip_code_prefix")
     customers = stg["stg_customers"].select("customer_id", "customer_city", "customer_state",
                                             "customer_zip_code_prefix")
@@ -137,50 +141,55 @@ def build_fact_pandas_order(stg: dict[str, DataFrame], item_order_col: str) -> D
         F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
         F.col("lat").alias("customer_lat"), F.col("lng").alias("customer_lng"))
     reviews = stg["stg_order_reviews"].select("order_id", "review_score")
+    places = customers.join(geo, "customer_zip_code_prefix", "left")
     f = (orders.join(oi, "order_id", "left").join(reviews, "order_id", "left")
-         .join(customers, "customer_id", "left").join(geo, "customer_zip_code_prefix", "left")
-         .join(products, "product_id", "left").join(sellers, "seller_id", "left"))
+         .join(places, "customer_id", "left"))
+    items = stg["stg_order_items"]
+    f = split_join(f, products, "product_id", "p_product_id", ["order_id"], keys=items.select("product_id"))
+    f = split_join(f, sellers, "seller_id", "s_seller_id", ["order_id"], keys=items.select("seller_id"))
     return f.select(*FACT_COLUMNS)
 
 
 def slim_fact(orders: DataFrame, customers: DataFrame, geo: DataFrame,
               reviews: DataFrame) -> DataFrame:
     """The map script's chain orders -> customers -> geo -> reviews with
-    the geolocation key kept under its own name (``on=`` expression join)."""
+    the geolocation key kept under its own name (``on=`` expression join);
+    customers and geo meet first."""
     g = geo.select("geolocation_zip_code_prefix", "lat", "lng")
-    c = customers.select("customer_id", "customer_state", "customer_zip_code_prefix")
+    c = customers.select("customer_id", "customer_state", "customer_zip_code_prefix").join(
+        g, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"), "left")
     return (orders.join(reviews.select("order_id", "review_score"), "order_id", "left")
-            .join(c, "customer_id", "left")
-            .join(g, F.col("customer_zip_code_prefix") == F.col("geolocation_zip_code_prefix"),
-                  "left"))
+            .join(c, "customer_id", "left"))
 
 
 def items_with_products(fact: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """INNER fact -> every item of the order -> its product (fans out)."""
-    return (fact.join(items.select("order_id", F.col("product_id").alias("i_product_id")),
-                      "order_id")
-            .join(products.select(F.col("product_id").alias("p_product_id"),
-                                  F.col("product_category_name").alias("p_category")),
-                  F.col("i_product_id") == F.col("p_product_id")))
+    """INNER fact -> every item of the order -> its product (fans out).
+    Items meet their product first, hot products split, then the fact."""
+    own = items.select("order_id", "order_item_id", F.col("product_id").alias("i_product_id"))
+    p = products.select(F.col("product_id").alias("p_product_id"), F.col("product_category_name").alias("p_category"))
+    known = split_join(own, p, "i_product_id", "p_product_id", ["order_id", "order_item_id"], "inner")
+    return fact.join(known.drop("order_item_id"), "order_id")
 
 
 def fact_with_seller_customer(fact: DataFrame, sellers: DataFrame,
                               customers: DataFrame) -> DataFrame:
-    """INNER fact -> sellers (by seller_id) -> customers (by customer_id)."""
+    """INNER fact -> sellers (by seller_id) -> customers (by customer_id), hot keys split."""
     s = sellers.select(F.col("seller_id").alias("s_seller_id"),
                        F.col("seller_state").alias("s_state"))
     c = customers.select(F.col("customer_id").alias("c_customer_id"),
                          F.col("customer_state").alias("c_state"))
-    return (fact.join(s, F.col("seller_id") == F.col("s_seller_id"))
-            .join(c, F.col("customer_id") == F.col("c_customer_id")))
+    sold = split_join(fact, s, "seller_id", "s_seller_id", ["order_id"], "inner")
+    return split_join(sold, c, "customer_id", "c_customer_id", ["order_id"], "inner", keys=fact.select("customer_id"))
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                 name: str) -> DataFrame:
     """Referential-integrity check, rows of ``child`` whose non-NULL key
-    has no match in ``parent`` (left anti join), as one count row."""
-    p = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    orphans = (child.filter(F.col(child_key).isNotNull())
-               .join(p, F.col(child_key) == F.col("_pk"), "left_anti"))
-    return orphans.agg(F.count(F.lit(1)).alias("orphan_rows")) \
-        .select(F.lit(name).alias("relation"), "orphan_rows")
+    has no match in ``parent``, as one count row. Rows are counted by key before
+    the anti join, so a key of any size crosses it as one row."""
+    per_key = child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_ck")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    known = parent.select(F.col(parent_key).alias("_pk"))
+    orphans = per_key.join(known, F.col("_ck") == F.col("_pk"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows")).select(
+        F.lit(name).alias("relation"), "orphan_rows")

@@ -17,7 +17,7 @@ from deliverylens.functions.exprs import (
     avg_days, avg_fixed, bucket, seconds_of, daypart, iso_weekday, month_start, pct, pct_div_first, rnd, weekday_name, yyyymm,
 )
 from deliverylens.functions.translate import CATEGORY_LABELS_EN, translate_column
-from deliverylens.operators.fact import fact_with_seller_customer
+from deliverylens.operators.hot_join import split_join
 from deliverylens.operators.quantiles import exact_median
 
 
@@ -263,35 +263,45 @@ def processing_bucket_delay(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 
 # ---- Q18 - Q22 ----------------------------------------------------------------
 
+_SUMS = ["n_rows", "n_late", "s_secs", "n_days", "s_score", "n_score", "s_transit", "n_transit"]
+
+
+def _states() -> list[Column]:
+    """Partial states of fact rows: counts and exact sums, which add up."""
+    return [_n().alias("n_rows"), F.count_if(_late()).alias("n_late"),
+            F.sum(seconds_of("actual_delivery_days")).alias("s_secs"),
+            F.count("actual_delivery_days").alias("n_days"),
+            F.sum("review_score").alias("s_score"), F.count("review_score").alias("n_score"),
+            F.sum(seconds_of("carrier_transit_days")).alias("s_transit"),
+            F.count("carrier_transit_days").alias("n_transit")]
+
+
+def _merged() -> list[Column]:
+    """States of a coarser group from those of finer ones."""
+    return [F.sum(c).alias(c) for c in _SUMS]
+
+
 def category_delay(fact: DataFrame, items: DataFrame, products: DataFrame, n: int = 10,
                    min_orders: int = 100, mapping: dict[str, str] | None = None) -> DataFrame:
     """Q18: fact rows fanned out to every item of the order, by translated
     product category; top ``n`` by delay rate among categories with at least
     ``min_orders`` (item) rows. ``total_orders`` counts items, as the original.
 
-    The fact is first reduced to one row per order (row count, late count,
-    sums and counts of days and scores). That aggregate is hash-partitioned by
-    order_id, which is also the join key, so the join with the items needs no
-    further exchange on that side, and the shuffled volume is a handful of
-    numbers per order instead of full fact rows. Sums over the item rows then
-    give exactly the counts and means of the fanned-out join.
+    Partial states (row count, late count, exact sums and counts of days and
+    scores) are merged level by level: per order, the join key with the items,
+    so that side needs no further exchange and the items are shuffled once; per
+    product, before the products are joined, so a hot product crosses that join
+    as one row; then per label.
     """
     mapping = CATEGORY_LABELS_EN if mapping is None else mapping
-    per_order = fact.groupBy("order_id").agg(
-        _n().alias("n_rows"), F.count_if(_late()).alias("n_late"),
-        F.sum(seconds_of("actual_delivery_days")).alias("s_secs"),
-        F.count("actual_delivery_days").alias("n_days"),
-        F.sum("review_score").alias("s_score"), F.count("review_score").alias("n_score"))
-    cats = (items.select("order_id", F.col("product_id").alias("i_product_id"))
-            .join(products.select(F.col("product_id").alias("i_product_id"),
-                                  "product_category_name"), "i_product_id")
-            .filter(F.col("product_category_name").isNotNull()))
-    joined = cats.join(per_order, "order_id")
+    per_order = fact.groupBy("order_id").agg(*_states())
+    own = items.select("order_id", F.col("product_id").alias("i_product_id")).where("i_product_id IS NOT NULL")
+    per_product = own.join(per_order, "order_id").groupBy("i_product_id").agg(*_merged())
+    known = products.select(F.col("product_id").alias("i_product_id"), "product_category_name").where(
+        "product_category_name IS NOT NULL")
     label = translate_column("product_category_name", mapping, fallback="humanize")
-    g = joined.groupBy(label.alias("product_category_en")).agg(
-        F.sum("n_rows").alias("total_orders"), F.sum("n_late").alias("n_late"),
-        F.sum("s_secs").alias("s_secs"), F.sum("n_days").alias("n_days"),
-        F.sum("s_score").alias("s_score"), F.sum("n_score").alias("n_score"))
+    g = (per_product.join(known, "i_product_id").groupBy(label.alias("product_category_en")).agg(*_merged())
+         .withColumnRenamed("n_rows", "total_orders"))
     return (g.filter(F.col("total_orders") >= min_orders)
             .select("product_category_en", "total_orders",
                     rnd(F.col("n_late") * F.lit(100.0) / F.col("total_orders")).alias("delay_rate_pct"),
@@ -344,22 +354,27 @@ def city_map(fact: DataFrame, n: int = 100, min_orders: int = 100) -> DataFrame:
 
 def route_performance(fact: DataFrame, sellers: DataFrame, customers: DataFrame,
                       n: int = 10, min_orders: int = 50) -> DataFrame:
-    """Q21: seller state -> customer state routes (inner joins J12)."""
-    j = fact_with_seller_customer(fact, sellers, customers)
-    return (j.groupBy(F.col("s_state").alias("origin_state"),
-                      F.col("c_state").alias("destination_state")).agg(
-        _n().alias("total_orders"),
-        _avg2("actual_delivery_days").alias("avg_delivery_days"),
-        rnd(pct(_late())).alias("delay_rate_pct"),
-        _avg2("carrier_transit_days").alias("avg_transit_days"))
-        .filter(F.col("total_orders") >= min_orders)
-        .orderBy(F.desc("delay_rate_pct"), F.asc_nulls_last("origin_state"),
-                 F.asc_nulls_last("destination_state"))
-        .limit(n)
-        .select("origin_state", "destination_state",
-                F.concat(F.col("origin_state"), F.lit(" → "), F.col("destination_state"))
-                .alias("delivery_route"),
-                "total_orders", "avg_delivery_days", "delay_rate_pct", "avg_transit_days"))
+    """Q21: seller state -> customer state routes (the inner joins of J12).
+
+    Fact rows meet their customer, hot ones split; the states of a seller's rows
+    into one customer state are merged before the sellers are joined, so a
+    hot seller crosses that join as one row for each state."""
+    c = customers.select(F.col("customer_id").alias("c_customer_id"), F.col("customer_state").alias("destination_state"))
+    s = sellers.select("seller_id", F.col("seller_state").alias("origin_state"))
+    sold = fact.where("seller_id IS NOT NULL AND customer_id IS NOT NULL")
+    per_seller = split_join(sold, c, "customer_id", "c_customer_id", ["order_id"], "inner").groupBy(
+        "seller_id", "destination_state").agg(*_states())
+    routes = per_seller.join(s, "seller_id").groupBy("origin_state", "destination_state").agg(*_merged())
+    return (routes.where(F.col("n_rows") >= min_orders)
+            .select("origin_state", "destination_state",
+                    F.concat(F.col("origin_state"), F.lit(" → "), F.col("destination_state")).alias("delivery_route"),
+                    F.col("n_rows").alias("total_orders"),
+                    rnd(F.try_divide("s_secs", F.col("n_days") * F.lit(86400.0))).alias("avg_delivery_days"),
+                    rnd(F.col("n_late") * F.lit(100.0) / F.col("n_rows")).alias("delay_rate_pct"),
+                    rnd(F.try_divide("s_transit", F.col("n_transit") * F.lit(86400.0))).alias("avg_transit_days"))
+            .orderBy(F.desc("delay_rate_pct"), F.asc_nulls_last("origin_state"),
+                     F.asc_nulls_last("destination_state"))
+            .limit(n))
 
 
 # Customer frequency segments (fact rows per customer).

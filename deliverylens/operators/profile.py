@@ -119,27 +119,52 @@ def item_categories(items: DataFrame, products: DataFrame, translation: DataFram
                            constant="Unknown")
 
 
+def _counted_by_code(rows: DataFrame, products: DataFrame | None) -> DataFrame:
+    """Rows counted by category code ('unknown' when missing or unmatched).
+
+    ``rows`` with a product id are counted by product before they meet the
+    products, and by code before the code is translated, so neither a hot product
+    nor one of the few codes is a shuffle key for rows."""
+    if products is None:
+        return rows.fillna({"product_category_name": "unknown"}).groupBy("product_category_name").agg(
+            F.count(F.lit(1)).alias("count"))
+    p = products.select(F.col("product_id").alias("_pid"), "product_category_name")
+    per_product = rows.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
+    return (per_product.join(p, F.col("product_id") == F.col("_pid"), "left")
+            .fillna({"product_category_name": "unknown"})
+            .groupBy("product_category_name").agg(F.sum("_n").alias("count")))
+
+
+def _ranked(counts: DataFrame, label: str, top: int) -> DataFrame:
+    """``value_counts`` of rows that are counted by something finer already."""
+    return (counts.where(F.col(label).isNotNull()).groupBy(label).agg(F.sum("count").alias("count"))
+            .orderBy(F.desc("count"), F.asc(label)).limit(top))
+
+
 def item_category_ranking(items: DataFrame, products: DataFrame, translation: DataFrame,
                           top: int = 10) -> DataFrame:
     """P10: top item categories by English name."""
-    return value_counts(item_categories(items, products, translation),
-                        "product_category_name_english", top=top)
+    label = "product_category_name_english"
+    counts = translate_codes(_counted_by_code(items, products), "product_category_name", translation, label,
+                             fallback="constant", constant="Unknown")
+    return _ranked(counts, label, top)
 
 
 def item_category_pairs(items: DataFrame, products: DataFrame, translation: DataFrame
                         ) -> DataFrame:
-    """P10: distinct (code, English name) pairs seen on items."""
-    return (item_categories(items, products, translation)
-            .select("product_category_name", "product_category_name_english").distinct())
+    """P10: distinct (code, English name) pairs seen on items; the codes are
+    distinct before they are translated."""
+    counts = translate_codes(_counted_by_code(items, products), "product_category_name", translation,
+                             "product_category_name_english", fallback="constant", constant="Unknown")
+    return counts.select("product_category_name", "product_category_name_english")
 
 
 def catalogue_category_ranking(products: DataFrame, translation: DataFrame,
                                top: int = 10) -> DataFrame:
     """Top catalogue categories, English name or the original code."""
-    p = products.fillna({"product_category_name": "unknown"})
-    t = translate_codes(p, "product_category_name", translation, "category_display",
-                        fallback="original")
-    return value_counts(t, "category_display", top=top)
+    counts = translate_codes(_counted_by_code(products, None), "product_category_name", translation,
+                             "category_display", fallback="original")
+    return _ranked(counts, "category_display", top)
 
 
 def price_histogram(items: DataFrame, bins: int = 40, hi: float = 200.0) -> DataFrame:
