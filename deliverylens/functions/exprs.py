@@ -41,20 +41,42 @@ def days_between(start: str | Column, end: str | Column) -> Column:
     return seconds_between(start, end).cast("double") / F.lit(SECONDS_PER_DAY)
 
 
+def _micros(days: str | Column) -> Column:
+    return F.round(col(days) * F.lit(SECONDS_PER_DAY * 1e6)).cast("long")
+
+
 def seconds_of(days: str | Column) -> Column:
-    """Fractional days to the nearest whole second, for exact sums."""
-    return F.round(col(days) * F.lit(SECONDS_PER_DAY)).cast("long")
+    """The whole seconds of fractional days, for exact sums."""
+    return F.floor(_micros(days) / F.lit(1e6))
+
+
+def spare_micros(days: str | Column) -> Column:
+    """The microseconds beyond ``seconds_of``: two long sums hold what one of
+    microseconds would overflow with."""
+    return F.pmod(_micros(days), F.lit(1_000_000))
+
+
+def days_of(seconds: Column, micros: Column, n: Column) -> Column:
+    """The mean in days of ``n`` durations from the sums of their two parts."""
+    return F.try_divide(seconds + micros / F.lit(1e6), n * F.lit(SECONDS_PER_DAY))
 
 
 def avg_days(days: str | Column) -> Column:
-    """Mean of a duration column from the exact sum of its seconds.
+    """Mean of a duration column from exact sums of its microseconds.
 
     A double sum depends on the order rows are added, i.e. on partitioning, so
     a mean that is exactly halfway between two rounded values could round
-    either way from run to run. An integer sum is exact and the one final
-    division is correctly rounded, so the result is reproducible anywhere.
+    either way from run to run. Integer sums are exact and the few final
+    operations are the same everywhere, so the result is reproducible.
     """
-    return F.try_divide(F.sum(seconds_of(days)), F.count(col(days)) * F.lit(SECONDS_PER_DAY))
+    return days_of(F.sum(seconds_of(days)), F.sum(spare_micros(days)), F.count(col(days)))
+
+
+def avg_exact(c: str | Column) -> Column:
+    """Mean of a double column from the exact sum of its decimal values (18
+    places, more than a double of a coordinate's size holds): not rounded, and
+    independent of the order of rows."""
+    return F.try_divide(F.sum(col(c).cast("decimal(38,18)")).cast("double"), F.count(col(c)))
 
 
 def avg_fixed(c: str | Column, digits: int = 2) -> Column:

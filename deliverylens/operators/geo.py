@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.functions.exprs import avg_days, avg_fixed, weighted_avg_fixed
+from deliverylens.functions.exprs import avg_days, avg_exact, weighted_avg_fixed
 
 
 def _rate_div() -> Column:
@@ -27,13 +27,13 @@ def state_layer(fact: DataFrame, variant: str = "before") -> DataFrame:
     """
     if variant == "before":
         src = fact.filter(F.col("customer_lat").isNotNull() & F.col("customer_lng").isNotNull())
-        lat = F.round(avg_fixed("customer_lat", 6), 4)
-        lng = F.round(avg_fixed("customer_lng", 6), 4)
+        lat = F.round(avg_exact("customer_lat"), 4)
+        lng = F.round(avg_exact("customer_lng"), 4)
         total = F.count(F.lit(1))
         rate = F.round(_rate_div(), 2)
     elif variant == "after":
         src = fact.filter(F.col("customer_state").isNotNull())
-        lat, lng = avg_fixed("customer_lat", 6), avg_fixed("customer_lng", 6)
+        lat, lng = avg_exact("customer_lat"), avg_exact("customer_lng")
         total = F.count("order_id")
         rate = F.round(F.avg("is_delayed") * F.lit(100.0), 2)
     else:
@@ -49,13 +49,23 @@ def state_layer(fact: DataFrame, variant: str = "before") -> DataFrame:
     return g.orderBy(F.desc("delay_rate_pct"), "customer_state")
 
 
-def coordinate_layer(fact: DataFrame, min_orders: int = 5) -> DataFrame:
-    """Per (state, lat, lng) with coordinates and at least ``min_orders`` rows."""
-    return (fact.filter(F.col("customer_lat").isNotNull())
-            .groupBy("customer_state", F.col("customer_lat").alias("lat"),
-                     F.col("customer_lng").alias("lng"))
-            .agg(F.count(F.lit(1)).alias("total_orders"),
-                 F.round(_rate_div(), 2).alias("delay_rate_pct"))
+def coordinate_layer(fact: DataFrame, min_orders: int = 5, variant: str = "before") -> DataFrame:
+    """Per (state, lat, lng) with at least ``min_orders`` rows.
+
+    ``before`` (the SQL path): rows without a latitude are left out.
+    ``after`` (the CSV path): a NULL state or either coordinate drops the group,
+    orders are counted by their id and the rate is the mean of the flag.
+    """
+    if variant == "before":
+        src, total, rate = fact.filter(F.col("customer_lat").isNotNull()), F.count(F.lit(1)), _rate_div()
+    elif variant == "after":
+        src = fact.dropna(subset=["customer_state", "customer_lat", "customer_lng"])
+        total, rate = F.count("order_id"), F.avg("is_delayed") * F.lit(100.0)
+    else:
+        raise ValueError("variant must be 'before' or 'after'")
+    return (src.groupBy("customer_state", F.col("customer_lat").alias("lat"),
+                        F.col("customer_lng").alias("lng"))
+            .agg(total.alias("total_orders"), F.round(rate, 2).alias("delay_rate_pct"))
             .filter(F.col("total_orders") >= min_orders))
 
 

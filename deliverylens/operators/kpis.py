@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.functions.exprs import (
-    avg_days, avg_fixed, bucket, seconds_of, daypart, iso_weekday, month_start, pct, pct_div_first, rnd, weekday_name, yyyymm,
+    avg_days, avg_exact, bucket, daypart, days_of, iso_weekday, month_start, pct, pct_div_first,
+    rnd, seconds_of, spare_micros, weekday_name, yyyymm,
 )
 from deliverylens.functions.translate import CATEGORY_LABELS_EN, translate_column
 from deliverylens.operators.hot_join import split_join
@@ -263,16 +264,19 @@ def processing_bucket_delay(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 
 # ---- Q18 - Q22 ----------------------------------------------------------------
 
-_SUMS = ["n_rows", "n_late", "s_secs", "n_days", "s_score", "n_score", "s_transit", "n_transit"]
+_SUMS = ["n_rows", "n_late", "s_secs", "s_micros", "n_days", "s_score", "n_score", "s_transit", "s_transit_micros",
+         "n_transit"]
 
 
 def _states() -> list[Column]:
     """Partial states of fact rows: counts and exact sums, which add up."""
     return [_n().alias("n_rows"), F.count_if(_late()).alias("n_late"),
             F.sum(seconds_of("actual_delivery_days")).alias("s_secs"),
+            F.sum(spare_micros("actual_delivery_days")).alias("s_micros"),
             F.count("actual_delivery_days").alias("n_days"),
             F.sum("review_score").alias("s_score"), F.count("review_score").alias("n_score"),
             F.sum(seconds_of("carrier_transit_days")).alias("s_transit"),
+            F.sum(spare_micros("carrier_transit_days")).alias("s_transit_micros"),
             F.count("carrier_transit_days").alias("n_transit")]
 
 
@@ -305,8 +309,7 @@ def category_delay(fact: DataFrame, items: DataFrame, products: DataFrame, n: in
     return (g.filter(F.col("total_orders") >= min_orders)
             .select("product_category_en", "total_orders",
                     rnd(F.col("n_late") * F.lit(100.0) / F.col("total_orders")).alias("delay_rate_pct"),
-                    rnd(F.try_divide(F.col("s_secs"), F.col("n_days") * F.lit(86400.0)))
-                    .alias("avg_delivery_days"),
+                    rnd(days_of(F.col("s_secs"), F.col("s_micros"), F.col("n_days"))).alias("avg_delivery_days"),
                     rnd(F.try_divide(F.col("s_score").cast("double"), F.col("n_score")))
                     .alias("avg_review_score"))
             .orderBy(F.desc("delay_rate_pct"), F.asc_nulls_last("product_category_en"))
@@ -338,14 +341,14 @@ def seller_risk(fact: DataFrame, min_orders: int = 10) -> DataFrame:
 
 
 def city_map(fact: DataFrame, n: int = 100, min_orders: int = 100) -> DataFrame:
-    """Q20: busiest cities with unrounded mean coordinates (exact means of the
-    6-decimal zip coordinates, so the value does not depend on row order)."""
+    """Q20: busiest cities with unrounded mean coordinates (exact sums, so the
+    value does not depend on row order)."""
     return (fact.groupBy("customer_city", "customer_state").agg(
         _n().alias("total_orders"),
         _avg2("actual_delivery_days").alias("avg_delivery_days"),
         rnd(pct(_late())).alias("delay_rate_pct"),
-        avg_fixed("customer_lat", 6).alias("lat"),
-        avg_fixed("customer_lng", 6).alias("lng"))
+        avg_exact("customer_lat").alias("lat"),
+        avg_exact("customer_lng").alias("lng"))
         .filter(F.col("total_orders") >= min_orders)
         .orderBy(F.desc("total_orders"), F.asc_nulls_last("customer_city"),
                  F.asc_nulls_last("customer_state"))
@@ -369,9 +372,10 @@ def route_performance(fact: DataFrame, sellers: DataFrame, customers: DataFrame,
             .select("origin_state", "destination_state",
                     F.concat(F.col("origin_state"), F.lit(" → "), F.col("destination_state")).alias("delivery_route"),
                     F.col("n_rows").alias("total_orders"),
-                    rnd(F.try_divide("s_secs", F.col("n_days") * F.lit(86400.0))).alias("avg_delivery_days"),
+                    rnd(days_of(F.col("s_secs"), F.col("s_micros"), F.col("n_days"))).alias("avg_delivery_days"),
                     rnd(F.col("n_late") * F.lit(100.0) / F.col("n_rows")).alias("delay_rate_pct"),
-                    rnd(F.try_divide("s_transit", F.col("n_transit") * F.lit(86400.0))).alias("avg_transit_days"))
+                    rnd(days_of(F.col("s_transit"), F.col("s_transit_micros"), F.col("n_transit")))
+                    .alias("avg_transit_days"))
             .orderBy(F.desc("delay_rate_pct"), F.asc_nulls_last("origin_state"),
                      F.asc_nulls_last("destination_state"))
             .limit(n))
@@ -396,6 +400,7 @@ def customer_frequency_segments(fact: DataFrame, key: str = "customer_id") -> Da
         _n().alias("n"), F.count_if(_late()).alias("late"),
         F.sum("review_score").alias("s_score"), F.count("review_score").alias("n_score"),
         F.sum(seconds_of("actual_delivery_days")).alias("s_secs"),
+        F.sum(spare_micros("actual_delivery_days")).alias("s_micros"),
         F.count("actual_delivery_days").alias("n_days"))
     seg = (F.when(F.col("n") >= 5, F.lit(SEGMENT_HIGH))
            .when(F.col("n").between(2, 4), F.lit(SEGMENT_MEDIUM))
@@ -403,14 +408,13 @@ def customer_frequency_segments(fact: DataFrame, key: str = "customer_id") -> Da
     g = per.groupBy(seg.alias("customer_segment")).agg(
         F.count(key).alias("total_customers"), F.sum("n").alias("total_orders"),
         F.sum("s_score").alias("s_score"), F.sum("n_score").alias("n_score"),
-        F.sum("late").alias("late"), F.sum("s_secs").alias("s_secs"),
+        F.sum("late").alias("late"), F.sum("s_secs").alias("s_secs"), F.sum("s_micros").alias("s_micros"),
         F.sum("n_days").alias("n_days"))
     return (g.select(
         "customer_segment", "total_customers", "total_orders",
         rnd(F.try_divide(F.col("s_score").cast("double"), F.col("n_score"))).alias("avg_review_score"),
         rnd(F.col("late") * F.lit(100.0) / F.col("total_orders")).alias("delay_rate_pct"),
-        rnd(F.try_divide(F.col("s_secs"), F.col("n_days") * F.lit(86400.0)))
-        .alias("avg_delivery_days"))
+        rnd(days_of(F.col("s_secs"), F.col("s_micros"), F.col("n_days"))).alias("avg_delivery_days"))
         .orderBy("customer_segment"))
 
 

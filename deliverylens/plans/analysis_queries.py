@@ -5,7 +5,7 @@ from __future__ import annotations
 from deliverylens.operators import analysis as A
 from deliverylens.operators import geo as G
 from deliverylens.plans.oracle import (
-    avg6, avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
+    avgx, avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
 )
 from deliverylens.plans.registry import fact_query
 
@@ -195,7 +195,7 @@ SELECT customer_state, count(*) AS total_orders, {r2(rate_div('is_delayed = 1'))
   round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
   round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
   round(avg(review_score), 2) AS avg_review_score,
-  round({avg6('customer_lat')}, 4) AS lat, round({avg6('customer_lng')}, 4) AS lng
+  round({avgx('customer_lat')}, 4) AS lat, round({avgx('customer_lng')}, 4) AS lng
 FROM fact WHERE customer_lat IS NOT NULL AND customer_lng IS NOT NULL
 GROUP BY customer_state ORDER BY delay_rate_pct DESC, customer_state""")
 
@@ -206,7 +206,7 @@ SELECT * FROM (
     round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
     round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
     round(avg(review_score), 2) AS avg_review_score,
-    {avg6('customer_lat')} AS lat, {avg6('customer_lng')} AS lng
+    {avgx('customer_lat')} AS lat, {avgx('customer_lng')} AS lng
   FROM fact WHERE customer_state IS NOT NULL GROUP BY customer_state)
 WHERE lat IS NOT NULL AND lng IS NOT NULL ORDER BY delay_rate_pct DESC, customer_state""",
             variant="after")
@@ -219,6 +219,13 @@ GROUP BY customer_state, customer_lat, customer_lng HAVING count(*) >= 5"""
 
 fact_query("g03_coordinate_layer", G.coordinate_layer, COORD_SQL)
 
+fact_query("g03_coordinate_layer_after", G.coordinate_layer, """
+SELECT * FROM (
+  SELECT customer_state, customer_lat AS lat, customer_lng AS lng, count(order_id) AS total_orders,
+    round(avg(is_delayed) * CAST(100 AS DOUBLE), 2) AS delay_rate_pct
+  FROM fact WHERE customer_state IS NOT NULL GROUP BY ALL)
+WHERE lat IS NOT NULL AND lng IS NOT NULL AND total_orders >= 5""", variant="after")
+
 fact_query("g04_heat_points", G.heat_points, f"""
 SELECT lat, lng, delay_rate_pct / CAST(100 AS DOUBLE) AS weight FROM ({COORD_SQL})
 WHERE lat IS NOT NULL AND lng IS NOT NULL""")
@@ -228,7 +235,7 @@ SELECT customer_state, count(*) AS total_orders, {r2(rate_div('is_delayed = 1'))
   round({avgd('actual_delivery_days')}, 2) AS avg_delivery_days,
   round({avgd('carrier_transit_days')}, 2) AS avg_carrier_days,
   round(avg(review_score), 2) AS avg_review_score,
-  round({avg6('customer_lat')}, 4) AS lat, round({avg6('customer_lng')}, 4) AS lng
+  round({avgx('customer_lat')}, 4) AS lat, round({avgx('customer_lng')}, 4) AS lng
 FROM fact WHERE customer_lat IS NOT NULL AND customer_lng IS NOT NULL GROUP BY customer_state"""
 
 
