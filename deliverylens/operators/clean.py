@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ DURATION_COLUMNS = STAGE_COLUMNS + ["actual_delivery_days", "delay_days"]
 PRODUCT_DIMENSIONS = ["product_weight_g", "product_length_cm", "product_height_cm",
                       "product_width_cm"]
 VALID_SCORES = [1, 2, 3, 4, 5]
+NEGATIVE_AUDIT = STAGE_COLUMNS + ["delay_days"]
 
 
 def _dtype(df: DataFrame, c: str) -> T.DataType:
@@ -58,6 +59,21 @@ def to_int_col(df: DataFrame, c: str) -> Column:
     return F.expr(f"try_cast(try_cast(`{c}` AS double) AS int)")
 
 
+#: What the cleaning converts of each raw table, and what a text is not that fails.
+_TIME, _NUMBER, _INT = ((to_timestamp_col, "not a timestamp"), (to_double_col, "not a number"),
+                        (to_int_col, "not an integer"))
+CONVERSIONS = {
+    "orders": dict.fromkeys(ORDER_TIMESTAMPS, _TIME),
+    "order_items": {"order_item_id": _INT, "shipping_limit_date": _TIME, "price": _NUMBER, "freight_value": _NUMBER},
+    "customers": {}, "sellers": {},
+    "geolocation": dict.fromkeys(["geolocation_lat", "geolocation_lng"], _NUMBER),
+    "products": dict.fromkeys(["product_name_lenght", "product_description_lenght", "product_photos_qty"], _INT)
+    | dict.fromkeys(PRODUCT_DIMENSIONS, _NUMBER),
+    "order_reviews": {"review_score": _NUMBER}
+    | dict.fromkeys(["review_creation_date", "review_answer_timestamp"], _TIME),
+}
+
+
 def coerce_timestamps(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: to_timestamp_col(df, c) for c in cols})
 
@@ -150,13 +166,16 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def clean_orders(raw: DataFrame) -> DataFrame:
+def clean_orders(raw: DataFrame, negative: Observation | None = None) -> DataFrame:
     """Orders -> stg_orders: convert, keep delivered, drop rows missing a
-    critical timestamp, derive durations, clip stages, flag late."""
+    critical timestamp, derive durations, clip stages, flag late. ``negative``
+    takes C15's counts on the way."""
     df = coerce_timestamps(raw, ORDER_TIMESTAMPS)
     df = keep_status(df)
     df = drop_missing(df, CRITICAL_ORDER_TIMESTAMPS)
     df = add_durations(df)
+    if negative is not None:
+        df = df.observe(negative, *[F.count_if(F.col(c) < 0).alias(c) for c in NEGATIVE_AUDIT])
     df = clip_stages(df)
     df = add_late_flag(df)
     return _conform(df, "stg_orders")
@@ -266,14 +285,23 @@ CLEANERS = {
 }
 
 
-def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {stg: fn(raw[name]) for name, (stg, fn) in CLEANERS.items()}
+def clean_all(raw: dict[str, DataFrame], observed: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    """The seven staging tables. ``observed`` takes, while they are written, the
+    rows read of each raw table (by its name) and C15's counts ("negative")."""
+    out = {}
+    for name, (stg, fn) in CLEANERS.items():
+        df, more = raw[name], {}
+        if observed is not None:
+            df = df.observe(observed[name], F.count(F.lit(1)).alias("rows"))
+            more = {"negative": observed["negative"]} if name == "orders" else {}
+        out[stg] = fn(df, **more)
+    return out
 
 
 # ---- C15 - C17: audits ------------------------------------------------------
 
 def negative_audit(orders_with_durations: DataFrame,
-                   cols: Sequence[str] = tuple(STAGE_COLUMNS + ["delay_days"])) -> DataFrame:
+                   cols: Sequence[str] = tuple(NEGATIVE_AUDIT)) -> DataFrame:
     """Rows with a negative value per column, before clipping.
     One aggregation pass, then unpivoted to (column_name, negative_count)."""
     agg = orders_with_durations.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in cols])

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from deliverylens.plans.pipeline import Warehouse, run_concurrently, run_pipeline
 from deliverylens.session import shared_dir
 from deliverylens.sources.binding import raw_table_builders
+from deliverylens.sources.snapshots import FOLDER
 
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], Warehouse] = {}
@@ -33,8 +34,8 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (os.path.abspath(sf_dir), shared_dir(spark))
     with _LOCK:
         wh = _CACHE.get(key)
-        if wh is not None and _exists(spark, wh.path("fact_operational_delivery/_SUCCESS")):
-            return Warehouse(spark, wh.root, wh.checks)
+        if wh is not None and _exists(spark, os.path.join(wh.root, FOLDER)):
+            return Warehouse(spark, wh.root, wh.checks, wh.manifest)
         root = os.path.join(key[1], f"deliverylens-{uuid.uuid4().hex[:12]}")
         wh = build_warehouse(spark, sf_dir, root)
         _CACHE[key] = wh
@@ -50,7 +51,7 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, Dat
         builders[name]().write.mode("overwrite").parquet(os.path.join(root, "raw", name))
 
     run_concurrently({name: (lambda n=name: write(n)) for name in builders})
-    return Warehouse(spark, root).raw()
+    return Warehouse(spark, root, manifest={"tables": {}}).raw()
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, out_dir: str,

@@ -1,16 +1,19 @@
-"""Sinks: idempotent table refresh and the month-partitioned fact."""
+"""Sinks: snapshot tables, the month-partitioned fact and map layers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.functions.exprs import yyyymm
 from deliverylens.sources.schemas import (
     FACT, FACT_PARTITION_COLUMN, FACT_SORT, STAGING, STAGING_SORT,
 )
+from deliverylens.sources.snapshots import Snapshots
+
+FACT_TABLE = "fact_operational_delivery"
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
@@ -19,37 +22,89 @@ def conform(df: DataFrame, schema) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, sort: Sequence[str] | None = None) -> None:
-    """Full refresh (overwrite). Rows are sorted within each task by the
-    table's key so Parquet row-group statistics prune key lookups."""
+    """Full refresh into a folder of its own. Rows are sorted within each
+    task by the table's key so Parquet row-group statistics prune key lookups."""
     out = df.sortWithinPartitions(*sort) if sort else df
-    out.write.mode("overwrite").parquet(path)
-
-
-def write_staging(df: DataFrame, path: str, table: str) -> None:
-    write_table(conform(df, STAGING[table]), path, STAGING_SORT[table])
-
-
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Month-partitioned, key-sorted fact.
-
-    Range partitioning on (month, order_id) gives balanced write tasks that
-    each cover a contiguous run of months, so a busy month is split across
-    tasks and a task writes few partition folders (no small-file explosion).
+    out.write.mode("errorifexists").parquet(path)
+
+
+def write_staging(df: DataFrame, root: str, table: str, version: str, observed: Observation | None = None) -> dict:
+    """One staging table of a version; its manifest entry. ``observed`` takes
+    the rows written and the NULLs left in each column."""
+    out = conform(df, STAGING[table])
+    if observed is not None:
+        out = out.observe(observed, F.count(F.lit(1)).alias("rows"),
+                          *[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in STAGING[table].fields])
+    path = f"{table}/v={version}"
+    write_table(out, f"{root}/{path}", STAGING_SORT[table])
+    return {"path": path}
+
+
+def month_sums(fact: DataFrame) -> dict[str, dict]:
+    """Rows and the exact sum of the rows' hashes of each month (one row a
+    month is collected): equal sums, equal months."""
+    hashed = F.xxhash64(*[f.name for f in FACT.fields],
+                        F.concat_ws("", *[F.col(f.name).isNull().cast("int") for f in FACT.fields]))
+    rows = (fact.groupBy(F.coalesce(F.col(FACT_PARTITION_COLUMN).cast("string"), F.lit("none")).alias("month"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(hashed.cast("decimal(38,0)")).cast("string").alias("s")).collect())
+    return {r["month"]: {"rows": r["n"], "sum": r["s"]} for r in rows}
+
+
+def write_fact(fact: DataFrame, root: str, version: str, before: dict | None = None,
+               observed: Sequence[tuple[Observation, list]] = ()) -> dict:
+    """The month-partitioned, key-sorted fact of a version; its manifest entry.
+
+    With the entry ``before``, months whose sums are unchanged keep their files
+    and only the others are written. ``rebalance`` sizes the write tasks by what
+    they got (a busy month is split, small ones share a task) without sampling
+    the joins below. ``observed``: observations of the rows written.
     """
-    out = conform(fact, FACT).withColumn(FACT_PARTITION_COLUMN,
-                                         yyyymm("order_purchase_timestamp"))
-    (out.repartitionByRange(FACT_PARTITION_COLUMN, "order_id")
-     .sortWithinPartitions(FACT_PARTITION_COLUMN, *FACT_SORT)
-     .write.mode("overwrite").partitionBy(FACT_PARTITION_COLUMN).parquet(path))
-
-
-def load_fact(spark: SparkSession, path: str) -> DataFrame:
+    out = conform(fact, FACT).withColumn(FACT_PARTITION_COLUMN, yyyymm("order_purchase_timestamp"))
+    kept: dict[str, dict] = {}
+    if before:
+        sums = month_sums(out)
+        kept = {m: e for m, e in before["months"].items()
+                if sums.get(m) == {"rows": e["rows"], "sum": e["sum"]}}
+        month = F.coalesce(F.col(FACT_PARTITION_COLUMN).cast("string"), F.lit("none"))
+        out = out.where(~month.isin(*kept)) if kept else out
+    schema = out.schema
+    laid = out.hint("rebalance", FACT_PARTITION_COLUMN).sortWithinPartitions(FACT_PARTITION_COLUMN, *FACT_SORT)
+    for seen, metrics in observed:
+        laid = laid.observe(seen, *metrics)
+    spark = fact.sparkSession
+    if not before or set(sums) - set(kept):
+        (laid.withColumn("v", F.lit(version)).write.mode("append")
+         .partitionBy(FACT_PARTITION_COLUMN, "v").parquet(f"{root}/{FACT_TABLE}"))
+    if not before:
+        base = f"{root}/{FACT_TABLE}"
+        sums = month_sums(spark.read.schema(schema.add("v", "string")).parquet(base).where(F.col("v") == version))
+
+    def folder(m: str) -> str:
+        value = "__HIVE_DEFAULT_PARTITION__" if m == "none" else m
+        return f"{FACT_TABLE}/{FACT_PARTITION_COLUMN}={value}/v={version}"
+
+    fresh = {m: {"path": folder(m), **s} for m, s in sums.items() if m not in kept}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FACT.fields)
+    return {"base": FACT_TABLE, "months": kept | fresh,
+            "schema": f"{ddl}, {FACT_PARTITION_COLUMN} int, v string"}
+
+
+def load_fact(spark: SparkSession, root: str, entry: dict) -> DataFrame:
     """The prepared fact. Filters on ``purchase_ym`` prune folders;
     filters on the raw timestamp need the month filter added to prune."""
-    return spark.read.parquet(path)
-
-
-def export_layers(layers: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> None:
-    """Map layers as files (the reference renders them to HTML)."""
+    if not entry["months"]:
+        return spark.createDataFrame([], entry["schema"]).drop("v")
+    return Snapshots(spark, root).read(entry)
+
+
+def export_layers(layers: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> int:
+    """Map layers as files (the reference renders them to HTML), published
+    together; ``Snapshots(spark, out_dir)`` reads them. Layers of an earlier
+    export that are not given stay."""
+    spark = next(iter(layers.values())).sparkSession
+    shots = Snapshots(spark, out_dir)
+    version, tables = shots.begin(), shots.manifest()["tables"]
     for name, df in layers.items():
-        df.write.mode("overwrite").format(fmt).save(f"{out_dir}/{name}")
+        df.write.format(fmt).save(f"{out_dir}/{name}/v={version}")
+        tables[name] = {"path": f"{name}/v={version}", "format": fmt}
+    return shots.publish(tables)

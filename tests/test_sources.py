@@ -1,11 +1,10 @@
-import os
-
 from pyspark.sql import functions as F
 
 from deliverylens.functions.translate import read_translation_csv, translate_codes
 from deliverylens.operators import geo
 from deliverylens.operators.fact import build_fact
 from deliverylens.sources.sinks import export_layers
+from deliverylens.sources.snapshots import Snapshots
 from tests.conftest import rows
 from tests.fixtures import staging
 
@@ -27,10 +26,13 @@ def test_export_layers_round_trip(spark, tmp_path):
     layers = {"state": geo.state_markers(f), "points": geo.heat_points(f, min_orders=1)}
     out = str(tmp_path / "layers")
     export_layers(layers, out)
-    back = spark.read.parquet(os.path.join(out, "state"))
+    shots = Snapshots(spark, out)
+    back = shots.read(shots.manifest()["tables"]["state"])
     assert back.count() == layers["state"].count() and "color" in back.columns
     export_layers({"points": layers["points"]}, out, fmt="json")
-    assert spark.read.json(os.path.join(out, "points")).agg(F.sum("weight")).first()[0] >= 0
+    tables = shots.manifest()["tables"]
+    assert shots.read(tables["points"], "json").agg(F.sum("weight")).first()[0] >= 0
+    assert shots.read(tables["state"]).count() == back.count()
 
 
 def test_marker_tiers_and_radius(spark):
