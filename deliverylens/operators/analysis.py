@@ -8,10 +8,12 @@ Spark has no row order. One-row statistics are joined back as broadcasts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.functions.exprs import avg_days, avg_fixed, clip, interval_bucket
+from deliverylens.functions.exprs import avg_days, avg_fixed, clip, days_of, interval_bucket, seconds_of, spare_micros
 from deliverylens.operators.distribution import box_stats, describe, histogram
 from deliverylens.operators.quantiles import exact_median
 
@@ -262,34 +264,79 @@ def delay_score_sample(fact: DataFrame, n: int = 3000, seed: int = 42) -> DataFr
                     "review_score"))
 
 
+ROLLUP_KEYS = ["purchase_ym", "customer_state", "seller_id"]
+_ROLLUP_DURATIONS = [*STAGES, "actual_delivery_days", "delay_days"]
+
+
+def rollup(fact: DataFrame, keys: Sequence[str] = tuple(ROLLUP_KEYS)) -> DataFrame:
+    """Mergeable states of the fact per ``keys``: counts and exact integer sums
+    (whole seconds and microseconds of durations, scores on time and late), from
+    which every mean and rate over these keys is had by adding up."""
+    late, score = F.col("is_delayed") == 1, F.col("review_score").cast("long")
+    sums = [F.count(F.lit(1)).alias("n"), F.count("order_id").alias("n_orders"),
+            F.count_if(late).alias("n_late"), F.count_if(F.col("is_delayed") == 0).alias("n_on_time"),
+            F.sum("is_delayed").cast("long").alias("delayed")]
+    for c in _ROLLUP_DURATIONS:
+        sums += [F.sum(seconds_of(c)).alias(f"s_{c}"), F.sum(spare_micros(c)).alias(f"u_{c}"), F.count(c).alias(f"n_{c}")]
+    for name, rows in (("score", F.lit(True)), ("on_time", F.col("is_delayed") == 0), ("late", late)):
+        sums += [F.sum(F.when(rows, score)).alias(f"s_{name}"), F.count(F.when(rows, score)).alias(f"c_{name}")]
+    return fact.groupBy(*keys).agg(*sums)
+
+
+def merged(states: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """A coarser rollup from a finer one."""
+    sums = [c for c in states.columns if c not in ROLLUP_KEYS]
+    return states.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def mean_days(c: str) -> Column:
+    """The mean of a duration of a rollup's row."""
+    return days_of(F.col(f"s_{c}"), F.col(f"u_{c}"), F.col(f"n_{c}"))
+
+
 def executive_summary(fact: DataFrame, min_orders: int = 10) -> DataFrame:
-    """The notebook's closing summary as one row, from one-row
-    aggregates (overall, stages, sellers, states, scores) cross-joined."""
-    late = F.col("is_delayed") == 1
-    overall = fact.agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.round(_rate(F.col("is_delayed") == 0), 2).alias("on_time_rate_pct"),
-        F.round(_rate(late), 2).alias("delay_rate_pct"),
-        *[F.round(avg_days(c), 2).alias(f"avg_{c}") for c in STAGES])
-    bottleneck = bottleneck_stage(fact).select("bottleneck_stage")
-    sellers = seller_profile(fact, min_orders).agg(
-        F.count(F.lit(1)).alias("active_sellers"),
-        F.round(avg_fixed("delay_rate_pct"), 2).alias("mean_seller_delay_rate"),
-        F.count_if(F.col("delay_rate_pct") > 50).alias("sellers_over_50_pct"))
-    states = _state_profile(fact).agg(
-        F.max(F.struct("_rate", "customer_state", "delay_rate_pct")).alias("w"),
-        F.max(F.struct("_days", "customer_state", "avg_delivery_days")).alias("s"))
-    states = states.select(F.col("w.customer_state").alias("worst_state"),
-                           F.col("w.delay_rate_pct").alias("worst_state_delay_rate"),
-                           F.col("s.customer_state").alias("slowest_state"),
-                           F.col("s.avg_delivery_days").alias("slowest_state_days"))
-    sc = F.col("review_score").cast("double")
-    on = F.avg(F.when(F.col("is_delayed") == 0, sc))
-    lt = F.avg(F.when(F.col("is_delayed") == 1, sc))
-    scores = fact.filter(F.col("review_score").isNotNull()).agg(
-        F.round(on, 2).alias("score_on_time"), F.round(lt, 2).alias("score_late"),
-        F.round(on - lt, 2).alias("score_drop"))
-    out = overall
-    for one_row in (bottleneck, sellers, states, scores):
-        out = out.crossJoin(F.broadcast(one_row))
-    return out
+    """The notebook's closing summary as one row, with one read of the fact."""
+    return summary_of(rollup(fact, ["customer_state", "seller_id"]), min_orders)
+
+
+def summary_of(states: DataFrame, min_orders: int = 10) -> DataFrame:
+    """N17 from a rollup by (customer_state, seller_id) or finer: one merge into
+    the grouping sets of all, of sellers and of states, read once."""
+    sums = [c for c in states.columns if c not in ROLLUP_KEYS]
+    seller, state = F.col("seller_id"), F.col("customer_state")
+    sets = states.groupingSets([[], [seller], [state]], seller, state).agg(
+        F.grouping_id().alias("_set"), *[F.sum(c).alias(c) for c in sums])
+    rate = F.col("delayed") / F.col("n_orders") * F.lit(100.0)
+    rows = sets.withColumn("_rate", rate).withColumn("_days", mean_days("actual_delivery_days"))
+    for i, c in enumerate(STAGES):
+        rows = rows.withColumn(f"_m{i}", mean_days(c))
+    # the set's bits: seller_id, customer_state; set where a column is summed over
+    whole = F.col("_set") == 3
+    active = (F.col("_set") == 1) & seller.isNotNull() & (F.col("n_orders") >= min_orders)
+    place = (F.col("_set") == 2) & state.isNotNull()
+    shown = F.when(active, F.round(F.col("_rate"), 2))
+
+    def share(c: str) -> Column:
+        return F.round(F.col(f"w.{c}") / F.col("w.n") * F.lit(100.0), 2)
+
+    def score(name: str) -> Column:
+        return F.try_divide(F.col(f"w.s_{name}").cast("double"), F.col(f"w.c_{name}"))
+
+    one = rows.agg(F.max(F.when(whole, F.struct(*sums, *[f"_m{i}" for i in range(len(STAGES))]))).alias("w"),
+                   F.count_if(active).alias("active_sellers"),
+                   F.round(avg_fixed(shown), 2).alias("mean_seller_delay_rate"),
+                   F.count_if(shown > 50).alias("sellers_over_50_pct"),
+                   F.max(F.when(place, F.struct("_rate", "customer_state"))).alias("r"),
+                   F.max(F.when(place, F.struct("_days", "customer_state"))).alias("d"))
+    best = F.array_max(F.array(*[F.struct(F.col(f"w._m{i}").alias("m"), F.lit(-i).alias("order"), F.lit(name).alias("stage"))
+                                 for i, name in enumerate(STAGE_NAMES)]))
+    return one.select(
+        F.coalesce("w.n", F.lit(0)).alias("total_orders"), share("n_on_time").alias("on_time_rate_pct"),
+        share("n_late").alias("delay_rate_pct"),
+        *[F.round(F.col(f"w._m{i}"), 2).alias(f"avg_{c}") for i, c in enumerate(STAGES)],
+        best["stage"].alias("bottleneck_stage"),
+        "active_sellers", "mean_seller_delay_rate", "sellers_over_50_pct",
+        F.col("r.customer_state").alias("worst_state"), F.round("r._rate", 2).alias("worst_state_delay_rate"),
+        F.col("d.customer_state").alias("slowest_state"), F.round("d._days", 2).alias("slowest_state_days"),
+        F.round(score("on_time"), 2).alias("score_on_time"), F.round(score("late"), 2).alias("score_late"),
+        F.round(score("on_time") - score("late"), 2).alias("score_drop"))

@@ -54,6 +54,28 @@ def histogram(df: DataFrame, value: str, bins: int, lo: float | None = None,
             .orderBy("bin"))
 
 
+def histograms(df: DataFrame, cols: Sequence[str], bins: int, lo: float | None = None,
+               hi: float | None = None) -> DataFrame:
+    """``histogram`` of several columns in two scans: one for the ranges of all,
+    one that counts (column, bin) pairs, combined map-side. Output as
+    ``histogram`` with ``column_name`` first."""
+    clipped = df.select(*[clip(c, lo, hi).alias(c) for c in cols])
+    ends = clipped.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("mn", F.min), ("mx", F.max))])
+    ranges = ends.select(F.expr("inline(array(" + ", ".join(
+        f"struct({i} AS c, {c!r} AS column_name, if(mn{i} = mx{i}, mn{i} - 0.5D, mn{i}) AS lo, "
+        f"if(mn{i} = mx{i}, mx{i} + 0.5D, mx{i}) AS hi)" for i, c in enumerate(cols)) + "))")).where("lo IS NOT NULL")
+    values = clipped.select(F.posexplode(F.array(*cols)).alias("c", "v")).where("v IS NOT NULL")
+    at = F.expr(f"least(cast(floor((v - lo) * ({float(bins)}D / (hi - lo))) AS int), {bins - 1})")
+    counts = values.join(F.broadcast(ranges), "c").groupBy("c", at.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    axis = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = F.expr(f"(hi - lo) / {float(bins)}D")
+    return (axis.join(F.broadcast(counts), ["c", "bin"], "left")
+            .select("column_name", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_start"),
+                    (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"),
+                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+            .orderBy("column_name", "bin"))
+
+
 def describe(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
     """pandas ``describe`` for numeric columns, one row per column:
     count (non-null), mean, sample std, min, exact 25/50/75 % (linear

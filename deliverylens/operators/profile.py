@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deliverylens.functions.translate import translate_codes
-from deliverylens.operators.distribution import box_stats, describe, histogram, value_counts
+from deliverylens.operators.distribution import box_stats, describe, histogram, histograms, value_counts
 from deliverylens.operators.quantiles import exact_quantiles
 
 
@@ -39,18 +39,43 @@ def missing_values(df: DataFrame, name: str | None = None) -> DataFrame:
     return out
 
 
-def duplicate_rows(df: DataFrame, name: str) -> DataFrame:
-    """Full-row duplicates (occurrences after the first) and their %.
+#: Words of 64 bits in the filter of suspected duplicates (at most that many rows are broadcast).
+FILTER_WORDS = 1 << 16
+
+
+def _fingerprints(df: DataFrame) -> DataFrame:
+    """The rows with ``_a`` and ``_b``, two 64-bit hashes of all columns; where
+    NULLs stand is hashed too, as a hash of columns skips them."""
+    nulls = F.concat_ws("", *[F.col(f"`{c}`").isNull().cast("int") for c in df.columns])
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return df.select("*", F.xxhash64(nulls, *cols).alias("_a"), F.xxhash64(F.lit("b"), *reversed(cols), nulls).alias("_b"))
 
-    Grouping by every column aggregates map-side first, so a row repeated a
-    third of the table long still shuffles one partial count per task.
+
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """Each row that occurs more than once, with its number ``_n``.
+
+    Rows are counted by fingerprint, 24 bytes each, after map-side combining.
+    Fingerprints met more than once set bits in a filter of fixed size, which is
+    broadcast; only rows that pass it, the suspects, are shuffled whole and
+    compared by all their columns, so neither a collision nor the filter's false
+    alarms can count as a duplicate, and no duplicate can pass it by.
     """
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return per_row.agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("dups")).select(
-        F.lit(name).alias("table_name"), F.coalesce("dups", F.lit(0)).cast("long")
-        .alias("duplicate_rows"),
-        F.round(F.try_divide(F.col("dups") * F.lit(100.0), F.col("rows")), 2)
-        .alias("duplicate_pct"))
+    hashed = _fingerprints(df)
+    twice = hashed.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    word, bit = f"pmod(_a, {FILTER_WORDS})", f"shiftleft(1L, cast(pmod(_b, 64) AS int))"
+    words = twice.groupBy(F.expr(word).alias("_word")).agg(F.expr(f"bit_or({bit})").alias("_bits"))
+    suspects = (hashed.join(F.broadcast(words), F.expr(f"{word} = _word"))
+                .where(F.expr(f"(_bits & {bit}) <> 0")).select(*[f"`{c}`" for c in df.columns]))
+    return (suspects.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+
+
+def duplicate_rows(df: DataFrame, name: str) -> DataFrame:
+    """Full-row duplicates (occurrences after the first) and their %."""
+    dups = repeated_rows(df).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("dups"))
+    total = df.agg(F.count(F.lit(1)).alias("rows"))
+    return total.crossJoin(F.broadcast(dups)).select(
+        F.lit(name).alias("table_name"), F.col("dups").cast("long").alias("duplicate_rows"),
+        F.round(F.expr("try_divide(dups * 100D, rows)"), 2).alias("duplicate_pct"))
 
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -73,32 +98,40 @@ def head(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -> DataF
     return df.orderBy(*(order or df.columns)).limit(n)
 
 
-def profile_dataset(df: DataFrame, name: str) -> DataFrame:
-    """Long format (table_name, column_name, metric, value) with rows,
-    columns and duplicate rows per table and dtype and missing count per
-    column. One grouping by the full row feeds every metric: identical rows
-    share their NULL pattern, so NULL counts are sums of group sizes."""
+def profile_dataset(df: DataFrame, name: str, full: bool = True) -> DataFrame:
+    """P1 to P6 of a table in long format (table_name, column_name, metric,
+    value): rows, columns, duplicate rows and their share; per column its type,
+    missing values and their share; and unless ``full`` is false describe() of the
+    numeric columns and the first five rows (``head_1`` to ``head_5``). All
+    values as text."""
     cols = df.columns
-    per_row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    j = per_row.agg(
-        F.sum("_n").alias("_rows"), F.sum(F.col("_n") - 1).alias("duplicate_rows"),
-        *[F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_n")).otherwise(F.lit(0))).alias(c)
-          for c in cols])
-    j = j.select(F.coalesce("_rows", F.lit(0)).alias("_rows"),
-                 F.coalesce("duplicate_rows", F.lit(0)).alias("duplicate_rows"),
-                 *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in cols])
+    one = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_m{i}") for i, c in enumerate(cols)])
+    both = one.crossJoin(F.broadcast(duplicate_rows(df, name).select("duplicate_rows", "duplicate_pct")))
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
-    def row(column, metric, value):
-        col = F.lit(column).cast("string")
-        return F.struct(col.alias("column_name"), F.lit(metric).alias("metric"),
-                        value.cast("string").alias("value"))
-
-    rows = [row(None, "rows", F.col("_rows")), row(None, "columns", F.lit(len(cols))),
-            row(None, "duplicate_rows", F.col("duplicate_rows"))]
-    for c in cols:
-        rows += [row(c, "dtype", F.lit(types[c])), row(c, "missing_count", F.col(f"`{c}`"))]
-    return j.select(F.inline(F.array(*rows))).select(F.lit(name).alias("table_name"), "*")
+    def cell(column: str | None, metric: str, value: str) -> str:
+        return (f"struct({'cast(NULL AS string)' if column is None else repr(column)} AS column_name, "
+                f"{metric!r} AS metric, cast({value} AS string) AS value)")
+
+    cells = [cell(None, "rows", "_rows"), cell(None, "columns", str(len(cols))),
+             cell(None, "duplicate_rows", "duplicate_rows"), cell(None, "duplicate_pct", "duplicate_pct")]
+    for i, c in enumerate(cols):
+        cells += [cell(c, "dtype", repr(types[c])), cell(c, "missing_count", f"_m{i}"),
+                  cell(c, "missing_pct", f"round(try_divide(_m{i} * 100D, _rows), 2)")]
+    out = both.select(F.expr(f"inline(array({', '.join(cells)}))"))
+    if not full:
+        return out.select(F.lit(name).alias("table_name"), "column_name", "metric", "value")
+    if numeric_columns(df):
+        stats = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+        d = describe(df, numeric_columns(df)).select("column_name", *[F.col(s).cast("double").alias(s) for s in stats])
+        out = out.unionByName(d.unpivot(["column_name"], stats, "metric", "value").withColumn(
+            "value", F.col("value").cast("string")))
+    order = F.row_number().over(Window.orderBy(*[F.asc_nulls_first(f"`{c}`") for c in cols]))  # of five rows
+    numbered = head(df).select(F.concat(F.lit("head_"), order).alias("metric"),
+                               *[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    out = out.unionByName(numbered.unpivot(["metric"], cols, "column_name", "value"))
+    return out.select(F.lit(name).alias("table_name"), "column_name", "metric", "value")
 
 
 def orders_per_month(orders: DataFrame) -> DataFrame:
@@ -177,12 +210,8 @@ def price_histogram(items: DataFrame, bins: int = 40, hi: float = 200.0) -> Data
 def stage_histograms(orders: DataFrame, bins: int = 40, lo: float = 0.0, hi: float = 20.0,
                      stages: Sequence[str] = ("seller_processing_days", "carrier_transit_days")
                      ) -> DataFrame:
-    """Processing and transit histograms clipped to 0..20, 40 bins each."""
-    out = None
-    for s in stages:
-        h = histogram(orders, s, bins, lo, hi).select(F.lit(s).alias("column_name"), "*")
-        out = h if out is None else out.unionByName(h)
-    return out
+    """Processing and transit histograms clipped to 0..20, 40 bins each, in two scans."""
+    return histograms(orders, list(stages), bins, lo, hi)
 
 
 def delay_histogram(orders: DataFrame, bins: int = 40) -> DataFrame:

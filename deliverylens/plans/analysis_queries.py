@@ -7,7 +7,7 @@ from deliverylens.operators import geo as G
 from deliverylens.plans.oracle import (
     avgx, avgc, avgd, box_sql, clip_sql, describe_sql, histogram_sql, r2, rate_div, wavgc,
 )
-from deliverylens.plans.registry import fact_query
+from deliverylens.plans.registry import fact_query, register, warehouse_for
 
 STAGES = ["approval_time_days", "seller_processing_days", "carrier_transit_days"]
 STAGE_NAMES = ["Approval", "Seller Processing", "Carrier Transit"]
@@ -161,7 +161,7 @@ FROM fact WHERE review_score IS NOT NULL
 ORDER BY md5('42|' || order_id || '|' || CAST(review_score AS VARCHAR)), order_id, review_score, delay_days
 LIMIT 3000""")
 
-fact_query("n17_executive_summary", A.executive_summary, f"""
+_SUMMARY_SQL = (f"""
 SELECT o.*, b.bottleneck_stage, s.*, w.worst_state, w.worst_state_delay_rate,
   sl.slowest_state, sl.slowest_state_days, sc.*
 FROM (SELECT count(*) AS total_orders, {r2(rate_div('is_delayed = 0'))} AS on_time_rate_pct,
@@ -186,7 +186,10 @@ CROSS JOIN (SELECT round(avg(CASE WHEN is_delayed = 0 THEN CAST(review_score AS
                          - avg(CASE WHEN is_delayed = 1 THEN CAST(review_score AS DOUBLE) END), 2)
                      AS score_drop
             FROM fact WHERE review_score IS NOT NULL) sc""",
-            SELLER_PROFILE_CTE.strip() + "," + STATE_PROFILE_CTE)
+                SELLER_PROFILE_CTE.strip() + "," + STATE_PROFILE_CTE)
+fact_query("n17_executive_summary", A.executive_summary, *_SUMMARY_SQL)
+register("n17_summary_from_rollup", *_SUMMARY_SQL)(
+    lambda spark, d: A.summary_of(warehouse_for(spark, d).table("rollup")))
 
 # ---- G1 - G9 -------------------------------------------------------------------
 

@@ -19,12 +19,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from deliverylens.operators.analysis import rollup
 from deliverylens.operators.clean import CLEANERS, clean_all
 from deliverylens.operators.fact import build_fact
 from deliverylens.operators.quality import assert_counts, quality_counts
 from deliverylens.sources.raw import read_raw_tables
 from deliverylens.sources.schemas import RAW_TABLES
-from deliverylens.sources.sinks import FACT_TABLE, load_fact, write_fact, write_staging
+from deliverylens.sources.sinks import FACT_TABLE, fresh_months, load_fact, write_fact, write_months, write_staging
 from deliverylens.sources.snapshots import Snapshots
 
 STAGING_TABLES = ("stg_orders", "stg_order_items", "stg_customers", "stg_sellers",
@@ -65,8 +66,10 @@ class Warehouse:
         return self.manifest["audit"]
 
     def table(self, name: str) -> DataFrame:
-        if name == "fact":
-            return load_fact(self.spark, self.root, self.manifest["tables"][FACT_TABLE])
+        """A staging table, ``fact``, or ``rollup``: the fact's mergeable sums by month, state and seller."""
+        if name in ("fact", "rollup"):
+            entry = self.manifest["tables"][FACT_TABLE if name == "fact" else name]
+            return load_fact(self.spark, self.root, entry)
         return Snapshots(self.spark, self.root).read(self.manifest["tables"][name])
 
     @property
@@ -110,6 +113,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame] | str, out_dir:
     entry = write_fact(fact, out_dir, version, before.get(FACT_TABLE) if incremental else None,
                        [(gate, quality_counts())])
     tables[FACT_TABLE] = entry
+    tables["rollup"] = write_months(rollup(load_fact(spark, out_dir, fresh_months(entry, version))), "rollup", out_dir,
+                                    version, entry, before.get("rollup"))
     fresh = any(m["path"].endswith(f"v={version}") for m in entry["months"].values())
     counts = _with_kept_months(dict(gate.get) if fresh or not incremental else {}, entry, version)
     checks = assert_counts(counts) if enforce_quality else []

@@ -88,8 +88,9 @@ register("p05_describe_items", describe_sql(["order_item_id", "price", "freight_
                                             "stg_order_items"))(
     lambda spark, d: P.describe_numeric(raw(spark, d)["order_items"]))
 
-register("p06_head_orders", "SELECT * FROM raw_orders ORDER BY ALL LIMIT 5")(
-    lambda spark, d: P.head(raw(spark, d)["orders"]))
+for _n in RAW_NAMES:
+    register(f"p06_head_{_n}", f"SELECT {', '.join(RAW_COLUMNS[_n])} FROM {RAW_SQL[_n]} ORDER BY ALL NULLS FIRST LIMIT 5")(
+        lambda spark, d, n=_n: P.head(raw(spark, d)[n]))
 
 # The Spark type names the binding gives each raw column.
 RAW_DTYPES = {
@@ -104,23 +105,45 @@ RAW_DTYPES = {
 }
 
 
-def _profile_sql(n: str) -> str:
+_NUMERIC_TYPES = {"int", "double"}
+_STATS = {"count": "count({c})", "mean": "round(avg({c}), 2)", "std": "round(stddev_samp({c}), 2)",
+          "min": "round(min({c}), 2)", "p25": "round(quantile_cont({c}, 0.25), 2)",
+          "p50": "round(quantile_cont({c}, 0.5), 2)", "p75": "round(quantile_cont({c}, 0.75), 2)",
+          "max": "round(max({c}), 2)"}
+
+
+def _profile_sql(n: str, full: bool = True) -> str:
+    """P1 to P6 of a table; numbers as Spark writes doubles in text."""
     src, cols = RAW_SQL[n], RAW_COLUMNS[n]
     allc = ", ".join(cols)
+    dups = f"(SELECT sum(k - 1) AS d, sum(k) AS n FROM (SELECT count(*) AS k FROM {src} GROUP BY {allc}))"
     parts = [f"SELECT '{n}' AS table_name, CAST(NULL AS VARCHAR) AS column_name, 'rows' AS metric,"
              f" CAST(count(*) AS VARCHAR) AS value FROM {src}",
              f"SELECT '{n}', NULL, 'columns', '{len(cols)}'",
-             f"SELECT '{n}', NULL, 'duplicate_rows', CAST(coalesce(sum(k - 1), 0) AS VARCHAR) "
-             f"FROM (SELECT count(*) AS k FROM {src} GROUP BY {allc})"]
+             f"SELECT '{n}', NULL, 'duplicate_rows', CAST(coalesce(d, 0) AS VARCHAR) FROM {dups}",
+             f"SELECT '{n}', NULL, 'duplicate_pct', CAST(round(d * CAST(100 AS DOUBLE) / n, 2) AS VARCHAR) FROM {dups}"]
     for c, t in zip(cols, RAW_DTYPES[n]):
         parts.append(f"SELECT '{n}', '{c}', 'dtype', '{t}'")
         parts.append(f"SELECT '{n}', '{c}', 'missing_count', CAST(count_if({c} IS NULL) AS VARCHAR)"
                      f" FROM {src}")
+        parts.append(f"SELECT '{n}', '{c}', 'missing_pct', CAST(round(count_if({c} IS NULL) * "
+                     f"CAST(100 AS DOUBLE) / count(*), 2) AS VARCHAR) FROM {src}")
+        if full and t in _NUMERIC_TYPES:
+            parts += [f"SELECT '{n}', '{c}', '{m}', CAST(CAST({e.format(c=c)} AS DOUBLE) AS VARCHAR) FROM {src}"
+                      for m, e in _STATS.items()]
+    if not full:
+        return "\nUNION ALL\n".join(parts)
+    head = (f"(SELECT *, row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in cols)}) AS rn "
+            f"FROM (SELECT {allc} FROM {src} ORDER BY ALL NULLS FIRST LIMIT 5))")
+    parts += [f"SELECT '{n}', '{c}', 'head_' || rn, CAST({c} AS VARCHAR) FROM {head}" for c in cols]
     return "\nUNION ALL\n".join(parts)
 
 
-register("p07_profile_dataset", "\nUNION ALL\n".join(_profile_sql(n) for n in RAW_NAMES))(
-    _over_raw(P.profile_dataset))
+register("p07_profile_dataset", "\nUNION ALL\n".join(_profile_sql(n, False) for n in RAW_NAMES))(
+    _over_raw(lambda df, name: P.profile_dataset(df, name, full=False)))
+for _n in RAW_NAMES:
+    register(f"p07_profile_{_n}", _profile_sql(_n))(
+        lambda spark, d, n=_n: P.profile_dataset(raw(spark, d)[n], n))
 
 # ---- P8 - P11 ------------------------------------------------------------------
 

@@ -378,7 +378,7 @@ FROM fact""")
 
 def _load_all() -> None:
     # the other query families register themselves on import
-    from deliverylens.plans import analysis_queries, profile_queries  # noqa: F401
+    from deliverylens.plans import analysis_queries, profile_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -89,6 +89,24 @@ def write_fact(fact: DataFrame, root: str, version: str, before: dict | None = N
             "schema": f"{ddl}, {FACT_PARTITION_COLUMN} int, v string"}
 
 
+def fresh_months(entry: dict, version: str) -> dict:
+    """The entry of the months alone that ``version`` wrote."""
+    return entry | {"months": {m: e for m, e in entry["months"].items() if e["path"].endswith(f"v={version}")}}
+
+
+def write_months(df: DataFrame, name: str, root: str, version: str, fact: dict, before: dict | None) -> dict:
+    """A table kept by the fact's months, given for the months that ``version``
+    wrote; the others keep their files of ``before``."""
+    fresh = fresh_months(fact, version)["months"]
+    if fresh:
+        (df.withColumn("v", F.lit(version)).write.mode("append")
+         .partitionBy(FACT_PARTITION_COLUMN, "v").parquet(f"{root}/{name}"))
+    months = {m: {"path": e["path"].replace(FACT_TABLE, name, 1)} if m in fresh else before["months"][m]
+              for m, e in fact["months"].items()}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != FACT_PARTITION_COLUMN)
+    return {"base": name, "months": months, "schema": f"{ddl}, {FACT_PARTITION_COLUMN} int, v string"}
+
+
 def load_fact(spark: SparkSession, root: str, entry: dict) -> DataFrame:
     """The prepared fact. Filters on ``purchase_ym`` prune folders;
     filters on the raw timestamp need the month filter added to prune."""

@@ -57,3 +57,18 @@ def test_sample_is_bounded_and_deterministic(spark):
     f = _fact(spark)
     a = rows(A.delay_score_sample(f, n=2))
     assert len(a) == 2 and a == rows(A.delay_score_sample(f, n=2))
+
+
+def test_summary_reads_the_fact_once_and_merges_from_a_finer_rollup(spark):
+    from deliverylens.operators import analysis as A
+    from deliverylens.plans.warehouse import warehouse_for
+    from tests.conftest import SF_SMALL
+
+    fact = warehouse_for(spark, SF_SMALL).fact
+    whole = A.executive_summary(fact)
+    monthly = warehouse_for(spark, SF_SMALL).table("rollup")
+    assert sorted(map(str, monthly.select(*A.rollup(fact).columns).collect())) == sorted(map(str, A.rollup(fact).collect()))
+    assert whole.collect() == A.summary_of(monthly).collect()
+    assert whole.collect() == A.summary_of(A.merged(monthly, ["customer_state", "seller_id"])).collect()
+    assert A.executive_summary(fact)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert A.executive_summary(fact.where("false")).first()["total_orders"] == 0
