@@ -9,15 +9,17 @@ windows directly. At the end a partition's open windows, at most
 the same way, and what is left of a merge group is cut into powers of two,
 which need no padding. Memory is bounded by the open windows and one document.
 
-Token ids are those of the given byte-level BPE vocabulary; strings of special
-tokens are ordinary text; every document ends with ``END``. Edge cases: null
+Token ids are those that the ``tokenizers`` library gives with the vocabulary
+file by default: a special token's string in a text is that token. Every
+document ends with ``END``. Edge cases: null
 or empty text is the end token alone; repeated rows are packed each for
 itself; an empty table gives no pieces; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -44,21 +46,35 @@ _ARROW = pa.schema([(n.split()[0], pa.binary() if n.endswith("binary") else pa.i
                     for n in _OUT.split(", ")])
 
 
+def _bytes_of_symbols() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for:
+    visible ones for themselves, the others from U+0100 on, in order."""
+    seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in seen]
+    return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Text -> little-endian uint32 ids, by words.
 
     The vocabulary's pattern never joins a word to the blank after it, so a
     text whose blanks stand single between other characters is the
     concatenation of its words' ids, each word with its leading blank. Any
-    other text is encoded as a whole.
+    other text is encoded as a whole. What stands between special tokens is a
+    text of its own.
     """
 
-    def __init__(self, ranks_path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         import public_tokenizers
         import tiktoken
 
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
+        self._special = special
+        self._split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split
+        byte = _bytes_of_symbols()
+        ranks = {bytes(byte[c] for c in s): i for s, i in spec["model"]["vocab"].items() if s not in special}
         self._whole = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                         mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._known: dict[str, bytes | None] = {}
@@ -77,6 +93,11 @@ class WordEncoder:
                 known[w] = None if odd else self._ids(" " + w)
 
     def encode(self, text: str | None) -> bytes:
+        if text and any(s in text for s in self._special):
+            return b"".join(self._special.get(p) or self._plain(p) for p in self._split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str | None) -> bytes:
         if not text:
             return b""
         first, *words = text.split(" ")
@@ -104,10 +125,11 @@ class Packer:
 
     def put(self, doc_id, start: int, ids: bytes, doc_tokens: int) -> None:
         """Place one piece, cutting it where it has to be cut."""
-        size = self.window * 4
-        while len(ids) >= size:
-            self.emit([(doc_id, start, ids[:size], doc_tokens)])
-            start, ids = start + self.window, ids[size:]
+        size, at = self.window * 4, 0
+        while len(ids) - at >= size:
+            self.emit([(doc_id, start, ids[at:at + size], doc_tokens)])
+            start, at = start + self.window, at + size
+        ids = ids[at:]
         while ids:
             n = len(ids) // 4
             fits = [(self.window - used - n, i) for i, (used, _) in enumerate(self.open)
@@ -164,7 +186,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, _ARROW, strict=True)], schema=_ARROW)
 
 
-def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW,
+def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW,
          open_windows: int = OPEN_WINDOWS, merge_group: int = MERGE_GROUP) -> DataFrame:
     """One row per piece: where its ids stand in the document and in the sequence.
 
@@ -174,7 +196,7 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW,
     """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(ranks_path), TaskContext.get().partitionId()
+        encoder, part = WordEncoder(vocabulary), TaskContext.get().partitionId()
         rows: list[tuple] = []
         count = 0
 
@@ -236,4 +258,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op6: all documents in windows of 2048 tokens."""
     import public_tokenizers
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -8,19 +8,18 @@ from tokenizers import Tokenizer
 
 from deliverylens.llm import packing as P
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+RANKS = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", [
     "", "a", " a", "a ", "a  b", "a b", "a \n b", "a\nb c", "a\n\nb\t c", "it's we'll 12 34,5 é ß 字 🙂",
-    "<|endoftext|> x", "\u00a0a \u00a0 b", "a\x1c b \x1c", "ab\r\ncd ef", "x" * 5000, "a b " * 50])
+    "<|endoftext|> x", "a<|endoftext|>b", " <|endoftext|><|endoftext|>", "<|endoftext", "\u00a0a \u00a0 b", "a\x1c b \x1c", "ab\r\ncd ef", "x" * 5000, "a b " * 50])
 def test_word_encoder_is_the_tokenizer(reference, text):
     encoder = P.WordEncoder(RANKS, cache_words=3)
     for _ in range(2):
@@ -51,6 +50,16 @@ def test_pieces_round_trip(make, corpus, reference, window, open_windows):
         assert at == window or at < window and at & (at - 1) == 0  # no padding at all
 
 
+def test_special_token_and_very_long_texts():
+    import time
+
+    assert np.frombuffer(P.WordEncoder(RANKS).encode("a<|endoftext|>b"), "<u4").tolist() == [64, 50256, 65]
+    out = []
+    packer, n, begin = P.Packer(lambda pieces: out.append(pieces[0][1]), 2048, 16), 32_000_000, time.monotonic()
+    packer.put(1, 0, bytes(4 * n), n)
+    assert out == list(range(0, n, 2048)) and time.monotonic() - begin < 20
+
+
 def test_open_windows_are_bounded():
     emitted = []
     packer = P.Packer(emitted.append, 10, 3)
