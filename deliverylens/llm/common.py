@@ -32,6 +32,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str, *also: str) -> str:
+    """``name``, with underscores until no column of ``df`` (nor one of ``also``) has it."""
+    while name in df.columns or name in also:
+        name += "_"
+    return name
+
+
 def mostly(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of docs whose key may be among ``keys``: surely those that are.
 

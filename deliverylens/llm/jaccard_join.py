@@ -45,7 +45,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import blocks_of, distinct, mix64, mostly, staged, table, window_names, word_hashes
+from deliverylens.llm.common import (
+    blocks_of,
+    distinct,
+    free_name,
+    mix64,
+    mostly,
+    staged,
+    table,
+    window_names,
+    word_hashes,
+)
 from deliverylens.llm.components import components
 
 #: Sets in a tree, sets in a leaf, largest components a block sends on first.
@@ -470,9 +480,10 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     found = staged(cluster(docs, words, percent).select("doc_id", "key", "component"), "components")
     first = found.where("component IS NOT NULL").groupBy("component").agg(
         F.min(F.struct("doc_id", "key")).alias("first")).select("first.key")
-    kept = first.unionByName(found.where("component IS NULL").select("key")).withColumnRenamed("key", "_key")
-    return (docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text")).join(kept, "_key", "left_semi")
-            .dropDuplicates(["_key"]).drop("_key"))
+    own = free_name(docs, "_key")
+    kept = first.unionByName(found.where("component IS NULL").select("key")).withColumnRenamed("key", own)
+    return (docs.withColumn(own, F.xxhash64(F.col("doc_id").cast("long"), "text")).join(kept, own, "left_semi")
+            .dropDuplicates([own]).drop(own))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -11,26 +11,19 @@ threshold get exact distinct counts. Everything is DataFrame expressions.
 A line is boilerplate if its spread is ``min_sites`` or more. Boilerplate is
 removed wherever it occurs; documents stay, if need be with an empty text.
 
-The registered query keeps the narrower rule of its SQL (``by_contexts``): the
-distinct sites of a line's contexts (pairs of neighbouring lines, each counted
-for its smallest site), and at least half of its occurrences with a context of
-their own. It leaves the inner lines of shared blocks, and lines most of whose
-occurrences are in copies.
-
 Edge cases: lines are compared without blanks, tabs and returns at their ends;
 blank lines are never boilerplate; a null text stays null and has no lines; a
 null site is a site of its own; repeated rows are treated alike; a table
-without documents gives none; extra columns are kept.
+without documents gives none; extra columns are kept, and where one has a name
+that is added here, the added one gets an underscore more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import staged, table
+from deliverylens.llm.common import free_name, staged, table
 
 MIN_SITES = 10
 #: Estimates this close to the threshold, as a share of it, are counted exactly.
@@ -56,19 +49,6 @@ def _hashes(text: Column) -> Column:
     return F.array_compact(F.transform(_lines(text), _key))
 
 
-def occurrences(docs: DataFrame, site: str) -> DataFrame:
-    """(line, context, site, n): a row for each line in each context."""
-    none = F.array(F.lit(0).cast("long"))
-    hs = docs.select(F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
-                     _hashes(F.col("text")).alias("hs")).where(F.size("hs") > 0)
-    each = hs.select("site", F.inline(F.arrays_zip(
-        F.col("hs").alias("line"),
-        F.concat(none, F.col("hs")).alias("before"),
-        F.concat(F.slice(F.col("hs"), F.lit(2), F.size("hs")), none).alias("after")))).where("line IS NOT NULL")
-    return each.groupBy("line", F.xxhash64("before", "after").alias("context")).agg(
-        F.min("site").alias("site"), F.count("*").alias("n"))
-
-
 def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, band: float = BAND) -> DataFrame:
     """The hashes (line) of boilerplate lines, each once."""
     lines = docs.select(F.xxhash64(F.coalesce(F.col(site).cast("string"), F.lit(""))).alias("site"),
@@ -95,41 +75,33 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     return sure.unionByName(exact)
 
 
-def by_contexts(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, band: float = BAND) -> DataFrame:
-    """The hashes (line) of boilerplate lines by the rule of the query's SQL, each once."""
-    each = staged(occurrences(docs, site), "line-contexts")
-    spread = each.groupBy("line").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG))).alias("sites"),
-        F.count("*").alias("contexts"), F.sum("n").alias("n")).where("2 * contexts >= n")
-    sure = spread.where(F.col("sites") >= min_sites * (1 + band)).select("line")
-    near = spread.where((F.col("sites") >= min_sites * (1 - band)) & (F.col("sites") < min_sites * (1 + band)))
-    # distinct first: of a hot line, a task sends each site once
-    exact = (each.select("line", "site").distinct().join(near.select("line"), "line", "left_semi")
-             .groupBy("line").agg(F.count("*").alias("sites")).where(F.col("sites") >= min_sites).select("line"))
-    return sure.unionByName(exact)
-
-
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES,
-                       band: float = BAND, find: Callable[..., DataFrame] = boilerplate) -> DataFrame:
+                       band: float = BAND) -> DataFrame:
     """The documents, all columns, with ``text`` freed of boilerplate, and two
-    more: n_lines (not blank) and n_removed."""
-    bad = staged(find(docs, site, min_sites, band), "boilerplate")
+    more: n_lines (not blank) and n_removed (see ``added_names``)."""
+    bad = staged(boilerplate(docs, site, min_sites, band), "boilerplate")
+    row, found = free_name(docs, "_row"), free_name(docs, "_bad")
+    n_lines, n_removed = added_names(docs)
     key = F.xxhash64("doc_id", "text")
-    has = (docs.select(key.alias("_row"), F.explode(F.array_distinct(_hashes(F.col("text")))).alias("line"))
-           .join(bad, "line").groupBy("_row").agg(F.collect_set("line").alias("_bad")))
+    has = (docs.select(key.alias(row), F.explode(F.array_distinct(_hashes(F.col("text")))).alias("line"))
+           .join(bad, "line").groupBy(row).agg(F.collect_set("line").alias(found)))
     line_key = _key
     kept = F.filter(_lines(F.col("text")),
-                    lambda x: ~F.coalesce(F.array_contains("_bad", line_key(x)), F.lit(False)))
-    gone = F.size(F.filter(_hashes(F.col("text")), lambda h: F.array_contains("_bad", h)))
+                    lambda x: ~F.coalesce(F.array_contains(found, line_key(x)), F.lit(False)))
+    gone = F.size(F.filter(_hashes(F.col("text")), lambda h: F.array_contains(found, h)))
     names = [F.array_join(kept, "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return (docs.withColumn("_row", key).join(has, "_row", "left")
-            .withColumn("_bad", F.coalesce("_bad", F.array().cast("array<long>")))
-            .select(*names, F.coalesce(F.size(_hashes(F.col("text"))), F.lit(0)).cast("long").alias("n_lines"),
-                    F.greatest(F.coalesce(gone, F.lit(0)), F.lit(0)).cast("long").alias("n_removed")))
+    return (docs.withColumn(row, key).join(has, row, "left")
+            .withColumn(found, F.coalesce(found, F.array().cast("array<long>")))
+            .select(*names, F.coalesce(F.size(_hashes(F.col("text"))), F.lit(0)).cast("long").alias(n_lines),
+                    F.greatest(F.coalesce(gone, F.lit(0)), F.lit(0)).cast("long").alias(n_removed)))
+
+
+def added_names(docs: DataFrame) -> tuple[str, str]:
+    """What ``remove_boilerplate`` calls its two counts."""
+    return free_name(docs, "n_lines"), free_name(docs, "n_removed")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op7: all documents without cross-site boilerplate lines, by the rule of its SQL."""
+    """op7: all documents without cross-site boilerplate lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return remove_boilerplate(docs, find=by_contexts).select(
-        "doc_id", "n_lines", "n_removed", "text")
+    return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")

@@ -135,21 +135,21 @@ SELECT page_id, host, path, rule,
 FROM fitted JOIN share USING (host) WHERE place = 1
 """
 
-#: Exact distinct sites instead of sketches.
+#: Exact distinct sites instead of sketches: those of all texts with the line, but
+#: texts on several sites count for one each.
 LINE_DEDUP = r"""
 WITH raw AS (
-  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+  SELECT doc_id, coalesce(source, '') AS site, text, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents WHERE text IS NOT NULL
 ), bare AS (
-  SELECT doc_id, site, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS k FROM raw
-), placed AS (
-  SELECT k, site, lag(k) OVER w AS before, lead(k) OVER w AS after
-  FROM bare WHERE k <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
-), contexts AS (
-  SELECT k, before, after, min(site) AS site, count(*) AS n FROM placed GROUP BY k, before, after
+  SELECT doc_id, site, text, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS k FROM raw
+), texts AS (
+  SELECT k, text, CASE WHEN min(site) = max(site) THEN min(site) END AS own FROM bare WHERE k <> '' GROUP BY k, text
 ), bad AS (
-  SELECT k FROM contexts GROUP BY k HAVING count(DISTINCT site) >= 10 AND 2 * count(*) >= sum(n)
+  SELECT k FROM (SELECT k, count(DISTINCT own) + count_if(own IS NULL) AS alone FROM texts GROUP BY k)
+  JOIN (SELECT k, count(DISTINCT site) AS every FROM bare GROUP BY k) USING (k)
+  WHERE least(every, alone) >= 10
 ), cleaned AS (
   SELECT doc_id, count(*) FILTER (WHERE k <> '') AS n_lines,
          count(*) FILTER (WHERE k IN (SELECT k FROM bad)) AS n_removed,

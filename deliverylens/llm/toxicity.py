@@ -284,8 +284,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: Sample = Sample()) -> Model:
     return train([t for t, _ in rows], [k for _, k in rows])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``score``, P(toxic) of the most toxic window."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """The documents with ``name``, P(toxic) of the most toxic window; a column
+    of that name is replaced (see ``common.free_name``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one float a bucket
 
     @F.pandas_udf("double")
@@ -296,7 +297,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             found = [score_texts(texts[i:i + BLOCK], model, known) for i in range(0, len(texts), BLOCK)]
             yield pd.Series(np.concatenate([*found, np.zeros(0)]))
 
-    return docs.withColumn("score", scores(F.col("text")))
+    return docs.withColumn(name, scores(F.col("text")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, bound: Sample = Sample(),

@@ -47,6 +47,15 @@ def test_blocks_go_and_copies_count_once(make):
     assert got[303] == "c1\nd1" and got[500] == "g\nEight and one.\nh" and got[402] == "e2\nEight and one.\nf2"
 
 
+def test_clashing_columns_keep_their_values(make):
+    docs = make(rows()).selectExpr("*", "doc_id AS _row", "'bad' AS _bad", "-1 AS n_lines", "'n' AS n_removed")
+    out = L.remove_boilerplate(docs)
+    assert out.columns == [*docs.columns, "n_lines_", "n_removed_"] and L.added_names(docs) == ("n_lines_", "n_removed_")
+    for r in out.collect():
+        assert r["_row"] == r["doc_id"] and (r["_bad"], r["n_lines"], r["n_removed"]) == ("bad", -1, "n")
+    assert out.where("doc_id = 7").first()["n_removed_"] == 1
+
+
 def test_plan_is_native_and_empty_table(make):
     out = L.remove_boilerplate(make(rows()))
     plan = out._jdf.queryExecution().toString()

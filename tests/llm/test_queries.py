@@ -41,6 +41,20 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_pipeline_stages_keep_clashing_columns(spark, tmp_path, make):
+    """Extra columns with names that the stages use come out with their values."""
+    names = ["score", "_row", "_bad", "n_lines", "n_removed", "_key", "key", "node", "leaks", "line"]
+    docs = make([(i, f"text number {i} of many words that differ {i * 7} by {i * 13}", f"s{i}") for i in range(12)]
+                ).selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "nothing like it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert len(got) == 12 and all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names), name
+
+
 def test_pipeline_edge_rows(spark, tmp_path, make):
     """Nulls, empty and repeated rows pass every stage."""
     rows = [(1, None, "a"), (2, "", None), (3, "some words here", "b"), (3, "some words here", "b"), (None, "x", "c")]
