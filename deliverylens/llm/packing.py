@@ -19,7 +19,6 @@ itself; an empty table gives no pieces; extra columns are ignored.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -37,8 +36,6 @@ END = 1
 #: Windows a partition keeps open, and partitions whose leftovers merge.
 OPEN_WINDOWS = 16
 MERGE_GROUP = 32
-#: Distinct words whose ids a task remembers (a cache; its size changes no result).
-CACHE_WORDS = 300_000
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _OUT = _PIECE + ", ids binary"
@@ -54,66 +51,24 @@ def _bytes_of_symbols() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class WordEncoder:
-    """Text -> little-endian uint32 ids, by words.
+class Encoder:
+    """Text -> little-endian uint32 ids of a byte-level vocabulary file, with
+    the strings of its special tokens as these tokens."""
 
-    The vocabulary's pattern never joins a word to the blank after it, so a
-    text whose blanks stand single between other characters is the
-    concatenation of its words' ids, each word with its leading blank. Any
-    other text is encoded as a whole. What stands between special tokens is a
-    text of its own.
-    """
-
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
-        self._special = special
-        self._split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         byte = _bytes_of_symbols()
         ranks = {bytes(byte[c] for c in s): i for s, i in spec["model"]["vocab"].items() if s not in special}
-        self._whole = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
-                                        mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._known: dict[str, bytes | None] = {}
-        self._most = cache_words
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._whole(text), "<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        known = self._known
-        if len(known) > self._most:
-            known.clear()
-        for w in words:
-            if w not in known:
-                odd = not w or w[0].isspace() or w[-1].isspace()
-                known[w] = None if odd else self._ids(" " + w)
+        self._ids = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                      special_tokens=special).encode_to_numpy
 
     def encode(self, text: str | None) -> bytes:
-        if text and any(s in text for s in self._special):
-            return b"".join(self._special.get(p) or self._plain(p) for p in self._split(text))
-        return self._plain(text)
-
-    def _plain(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *words = text.split(" ")
-        if not words or not first or first[-1].isspace():
-            return self._ids(text)
-        known = self._known
-        try:
-            got = [known[w] for w in words]
-        except KeyError:
-            self._learn(words)
-            known = self._known
-            got = [known[w] for w in words]
-        try:
-            return self._ids(first) + b"".join(got)
-        except TypeError:  # a None: blanks that do not stand single
-            return self._ids(text)
+        return self._ids(text, allowed_special="all").astype("<u4").tobytes() if text else b""
 
 
 class Packer:
@@ -196,7 +151,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW,
     """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(vocabulary), TaskContext.get().partitionId()
+        encoder, part = Encoder(vocabulary), TaskContext.get().partitionId()
         rows: list[tuple] = []
         count = 0
 

@@ -20,8 +20,8 @@ def reference():
 @pytest.mark.parametrize("text", [
     "", "a", " a", "a ", "a  b", "a b", "a \n b", "a\nb c", "a\n\nb\t c", "it's we'll 12 34,5 é ß 字 🙂",
     "<|endoftext|> x", "a<|endoftext|>b", " <|endoftext|><|endoftext|>", "<|endoftext", "\u00a0a \u00a0 b", "a\x1c b \x1c", "ab\r\ncd ef", "x" * 5000, "a b " * 50])
-def test_word_encoder_is_the_tokenizer(reference, text):
-    encoder = P.WordEncoder(RANKS, cache_words=3)
+def test_encoder_is_the_tokenizer(reference, text):
+    encoder = P.Encoder(RANKS)
     for _ in range(2):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference(text)
 
@@ -53,7 +53,7 @@ def test_pieces_round_trip(make, corpus, reference, window, open_windows):
 def test_special_token_and_very_long_texts():
     import time
 
-    assert np.frombuffer(P.WordEncoder(RANKS).encode("a<|endoftext|>b"), "<u4").tolist() == [64, 50256, 65]
+    assert np.frombuffer(P.Encoder(RANKS).encode("a<|endoftext|>b"), "<u4").tolist() == [64, 50256, 65]
     out = []
     packer, n, begin = P.Packer(lambda pieces: out.append(pieces[0][1]), 2048, 16), 32_000_000, time.monotonic()
     packer.put(1, 0, bytes(4 * n), n)
