@@ -12,10 +12,15 @@ Counting covers every token of every document. A token's loss is the logarithm
 of its context's count less that of its pair's smoothed count. The most frequent
 words and pairs of a sample (``HEAD_WORDS``, ``HEAD_PAIRS``) are counted over
 everything first and broadcast; documents settle these tokens themselves. The
-others meet their counts in one shuffle: a document's distinct pairs are dealt
-by the word, or by the pair if the word is among the frequent ones, so that no
-frequent word or pair lands in one task. Which ones the sample finds decides
-what is shuffled, never a count.
+others meet their counts in one exchange: a task gathers its documents' distinct
+pairs into loads of bounded size and deals each load by hash into buckets, by the
+word, or by the pair if the word is among the frequent ones, so that no frequent
+word or pair lands in one bucket. A pair crosses once for each load, with the
+documents that have it. A bucket adds up the counts and answers each load with
+its documents' losses, which the load's texts then add up. Losses are summed in
+units of 2**-24 nats, so that no order matters. Which words the sample finds
+decides what is shuffled, never a count. The number of buckets grows with the
+tokens, so a bucket's and a load's size do not depend on the corpus.
 
 Edge cases: null or empty texts have no tokens and score 0; without target
 documents both models are uniform and every score is 0; several target rows of
@@ -30,9 +35,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from deliverylens.llm.common import blocks_of, mix64, mostly, table, word_hashes
 
@@ -43,6 +48,8 @@ ALPHA = 4.0
 #: Words and pairs that are broadcast, and the documents and characters they are looked for in.
 HEAD_WORDS, HEAD_PAIRS = 1 << 16, 1 << 19
 SAMPLE_DOCS, SAMPLE_CHARS = 8000, 20_000
+#: Entries of a load, tokens of the corpus to a bucket, units to a nat.
+LOAD, BUCKET, UNIT = 1 << 20, 2_000_000, 1 << 24
 
 
 class Head:
@@ -156,36 +163,120 @@ def fit(docs: DataFrame, targets: DataFrame) -> Model:
     return Model(docs, own, words, pairs, (tokens[0], tokens[1]))
 
 
-_PARTS = ("row long, doc_id long, tokens long, target double, every double, key long, pair long, "
-          "in_target int, in_every int, used int, context int, word_target long, word_every long")
-_PART_TYPES = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2
+#: Of a load: it holds counts of the target, of everything, entries that want their loss, texts.
+_TARGET, _EVERY, _USE, _TEXTS = 1, 2, 4, 8
+_LOADS = "bucket long, load long, kind int, data binary"
+_LOAD_NAMES = ["bucket", "load", "kind", "data"]
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit integers as bytes: the n-th bytes of a column's values
+    stand together, and the highest that are zero in all are left out."""
+    head, out = [len(columns)], []
+    for c in columns:
+        c = np.ascontiguousarray(c).astype(np.int64, copy=False).view(np.uint64)
+        width = (int(np.bitwise_or.reduce(c)).bit_length() + 7) // 8 if len(c) else 0
+        head += [len(c), width]
+        out.append(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+    return np.array(head, np.int64).tobytes() + b"".join(out)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    """What was packed, as signed integers."""
+    many = int(np.frombuffer(data, np.int64, 1)[0])
+    at, out = 8 * (1 + 2 * many), []
+    for n, width in np.frombuffer(data, np.int64, 2 * many, 8).reshape(-1, 2).tolist():
+        c = np.zeros((n, 8), np.uint8)
+        c[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
+        out.append(c.view(np.int64).reshape(-1))
+        at += n * width
+    return out
 
 
-def _parts(rows: DataFrame, model: Model, count: int | None, use: bool) -> DataFrame:
-    """A row for each text, if ``use``, with the losses it can settle itself;
-    and one for each of its distinct pairs that it cannot, counted as target's
-    (``count`` 0), as everything's (1) or not at all."""
+def _fixed(x: np.ndarray) -> np.ndarray:
+    """Losses in units of 1 / ``UNIT`` nats, so that their sums depend on no order; signs in the lowest bit."""
+    x = np.rint(x * UNIT).astype(np.int64)
+    return (x << 1) ^ (x >> 63)
+
+
+def _unfixed(x: np.ndarray) -> np.ndarray:
+    return (x >> 1) ^ -(x & 1)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where, in sorted columns, a new tuple starts."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+class _Load:
+    """What a task has gathered for one load: texts, and entries (text, key,
+    pair, place of the word among the frequent ones + 1 or 0, times, times as a
+    context) that it cannot settle."""
+
+    def __init__(self, number: int):
+        self.number, self.texts, self.entries, self.size, self.docs = number, [], [], 0, 0
+
+    def full(self) -> bool:
+        return self.size >= LOAD or self.docs >= LOAD // 8
+
+    def add(self, docs: int, texts: list[np.ndarray], entries: list[np.ndarray]) -> None:
+        """``docs`` texts more, numbered from 0 in the entries."""
+        if texts:
+            self.texts.append(texts)
+        entries[0] = entries[0] + self.docs
+        self.entries.append(entries)
+        self.docs += docs
+        self.size += len(entries[0])
+
+    def rows(self, kind: int, buckets: int) -> pa.RecordBatch:
+        """The texts as one row, the entries as one for each bucket of keys."""
+        out = []
+        if self.texts:
+            out.append((-1 - self.number, self.number, _TEXTS, pack(*map(np.concatenate, zip(*self.texts, strict=True)))))
+        text, key, pair, place, n, context = map(np.concatenate, zip(*self.entries, strict=True))
+        if not kind & _USE:  # only the counts are wanted
+            text, context = np.zeros_like(text), np.zeros_like(context)
+        key, pair = key.view(np.uint64), pair.view(np.uint64)
+        order = np.lexsort((text, pair, key))
+        text, key, pair, place, n, context = (x[order] for x in (text, key, pair, place, n, context))
+        first = _starts(key, pair, text)
+        if len(first) < len(key):
+            n, context = np.add.reduceat(n, first), np.add.reduceat(context, first)
+            text, key, pair, place = (x[first] for x in (text, key, pair, place))
+        bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        for a, b in zip(*(lambda f: (f, np.append(f[1:], len(bucket))))(_starts(bucket)), strict=True) if len(bucket) else ():
+            k, p = key[a:b], pair[a:b]
+            one = _starts(k, p)
+            step = np.diff(k[one], prepend=np.uint64(0))  # sorted: only the steps are sent
+            out.append((int(bucket[a]), self.number, kind, pack(
+                step, np.where(place[a:b][one] > 0, 0, p[one].view(np.int64)), place[a:b][one],
+                np.diff(np.append(one, b - a)), text[a:b], n[a:b], context[a:b])))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
+            names=_LOAD_NAMES)
+
+
+def _loads(rows: DataFrame, model: Model, kind: int, buckets: int) -> DataFrame:
+    """What the documents settle themselves, if ``kind`` says that losses are
+    wanted, and what they cannot: loads of bounded size, dealt into buckets."""
     shared = rows.sparkSession.sparkContext.broadcast((model.words, model.pairs, model.tokens, model.scale))
-    names = [c.split()[0] for c in _PARTS.split(", ")]
+    use = bool(kind & _USE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs, tokens, scale = shared.value
-
-        def batch(n: int, **columns) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t)
-                                               for c, t in zip(names, _PART_TYPES, strict=True)], names=names)
-
+        load = _Load(TaskContext.get().partitionId() << 32)
         for b in batches:
-            ids, row, done = b.column("doc_id"), b.column("row").to_numpy(), 0
+            ids, done = b.column("doc_id"), 0
             for block in blocks_of(t.as_py() for t in b.column("text")):
                 text, word, pair, last = tokens_of(block)
-                mine = row[done:done + len(block)]
                 common, known = words.find(word), pairs.find(pair)
                 start = pair == 0
                 settled = (common >= 0) & ((known >= 0) | start)
-                context = ~last & (common >= 0)
-                zero = np.zeros(len(block), np.int32)
+                texts = []
                 if use:
+                    context = ~last & (common >= 0)
                     loss = []
                     for k in range(2):
                         single = (words.counts[k][common[settled]] * scale[k] + 1.0) / (tokens[0] + WORDS)
@@ -196,63 +287,102 @@ def _parts(rows: DataFrame, model: Model, count: int | None, use: bool) -> DataF
                                     + np.bincount(text[context], np.log(
                                         words.counts[k][common[context]] * scale[k] + ALPHA), len(block))
                                     + np.bincount(text[start], minlength=len(block)) * np.log(ALPHA))
-                    yield batch(len(block), row=mine, doc_id=ids.slice(done, len(block)),
-                                tokens=np.bincount(text, minlength=len(block)), target=loss[0], every=loss[1], key=mine,
-                                pair=zero, in_target=zero, in_every=zero, used=zero, context=zero)
+                    own = ids.slice(done, len(block))
+                    texts = [own.fill_null(0).to_numpy(), np.asarray(own.is_valid()).astype(np.int64),
+                             np.bincount(text, minlength=len(block)), _fixed(loss[0]), _fixed(loss[1])]
                 done += len(block)
-                t, key, p = text[~settled], np.where(common >= 0, pair, word)[~settled], pair[~settled]
-                if not len(t):
-                    continue
-                order = np.lexsort((p, key, t))
-                t, key, p = t[order], key[order], p[order]
-                new_key = np.concatenate([[True], (t[1:] != t[:-1]) | (key[1:] != key[:-1])])
-                new = new_key | np.concatenate([[True], p[1:] != p[:-1]])
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(t))).astype(np.int32)
-                contexts = np.zeros(len(t), np.int32)  # of rarer words; on the first row of each
-                rare = (~last & (common < 0))[~settled][order]
-                contexts[new_key] = np.add.reduceat(rare.astype(np.int32), np.flatnonzero(new_key))
-                at, none = common[~settled][order][first], np.zeros(len(first), np.int32)
-                of = [pa.array(np.append(words.counts[k], 0)[at].astype(np.int64), mask=at < 0) for k in range(2)]
-                yield batch(len(first), row=mine[t[first]] if use else none, key=key[first], pair=p[first],
-                            in_target=n if count == 0 else none, in_every=n if count == 1 else none,
-                            used=n if use else none, context=contexts[first] if use else none,
-                            word_target=of[0], word_every=of[1])
-
-    return rows.select("doc_id", "row", "text").mapInArrow(run, _PARTS)
+                rare = common < 0
+                load.add(len(block), texts, [x[~settled] for x in (
+                    text, np.where(rare, word, pair), pair, common + 1, np.ones(len(word), np.int64),
+                    (~last & rare).astype(np.int64))])
+                if load.full():
+                    yield load.rows(kind, buckets)
+                    load = _Load(load.number + 1)
+        if load.docs:
+            yield load.rows(kind, buckets)
+
+    return rows.select("doc_id", "text").mapInArrow(run, _LOADS)
+
+
+def _settle(loads: DataFrame, model: Model) -> DataFrame:
+    """Every bucket counts its pairs and answers the loads that want losses:
+    (bucket, load, kind, data) with (text, target loss, every loss)."""
+    shared = loads.sparkSession.sparkContext.broadcast((model.words.counts, model.tokens, model.scale))
+
+    def run(group: pa.Table) -> pa.Table:
+        kinds = group.column("kind").to_numpy()
+        if len(kinds) and kinds[0] == _TEXTS:
+            return group
+        frequent, tokens, scale = shared.value
+        parts = [unpack(d.as_py()) for d in group.column("data")]
+        size = [len(p[0]) for p in parts]
+        key = np.concatenate([np.cumsum(p[0].view(np.uint64)) for p in parts])
+        pair, place, many = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+        n = np.concatenate([np.add.reduceat(p[5], np.cumsum(p[3]) - p[3]) for p in parts])
+        kind = np.repeat(kinds, size)
+        order = np.lexsort((pair, place, key))
+        first_pair = _starts(key[order], place[order], pair[order])
+        first_word = _starts(key[order], place[order])
+        of = np.empty((2, len(key)), np.int64)  # the pair and the word of each
+        for k, first in enumerate((first_pair, first_word)):
+            of[k, order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+        outside, inside = [], []  # a text's loss for each time, and for each time as a context
+        for k, flag in enumerate((_TARGET, _EVERY)):
+            counted = np.where(kind & flag, n, 0)
+            pairs = np.bincount(of[0], counted)[of[0]] * scale[k]
+            # a frequent word's pairs are keys of their own; its count is known
+            words = np.where(place > 0, np.append(0, frequent[k])[place], np.bincount(of[1], counted)[of[1]]) * scale[k]
+            single = (words + 1.0) / (tokens[0] + WORDS)
+            outside.append(-np.log(np.where((place == 0) & (pair == 0), 0.0, pairs) + ALPHA * single))
+            inside.append(np.log(words + ALPHA))
+        out, at = [], np.cumsum([0, *size])
+        for i, p in enumerate(parts):
+            if not kinds[i] & _USE:
+                continue
+            who, place_of = np.unique(p[4], return_inverse=True)
+            entry = np.repeat(np.arange(at[i], at[i + 1]), p[3])
+            out.append((i, pack(who, *(_fixed(np.bincount(place_of, np.rint(
+                (p[5] * outside[k][entry] + p[6] * inside[k][entry]) * UNIT), len(who)) / UNIT) for k in range(2)))))
+        answers = group.take(pa.array([i for i, _ in out], pa.int64()))
+        return answers.set_column(3, "data", pa.array([d for _, d in out], pa.binary()))
+
+    return loads.groupBy("bucket").applyInArrow(run, _LOADS)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, mean losses under both models, and their difference."""
-    parts = _parts(model.own, model, 0, False)
+    tokens, every = model.tokens[1], _rows(model.docs)
     if docs is model.docs:
-        parts = parts.unionByName(_parts(_rows(docs), model, 1, True))
+        parts = [(every, _EVERY | _USE)]
     else:
-        parts = parts.unionByName(_parts(_rows(model.docs), model, 1, False)).unionByName(
-            _parts(_rows(docs), model, None, True))
-    by_pair, by_key = Window.partitionBy("key", "pair"), Window.partitionBy("key")
-    counted = parts.select("*", *(F.sum(f"in_{k}").over(by_pair).alias(f"pair_{k}") for k in ("target", "every"))).select(
-        "*", *(F.sum(f"in_{k}").over(by_key).alias(f"key_{k}") for k in ("target", "every")))
-
-    def loss(k: str, scale: float) -> Column:
-        of_word = F.coalesce(f"word_{k}", f"key_{k}") * F.lit(scale)
-        both = F.when(F.col("pair") == 0, F.lit(0.0)).otherwise(F.col(f"pair_{k}") * F.lit(scale))
-        single = (of_word + 1.0) / F.lit(model.tokens[0] + WORDS)
-        return (F.coalesce(k, F.lit(0.0)) - F.col("used") * F.log(both + ALPHA * single)
-                + F.col("context") * F.log(of_word + ALPHA))
-
-    sums = counted.where("tokens IS NOT NULL OR used > 0").select(
-        "row", "doc_id", "tokens", loss("target", model.scale[0]).alias("target"),
-        loss("every", model.scale[1]).alias("every")).groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.count("tokens").alias("copies"), F.sum("tokens").alias("tokens"),
-        F.sum("target").alias("target"), F.sum("every").alias("every"))
-    size = F.greatest("tokens", F.lit(1))
-    each = sums.select(  # equal rows were added up; each comes back
-        "doc_id", (F.col("tokens") / F.col("copies")).cast("long").alias("n_tokens"),
-        (F.col("target") / size).alias("target_loss"), (F.col("every") / size).alias("background_loss"),
-        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"))
-    return each.select("doc_id", "n_tokens", "target_loss", "background_loss",
-                       (F.col("target_loss") - F.col("background_loss")).alias("score"))
+        parts = [(every, _EVERY), (_rows(docs), _USE)]
+        tokens += docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)) / 6).first()[0]
+    buckets = 1 + int(tokens // BUCKET)
+    loads = _loads(model.own, model, _TARGET, buckets)
+    for rows, kind in parts:
+        loads = loads.unionByName(_loads(rows, model, kind, buckets))
+
+    def run(group: pa.Table) -> pa.Table:
+        kinds, data = group.column("kind").to_numpy(), group.column("data")
+        texts = np.flatnonzero(kinds == _TEXTS)
+        if not len(texts):  # a load of counts only
+            return pa.Table.from_batches([], _SCORES)
+        ids, valid, n, *sums = unpack(data[int(texts[0])].as_py())
+        sums = [_unfixed(x) for x in sums]
+        for i in np.flatnonzero(kinds != _TEXTS).tolist():
+            who, *losses = unpack(data[i].as_py())
+            for total, x in zip(sums, losses, strict=True):
+                total[who] += _unfixed(x)
+        target, background = (x / UNIT / np.maximum(n, 1) for x in sums)
+        return pa.Table.from_arrays([pa.array(ids, mask=valid == 0), pa.array(n), pa.array(target), pa.array(background),
+                                     pa.array(target - background)], schema=_SCORES)
+
+    return _settle(loads, model).groupBy("load").applyInArrow(
+        run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+
+
+_SCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()),
+                     ("background_loss", pa.float64()), ("score", pa.float64())])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
