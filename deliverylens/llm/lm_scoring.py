@@ -49,7 +49,7 @@ ALPHA = 4.0
 HEAD_WORDS, HEAD_PAIRS = 1 << 16, 1 << 19
 SAMPLE_DOCS, SAMPLE_CHARS = 8000, 20_000
 #: Entries of a load, tokens of the corpus to a bucket, units to a nat.
-LOAD, BUCKET, UNIT = 1 << 20, 2_000_000, 1 << 24
+LOAD, BUCKET, UNIT = 1 << 18, 1_000_000, 1 << 24
 
 
 class Head:
@@ -219,13 +219,13 @@ class _Load:
         self.number, self.texts, self.entries, self.size, self.docs = number, [], [], 0, 0
 
     def full(self) -> bool:
-        return self.size >= LOAD or self.docs >= LOAD // 8
+        return self.size >= LOAD or self.docs >= LOAD // 4
 
     def add(self, docs: int, texts: list[np.ndarray], entries: list[np.ndarray]) -> None:
         """``docs`` texts more, numbered from 0 in the entries."""
         if texts:
             self.texts.append(texts)
-        entries[0] = entries[0] + self.docs
+        entries[0] += np.int32(self.docs)
         self.entries.append(entries)
         self.docs += docs
         self.size += len(entries[0])
@@ -293,8 +293,8 @@ def _loads(rows: DataFrame, model: Model, kind: int, buckets: int) -> DataFrame:
                 done += len(block)
                 rare = common < 0
                 load.add(len(block), texts, [x[~settled] for x in (
-                    text, np.where(rare, word, pair), pair, common + 1, np.ones(len(word), np.int64),
-                    (~last & rare).astype(np.int64))])
+                    text.astype(np.int32), np.where(rare, word, pair), pair, (common + 1).astype(np.int32),
+                    np.ones(len(word), np.int32), (~last & rare).astype(np.int32))])
                 if load.full():
                     yield load.rows(kind, buckets)
                     load = _Load(load.number + 1)
