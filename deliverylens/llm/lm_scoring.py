@@ -2,7 +2,8 @@
 
 The target model is counted on the target documents, the background model on
 all of them. Both are interpolated word bigrams: words and pairs of words go by
-64-bit hashes, and every one of them has its own count, however many there are.
+64-bit hashes (a word's pairs among themselves by 48 bits), and every one of them
+has its own count, however many there are.
 ``WORDS`` is the size of the vocabulary that smoothing assumes. Background
 counts are scaled to the target's number of tokens, so the same smoothing means
 the same in both. A document's score is the mean over its tokens of target loss
@@ -18,7 +19,7 @@ word, or by the pair if the word is among the frequent ones, so that no frequent
 word or pair lands in one bucket. A pair crosses once for each load, with the
 documents that have it. A bucket adds up the counts and answers each load with
 its documents' losses, which the load's texts then add up. Losses are summed in
-units of 2**-24 nats, so that no order matters. Which words the sample finds
+units of 2**-22 nats, so that no order matters. Which words the sample finds
 decides what is shuffled, never a count. The number of buckets grows with the
 tokens, so a bucket's and a load's size do not depend on the corpus.
 
@@ -45,11 +46,11 @@ from deliverylens.llm.common import blocks_of, mix64, mostly, table, word_hashes
 WORDS = 1 << 20
 #: Weight of the word model in the pair model, in tokens.
 ALPHA = 4.0
-#: Words and pairs that are broadcast, and the documents and characters they are looked for in.
+#: Words (2**16 at most) and pairs that are broadcast, and the documents and characters they are looked for in.
 HEAD_WORDS, HEAD_PAIRS = 1 << 16, 1 << 19
 SAMPLE_DOCS, SAMPLE_CHARS = 8000, 20_000
 #: Entries of a load, tokens of the corpus to a bucket, units to a nat.
-LOAD, BUCKET, UNIT = 1 << 18, 1_000_000, 1 << 24
+LOAD, BUCKET, UNIT = 1 << 18, 1_000_000, 1 << 22
 
 
 class Head:
@@ -163,26 +164,31 @@ def fit(docs: DataFrame, targets: DataFrame) -> Model:
     return Model(docs, own, words, pairs, (tokens[0], tokens[1]))
 
 
-#: Of a load: it holds counts of the target, of everything, entries that want their loss, texts.
-_TARGET, _EVERY, _USE, _TEXTS = 1, 2, 4, 8
+#: Of a load's rows: they hold counts of the target, of everything, entries that want their loss, texts, rare words.
+_TARGET, _EVERY, _USE, _TEXTS, _RARE = 1, 2, 4, 8, 16
+_LOW = np.uint64((1 << 48) - 1)
+_UNMIX = [np.uint64(pow(f, -1, 1 << 64)) for f in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD)]
 _LOADS = "bucket long, load long, kind int, data binary"
 _LOAD_NAMES = ["bucket", "load", "kind", "data"]
 
 
 def pack(*columns: np.ndarray) -> bytes:
     """Columns of 64-bit integers as bytes: the n-th bytes of a column's values
-    stand together, and the highest that are zero in all are left out."""
+    stand together, the highest that are zero in all are left out, and what is
+    left is compressed."""
     head, out = [len(columns)], []
     for c in columns:
         c = np.ascontiguousarray(c).astype(np.int64, copy=False).view(np.uint64)
         width = (int(np.bitwise_or.reduce(c)).bit_length() + 7) // 8 if len(c) else 0
         head += [len(c), width]
         out.append(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
-    return np.array(head, np.int64).tobytes() + b"".join(out)
+    data = np.array(head, np.int64).tobytes() + b"".join(out)
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
     """What was packed, as signed integers."""
+    data = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
     many = int(np.frombuffer(data, np.int64, 1)[0])
     at, out = 8 * (1 + 2 * many), []
     for n, width in np.frombuffer(data, np.int64, 2 * many, 8).reshape(-1, 2).tolist():
@@ -193,6 +199,21 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _key(place: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """One number for a frequent word's place and 48 bits of its pair's hash, spread over all 64 bits."""
+    return mix64(place.astype(np.uint64) << np.uint64(48) | pair.view(np.uint64) & _LOW)
+
+
+def _place(key: np.ndarray) -> np.ndarray:
+    """The place that went into a key: every step of ``mix64`` can be taken back."""
+    x = key.copy()
+    for factor in _UNMIX:
+        x ^= x >> np.uint64(33)
+        x *= factor
+    x ^= x >> np.uint64(33)
+    return (x >> np.uint64(48)).astype(np.int64)
+
+
 def _fixed(x: np.ndarray) -> np.ndarray:
     """Losses in units of 1 / ``UNIT`` nats, so that their sums depend on no order; signs in the lowest bit."""
     x = np.rint(x * UNIT).astype(np.int64)
@@ -212,47 +233,48 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 class _Load:
     """What a task has gathered for one load: texts, and entries (text, key,
-    pair, place of the word among the frequent ones + 1 or 0, times, times as a
-    context) that it cannot settle."""
+    pair, times, times as a context) that it cannot settle, of frequent words
+    and of rare ones. A frequent word's key says the pair; a rare one's is the
+    word, and 48 bits of the pair's hash tell its pairs apart."""
 
     def __init__(self, number: int):
-        self.number, self.texts, self.entries, self.size, self.docs = number, [], [], 0, 0
+        self.number, self.texts, self.entries, self.size, self.docs = number, [], {0: [], _RARE: []}, 0, 0
 
     def full(self) -> bool:
         return self.size >= LOAD or self.docs >= LOAD // 4
 
-    def add(self, docs: int, texts: list[np.ndarray], entries: list[np.ndarray]) -> None:
+    def add(self, docs: int, texts: list[np.ndarray], entries: dict[int, list[np.ndarray]]) -> None:
         """``docs`` texts more, numbered from 0 in the entries."""
         if texts:
             self.texts.append(texts)
-        entries[0] += np.int32(self.docs)
-        self.entries.append(entries)
+        for rare, (text, *other) in entries.items():
+            self.entries[rare].append([text + np.int32(self.docs), *other])
+            self.size += len(text)
         self.docs += docs
-        self.size += len(entries[0])
 
     def rows(self, kind: int, buckets: int) -> pa.RecordBatch:
         """The texts as one row, the entries as one for each bucket of keys."""
         out = []
         if self.texts:
             out.append((-1 - self.number, self.number, _TEXTS, pack(*map(np.concatenate, zip(*self.texts, strict=True)))))
-        text, key, pair, place, n, context = map(np.concatenate, zip(*self.entries, strict=True))
-        if not kind & _USE:  # only the counts are wanted
-            text, context = np.zeros_like(text), np.zeros_like(context)
-        key, pair = key.view(np.uint64), pair.view(np.uint64)
-        order = np.lexsort((text, pair, key))
-        text, key, pair, place, n, context = (x[order] for x in (text, key, pair, place, n, context))
-        first = _starts(key, pair, text)
-        if len(first) < len(key):
-            n, context = np.add.reduceat(n, first), np.add.reduceat(context, first)
-            text, key, pair, place = (x[first] for x in (text, key, pair, place))
-        bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        for a, b in zip(*(lambda f: (f, np.append(f[1:], len(bucket))))(_starts(bucket)), strict=True) if len(bucket) else ():
-            k, p = key[a:b], pair[a:b]
-            one = _starts(k, p)
-            step = np.diff(k[one], prepend=np.uint64(0))  # sorted: only the steps are sent
-            out.append((int(bucket[a]), self.number, kind, pack(
-                step, np.where(place[a:b][one] > 0, 0, p[one].view(np.int64)), place[a:b][one],
-                np.diff(np.append(one, b - a)), text[a:b], n[a:b], context[a:b])))
+        for rare, entries in self.entries.items():
+            text, key, pair, n, context = map(np.concatenate, zip(*entries, strict=True))
+            if not kind & _USE:  # only the counts are wanted
+                text, context = np.zeros_like(text), np.zeros_like(context)
+            order = np.lexsort((text, pair, key))
+            text, key, pair, n, context = (x[order] for x in (text, key, pair, n, context))
+            first = _starts(key, pair, text)
+            if len(first) < len(key):
+                n, context = np.add.reduceat(n, first), np.add.reduceat(context, first)
+                text, key, pair = (x[first] for x in (text, key, pair))
+            bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            cut = _starts(bucket)
+            for a, b in zip(cut.tolist(), np.append(cut, len(bucket))[1:].tolist(), strict=True):
+                one = _starts(key[a:b], pair[a:b])
+                step = np.diff(key[a:b][one], prepend=np.uint64(0))  # sorted: only the steps are sent
+                out.append((int(bucket[a]), self.number, kind | rare, pack(
+                    step, pair[a:b][one] if rare else one[:0], np.diff(np.append(one, b - a)), text[a:b], n[a:b],
+                    context[a:b])))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
             zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
             names=_LOAD_NAMES)
@@ -291,10 +313,15 @@ def _loads(rows: DataFrame, model: Model, kind: int, buckets: int) -> DataFrame:
                     texts = [own.fill_null(0).to_numpy(), np.asarray(own.is_valid()).astype(np.int64),
                              np.bincount(text, minlength=len(block)), _fixed(loss[0]), _fixed(loss[1])]
                 done += len(block)
-                rare = common < 0
-                load.add(len(block), texts, [x[~settled] for x in (
-                    text.astype(np.int32), np.where(rare, word, pair), pair, (common + 1).astype(np.int32),
-                    np.ones(len(word), np.int32), (~last & rare).astype(np.int32))])
+                entries = {}
+                for kind_of, some in ((0, ~settled & (common >= 0)), (_RARE, common < 0)):
+                    own_pair = np.where(start[some], 0, np.maximum(pair[some].view(np.uint64) & _LOW, np.uint64(1)))
+                    entries[kind_of] = [
+                        text[some].astype(np.int32),
+                        word[some].view(np.uint64) if kind_of else _key(common[some], pair[some]),
+                        own_pair.astype(np.int64) if kind_of else np.zeros(len(own_pair), np.int64),
+                        np.ones(len(own_pair), np.int32), (~last[some]).astype(np.int32) * bool(kind_of)]
+                load.add(len(block), texts, entries)
                 if load.full():
                     yield load.rows(kind, buckets)
                     load = _Load(load.number + 1)
@@ -317,9 +344,11 @@ def _settle(loads: DataFrame, model: Model) -> DataFrame:
         parts = [unpack(d.as_py()) for d in group.column("data")]
         size = [len(p[0]) for p in parts]
         key = np.concatenate([np.cumsum(p[0].view(np.uint64)) for p in parts])
-        pair, place, many = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
-        n = np.concatenate([np.add.reduceat(p[5], np.cumsum(p[3]) - p[3]) for p in parts])
         kind = np.repeat(kinds, size)
+        pair = np.zeros(len(key), np.int64)
+        pair[(kind & _RARE) > 0] = np.concatenate([p[1] for p in parts])
+        place = np.where(kind & _RARE, 0, _place(key) + 1)  # among the frequent words, from 1
+        n = np.concatenate([np.add.reduceat(p[4], np.cumsum(p[2]) - p[2]) for p in parts])
         order = np.lexsort((pair, place, key))
         first_pair = _starts(key[order], place[order], pair[order])
         first_word = _starts(key[order], place[order])
@@ -339,10 +368,10 @@ def _settle(loads: DataFrame, model: Model) -> DataFrame:
         for i, p in enumerate(parts):
             if not kinds[i] & _USE:
                 continue
-            who, place_of = np.unique(p[4], return_inverse=True)
-            entry = np.repeat(np.arange(at[i], at[i + 1]), p[3])
+            who, place_of = np.unique(p[3], return_inverse=True)
+            entry = np.repeat(np.arange(at[i], at[i + 1]), p[2])
             out.append((i, pack(who, *(_fixed(np.bincount(place_of, np.rint(
-                (p[5] * outside[k][entry] + p[6] * inside[k][entry]) * UNIT), len(who)) / UNIT) for k in range(2)))))
+                (p[4] * outside[k][entry] + p[5] * inside[k][entry]) * UNIT), len(who)) / UNIT) for k in range(2)))))
         answers = group.take(pa.array([i for i, _ in out], pa.int64()))
         return answers.set_column(3, "data", pa.array([d for _, d in out], pa.binary()))
 
