@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import blocks_of, mix64, mostly, table, word_hashes
+from deliverylens.llm.common import blocks_of, mix64, mostly, staged, table, word_hashes
 
 #: The vocabulary that smoothing assumes.
 WORDS = 1 << 20
@@ -153,8 +153,8 @@ def fit(docs: DataFrame, targets: DataFrame) -> Model:
     """The two models; ``targets``: doc_id."""
     wanted = targets.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
     rows = _rows(docs)
-    own = mostly(rows.withColumn("key", F.xxhash64("doc_id")), wanted.select(F.xxhash64("doc_id").alias("key"))).join(
-        wanted, "doc_id", "left_semi").select(*rows.columns)
+    own = staged(mostly(rows.withColumn("key", F.xxhash64("doc_id")), wanted.select(F.xxhash64("doc_id").alias("key"))).join(
+        wanted, "doc_id", "left_semi").select(*rows.columns), "target")  # read twice, joined once
     words, pairs = map(Head, _frequent(rows))
     tokens = []
     for k, texts in enumerate((own, rows)):
@@ -187,14 +187,14 @@ def pack(*columns: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    """What was packed, as signed integers."""
+    """What was packed, as signed integers, of 32 bits if they are small."""
     data = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
     many = int(np.frombuffer(data, np.int64, 1)[0])
     at, out = 8 * (1 + 2 * many), []
     for n, width in np.frombuffer(data, np.int64, 2 * many, 8).reshape(-1, 2).tolist():
-        c = np.zeros((n, 8), np.uint8)
+        c = np.zeros((n, 4 if width < 4 else 8), np.uint8)
         c[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
-        out.append(c.view(np.int64).reshape(-1))
+        out.append(c.view(np.int32 if width < 4 else np.int64).reshape(-1))
         at += n * width
     return out
 
@@ -343,7 +343,7 @@ def _settle(loads: DataFrame, model: Model) -> DataFrame:
         frequent, tokens, scale = shared.value
         parts = [unpack(d.as_py()) for d in group.column("data")]
         size = [len(p[0]) for p in parts]
-        key = np.concatenate([np.cumsum(p[0].view(np.uint64)) for p in parts])
+        key = np.concatenate([np.cumsum(p[0].astype(np.uint64)) for p in parts])
         kind = np.repeat(kinds, size)
         pair = np.zeros(len(key), np.int64)
         pair[(kind & _RARE) > 0] = np.concatenate([p[1] for p in parts])
@@ -352,9 +352,11 @@ def _settle(loads: DataFrame, model: Model) -> DataFrame:
         order = np.lexsort((pair, place, key))
         first_pair = _starts(key[order], place[order], pair[order])
         first_word = _starts(key[order], place[order])
-        of = np.empty((2, len(key)), np.int64)  # the pair and the word of each
+        of = np.empty((2, len(order)), np.int32)  # the pair and the word of each
+        del key
         for k, first in enumerate((first_pair, first_word)):
-            of[k, order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+            of[k, order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        del order
         outside, inside = [], []  # a text's loss for each time, and for each time as a context
         for k, flag in enumerate((_TARGET, _EVERY)):
             counted = np.where(kind & flag, n, 0)
@@ -397,7 +399,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         if not len(texts):  # a load of counts only
             return pa.Table.from_batches([], _SCORES)
         ids, valid, n, *sums = unpack(data[int(texts[0])].as_py())
-        sums = [_unfixed(x) for x in sums]
+        ids, n, *sums = ids.astype(np.int64), n.astype(np.int64), *(_unfixed(x.astype(np.int64)) for x in sums)
         for i in np.flatnonzero(kinds != _TEXTS).tolist():
             who, *losses = unpack(data[i].as_py())
             for total, x in zip(sums, losses, strict=True):
