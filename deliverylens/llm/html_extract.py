@@ -11,15 +11,18 @@ unique runs that remain, and all MAIN blocks, are the main text. Markup alone
 decides on MAIN blocks: articles quote and copy each other, so repetition says
 nothing against them.
 
-The suffix array is built over the pages of a host that a task holds. A token
+The suffix array is built over the pages of a host that a task holds, by
+doubling, and to a depth of ``LEAST_TOKENS`` tokens: a token
 lies in a long repeated substring exactly if it lies in a repeated one of
 ``LEAST_TOKENS`` tokens, so each task emits one row per distinct prefix of
 that length and host, with some of its pages; counts per (host, prefix) join
 what tasks have found, and a host of any size needs no task of its own.
 
 Edge cases: null or empty html gives the empty text; a null or odd url counts
-as the empty host; pages with equal texts count as one page for repetition, so
-copies of a page do not erase it; a tag cut off by the end of the page is
+as the empty host; pages with equal texts count as one page for repetition, and
+so do pages with open blocks whose texts are near copies (``NEAR_PERCENT`` of
+their ``NEAR_WORDS``-word shingles, directly or over others), so copies of a
+page do not erase it; a tag cut off by the end of the page is
 dropped; extra columns are ignored.
 """
 
@@ -35,9 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.llm.common import mix64, staged, table
+from deliverylens.llm.jaccard_join import cluster
 
 LEAST_TOKENS = 6
 LEAST_PAGES = 3
+#: Pages are near copies if their sets of so many words are so similar, in per cent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 MAIN, OPEN, CHROME = 0, 1, 2
 
 #: Elements by what they do to the text.
@@ -180,22 +186,41 @@ def prefix_names(stream: np.ndarray, length: int) -> np.ndarray:
     return name
 
 
-def suffix_runs(streams: list[np.ndarray], length: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of the concatenated streams, ordered by ``length``-token
-    prefixes: the prefixes' names, each with up to ``most`` streams that hold it."""
-    names = [prefix_names(s, length) for s in streams]
-    owner = np.repeat(np.arange(len(names)), [len(x) for x in names])
-    name = np.concatenate([*names, np.zeros(0, np.uint64)])
-    order = np.lexsort((owner, name))
-    name, owner = name[order], owner[order]
-    new = np.ones(len(name), bool)
-    new[1:] = name[1:] != name[:-1]
+def suffix_ranks(stream: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the suffixes with at least ``length`` tokens by their first
+    ``length`` ones, equal where these are: ranks of prefixes are doubled until
+    they cover the length."""
+    if len(stream) < length:
+        return np.zeros(0, np.int64)
+    rank, done = np.unique(stream, return_inverse=True)[1].astype(np.int64), 1
+    while done < length:
+        step = min(done, length - done)
+        rank = np.unique(rank[:-step] * (len(stream) + 1) + rank[step:], return_inverse=True)[1].astype(np.int64)
+        done += step
+    return rank
+
+
+def suffix_runs(streams: list[np.ndarray], length: int, most: int, pages: np.ndarray | None = None
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array of the concatenated streams, to a depth of ``length`` tokens:
+    the names of the different prefixes, each with up to ``most`` of the pages
+    that hold it. ``pages``: the page of each stream, if several are one."""
+    size = np.array([len(s) for s in streams], np.int64)
+    pages = np.arange(len(streams)) if pages is None else np.asarray(pages)
+    whole = np.concatenate([*streams, np.zeros(0, np.uint64)])
+    inside = np.arange(len(whole)) + length <= np.repeat(np.cumsum(size), size)  # ends in its own stream
+    rank, at = suffix_ranks(whole, length), np.flatnonzero(inside)
+    owner = np.repeat(pages, size)[at]
+    order = np.lexsort((owner, rank[at]))
+    at, owner = at[order], owner[order]
+    new = np.ones(len(at), bool)
+    new[1:] = rank[at[1:]] != rank[at[:-1]]
     other = new.copy()
     other[1:] |= owner[1:] != owner[:-1]
-    name, owner, new = name[other], owner[other], new[other]
+    at, owner, new = at[other], owner[other], new[other]
     first = np.flatnonzero(new)
-    place = np.arange(len(name)) - np.repeat(first, np.diff(np.append(first, len(name))))
-    return name[place < most], owner[place < most]
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    return prefix_names(whole, length)[at[place < most]], owner[place < most]
 
 
 def _stream(kinds, texts, known: dict[str, int], wanted: set[int]) -> np.ndarray:
@@ -234,14 +259,20 @@ def repeated(parsed: DataFrame, length: int, least_pages: int) -> DataFrame:
         for pdf in batches:
             if len(known) > 500_000:
                 known.clear()
-            for host, part in pdf.drop_duplicates(["host", "page"]).groupby("host"):
+            for host, part in pdf.drop_duplicates(["host", "copy"]).groupby("host"):
                 streams = [_stream(k, t, known, {OPEN, CHROME})
                            for k, t in zip(part["kinds"], part["texts"], strict=True)]
-                name, owner = suffix_runs(streams, length, least_pages)
-                yield pd.DataFrame({"host": host, "name": name.view(np.int64), "page": part["page"].to_numpy()[owner]})
+                name, page = suffix_runs(streams, length, least_pages, part["page"].to_numpy())
+                yield pd.DataFrame({"host": host, "name": name.view(np.int64), "page": page})
 
-    # copies of a page have one hash and are one page
-    pages = parsed.select("host", F.xxhash64("kinds", "texts").alias("page"), "kinds", "texts")
+    copy = F.xxhash64("kinds", "texts")
+    is_open = F.array_contains("kinds", OPEN)
+    # copies have one hash and are one page; near copies too, where all they say may be open
+    alike = cluster(parsed.where(is_open).select(F.col("row").alias("doc_id"), F.array_join("texts", " ").alias("text")),
+                    NEAR_WORDS, NEAR_PERCENT).select(F.col("doc_id").alias("row"), F.xxhash64("component_id").alias("page"))
+    names = ["host", "page", "copy", "kinds", "texts"]
+    pages = parsed.where(~is_open).select("host", copy.alias("page"), copy.alias("copy"), "kinds", "texts").unionByName(
+        parsed.where(is_open).join(alike, "row").withColumn("copy", copy).select(*names))
     return (pages.mapInPandas(run, "host string, name long, page long").distinct().groupBy("host", "name")
             .agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages).select("host", "name"))
 

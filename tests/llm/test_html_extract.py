@@ -61,3 +61,78 @@ def test_copies_of_a_page_do_not_erase_it(spark):
     out = H.extract(pages).collect()
     assert len(out) == 5 and all(r["text"].endswith("w29") and r["n_chars"] == len(r["text"]) for r in out)
     assert H.extract(pages.where("false")).count() == 0
+
+
+def test_near_copies_of_a_page_do_not_erase_it(spark):
+    shared = " ".join(f"w{k}" for k in range(60))
+    near = [(i, "http://h/", f"<div>{shared} x{i}</div>") for i in range(4)]
+    # one member alone shares a run with two pages of its own kind: three pages hold it
+    menu = "home news sport weather contact about us"
+    near[0] = (0, "http://h/", f"<div>{shared} x0</div><div>{menu}</div>")
+    other = [(10 + i, "http://h/", f"<div>{menu}</div><p>" + " ".join(f"u{i}_{k}" for k in range(9))) for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in H.extract(
+        spark.createDataFrame(near + other, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{shared} x{i}" for i in range(4)} | {
+        10 + i: " ".join(f"u{i}_{k}" for k in range(9)) for i in range(2)}
+
+
+def test_whole_query_matches_brute_force(spark):
+    """Every window of every page against those of all others, families by plain comparison of sets."""
+    rng = np.random.default_rng(9)
+    phrases = [" ".join(f"p{j}_{k}" for k in range(n)) for j, n in enumerate((5, 6, 9, 14, 30))]
+    rows = []
+    for i in range(60):
+        parts = [phrases[j] for j in rng.choice(5, rng.integers(0, 4), replace=False)]
+        parts += [" ".join(f"v{rng.integers(0, 400)}" for _ in range(rng.integers(1, 25)))]
+        tags = rng.choice(["div", "p", "footer"], len(parts))
+        rows.append((i, f"http://{'ab'[i % 2]}.example/", "".join(f"<{t}>{x}</{t}>" for t, x in zip(tags, parts, strict=True))))
+    rows += [(60 + i, rows[i][1], rows[i][2]) for i in range(10)]  # copies
+    rows += [(70 + i, rows[3 * i][1], rows[3 * i][2] + f"<p>tail{i}") for i in range(10)]  # and nearly
+    got = {r["page_id"]: r["text"] for r in H.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()}
+
+    parsed = {i: (url, H.blocks(html)) for i, url, html in rows}
+    family = {i: i for i in parsed}
+
+    def shingles(i):
+        w = " ".join(t for _, t in parsed[i][1]).split()
+        return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
+
+    sets = {i: shingles(i) for i, (_, b) in parsed.items() if any(k == H.OPEN for k, _ in b)}
+    for i in sets:
+        for j in sets:
+            if j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = family[i], family[j]
+                family = {k: min(a, b) if f in (a, b) else f for k, f in family.items()}
+    whole = {}
+    for i, (url, blocks) in parsed.items():  # pages without open blocks: exact copies
+        if i not in sets:
+            family[i] = whole.setdefault((url, tuple(blocks)), i)
+
+    def stream(i, kinds):
+        out = []
+        for b, (kind, t) in enumerate(parsed[i][1]):
+            if kind in kinds:
+                out += [*t.split(), ("break", b)]
+        return out
+
+    holders = {}
+    for i, (url, _) in parsed.items():
+        x = stream(i, {H.OPEN, H.CHROME})
+        for k in range(len(x) - 5):
+            holders.setdefault((url, tuple(x[k:k + 6])), set()).add(family[i])
+    erased = 0
+    for i, (url, blocks) in parsed.items():
+        x = stream(i, {H.OPEN})
+        covered = {k + d for k in range(len(x) - 5) for d in range(6) if len(holders.get((url, tuple(x[k:k + 6])), ())) >= 3}
+        erased += len(covered)
+        want, at = [], 0
+        for kind, t in blocks:
+            if kind == H.OPEN:
+                words = t.split()
+                want.append(" ".join(w for k, w in enumerate(words, at) if k not in covered))
+                at += len(words) + 1
+            elif kind == H.MAIN:
+                want.append(t)
+        assert got[i] == "\n".join(w for w in want if w), i
+    assert erased > 100
