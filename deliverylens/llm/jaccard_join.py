@@ -4,27 +4,30 @@ Every document is the set of its distinct word n-grams; two documents link if
 the Jaccard similarity of their sets reaches a threshold. The result is each
 document's connected component, and no link between different sets is lost.
 
-1. Equal sets are one *node*. Sets of similar size fall into the same bands;
-   in a band of sizes up to ``hi`` linked sets differ in at most
-   ``H = 2 hi (1 - t) / (1 + t)`` n-grams. The n-grams are dealt into more than
-   H parts by hash, so linked sets agree in a whole part, and that part's
-   signature brings them together. (Sets with so many empty parts that this
-   could fail also bring their prefix in hash order, which linked sets share.)
-2. Nodes that share a signature, directly or over others, form a *family*
-   (connected components by joins). A family's sets are read once.
+1. Equal sets are one *node*. All documents order their n-grams alike, the
+   rarest first. Linked sets then share an n-gram among the first
+   ``n - ceil(t n) + 1`` of either, its *prefix*. N-grams cross once in loads,
+   dealt by hash into buckets whose number grows with the corpus; a bucket counts
+   them and answers each load with those that others have too. N-grams of a single
+   document come first in the order and can't be shared, so most documents have
+   no prefix left that needs a comparison, and passages that many documents carry
+   come last. N-grams frequent in a sample are broadcast, never sent, and come last
+   of all; any common order gives the same links, so the sample decides no result.
+2. Nodes that share an n-gram of their prefixes, directly or over others, form
+   a *family* (connected components by joins). Its sets are read once.
 3. A family is cut into blocks of at most ``BLOCK`` nodes. A block builds a
    signature tree: leaves of similar sets, each tree node with the OR of its
    token bitmaps, its size range and its most bitmap collisions. A dual
    traversal prunes pairs of tree nodes whose largest possible overlap is too
    small for a link, or which are one component already; pairs of sets that
    remain are compared exactly.
-4. A large family is cut by size and hash. Its blocks are joined in two more
-   steps: the largest components of the blocks with each other, and then the
-   members outside the family's largest component with all blocks whose sizes
-   they could link with.
+4. A large family is cut by size and hash. Its blocks are joined in more
+   steps: the largest components of the blocks with each other, in rounds of
+   bounded groups, and then the members outside the family's largest component,
+   block by block, with all blocks whose sizes they could link with.
 
-Tasks hold one block; a hot signature reaches its owner once per batch of
-documents, not once per document.
+Tasks hold a load, a bucket, or two blocks; a prefix n-gram that many share
+reaches its owner once per load, not once per document.
 
 Edge cases: null, empty or blank texts have no set and link with nothing;
 texts with fewer than n words are one n-gram; repeated rows are one node; rows
@@ -62,10 +65,15 @@ from deliverylens.llm.components import components
 BLOCK = 1024
 LEAF = 8
 FIRST = 8
-_GRAMS_AT_ONCE = 200_000
+#: N-grams of a load (or one text); characters of the corpus to a bucket, some
+#: 1,000,000 n-grams; documents of a load.
+LOAD, BUCKET, MEMBERS = 2_000_000, 6_000_000, 60_000
+#: Sampled documents (of at most so many characters), documents of the sample that
+#: have a frequent n-gram, and most of these.
+SAMPLE, SAMPLE_CHARS, FREQUENT, MOST = 2048, 20_000, 6, 1 << 16
 #: Size bands of a family that is cut: each ends a tenth above its start.
 _STEP = 0.1
-_INFO = "<?qqqq"
+_INFO = "<?qqqqq"
 _BAND_RATIO = 0.7
 
 
@@ -76,16 +84,18 @@ class Spec:
     words: int
     percent: int
 
-    def most_apart(self, hi: int) -> int:
-        """Most n-grams in which linked sets of at most ``hi`` can differ."""
-        return 2 * hi * (100 - self.percent) // (100 + self.percent)
+    def prefix(self, n: np.ndarray) -> np.ndarray:
+        """How many n-grams of a set of n, in any order common to all sets, hold
+        one of every set that links with it."""
+        return n - -(-self.percent * n // 100) + 1
 
     def bands(self, n: int) -> list[int]:
         """Upper sizes of the bands in which a set of size n is compared."""
+        ratio = min(_BAND_RATIO, self.percent / 100)
         hi = 6
         while hi < n:
-            hi = int(hi / _BAND_RATIO) + 1
-        up = int(hi / _BAND_RATIO) + 1
+            hi = int(hi / ratio) + 1
+        up = int(hi / ratio) + 1
         return [hi, up] if n * 100 // self.percent > hi else [hi]
 
     def linked(self, common: int, a: int, b: int) -> bool:
@@ -116,36 +126,30 @@ def node_of(grams: np.ndarray) -> int:
     return int(np.array([xxhash.xxh3_64_intdigest(grams.tobytes())], np.uint64).view(np.int64)[0])
 
 
-def signatures(sets: list[np.ndarray], spec: Spec) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, signature): linked sets have one signature in common."""
-    size = np.array([len(s) for s in sets], np.int64)
-    grams = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    owner = np.repeat(np.arange(len(sets)), size)
-    q = mix64(grams ^ np.uint64(0x5851F42D4C957F2D))
-    r = mix64(q + np.uint64(0x14057B7EF767814F))
-    q >>= np.uint64(32)
-    bands = [spec.bands(n) for n in size.tolist()]
+def signatures(size: np.ndarray, member: np.ndarray, key: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, signature) of the prefixes: linked sets have one in common.
+
+    ``size`` are the sets' sizes; ``member`` and ``key`` their n-grams that other
+    sets have too, as places in the common order. The others come before."""
+    order = np.lexsort((key, member))
+    member, key = member[order], key[order]
+    told = np.bincount(member, minlength=len(size))
+    need = spec.prefix(size) - (size - told)
+    begin = np.cumsum(told) - told
+    some = np.flatnonzero(need > 0)
+    last = np.zeros(len(size), np.uint64)
+    last[some] = key[begin[some] + need[some] - 1]
+    here = np.flatnonzero((need > 0)[member] & (key <= last[member]))  # with ties of the last place
+    member, key = member[here], key[here]
+    bands = {i: spec.bands(n) for i, n in zip(some.tolist(), size[some].tolist(), strict=True)}
     owners, sigs = [], []
     for slot in (0, 1):
-        hi = np.array([b[slot] if slot < len(b) else 0 for b in bands], np.uint64)
-        apart = np.array([spec.most_apart(int(h)) for h in hi], np.int64)
-        parts = np.where(apart > 0, apart + 4 + apart // 20, 0)  # else only equal sets can link
-        salt = mix64(hi)
-        base = np.cumsum(parts) - parts
-        here = np.flatnonzero((parts > 0)[owner])
-        who = owner[here]
-        at = base[who] + ((q[here] * parts[who].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        total = np.zeros(int(parts.sum()), np.uint64)
-        np.add.at(total, at, r[here])
-        full = np.flatnonzero(np.bincount(at, minlength=len(total)))
-        who = np.repeat(np.arange(len(sets)), parts)[full]
-        owners.append(who)
-        sigs.append(mix64(total[full] + mix64((full - base[who]).astype(np.uint64) + salt[who])))
-        filled = np.bincount(who, minlength=len(sets))
-        for i in np.flatnonzero((parts > 0) & (filled <= apart)).tolist():
-            prefix = sets[i][:size[i] - -(-spec.percent * int(size[i]) // 100) + 1]
-            owners.append(np.full(len(prefix), i))
-            sigs.append(mix64(prefix ^ salt[i] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+        hi = np.zeros(len(size), np.uint64)
+        for i, b in bands.items():
+            hi[i] = b[slot] if slot < len(b) else 0
+        in_band = hi[member] > 0
+        owners.append(member[in_band])
+        sigs.append(mix64(key[in_band] + mix64(hi)[member[in_band]]))
     return np.concatenate(owners), np.concatenate(sigs)
 
 
@@ -175,65 +179,183 @@ class Union:
         return up
 
 
+_LOADS = "at long, load long, kind int, data binary"
+_LOAD_NAMES = ["at", "load", "kind", "data"]
+_SELF, _GRAMS = 0, 1
+_HASH = np.uint64(0x5851F42D4C957F2D)
+_LOW, _HALF, _CLASS, _REST = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(56), np.uint64(8)
 _ROWS = "sig long, member long, info binary"
 
 
-def _signed(docs: DataFrame, spec: Spec) -> DataFrame:
-    """(sig, member, info). A member is a node as a batch of documents knows it,
-    numbered so that shuffled rows compress well. Rows with ``info`` tell of a
-    document: its id, key, number of n-grams and node. Within a batch, members
-    that share a signature are joined at once: one of them stands for all under
-    every signature, and a signature of the batch's own holds them together."""
+def frequent(docs: DataFrame, rows: int, spec: Spec) -> np.ndarray:
+    """N-grams (sorted hashes, a bounded number) that a sample of some ``SAMPLE`` of
+    the rows has often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for k, b in enumerate(batches):
-            sets, info, members, number = {}, [], [], {}
-            batch = part << 40 | k << 20
-            owners, sigs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            node_list: list[int] = []
-
-            def sign() -> None:
-                who, sig = signatures([s for s in sets.values() if s is not None], spec)
-                owners.append(who + len(node_list))
-                sigs.append(sig)
-                node_list.extend(n for n, s in sets.items() if s is not None)
-                sets.update(dict.fromkeys(sets))  # seen, and no longer held
-
-            held = 0
+        for b in batches:
+            for s in shingles(_texts(b.column("text")), spec):
+                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["gram"])
+
+    chosen = F.shiftrightunsigned(F.xxhash64("key"), 33) < int(min(1, SAMPLE / max(1, rows)) * (1 << 31))
+    some = docs.where((F.length("text") <= SAMPLE_CHARS) & chosen).select("text")
+    often = (some.mapInArrow(run, "gram long").groupBy("gram").count().where(F.col("count") >= FREQUENT)
+             .orderBy(F.desc("count"), "gram").limit(MOST).select("gram").collect())
+    return np.sort(np.array([r["gram"] for r in often], np.int64).view(np.uint64))
+
+
+class Load:
+    """Documents and the n-grams of their sets, equal sets once."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.sets: list[np.ndarray] = []
+        self.place: dict[int, int] = {}
+        self.info: list[bytes] = []
+        self.held = 0
+
+    def add(self, doc_id: int | None, key: int, grams: np.ndarray) -> None:
+        node, member = node_of(grams), -1
+        if len(grams):
+            member = self.place.setdefault(node, len(self.sets))
+            if member == len(self.sets):
+                self.sets.append(grams)
+                self.held += len(grams)
+        self.info.append(struct.pack(_INFO, doc_id is not None, doc_id or 0, key, len(grams), node, member))
+
+    def full(self) -> bool:
+        return self.held >= LOAD or len(self.info) >= MEMBERS
+
+    def rows(self, hot: np.ndarray, buckets: int) -> pa.RecordBatch:
+        """One row with the documents and the frequent n-grams, which goes over a
+        bucket of no meaning; for each bucket one with its n-grams' lower halves and
+        the steps from member to member."""
+        size = np.array([len(s) for s in self.sets], np.uint32)
+        grams = np.concatenate([*self.sets, np.zeros(0, np.uint64)])
+        member = np.repeat(np.arange(len(size), dtype=np.uint16), size)
+        known = hot[np.searchsorted(hot, grams).clip(max=len(hot) - 1)] == grams if len(hot) else np.zeros(len(grams), bool)
+        head = struct.pack("<qqq", len(self.info), len(size), int(known.sum()))
+        out = [(self.number % buckets, self.number, _SELF, b"".join(
+            [head, *self.info, size.tobytes(), grams[known].tobytes(), member[known].tobytes()]))]
+        h, member = mix64(grams[~known] ^ _HASH), member[~known]
+        bucket = ((h >> _HALF) * np.uint64(buckets) >> _HALF).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, low, member = bucket[order], h[order].astype(np.uint32), member[order]
+        cut = np.flatnonzero(np.concatenate([[len(bucket) > 0], bucket[1:] != bucket[:-1]]))
+        for a, b in zip(cut.tolist(), np.append(cut, len(bucket))[1:].tolist(), strict=True):
+            out.append((int(bucket[a]), self.number, _GRAMS, low[a:b].tobytes() + _steps(member[a:b])))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=_LOAD_NAMES)
+
+
+def _steps(member: np.ndarray) -> bytes:
+    return np.diff(member, prepend=np.uint16(0)).tobytes()  # ascending
+
+
+def _loads(docs: DataFrame, spec: Spec, hot: np.ndarray, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        load = Load(number)
+        for b in batches:
             for doc_id, key, s in zip(b.column("doc_id").to_pylist(), b.column("key").to_pylist(),
                                       shingles(_texts(b.column("text")), spec), strict=True):
-                node = node_of(s)
-                members.append(batch | number.setdefault(node, len(number)) if len(s) else -1)
-                info.append(struct.pack(_INFO, doc_id is not None, doc_id or 0, key, len(s), node))
-                if len(s) and node not in sets:
-                    sets[node] = s
-                    held += len(s)
-                    if held > _GRAMS_AT_ONCE:
-                        sign()
-                        held = 0
-            sign()
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(members, pa.int64()), pa.array(info, pa.binary())],
-                                             names=["sig", "member", "info"])
-            if not node_list:
+                load.add(doc_id, key, s)
+                if load.full():
+                    yield load.rows(hot, buckets)
+                    number += 1 << 20
+                    load = Load(number)
+        if load.info:
+            yield load.rows(hot, buckets)
+
+    return docs.mapInArrow(run, _LOADS)
+
+
+def _counted(loads: DataFrame) -> DataFrame:
+    """Every bucket answers each load with its n-grams that occur twice or more:
+    lower halves, classes by frequency, and members."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        kind = rows.column("kind").to_numpy()
+        numbers, data = rows.column("load").to_numpy(), rows.column("data")
+        out = [(int(numbers[i]), 0, _SELF, data[i].as_py()) for i in np.flatnonzero(kind == _SELF).tolist()]
+        loads, lows, steps = np.flatnonzero(kind == _GRAMS), [], []
+        for i in loads.tolist():
+            raw = data[i].as_py()
+            n = len(raw) // 6
+            lows.append(np.frombuffer(raw, np.uint32, n))
+            steps.append(np.frombuffer(raw, np.uint16, n, 4 * n))
+        low = np.concatenate([*lows, np.zeros(0, np.uint32)])
+        order = np.argsort(low, kind="stable")
+        ranked = low[order]
+        first = np.flatnonzero(np.concatenate([[len(low) > 0], ranked[1:] != ranked[:-1]]))
+        times = np.diff(np.append(first, len(low)))
+        count = np.empty(len(low), np.int64)
+        count[order] = np.repeat(times, times)
+        grade = np.minimum(np.log2(count.clip(min=1)) * 8, 254).astype(np.uint8)
+        bucket, at = int(rows.column("at")[0].as_py()), 0
+        for i, some, step in zip(loads.tolist(), lows, steps, strict=True):
+            twice = np.flatnonzero(count[at:at + len(some)] > 1)
+            if len(twice):
+                member = np.cumsum(step, dtype=np.uint16)[twice]
+                out.append((int(numbers[i]), bucket, _GRAMS, b"".join(
+                    [some[twice].tobytes(), grade[at:at + len(some)][twice].tobytes(), _steps(member)])))
+            at += len(some)
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(
+            columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=_LOAD_NAMES)
+
+    return loads.groupBy("at").applyInArrow(run, _LOADS)
+
+
+def _prefixes(answered: DataFrame, spec: Spec) -> DataFrame:
+    """(sig, member, info). A member is a node as a load knows it, numbered so that
+    shuffled rows compress well. Rows with ``info`` tell of a document: its id, key,
+    number of n-grams, node and member. Within a load, members that share a
+    signature are joined at once: one of them stands for all under every signature,
+    and a signature of the load's own holds them together."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        load = int(rows.column("at")[0].as_py())
+        keys, members, info, size = [], [], [], np.zeros(0, np.int64)
+        for bucket, kind, raw in zip(*(rows.column(c).to_pylist() for c in ("load", "kind", "data")), strict=True):
+            if kind == _GRAMS:
+                n = len(raw) // 7
+                low = np.frombuffer(raw, np.uint32, n).astype(np.uint64)
+                grade = np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64)
+                keys.append(grade << _CLASS | mix64(low | np.uint64(bucket) << _HALF) >> _REST)
+                members.append(np.cumsum(np.frombuffer(raw[5 * n:], np.uint16), dtype=np.uint16))
                 continue
-            own_id = np.array([batch | number[n] for n in node_list], np.int64)
-            owner, sig = np.concatenate(owners), np.concatenate(sigs)
-            order = np.argsort(sig, kind="stable")
-            sig, owner = sig[order], owner[order]
-            same = sig[1:] == sig[:-1]
-            union = Union(len(own_id))
-            for x, y in set(zip(owner[:-1][same].tolist(), owner[1:][same].tolist(), strict=True)):
-                union.join(x, y)
-            root = union.roots()
-            first = np.concatenate([[True], ~same]) if len(sig) else np.zeros(0, bool)
-            own = np.bincount(root, minlength=len(own_id))[root] > 1
-            sig = np.concatenate([sig[first], mix64(own_id[root[own]].view(np.uint64))])
-            who = np.concatenate([own_id[root[owner[first]]], own_id[own]])
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(who),
-                                              pa.nulls(len(who), pa.binary())], names=["sig", "member", "info"])
+            docs, nodes, hot = struct.unpack_from("<qqq", raw)
+            width, at = struct.calcsize(_INFO), 24
+            info = [raw[at + i * width:at + (i + 1) * width] for i in range(docs)]
+            raw = raw[at + docs * width:]
+            size = np.frombuffer(raw[:4 * nodes], np.uint32).astype(np.int64)
+            keys.append(np.uint64(255) << _CLASS | mix64(np.frombuffer(raw[4 * nodes:4 * nodes + 8 * hot], np.uint64)) >> _REST)
+            members.append(np.frombuffer(raw[4 * nodes + 8 * hot:], np.uint16))
+        owner, sig = signatures(size, np.concatenate(members).astype(np.int64), np.concatenate(keys), spec)
+        order = np.argsort(sig, kind="stable")
+        sig, owner = sig[order], owner[order]
+        same = sig[1:] == sig[:-1]
+        union = Union(len(size))
+        for x, y in set(zip(owner[:-1][same].tolist(), owner[1:][same].tolist(), strict=True)):
+            union.join(x, y)
+        root = union.roots()
+        first = np.concatenate([[len(sig) > 0], ~same])[:len(sig)]
+        own = np.flatnonzero(np.bincount(root, minlength=len(size))[root] > 1)
+        sig = np.concatenate([sig[first], mix64((root[own] | load).astype(np.uint64))])
+        who = np.concatenate([root[owner[first]], own]) | load
+        told = [struct.unpack(_INFO, x) for x in info]
+        return pa.Table.from_arrays(
+            [pa.array([*(x[2] for x in told), *sig.view(np.int64).tolist()], pa.int64()),
+             pa.array([*(x[5] | load if x[5] >= 0 else -1 for x in told), *who.tolist()], pa.int64()),
+             pa.array([*info, *[None] * len(who)], pa.binary())], names=["sig", "member", "info"])
+
+    return answered.groupBy("at").applyInArrow(run, _ROWS)
 
-    return docs.mapInArrow(run, _ROWS)
+
+def _signed(docs: DataFrame, spec: Spec) -> DataFrame:
+    """The documents and the signatures of their prefixes, see _prefixes."""
+    chars, rows = docs.agg(F.sum(F.length("text")), F.count("*")).first()
+    return _prefixes(_counted(_loads(docs, spec, frequent(docs, rows, spec), 1 + (chars or 0) // BUCKET)), spec)
 
 
 def _stars(signed: DataFrame) -> DataFrame:
@@ -429,27 +551,42 @@ def links(docs: DataFrame, found: DataFrame, spec: Spec) -> DataFrame:
         return staged(place.join(root, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"),
                       "places")
 
-    # the largest components of the blocks meet first, one set of each
-    now = labelled(inside)
-    largest = (now.groupBy("family", "band", "block", "label").agg(F.count("*").alias("size"), F.min("node").alias("node"))
-               .groupBy("family", "band", "block").agg(F.slice(F.sort_array(F.collect_list(
-                   F.struct("size", "node", "label")), asc=False), 1, FIRST).alias("top"))
-               .select("family", F.inline("top")).drop("size"))
-    between = staged(_joined(cut.join(largest, "node"), ["family"], spec), "links")
-    # then what lies outside the family's largest component meets every block
-    now = labelled(inside.unionByName(between))
+    # the largest components of the blocks meet first, one set of each, in rounds
+    # of groups of at most some BLOCK sets
+    fan = max(2, BLOCK // FIRST)
+    units = targets.groupBy("family").agg(F.count("*").alias("units"))
+    most, found = units.agg(F.max("units")).first()[0], inside
+    unit = F.xxhash64("band", "block")
+    while most > 1:
+        now = labelled(found).join(units.where("units > 1"), "family").withColumn("unit", unit)
+        largest = (now.groupBy("family", "units", "unit", "label").agg(F.count("*").alias("size"), F.min("node").alias("node"))
+                   .groupBy("family", "units", "unit").agg(F.slice(F.sort_array(F.collect_list(
+                       F.struct("size", "node", "label")), asc=False), 1, FIRST).alias("top"))
+                   .select("family", "units", "unit", F.inline("top")).drop("size"))
+        meet = largest.withColumn("unit", F.pmod("unit", F.ceil(F.col("units") / fan)))
+        found = found.unionByName(staged(_joined(cut.join(meet, "node"), ["family", "unit"], spec), "links"))
+        units = units.withColumn("units", F.ceil(F.col("units") / fan))
+        unit = F.pmod(F.xxhash64("band", "block"), F.col("units"))
+        most = -(-most // fan)
+    # then what lies outside the family's largest component meets every block of
+    # fitting sizes, block by block
+    now = labelled(found)
     main = (now.groupBy("family", "label").agg(F.count("*").alias("size")).groupBy("family")
             .agg(F.max(F.struct("size", "label")).alias("m")).select("family", F.col("m.label").alias("main")))
-    rest = now.join(main, "family").where("label <> main").select("node", "family", "label", "size")
+    rest = now.join(main, "family").where("label <> main")
+    many = rest.groupBy("family", F.col("band").alias("own")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rest = staged(rest.select("family", F.col("band").alias("own"), "node", "size", "label").join(many, ["family", "own"])
+                  .withColumn("other", F.xxhash64("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))))
+                  .drop("own", "blocks"), "rest")
     # linked sets differ in size by the threshold at most
     near = ((100 * F.col("low") <= F.col("size") * (10_000 / spec.percent)) &
             (100 * F.col("high") >= F.col("size") * spec.percent))
-    sent = rest.join(targets, "family").where(near).select("node", "family", "band", "block", "label")
-    mixed = rest.select("family").distinct()  # families of one component need no more
-    again = (now.join(mixed, "family", "left_semi").select("node", "family", "band", "block", "label")
-             .unionByName(sent).distinct())
-    return inside.unionByName(between).unionByName(
-        staged(_joined(cut.join(again, "node"), ["family", "band", "block"], spec), "links"))
+    sent = rest.join(targets, "family").where(near).select("node", "family", "band", "block", "other", "label")
+    met = sent.select("family", "band", "block", "other").distinct()
+    again = (now.select("node", "family", "band", "block", "label").join(met, ["family", "band", "block"])
+             .select(*sent.columns).unionByName(sent).distinct())
+    return found.unionByName(
+        staged(_joined(cut.join(again, "node"), ["family", "band", "block", "other"], spec), "links"))
 
 
 def cluster(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -37,10 +37,11 @@ def test_components_match_brute_force(make, corpus, n, percent):
     assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in got) == brute(corpus, n, percent)
 
 
-def test_families_cut_into_blocks(make, monkeypatch):
+@pytest.mark.parametrize("block,first", [(8, 1), (4, 2)])
+def test_families_cut_into_blocks(make, monkeypatch, block, first):
     """A large group of near copies, and others just below the threshold."""
-    monkeypatch.setattr(J, "BLOCK", 8)
-    monkeypatch.setattr(J, "FIRST", 1)
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "FIRST", first)
     rng = np.random.default_rng(3)
     base = [f"w{k}" for k in range(120)]
     rows = []
@@ -53,18 +54,34 @@ def test_families_cut_into_blocks(make, monkeypatch):
     assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in got) == brute(rows, 4, 85)
 
 
-def test_signatures_meet_for_all_linked_sets():
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_signatures_meet_for_all_linked_sets(percent):
+    """In any common order, with any ties; what only one set has is not told."""
     rng = np.random.default_rng(0)
-    spec = J.Spec(4, 85)
+    spec, met = J.Spec(4, percent), 0
     for _ in range(600):
         n = int(rng.integers(6, 120))
         a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
-        drop, add = rng.integers(0, n // 8 + 1, 2)
+        drop, add = rng.integers(0, n // 4 + 1, 2)
         b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 62, add, dtype=np.uint64)]))
-        common = len(np.intersect1d(a, b))
-        if spec.linked(common, len(a), len(b)) and common < max(len(a), len(b)):
-            who, sig = J.signatures([a, b], spec)
+        common = np.intersect1d(a, b)
+        if spec.linked(len(common), len(a), len(b)):
+            key = J.mix64(common) >> np.uint64(rng.integers(50, 64))
+            who, sig = J.signatures(np.array([len(a), len(b)]), np.repeat([0, 1], len(common)), np.tile(key, 2), spec)
             assert np.intersect1d(sig[who == 0], sig[who == 1]).size
+            met += 1
+    assert met > 50
+
+
+def test_small_loads_buckets_and_frequent_ngrams(make, corpus, monkeypatch):
+    """Many loads and buckets, and hardly any frequent n-gram or nearly all: equal rows."""
+    want = brute(corpus, 4, 85)
+    for values in ({"LOAD": 300, "BUCKET": 500, "FREQUENT": 2, "MEMBERS": 7}, {"FREQUENT": 1, "SAMPLE": 1 << 20}):
+        with monkeypatch.context() as m:
+            for name, v in values.items():
+                m.setattr(J, name, v)
+            got = J.cluster(make(corpus), 4, 85).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in got) == want
 
 
 def test_tree_finds_all_components():
