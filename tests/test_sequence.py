@@ -21,3 +21,16 @@ def test_numbering_matches_window_with_a_hot_key(spark, tmp_path):
     # the hot key really was spread over several range partitions
     staged = spark.read.parquet(str(tmp_path / "stage"))
     assert staged.filter("k = 7").select("_range_pid").distinct().count() > 2
+
+
+def test_only_hot_and_missing_keys_are_staged(spark, tmp_path):
+    data = [(i % 500 if i % 4 else None, i % 3, i) for i in range(4000)]   # no hot key; a quarter has none
+    df = spark.createDataFrame(data, "k long, a int, b long")
+    expected = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
+    got = number_within_groups(df, "k", ["a", "b"], "rn", str(tmp_path / "stage"), partitions=12)
+    assert got.count() == 4000 and got.exceptAll(expected).count() == 0
+    assert spark.read.parquet(str(tmp_path / "stage")).where("k IS NOT NULL").isEmpty()
+    some = df.where("k IS NOT NULL")
+    got = number_within_groups(some, "k", ["a", "b"], "rn", str(tmp_path / "none"), partitions=12)
+    assert got.exceptAll(expected.where("k IS NOT NULL")).count() == 0
+    assert not (tmp_path / "none").exists()

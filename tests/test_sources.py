@@ -1,11 +1,15 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from deliverylens.functions.translate import read_translation_csv, translate_codes
 from deliverylens.operators import geo
 from deliverylens.operators.fact import build_fact
+from deliverylens.plans.warehouse import write_raw_zone
+from deliverylens.sources import binding as B
 from deliverylens.sources.sinks import export_layers
 from deliverylens.sources.snapshots import Snapshots
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 from tests.fixtures import staging
 
 
@@ -41,3 +45,15 @@ def test_marker_tiers_and_radius(spark):
     got = rows(df.select(geo.delay_label("r"), geo.delay_color("r"), geo.marker_radius("n")))
     assert got == [("Sangat Baik", "#1a9641", 8.0), ("Baik", "#a6d96a", 8.0),
                    ("Bermasalah", "#fdae61", 30.0), ("Kritis", "#d7191c", 8.0)]
+
+
+def test_raw_orders_from_the_numbered_items(spark, tmp_path):
+    src = {n: B.read_source(spark, SF_SMALL, n) for n in ("orders", "lineitem", "customer")}
+    raw = write_raw_zone(spark, SF_SMALL, str(tmp_path / "w"))
+    plain = B.raw_orders(**src)
+    assert raw["orders"].count() == plain.count() == src["orders"].count()
+    assert raw["orders"].exceptAll(plain).count() == 0
+    first = B.first_line_supplier(src["lineitem"])
+    assert B.first_item_supplier(raw["order_items"]).exceptAll(first).count() == 0
+    assert not (tmp_path / "w" / "_items_ranged").exists()   # no hot order
+    assert list((tmp_path / "w" / "raw" / "orders").glob("*.zstd.parquet"))
