@@ -1,9 +1,9 @@
 """Registered queries of the text path (S1, S2, C1, C2, C14), of what it rejects,
 and of published tables (W1, S9).
 
-The bound raw tables are written once per dataset as the CSV files that the
-reference receives, some values damaged by rule (``DAMAGE``), and read back as
-text. The damage is the same in the oracle SQL.
+A bound raw table is written once per dataset, when a query first reads it, as the
+CSV files that the reference receives (compressed), some values damaged by rule
+(``DAMAGE``), and read back as text. The damage is the same in the oracle SQL.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import threading
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,33 +40,38 @@ DAMAGE = {
     "products": {"product_photos_qty": ("CAST(product_id AS BIGINT) % 7 = 3", "'2.0'"),
                  "product_name_lenght": ("CAST(product_id AS BIGINT) % 73 = 4", "'long'")},
 }
+TRANSLATION = "category_translation"
 _LOCK = threading.Lock()
-_ZONES: dict[tuple[str, str], str] = {}
+#: (dataset, shared folder) -> root, and the tables that are written there.
+_ZONES: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
-def text_zone(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of the seven CSV files of a dataset, written on first use."""
+def text_zone(spark: SparkSession, sf_dir: str, names: Sequence[str] = (*RAW_NAMES, TRANSLATION)) -> str:
+    """The folder of a dataset's CSV files; those of ``names`` are written on first use."""
     key = (os.path.abspath(sf_dir), shared_dir(spark))
     with _LOCK:
-        if key not in _ZONES:
-            root = os.path.join(key[1], f"text-{uuid.uuid4().hex[:12]}")
-            raw = warehouse_for(spark, sf_dir).raw()
-
-            def write(name: str) -> None:
+        root, written = _ZONES.setdefault(key, (os.path.join(key[1], f"text-{uuid.uuid4().hex[:12]}"), set()))
+        missing = [n for n in names if n not in written]
+        raw = warehouse_for(spark, sf_dir).raw() if missing else {}
+
+        def write(name: str) -> None:
+            if name == TRANSLATION:
+                out = translation_table(raw["products"])
+            else:
                 cells = {c: F.col(c).cast("string") for c in RAW_COLUMNS[name]}
                 for c, (rows, value) in DAMAGE.get(name, {}).items():
                     cells[c] = F.when(F.expr(f"{rows} AND {c} IS NOT NULL"), F.expr(value)).otherwise(cells[c])
-                raw[name].select(*[v.alias(c) for c, v in cells.items()]).write.option("header", True).option(
-                    "escape", '"').csv(f"{root}/{name}.csv")
+                out = raw[name].select(*[v.alias(c) for c, v in cells.items()])
+            out.write.mode("overwrite").option("header", True).option("escape", '"').option(
+                "compression", "gzip").csv(f"{root}/{name}.csv")
 
-            run_concurrently({n: (lambda n=n: write(n)) for n in RAW_NAMES})
-            translation_table(raw["products"]).write.option("header", True).csv(f"{root}/category_translation.csv")
-            _ZONES[key] = root
-        return _ZONES[key]
+        run_concurrently({n: (lambda n=n: write(n)) for n in missing})
+        written.update(missing)
+        return root
 
 
 def text(spark: SparkSession, d: str, name: str, keep_bad: bool = False) -> DataFrame:
-    return read_raw(spark, text_zone(spark, d), name, keep_bad)
+    return read_raw(spark, text_zone(spark, d, [name]), name, keep_bad)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -87,7 +93,7 @@ register("s01_text_scan", "\nUNION ALL\n".join(
     lambda spark, d: _union([filled_cells(text(spark, d, n), n) for n in RAW_NAMES]))
 
 register("s02_translation_csv", "SELECT * FROM translation", TRANSLATION_CTE)(
-    lambda spark, d: read_translation_csv(spark, f"{text_zone(spark, d)}/category_translation.csv"))
+    lambda spark, d: read_translation_csv(spark, f"{text_zone(spark, d, [TRANSLATION])}/{TRANSLATION}.csv"))
 
 
 def _bad(table: str, column: str) -> str:

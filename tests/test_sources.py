@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from deliverylens.functions.translate import read_translation_csv, translate_codes
 from deliverylens.operators import geo
 from deliverylens.operators.fact import build_fact
+from deliverylens.plans import text_queries
 from deliverylens.plans.warehouse import write_raw_zone
 from deliverylens.sources import binding as B
 from deliverylens.sources.sinks import export_layers
@@ -57,3 +58,12 @@ def test_raw_orders_from_the_numbered_items(spark, tmp_path):
     assert B.first_item_supplier(raw["order_items"]).exceptAll(first).count() == 0
     assert not (tmp_path / "w" / "_items_ranged").exists()   # no hot order
     assert list((tmp_path / "w" / "raw" / "orders").glob("*.zstd.parquet"))
+
+
+def test_a_text_table_is_written_when_it_is_read(spark):
+    text_queries._ZONES.clear()
+    n = text_queries.text(spark, SF_SMALL, "products").agg(F.count("product_id")).first()[0]
+    root = Path(text_queries.text_zone(spark, SF_SMALL, []).removeprefix("file:"))
+    assert [p.name for p in root.iterdir()] == ["products.csv"]
+    assert list((root / "products.csv").glob("*.csv.gz"))
+    assert n == B.read_source(spark, SF_SMALL, "part").count()
