@@ -16,6 +16,8 @@ from deliverylens.session import shared_dir
 SPACES = " \t\n\r\x0b\x0c"
 #: Bits of the filter that keeps most texts that a join would drop from its shuffle.
 FILTER_BITS = 1 << 22
+#: Rows of whole texts that cross to Python at once, see small_batches.
+TEXT_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let at most ``TEXT_ROWS`` rows cross to Python at once in this session: a
+    batch of whole texts is held by the JVM and by each worker, and Spark's
+    default takes all documents of a task as one. No result depends on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(rows, TEXT_ROWS) if rows > 0 else TEXT_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage is cut and a lost executor costs no recomputation."""

@@ -38,7 +38,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,6 +74,7 @@ SAMPLE, SAMPLE_CHARS, FREQUENT, MOST = 2048, 20_000, 6, 1 << 16
 #: Size bands of a family that is cut: each ends a tenth above its start.
 _STEP = 0.1
 _INFO = "<?qqqqq"
+_PART = 1 << 16
 _BAND_RATIO = 0.7
 
 
@@ -231,15 +232,23 @@ class Load:
         the steps from member to member."""
         size = np.array([len(s) for s in self.sets], np.uint32)
         grams = np.concatenate([*self.sets, np.zeros(0, np.uint64)])
+        self.sets = []  # not held twice
         member = np.repeat(np.arange(len(size), dtype=np.uint16), size)
-        known = hot[np.searchsorted(hot, grams).clip(max=len(hot) - 1)] == grams if len(hot) else np.zeros(len(grams), bool)
+        known = _by_parts(lambda g: hot[np.searchsorted(hot, g).clip(max=len(hot) - 1)] == g if len(hot)
+                          else np.zeros(len(g), bool), grams, bool)
         head = struct.pack("<qqq", len(self.info), len(size), int(known.sum()))
         out = [(self.number % buckets, self.number, _SELF, b"".join(
             [head, *self.info, size.tobytes(), grams[known].tobytes(), member[known].tobytes()]))]
-        h, member = mix64(grams[~known] ^ _HASH), member[~known]
-        bucket = ((h >> _HALF) * np.uint64(buckets) >> _HALF).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+        grams, member = grams[~known], member[~known]
+        h = _by_parts(lambda g: mix64(g ^ _HASH), grams, np.uint64)
+        del grams
+        low = h.astype(np.uint32)
+        bucket = _by_parts(lambda x: (x >> _HALF) * np.uint64(buckets) >> _HALF, h,
+                           np.uint16 if buckets < 1 << 16 else np.int64)
+        del h
         order = np.argsort(bucket, kind="stable")
-        bucket, low, member = bucket[order], h[order].astype(np.uint32), member[order]
+        bucket, low, member = bucket[order], low[order], member[order]
+        del order
         cut = np.flatnonzero(np.concatenate([[len(bucket) > 0], bucket[1:] != bucket[:-1]]))
         for a, b in zip(cut.tolist(), np.append(cut, len(bucket))[1:].tolist(), strict=True):
             out.append((int(bucket[a]), self.number, _GRAMS, low[a:b].tobytes() + _steps(member[a:b])))
@@ -247,6 +256,14 @@ class Load:
             zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=_LOAD_NAMES)
 
 
+def _by_parts(fn: Callable[[np.ndarray], np.ndarray], values: np.ndarray, dtype: type) -> np.ndarray:
+    """fn(values), so many at a time that what it holds on the way stays small."""
+    out = np.empty(len(values), dtype)
+    for i in range(0, len(values), _PART):
+        out[i:i + _PART] = fn(values[i:i + _PART])
+    return out
+
+
 def _steps(member: np.ndarray) -> bytes:
     return np.diff(member, prepend=np.uint16(0)).tobytes()  # ascending
 

@@ -129,3 +129,21 @@ def test_word_hashes():
     many, _ = word_hashes([" ".join(f"{i:x}" for i in range(200_000)).encode()])
     assert len(set(many.tolist())) == 200_000
     assert [len(x) for x in blocks_of(["a" * 400_000, "b" * 200_000, "", None])] == [2, 2]
+
+
+def test_a_load_takes_little_more_than_its_grams():
+    import tracemalloc
+
+    rng, n = np.random.default_rng(5), 500_000
+    hot = np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64))
+    load = J.Load(0)
+    for i in range(50):
+        load.add(i, i, np.sort(rng.integers(0, 1 << 63, n // 50).astype(np.uint64)))
+    tracemalloc.start()
+    try:
+        rows = load.rows(hot, 200)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows.num_rows == 201
+    assert most < 32 * n  # bytes of an n-gram; 8 are its hash (43 while the whole load was hashed at once)
