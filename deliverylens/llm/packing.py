@@ -9,7 +9,9 @@ windows directly. At the end a partition's open windows, at most
 the same way, and what is left of a merge group is cut into powers of two,
 which need no padding. Memory is bounded by the open windows and one document.
 
-Token ids are those that the ``tokenizers`` library gives with the vocabulary
+A piece comes with its token ids (``ids``, little-endian and of 32 bits each) and
+their CRC32, so the sequences can be put together from the result alone. Token
+ids are those that the ``tokenizers`` library gives with the vocabulary
 file by default: a special token's string in a text is that token. Every
 document ends with ``END``. Edge cases: null
 or empty text is the end token alone; repeated rows are packed each for
@@ -36,9 +38,11 @@ END = 1
 #: Windows a partition keeps open, and partitions whose leftovers merge.
 OPEN_WINDOWS = 16
 MERGE_GROUP = 32
+#: Pieces that a task hands on at once, each of a window of ids at most.
+PIECES = 1000
 
-_PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-_OUT = _PIECE + ", ids binary"
+_OUT = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
+        "ids binary")
 _ARROW = pa.schema([(n.split()[0], pa.binary() if n.endswith("binary") else pa.int64())
                     for n in _OUT.split(", ")])
 
@@ -126,7 +130,7 @@ def powers_of_two(pieces: list[tuple]) -> Iterator[list[tuple]]:
         yield out
 
 
-def _rows(sequence: int | None, pieces: list[tuple], keep_ids: bool) -> list[tuple]:
+def _rows(sequence: int, pieces: list[tuple], keep_ids: bool) -> list[tuple]:
     out, offset = [], 0
     for doc_id, start, ids, total in pieces:
         n = len(ids) // 4
@@ -141,9 +145,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, _ARROW, strict=True)], schema=_ARROW)
 
 
+def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """The rows, ``PIECES`` at a time; an empty batch if there are none."""
+    for i in range(0, max(1, len(rows)), PIECES):
+        yield _batch(rows[i:i + PIECES])
+
+
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW,
-         open_windows: int = OPEN_WINDOWS, merge_group: int = MERGE_GROUP) -> DataFrame:
-    """One row per piece: where its ids stand in the document and in the sequence.
+         open_windows: int = OPEN_WINDOWS, merge_group: int = MERGE_GROUP, ids: bool = True) -> DataFrame:
+    """One row per piece: where its ids stand in the document and in the sequence,
+    and the ids, unless ``ids`` is false and their CRC32 is enough.
 
     Complete sequences have ids ``partition * 2**32 + n``; merged leftovers
     ``2**62 + group * 2**32 + n``. The same input partitions give the same
@@ -157,21 +168,21 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW,
 
         def emit(pieces: list[tuple]) -> None:
             nonlocal count
-            rows.extend(_rows((part << 32) + count, pieces, False))
+            rows.extend(_rows((part << 32) + count, pieces, ids))
             count += 1
 
         packer = Packer(emit, window, open_windows)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.encode(text.as_py()) + end
-                packer.put(doc_id, 0, ids, len(ids) // 4)
-                if len(rows) >= 20_000:
-                    yield _batch(rows)
+                own = encoder.encode(text.as_py()) + end
+                packer.put(doc_id, 0, own, len(own) // 4)
+                if len(rows) >= PIECES:
+                    yield from _batches(rows)
                     rows.clear()
         for k, (_, pieces) in enumerate(packer.open):  # a leftover's sequence id names its window
             rows.extend(_rows(-1 - ((part << 16) + k), pieces, True))
-        yield _batch(rows)
+        yield from _batches(rows)
 
     def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple] = []
@@ -179,7 +190,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW,
 
         def emit(pieces: list[tuple]) -> None:
             nonlocal count
-            rows.extend(_rows(base + count, pieces, False))
+            rows.extend(_rows(base + count, pieces, ids))
             count += 1
 
         packer = Packer(emit, window, 1 << 30)
@@ -198,19 +209,19 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW,
             last.extend(pieces)
         for pieces in powers_of_two(last):
             emit(pieces)
-        out = pd.DataFrame([r[:-1] for r in rows], columns=_ARROW.names[:-1])
-        return out.astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=_ARROW.names).astype({"doc_id": "Int64"})
 
     placed = staged(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(place, _OUT),
                     "packing")  # read twice below, tokenised once
-    done = placed.where("sequence_id >= 0").drop("ids")
+    done = placed.where("sequence_id >= 0")
     group = F.shiftright(-1 - F.col("sequence_id"), 16) / merge_group
-    left = placed.where("sequence_id < 0").groupBy(F.floor(group).alias("merge_group")).applyInPandas(merge, _PIECE)
-    return done.unionByName(left)
+    left = placed.where("sequence_id < 0").groupBy(F.floor(group).alias("merge_group")).applyInPandas(merge, _OUT)
+    out = done.unionByName(left)
+    return out if ids else out.drop("ids")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op6: all documents in windows of 2048 tokens."""
+    """op6: all documents in windows of 2048 tokens, the ids by their CRC32."""
     import public_tokenizers
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)

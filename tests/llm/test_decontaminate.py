@@ -119,6 +119,20 @@ def test_edge_cases(spark, make, world):
     assert D.decontaminated(make([]), bench).count() == 0
 
 
+def test_long_texts_do_not_empty_the_fit_sample(spark, make, world, monkeypatch):
+    """A text beyond the bound leaves only itself out of what the index is fitted on."""
+    items, rows, truth = world
+    seen, fit = [], D.fit
+    monkeypatch.setattr(D, "FIT_CHARS", 200_000)
+    monkeypatch.setattr(D, "fit", lambda sample, *a: seen.append(
+        {len(r["text"]) for r in sample.collect()}) or fit(sample, *a))
+    long = [(1000 + k, f"{k} " * 110_000) for k in range(5)]
+    out, name = D.search(make([*long, *rows[:60]]), spark.createDataFrame(items, "item_id long, text string"))
+    assert seen == [{len(t) for _, t in rows[:60] if t}]
+    got = {(r["doc_id"], h["item_id"]) for r in out.collect() for h in r[name]}
+    assert {x for x in truth if x[0] < 60} <= got
+
+
 def test_common_subsequence():
     rng = random.Random(0)
     for _ in range(200):

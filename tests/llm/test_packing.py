@@ -76,3 +76,31 @@ def test_null_ids_repeated_rows_and_empty_table(make):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["doc_tokens"]) for r in out) == [
         (False, 7, 2), (False, 7, 2), (False, 8, 1), (True, 0, 3)]
     assert P.pack(make([]), RANKS).count() == 0
+
+
+def test_result_holds_the_ids(make, corpus, reference):
+    """Each piece has its ids: documents and sequences can be read back from the result."""
+    rows = [(i, t) for i, (_, t) in enumerate(corpus)]
+    rows += [(len(rows), "a b c " * 4000)]
+    docs = make(rows).repartition(5)
+    out = P.pack(docs, RANKS, 64, 4, merge_group=2)
+    documents, sequences = defaultdict(dict), defaultdict(dict)
+    for r in out.collect():
+        ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+        assert (len(ids), zlib.crc32(r["ids"])) == (r["length"], r["ids_crc32"])
+        documents[r["doc_id"]][r["start"]] = ids
+        sequences[r["sequence_id"]][r["offset"]] = ids
+    for i, text in rows:
+        assert sum((documents[i][k] for k in sorted(documents[i])), []) == [*reference(text), P.END]
+    whole = [sum((s[k] for k in sorted(s)), []) for s in sequences.values()]
+    assert sum(len(s) == 64 for s in whole) > 0.9 * len(whole)
+    assert sum(map(len, whole)) == sum(len(reference(t)) + 1 for _, t in rows)
+    digests = P.pack(docs, RANKS, 64, 4, merge_group=2, ids=False)
+    assert digests.columns == out.columns[:-1]
+    assert sorted(digests.collect(), key=str) == sorted(out.drop("ids").collect(), key=str)
+
+
+def test_batches_are_bounded():
+    rows = [(1, k, 1, 0, 2500, 0, k, b"\0\0\0\0") for k in range(2500)]
+    assert [b.num_rows for b in P._batches(rows)] == [1000, 1000, 500]
+    assert [b.num_rows for b in P._batches([])] == [0]

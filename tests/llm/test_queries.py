@@ -64,3 +64,21 @@ def test_pipeline_edge_rows(spark, tmp_path, make):
     spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(str(r["doc_id"]) for r in out) == ["1", "2", "3", "None"]
+
+
+def test_pipeline_result_holds_the_tokens(spark, tmp_path, make):
+    """The sequences can be put together from the pipeline's result alone."""
+    from tokenizers import Tokenizer
+
+    texts = {i: " ".join(f"word{i}x{k}\n"[:7 + k % 4] for k in range(40 + 300 * i)) for i in range(8)}
+    make([(i, t, f"s{i}") for i, t in texts.items()]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "nothing like it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got, left = {}, 0
+    for r in corpus_pipeline.run(spark, str(tmp_path)).orderBy("doc_id", "start").collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], b"") + bytes(r["ids"])
+        left += r["length"]
+    tokens = Tokenizer.from_file(corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json"))
+    read = {i: [int.from_bytes(x[k:k + 4], "little") for k in range(0, len(x), 4)] for i, x in got.items()}
+    assert {i: tokens.decode(x[:-1], skip_special_tokens=False) for i, x in read.items()} == texts
+    assert {x[-1] for x in read.values()} == {1} and left == sum(map(len, read.values()))
